@@ -21,6 +21,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from reelmart.operators import quality as Q  # noqa: E402
 from reelmart.plans import analytics as A  # noqa: E402
 from reelmart.plans import charts as C  # noqa: E402
 from reelmart.plans.pipeline import build_from_driver_tables  # noqa: E402
@@ -81,6 +82,17 @@ def _tpf(fn) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _check(check_id: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Violating rows of one declared check."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return Q.run_check(Q.check_by_id(check_id), _wh(spark, sf_dir).relations(), as_of_year=AS_OF_YEAR)
+    return run
+
+
+def _quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.quality_report(_wh(spark, sf_dir).relations(), as_of_year=AS_OF_YEAR)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: movie production trend by decade (Q2) on sf0.001."""
     return queries()["production_trends"](spark, FLAGSHIP_SF_DIR)
@@ -121,13 +133,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chart_people_roles": _p(C.chart_people_roles),
         "summary_stats": _tpf(C.summary_stats),
         "mart_row_counts": _tpf(C.mart_row_counts),
+        # data-quality checks (one representative per generic kind, every singular check, the report)
+        "check_unique": _check("unique_stg_title_basics_title_id"),
+        "check_not_null": _check("not_null_dim_titles_is_adult"),
+        "check_accepted_values": _check("accepted_values_dim_titles_title_type"),
+        "check_relationships": _check("relationships_stg_title_ratings_title_id"),
+        "check_expression": _check("expression_is_true_dim_titles_start_year"),
+        "check_rating_range": _check("rating_range"),
+        "check_movie_years": _check("movie_years"),
+        "check_runtime": _check("runtime"),
+        "check_birth_years": _check("birth_years"),
+        "check_career_span": _check("career_span"),
+        "check_rating_credibility": _check("rating_credibility"),
+        "check_rating_consistency": _check("rating_consistency"),
+        "quality_report": _quality_report,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    from oracle.checks import CHECKS
     from oracle.queries import CHARTS, SAMPLE, STAGING_AND_MARTS
 
     out: dict[str, str] = {}
-    for part in (STAGING_AND_MARTS, SAMPLE, CHARTS):
+    for part in (STAGING_AND_MARTS, SAMPLE, CHARTS, CHECKS):
         out.update(part)
     return out

@@ -41,6 +41,13 @@ class Warehouse:
     as_of_year: int | None = None
     hot_rows: int | None = DEFAULT_HOT_ROWS
 
+    def relations(self) -> dict[str, DataFrame]:
+        """Every relation by name: ``raw_<table>``, staging views and marts."""
+        out = {f"raw_{name}": df for name, df in self.raw.items()}
+        out.update(self.staging)
+        out.update(self.marts)
+        return out
+
     def __getitem__(self, name: str) -> DataFrame:
         for layer in (self.marts, self.staging, self.raw):
             if name in layer:
