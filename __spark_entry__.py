@@ -25,6 +25,10 @@ from reelmart.operators import quality as Q  # noqa: E402
 from reelmart.plans import analytics as A  # noqa: E402
 from reelmart.plans import charts as C  # noqa: E402
 from reelmart.plans.pipeline import build_from_driver_tables  # noqa: E402
+from reelmart.session import scratch_path  # noqa: E402
+from reelmart.sources import ingest as I  # noqa: E402
+from reelmart.sources.synthetic import raw_sources  # noqa: E402
+from reelmart.sources.tsv import read_copy_text, write_copy_text  # noqa: E402
 
 AS_OF_YEAR = 2024
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
@@ -93,6 +97,23 @@ def _quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(_wh(spark, sf_dir).relations(), as_of_year=AS_OF_YEAR)
 
 
+def _load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.load_audit(raw_sources(spark, sf_dir))
+
+
+def _raw_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.raw_key_violations(raw_sources(spark, sf_dir))
+
+
+def _tsv_round_trip(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Write a raw table as a COPY-text landing file, then read it back with the loader."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, f"landing-{table}")
+        write_copy_text(raw_sources(spark, sf_dir)[table], path, table)
+        return read_copy_text(spark, path, table)
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: movie production trend by decade (Q2) on sf0.001."""
     return queries()["production_trends"](spark, FLAGSHIP_SF_DIR)
@@ -147,14 +168,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_rating_credibility": _check("rating_credibility"),
         "check_rating_consistency": _check("rating_consistency"),
         "quality_report": _quality_report,
+        # ingestion
+        "load_audit": _load_audit,
+        "raw_key_violations": _raw_key_violations,
+        "tsv_round_trip": _tsv_round_trip("name_basics"),
+        "tsv_round_trip_credits": _tsv_round_trip("title_principals"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracle.checks import CHECKS
+    from oracle.checks import CHECKS, INGEST
     from oracle.queries import CHARTS, SAMPLE, STAGING_AND_MARTS
 
     out: dict[str, str] = {}
-    for part in (STAGING_AND_MARTS, SAMPLE, CHARTS, CHECKS):
+    for part in (STAGING_AND_MARTS, SAMPLE, CHARTS, CHECKS, INGEST):
         out.update(part)
     return out
