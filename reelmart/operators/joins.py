@@ -47,6 +47,31 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int, max_hot_keys: int = MAX_HOT
             .select(key, salts.alias(_SALTS)))
 
 
+def hot_keys_by_column(df: DataFrame, columns: list[str], hot_rows: int, max_hot_keys: int = MAX_HOT_KEYS,
+                       max_salts: int = MAX_SALTS) -> DataFrame:
+    """Hot keys of several key columns in one pass: ``(column, value, _salts)``.
+
+    One scan and one partial aggregate serve every join of a multi-join plan
+    (the bridge joins credits on title and on person). At most
+    ``max_hot_keys`` rows in total.
+    """
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("p"))
+    counts = (pairs.select("p.column", "p.value").filter(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n")))
+    salts = F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(max_salts)).cast("int")
+    return (counts.filter(F.col("_n") >= hot_rows)
+            .orderBy(F.col("_n").desc(), F.col("column"), F.col("value"))
+            .limit(max_hot_keys)
+            .select("column", "value", salts.alias(_SALTS)))
+
+
+def hot_list_for(hot_by_column: DataFrame, column: str, like: DataFrame) -> DataFrame:
+    """The ``(key, _salts)`` list of one column from ``hot_keys_by_column``, typed like ``like[column]``."""
+    return (hot_by_column.filter(F.col("column") == column)
+            .select(F.col("value").cast(like.schema[column].dataType).alias(column), _SALTS))
+
+
 def unique_key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
                     hot_rows: int | None = DEFAULT_HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """``left`` join ``right`` on ``key``; ``right`` must hold each key at most once.

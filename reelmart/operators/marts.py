@@ -24,7 +24,7 @@ from reelmart.functions import (
     in_ladder,
     ladder,
 )
-from reelmart.operators.joins import DEFAULT_HOT_ROWS, hot_keys, unique_key_join
+from reelmart.operators.joins import DEFAULT_HOT_ROWS, hot_keys_by_column, hot_list_for, unique_key_join
 
 
 def as_of(as_of_year: int | None) -> Column:
@@ -198,12 +198,24 @@ def _bridge_columns(joined: DataFrame) -> DataFrame:
 def bridge_cast_crew(stg_principals: DataFrame, titles: DataFrame, people: DataFrame,
                      hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Credits LEFT JOIN title context LEFT JOIN person context (not deduplicated)."""
+    return _bridge_columns(_credit_context(stg_principals, titles, people, "left", hot_rows))
+
+
+def _credit_context(credits: DataFrame, titles: DataFrame, people: DataFrame, how: str,
+                    hot_rows: int | None) -> DataFrame:
+    """Credits joined to title context on title_id, then to person context on person_id.
+
+    Both joins are shuffle joins at scale; hot titles and hot people are found
+    in one pass over the credits and salted (see ``operators.joins``).
+    """
     t = titles.select(*TITLE_CONTEXT_FOR_CREDITS)
     p = people.select(*PERSON_CONTEXT_FOR_CREDITS)
-    hot_people = hot_keys(stg_principals, "person_id", hot_rows) if hot_rows else None
-    joined = unique_key_join(stg_principals, t, "title_id", "left", hot_rows=hot_rows)
-    joined = unique_key_join(joined, p, "person_id", "left", hot_rows=hot_rows, hot=hot_people)
-    return _bridge_columns(joined)
+    hot_t = hot_p = None
+    if hot_rows:
+        hot = hot_keys_by_column(credits, ["title_id", "person_id"], hot_rows)
+        hot_t, hot_p = hot_list_for(hot, "title_id", credits), hot_list_for(hot, "person_id", credits)
+    joined = unique_key_join(credits, t, "title_id", how, hot_rows=hot_rows, hot=hot_t)
+    return unique_key_join(joined, p, "person_id", how, hot_rows=hot_rows, hot=hot_p)
 
 
 def bridge_cast_crew_from_raw(raw_principals: DataFrame, titles: DataFrame, people: DataFrame,
@@ -220,9 +232,4 @@ def bridge_cast_crew_from_raw(raw_principals: DataFrame, titles: DataFrame, peop
     from reelmart.operators.staging import _principals_columns
 
     credits = _principals_columns(raw_principals)
-    t = titles.select(*TITLE_CONTEXT_FOR_CREDITS)
-    p = people.select(*PERSON_CONTEXT_FOR_CREDITS)
-    hot_people = hot_keys(credits, "person_id", hot_rows) if hot_rows else None
-    joined = unique_key_join(credits, t, "title_id", "inner", hot_rows=hot_rows)
-    joined = unique_key_join(joined, p, "person_id", "inner", hot_rows=hot_rows, hot=hot_people)
-    return _bridge_columns(joined)
+    return _bridge_columns(_credit_context(credits, titles, people, "inner", hot_rows))

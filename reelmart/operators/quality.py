@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from reelmart import constants as K
 from reelmart.functions import count_when
-from reelmart.operators.joins import DEFAULT_HOT_ROWS, unique_key_join
+from reelmart.operators.joins import unique_key_join
 from reelmart.operators.marts import as_of
 
 Pred = Callable[[Column], Column]  # as_of year column -> predicate
@@ -55,7 +55,7 @@ def check_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame
 
 
 def check_relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                        hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                        hot_rows: int | None = None) -> DataFrame:
     keys = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull()).distinct()
     orphans = unique_key_join(child.filter(F.col(column).isNotNull()).select(column), keys, column, "left_anti",
                               hot_rows=hot_rows)
@@ -255,7 +255,7 @@ def check_by_id(check_id: str) -> Check:
 
 
 def run_check(check: Check, relations: dict[str, DataFrame], as_of_year: int | None = None,
-              hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+              hot_rows: int | None = None) -> DataFrame:
     """Violating rows of one declared check."""
     df = relations[check.relation]
     now = as_of(as_of_year)
@@ -300,7 +300,7 @@ def _stack_counts(df: DataFrame, named_counts: list[tuple[str, Column]]) -> Data
 
 
 def quality_report(relations: dict[str, DataFrame], checks: list[Check] | None = None,
-                   as_of_year: int | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                   as_of_year: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """One row per check: (check_id, relation, column_name, kind, severity, failures, status)."""
     checks = checks if checks is not None else DECLARED_CHECKS
     now = as_of(as_of_year)

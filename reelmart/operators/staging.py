@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reelmart.constants import SUPPORTED_TITLE_TYPES
 from reelmart.functions import ladder
-from reelmart.operators.joins import DEFAULT_HOT_ROWS, semi_join
+from reelmart.operators.joins import semi_join
 
 
 def _bool_flag(col: str):
@@ -86,18 +86,20 @@ def _principals_columns(raw: DataFrame) -> DataFrame:
 
 
 def stg_title_principals(raw: DataFrame, raw_title_basics: DataFrame, raw_name_basics: DataFrame,
-                         hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                         hot_rows: int | None = None) -> DataFrame:
     """Credits whose title is supported and whose person is named (two semi-joins).
 
-    The semi-joins run on narrow key sets; a title or person holding a large
-    share of all credits is split across tasks by ``semi_join``.
+    The semi-joins run on narrow key sets. By default skewed keys are left to
+    adaptive execution, which splits an oversized join partition at run time
+    from the shuffle statistics (no extra pass); ``hot_rows`` switches to
+    explicit salting of keys with at least that many rows.
     """
     credits = _principals_columns(raw)
     credits = semi_join(credits, supported_title_keys(raw_title_basics), "title_id", hot_rows=hot_rows)
     return semi_join(credits, named_people_keys(raw_name_basics), "person_id", hot_rows=hot_rows)
 
 
-def stg_title_akas(raw: DataFrame, raw_title_basics: DataFrame, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+def stg_title_akas(raw: DataFrame, raw_title_basics: DataFrame, hot_rows: int | None = None) -> DataFrame:
     akas = raw.select(
         F.col("titleid").alias("title_id"),
         F.col("ordering").cast("int").alias("ordering"),

@@ -55,7 +55,7 @@ class Warehouse:
         raise KeyError(name)
 
 
-def build_staging(raw: dict[str, DataFrame], hot_rows: int | None = DEFAULT_HOT_ROWS) -> dict[str, DataFrame]:
+def build_staging(raw: dict[str, DataFrame], hot_rows: int | None = None) -> dict[str, DataFrame]:
     return {
         "stg_title_basics": S.stg_title_basics(raw["title_basics"]),
         "stg_title_ratings": S.stg_title_ratings(raw["title_ratings"]),
@@ -73,7 +73,7 @@ def build(raw: dict[str, DataFrame], as_of_year: int | None = None,
     With ``fuse_bridge`` the bridge joins the raw credits straight to the
     dimensions (two shuffles instead of four; see ``bridge_cast_crew_from_raw``).
     """
-    stg = build_staging(raw, hot_rows=hot_rows)
+    stg = build_staging(raw)
     titles = M.dim_titles(stg["stg_title_basics"], as_of_year)
     people = M.dim_people(stg["stg_name_basics"], as_of_year)
     fact = M.fact_ratings(stg["stg_title_ratings"], titles, as_of_year)
