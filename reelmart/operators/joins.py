@@ -19,8 +19,11 @@ plain shuffle join would send all of them to one task.
    ``(key, salt)``. Each row still meets its single partner, so the result is
    exactly the plain join; keys beyond the list go through the ordinary path.
 
-Adaptive execution's skew-join splitting stays on as a second line of defence.
-With ``hot_rows=None`` the plain join is emitted and AQE alone handles skew.
+``find_hot_keys`` runs the detection as its own small job before planning the
+joins: when no key is hot (the usual case) the joins are planned plain and
+cost nothing extra. Adaptive execution's skew-join splitting stays on as a
+second line of defence. With ``hot_rows=None`` the plain join is emitted and
+AQE alone handles skew.
 """
 
 from __future__ import annotations
@@ -72,19 +75,45 @@ def hot_list_for(hot_by_column: DataFrame, column: str, like: DataFrame) -> Data
             .select(F.col("value").cast(like.schema[column].dataType).alias(column), _SALTS))
 
 
+def find_hot_keys(df: DataFrame, columns: list[str], hot_rows: int, max_hot_keys: int = MAX_HOT_KEYS,
+                  max_salts: int = MAX_SALTS) -> dict[str, DataFrame | None]:
+    """Detect hot keys of ``columns`` now, in one job, and return them as small local relations.
+
+    The job returns at most ``max_hot_keys`` rows (a proven bound), so only a
+    bounded key list reaches the driver. A column without hot keys maps to
+    ``None``: its join can then be planned as a plain join with no salting cost.
+    """
+    spark = df.sparkSession
+    rows = hot_keys_by_column(df, columns, hot_rows, max_hot_keys, max_salts).collect()
+    out: dict[str, DataFrame | None] = {}
+    for column in columns:
+        picked = [(r["value"], r[_SALTS]) for r in rows if r["column"] == column]
+        if not picked:
+            out[column] = None
+            continue
+        local = spark.createDataFrame(picked, f"{column} string, {_SALTS} int")
+        out[column] = local.select(F.col(column).cast(df.schema[column].dataType).alias(column), _SALTS)
+    return out
+
+
+_DETECT = object()  # sentinel: detect hot keys lazily inside the plan
+
+
 def unique_key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                    hot_rows: int | None = DEFAULT_HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
+                    hot_rows: int | None = DEFAULT_HOT_ROWS, hot: DataFrame | None | object = _DETECT
+                    ) -> DataFrame:
     """``left`` join ``right`` on ``key``; ``right`` must hold each key at most once.
 
     ``how`` is one of inner, left, left_semi, left_anti. ``hot`` may pass a
-    precomputed hot-key list (from ``hot_keys``) when the key counts of ``left``
-    are better taken on an upstream relation.
+    precomputed hot-key list (``hot_keys`` / ``find_hot_keys``); ``None`` means
+    "no hot keys": the plain join is planned. Left unset with ``hot_rows`` given,
+    the hot-key list is computed inside the plan.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type for a unique-key join: {how}")
-    if hot_rows is None and hot is None:
+    if hot is None or (hot is _DETECT and hot_rows is None):
         return left.join(right, key, how)
-    if hot is None:
+    if hot is _DETECT:
         hot = hot_keys(left, key, hot_rows)
     hot_b = F.broadcast(hot)  # bounded by construction: <= max_hot_keys rows
 
@@ -103,6 +132,6 @@ def unique_key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inn
 
 
 def semi_join(left: DataFrame, keys: DataFrame, key: str, hot_rows: int | None = DEFAULT_HOT_ROWS,
-              hot: DataFrame | None = None) -> DataFrame:
+              hot: DataFrame | None | object = _DETECT) -> DataFrame:
     """Rows of ``left`` whose ``key`` is in the unique key set ``keys`` (``IN (subquery)``)."""
     return unique_key_join(left, keys.select(key), key, "left_semi", hot_rows=hot_rows, hot=hot)

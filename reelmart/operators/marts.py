@@ -24,7 +24,7 @@ from reelmart.functions import (
     in_ladder,
     ladder,
 )
-from reelmart.operators.joins import DEFAULT_HOT_ROWS, hot_keys_by_column, hot_list_for, unique_key_join
+from reelmart.operators.joins import DEFAULT_HOT_ROWS, find_hot_keys, unique_key_join
 
 
 def as_of(as_of_year: int | None) -> Column:
@@ -205,17 +205,15 @@ def _credit_context(credits: DataFrame, titles: DataFrame, people: DataFrame, ho
                     hot_rows: int | None) -> DataFrame:
     """Credits joined to title context on title_id, then to person context on person_id.
 
-    Both joins are shuffle joins at scale; hot titles and hot people are found
-    in one pass over the credits and salted (see ``operators.joins``).
+    Both joins are shuffle joins at scale. Hot titles and hot people are found
+    in one small job over the credits (at most ``MAX_HOT_KEYS`` keys come
+    back); only joins that have hot keys are salted (see ``operators.joins``).
     """
     t = titles.select(*TITLE_CONTEXT_FOR_CREDITS)
     p = people.select(*PERSON_CONTEXT_FOR_CREDITS)
-    hot_t = hot_p = None
-    if hot_rows:
-        hot = hot_keys_by_column(credits, ["title_id", "person_id"], hot_rows)
-        hot_t, hot_p = hot_list_for(hot, "title_id", credits), hot_list_for(hot, "person_id", credits)
-    joined = unique_key_join(credits, t, "title_id", how, hot_rows=hot_rows, hot=hot_t)
-    return unique_key_join(joined, p, "person_id", how, hot_rows=hot_rows, hot=hot_p)
+    hot = find_hot_keys(credits, ["title_id", "person_id"], hot_rows) if hot_rows else {}
+    joined = unique_key_join(credits, t, "title_id", how, hot=hot.get("title_id"))
+    return unique_key_join(joined, p, "person_id", how, hot=hot.get("person_id"))
 
 
 def bridge_cast_crew_from_raw(raw_principals: DataFrame, titles: DataFrame, people: DataFrame,

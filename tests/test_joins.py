@@ -54,3 +54,37 @@ def test_plain_path_when_disabled(spark, skewed):
     out = unique_key_join(left, right, "key", "left", hot_rows=None)
     assert "_salt" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert out.filter(F.col("v").isNull()).count() == left.join(right, "key", "left").filter("v is null").count()
+
+
+def test_find_hot_keys_returns_bounded_local_lists(spark, skewed):
+    from reelmart.operators.joins import find_hot_keys
+
+    left, _ = skewed
+    hot = find_hot_keys(left.withColumn("n2", F.col("n") % 2), ["key", "n2"], hot_rows=50, max_hot_keys=3)
+    assert {r.key for r in hot["key"].collect()} == {"k0"}
+    assert {r.n2 for r in hot["n2"].collect()} <= {0, 1}
+    assert find_hot_keys(left, ["key"], hot_rows=10_000)["key"] is None  # nothing hot: plain join
+
+
+def test_bridge_with_a_title_holding_a_third_of_credits(spark):
+    from reelmart.operators import marts as M
+
+    credits = spark.createDataFrame(
+        [("hot", f"p{i % 7}", i, "actor", None, None) for i in range(100)]
+        + [(f"t{i % 40}", f"p{i % 7}", i, "writer", None, None) for i in range(200)],
+        "title_id string, person_id string, ordering int, job_category string, job_title string, "
+        "character_names string")
+    titles = M.dim_titles(spark.createDataFrame(
+        [("hot", "movie", "H", "H", False, 2000, None, 90, None)]
+        + [(f"t{i}", "short", "T", "T", False, 1990, None, 10, None) for i in range(40)],
+        "title_id string, title_type string, primary_title string, original_title string, is_adult boolean, "
+        "start_year int, end_year int, runtime_minutes int, genres_raw string"), 2024)
+    people = M.dim_people(spark.createDataFrame(
+        [(f"p{i}", f"N {i}", 1970, None, "actor", None) for i in range(7)],
+        "person_id string, primary_name string, birth_year int, death_year int, professions_raw string, "
+        "known_for_titles_raw string"), 2024)
+    salted = M.bridge_cast_crew(credits, titles, people, hot_rows=20)
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    plain = M.bridge_cast_crew(credits, titles, people, hot_rows=None)
+    assert _sorted(salted) == _sorted(plain)
+    assert salted.filter("title_id = 'hot'").count() == 100
