@@ -60,8 +60,15 @@ def read_copy_text(spark: SparkSession, path: str, table: str, header: bool = Tr
     Every column is text; ``\\N`` is NULL; escapes are undone; a row with the
     wrong number of fields fails the job (the whole load aborts, as COPY does).
     """
+    return parse_copy_lines(spark.read.text(path), table, header=header)
+
+
+def parse_copy_lines(lines: DataFrame, table: str, header: bool = True) -> DataFrame:
+    """Parse a DataFrame of text lines (``value`` column, with file metadata) into the raw table.
+
+    Shared by the batch reader and the streaming appender.
+    """
     columns = RAW_COLUMNS[table]
-    lines = spark.read.text(path)
     value = F.regexp_replace(F.col("value"), "\r$", "")
     if header:
         # The header is the first line of each file: it sits in the file's first
