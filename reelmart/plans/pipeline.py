@@ -138,3 +138,44 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+class QualityGateError(RuntimeError):
+    """Error-severity data-quality checks returned rows."""
+
+
+@dataclass
+class RunResult:
+    load: list | None
+    marts: dict[str, DataFrame]
+    report: DataFrame
+    counts: DataFrame
+
+
+def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None = None,
+        fail_on_error: bool = True) -> RunResult:
+    """Load (only if the raw layer is empty), build, store and check the warehouse under ``root``.
+
+    ``root`` should be on shared storage (a cluster's ``spark.checkpoint.dir``
+    or a warehouse bucket); ``root/raw``, ``root/marts`` and
+    ``root/quality_report`` are written. Unlike the reference's runner, failing
+    error-severity checks stop the run (``fail_on_error``).
+    """
+    from reelmart.operators.quality import failed_checks, quality_report
+    from reelmart.sources.ingest import load_if_empty, read_raw, require_all_loaded
+
+    root = root.rstrip("/")
+    load = load_if_empty(spark, landing_dir, f"{root}/raw")
+    if load is not None:
+        require_all_loaded(load)
+    wh = build(read_raw(spark, f"{root}/raw"), as_of_year=as_of_year)
+    marts = materialize(spark, wh, f"{root}/marts")
+    relations = wh.relations()
+    relations.update(marts)
+    quality_report(relations, as_of_year=as_of_year).write.mode("overwrite").parquet(f"{root}/quality_report")
+    report = spark.read.parquet(f"{root}/quality_report")
+    if fail_on_error and not failed_checks(report).isEmpty():
+        names = [r.check_id for r in failed_checks(report).select("check_id").limit(20).collect()]
+        raise QualityGateError(f"error-severity checks failed: {', '.join(names)}")
+    counts = row_counts({k: marts[k] for k in ("dim_titles", "dim_people", "fact_ratings")})
+    return RunResult(load=load, marts=marts, report=report, counts=counts)
