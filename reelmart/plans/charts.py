@@ -103,7 +103,24 @@ def mart_row_counts(titles: DataFrame, people: DataFrame, fact: DataFrame) -> Da
     return one(titles, "dim_titles").unionByName(one(people, "dim_people")).unionByName(one(fact, "fact_ratings"))
 
 
+def dashboard_datasets(titles: DataFrame, people: DataFrame, fact: DataFrame,
+                       check_empty: bool = True) -> dict[str, DataFrame]:
+    """All chart datasets; the decade and quality-points charts must not be empty."""
+    out = {
+        "movies_by_decade": chart_movies_by_decade(titles, fact),
+        "genre_popularity": chart_genre_popularity(titles, fact),
+        "quality_points": chart_quality_points(titles, fact),
+        "runtime_groups": chart_runtime_groups(titles),
+        "people_roles": chart_people_roles(people),
+    }
+    if check_empty:
+        require_rows(out["movies_by_decade"], "movies by decade")
+        require_rows(out["quality_points"], "quality vs popularity points")
+    return out
+
+
 __all__ = [
+    "dashboard_datasets",
     "EmptyResultError", "require_rows", "chart_movies_by_decade", "chart_genre_popularity",
     "chart_quality_points", "chart_runtime_groups", "chart_people_roles", "summary_stats",
     "mart_row_counts",

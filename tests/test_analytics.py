@@ -75,3 +75,19 @@ def test_quadrant_order_and_empty_chart_error(spark):
         raise AssertionError("expected EmptyResultError")
     except C.EmptyResultError:
         pass
+
+
+def test_dashboard_datasets_require_rows(spark):
+    titles = [("m1", "movie", "T", "T", False, 1995, None, 90, "Drama")]
+    dims, fact = _marts(spark, titles, [("m1", 7.0, 500)])
+    people = M.dim_people(spark.createDataFrame([("p1", "Ann", 1950, None, "actor", None)],
+                                                "person_id string, primary_name string, birth_year int, "
+                                                "death_year int, professions_raw string, "
+                                                "known_for_titles_raw string"), AS_OF)
+    sets = C.dashboard_datasets(dims, people, fact)
+    assert sets["quality_points"].count() == 1
+    try:
+        C.dashboard_datasets(dims.filter("decade < 1900"), people, fact)
+        raise AssertionError("expected EmptyResultError")
+    except C.EmptyResultError:
+        pass
