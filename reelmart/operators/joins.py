@@ -69,12 +69,6 @@ def hot_keys_by_column(df: DataFrame, columns: list[str], hot_rows: int, max_hot
             .select("column", "value", salts.alias(_SALTS)))
 
 
-def hot_list_for(hot_by_column: DataFrame, column: str, like: DataFrame) -> DataFrame:
-    """The ``(key, _salts)`` list of one column from ``hot_keys_by_column``, typed like ``like[column]``."""
-    return (hot_by_column.filter(F.col("column") == column)
-            .select(F.col("value").cast(like.schema[column].dataType).alias(column), _SALTS))
-
-
 def find_hot_keys(df: DataFrame, columns: list[str], hot_rows: int, max_hot_keys: int = MAX_HOT_KEYS,
                   max_salts: int = MAX_SALTS) -> dict[str, DataFrame | None]:
     """Detect hot keys of ``columns`` now, in one job, and return them as small local relations.

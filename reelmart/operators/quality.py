@@ -95,10 +95,6 @@ class Check:
         raise ValueError(self.kind)
 
 
-def _col(name: str) -> Callable[[Column], Column]:
-    return lambda now: F.col(name)
-
-
 def _declared() -> list[Check]:
     c = F.col
     checks: list[Check] = []

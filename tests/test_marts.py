@@ -239,3 +239,20 @@ def test_industry_era_and_media_type(spark):
         "Modern Era (1970-1989)", "Modern Era (1970-1989)", "Digital Era (1990-2009)", "Digital Era (1990-2009)",
         "Streaming Era (2010+)"]
     assert got["t0"].media_type == "Short Film"
+
+
+def test_role_department_for_every_listed_category(spark):
+    cats = ["actor", "actress", "director", "writer", "producer", "executive producer", "composer",
+            "music_department", "cinematographer", "camera_department", "editor", "self", None]
+    credits = spark.createDataFrame([("t1", "p", i, c, None, None) for i, c in enumerate(cats)],
+                                    "title_id string, person_id string, ordering int, job_category string, "
+                                    "job_title string, character_names string")
+    titles = M.dim_titles(_stg_titles(spark, [_title("t1")]), AS_OF)
+    people = M.dim_people(spark.createDataFrame([("p", "Ann", None, None, None, None)],
+                                                "person_id string, primary_name string, birth_year int, "
+                                                "death_year int, professions_raw string, "
+                                                "known_for_titles_raw string"), AS_OF)
+    got = {r.ordering: r.role_department for r in M.bridge_cast_crew(credits, titles, people, hot_rows=None).collect()}
+    assert [got[i] for i in range(len(cats))] == [
+        "Acting", "Acting", "Directing", "Writing", "Producing", "Producing", "Music", "Music", "Cinematography",
+        "Cinematography", "Editing", "Other", "Other"]
