@@ -62,3 +62,18 @@ def test_query_matches_oracle(spark, duck, name):
     o_rows = res.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
     assert _canon(df.columns, s_rows) == _canon(o_cols, o_rows)
+
+
+def test_bucketed_marts_join_without_shuffle(spark):
+    wh = build_from_driver_tables(spark, SF, as_of_year=2024)
+    stored = materialize(spark, wh, buckets=4, database="reelmart_test")
+    plain = materialize(spark, wh)
+    for name in stored:
+        assert _rows(stored[name]) == _rows(plain[name].select(*stored[name].columns)), name
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = stored["fact_ratings"].join(stored["dim_titles"], "title_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
