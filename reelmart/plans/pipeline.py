@@ -208,8 +208,14 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
     relations = wh.relations()
     # Staging is a view, but the checks read the two big staging relations
     # several times (null pass, relationship anti-joins): store them once.
-    relations.update(materialize_staging(spark, wh, f"{root}/staging",
-                                         ["stg_title_principals", "stg_title_akas"]))
+    # They are built here with hot-key salting on their semi-joins (detection is
+    # one small job; joins without hot keys stay plain).
+    raw = wh.raw
+    big = Warehouse(raw=raw, marts={}, staging={
+        "stg_title_principals": S.stg_title_principals(raw["title_principals"], raw["title_basics"],
+                                                       raw["name_basics"], hot_rows=DEFAULT_HOT_ROWS),
+        "stg_title_akas": S.stg_title_akas(raw["title_akas"], raw["title_basics"], hot_rows=DEFAULT_HOT_ROWS)})
+    relations.update(materialize_staging(spark, big, f"{root}/staging", list(big.staging)))
     relations.update(marts)
     quality_report(relations, as_of_year=as_of_year).write.mode("overwrite").parquet(f"{root}/quality_report")
     report = spark.read.parquet(f"{root}/quality_report")
