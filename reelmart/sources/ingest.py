@@ -101,7 +101,11 @@ def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "
         target = f"{raw_root.rstrip('/')}/{res.table}"
         try:
             if enforce_keys and res.table in RAW_KEYS:
-                bad = raw_key_violations({res.table: df})
+                # an appended row may also collide with a row already published
+                scope = df
+                if mode == "append" and path_exists(spark, target):
+                    scope = spark.read.parquet(target).select(*df.columns).unionByName(df)
+                bad = raw_key_violations({res.table: scope})
                 if not bad.isEmpty():
                     raise KeyViolationError(f"{res.table}: primary key {RAW_KEYS[res.table]} is NULL or repeated")
             df.write.mode(mode).parquet(target)

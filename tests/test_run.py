@@ -40,3 +40,15 @@ def test_run_end_to_end(spark, tmp_dir):
     export_csv(result.counts, f"{tmp_dir}/counts_csv")
     back = spark.read.option("header", True).csv(f"{tmp_dir}/counts_csv")
     assert back.columns == ["table_name", "row_count"] and back.count() == 3
+
+
+def test_cli_run_and_report(spark, tmp_dir, capsys):
+    from reelmart.__main__ import main
+
+    landing, _ = _landing(spark, tmp_dir)
+    assert main(["run", "--landing", landing, "--root", f"{tmp_dir}/cli", "--as-of-year", "2024"]) == 1
+    assert main(["run", "--landing", landing, "--root", f"{tmp_dir}/cli", "--as-of-year", "2024",
+                 "--no-fail"]) == 0
+    assert main(["report", "--root", f"{tmp_dir}/cli"]) == 0
+    out = capsys.readouterr().out
+    assert "dim_titles" in out and "not_null_dim_titles_is_adult" in out

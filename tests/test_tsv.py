@@ -79,3 +79,16 @@ def test_raw_key_violations_finds_null_and_duplicates(spark):
     df = spark.createDataFrame([("a", "1", "1"), ("a", "2", "2"), (None, "3", "3"), ("b", "4", "4")], schema)
     got = {(r.key_value, r.n_records, r.problem) for r in raw_key_violations({"title_ratings": df}).collect()}
     assert got == {("a", 2, "duplicate key"), (None, 1, "null key")}
+
+
+def test_append_rejects_key_already_published(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    os.makedirs(landing)
+    with open(f"{landing}/title.ratings.tsv", "w") as fh:
+        fh.write("tconst\taverageRating\tnumVotes\n")
+        fh.write("tt1\t7.5\t10\n")
+    first = {r.table: r for r in load_raw(spark, landing, f"{tmp_dir}/raw", mode="append")}
+    assert first["title_ratings"].loaded
+    second = {r.table: r for r in load_raw(spark, landing, f"{tmp_dir}/raw", mode="append")}
+    assert not second["title_ratings"].loaded and "KeyViolationError" in second["title_ratings"].message
+    assert spark.read.parquet(f"{tmp_dir}/raw/title_ratings").count() == 1
