@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reelmart.constants import SUPPORTED_TITLE_TYPES
 from reelmart.functions import ladder
-from reelmart.operators.joins import semi_join
+from reelmart.operators.joins import find_hot_keys, semi_join
 
 
 def _bool_flag(col: str):
@@ -92,11 +92,13 @@ def stg_title_principals(raw: DataFrame, raw_title_basics: DataFrame, raw_name_b
     The semi-joins run on narrow key sets. By default skewed keys are left to
     adaptive execution, which splits an oversized join partition at run time
     from the shuffle statistics (no extra pass); ``hot_rows`` switches to
-    explicit salting of keys with at least that many rows.
+    explicit salting of keys with at least that many rows (hot titles and hot
+    people are found together in one bounded job).
     """
     credits = _principals_columns(raw)
-    credits = semi_join(credits, supported_title_keys(raw_title_basics), "title_id", hot_rows=hot_rows)
-    return semi_join(credits, named_people_keys(raw_name_basics), "person_id", hot_rows=hot_rows)
+    hot = find_hot_keys(credits, ["title_id", "person_id"], hot_rows) if hot_rows else {}
+    credits = semi_join(credits, supported_title_keys(raw_title_basics), "title_id", hot=hot.get("title_id"))
+    return semi_join(credits, named_people_keys(raw_name_basics), "person_id", hot=hot.get("person_id"))
 
 
 def stg_title_akas(raw: DataFrame, raw_title_basics: DataFrame, hot_rows: int | None = None) -> DataFrame:
