@@ -25,6 +25,7 @@ from reelmart.functions import (
     ladder,
 )
 from reelmart.operators.joins import DEFAULT_HOT_ROWS, find_hot_keys, unique_key_join
+from reelmart.operators.staging import credit_columns
 
 
 def as_of(as_of_year: int | None) -> Column:
@@ -227,7 +228,5 @@ def bridge_cast_crew_from_raw(raw_principals: DataFrame, titles: DataFrame, peop
     the credits to two. Only valid for dimensions built from the same raw
     tables as the credits' staging filter (``pipeline.build`` guarantees it).
     """
-    from reelmart.operators.staging import _principals_columns
-
-    credits = _principals_columns(raw_principals)
+    credits = credit_columns(raw_principals)
     return _bridge_columns(_credit_context(credits, titles, people, "inner", hot_rows))

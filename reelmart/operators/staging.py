@@ -74,7 +74,8 @@ def stg_name_basics(raw: DataFrame) -> DataFrame:
     )
 
 
-def _principals_columns(raw: DataFrame) -> DataFrame:
+def credit_columns(raw: DataFrame) -> DataFrame:
+    """Typed, renamed credit columns of raw ``title_principals`` (no filter)."""
     return raw.select(
         F.col("tconst").alias("title_id"),
         F.col("nconst").alias("person_id"),
@@ -95,7 +96,7 @@ def stg_title_principals(raw: DataFrame, raw_title_basics: DataFrame, raw_name_b
     explicit salting of keys with at least that many rows (hot titles and hot
     people are found together in one bounded job).
     """
-    credits = _principals_columns(raw)
+    credits = credit_columns(raw)
     hot = find_hot_keys(credits, ["title_id", "person_id"], hot_rows) if hot_rows else {}
     credits = semi_join(credits, supported_title_keys(raw_title_basics), "title_id", hot=hot.get("title_id"))
     return semi_join(credits, named_people_keys(raw_name_basics), "person_id", hot=hot.get("person_id"))
