@@ -77,3 +77,11 @@ def test_bucketed_marts_join_without_shuffle(spark):
         assert "SortMergeJoin" in plan and "Exchange" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_mart_joins_do_not_fan_out(spark):
+    wh = build_from_driver_tables(spark, "/root/testdata/sf0.01", as_of_year=2024)
+    assert wh["fact_ratings"].count() == wh.staging["stg_title_ratings"].count()
+    assert wh["bridge_cast_crew"].count() == wh.staging["stg_title_principals"].count()
+    assert wh["dim_titles"].select("title_id").distinct().count() == wh["dim_titles"].count()
+    assert wh["dim_people"].select("person_id").distinct().count() == wh["dim_people"].count()
