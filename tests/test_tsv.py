@@ -92,3 +92,25 @@ def test_append_rejects_key_already_published(spark, tmp_dir):
     second = {r.table: r for r in load_raw(spark, landing, f"{tmp_dir}/raw", mode="append")}
     assert not second["title_ratings"].loaded and "KeyViolationError" in second["title_ratings"].message
     assert spark.read.parquet(f"{tmp_dir}/raw/title_ratings").count() == 1
+
+
+def test_round_trip_property(spark, tmp_dir):
+    """Random text with tabs, newlines, CR, backslashes, literal \\N and NULLs survives write + read."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(["a", "Z", " ", "\t", "\n", "\r", "\\", "N", '"', ",", "é", "≤"])
+    field = st.one_of(st.none(), st.text(alphabet, max_size=12))
+    row = st.tuples(*[field] * 3)
+    counter = iter(range(10_000))
+
+    @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=1, max_size=20))
+    def check(rows):
+        df = spark.createDataFrame(rows, raw_schema("title_ratings"))
+        path = f"{tmp_dir}/prop-{next(counter)}"
+        write_copy_text(df, path, "title_ratings")
+        back = read_copy_text(spark, path, "title_ratings")
+        assert sorted(back.collect(), key=repr) == sorted(df.collect(), key=repr)
+
+    check()
