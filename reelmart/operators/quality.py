@@ -56,7 +56,10 @@ def check_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame
 
 def check_relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
                         hot_rows: int | None = None) -> DataFrame:
-    keys = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull()).distinct()
+    keys = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull())
+    if hot_rows:
+        keys = keys.distinct()  # salting replicates partner rows: keep the key side unique
+    # (a left anti-join is unaffected by repeated keys on the parent side, so no distinct otherwise)
     orphans = unique_key_join(child.filter(F.col(column).isNotNull()).select(column), keys, column, "left_anti",
                               hot_rows=hot_rows)
     return orphans.select(F.col(column).alias("from_field"))
@@ -316,11 +319,8 @@ def quality_report(relations: dict[str, DataFrame], checks: list[Check] | None =
                                      F.struct(F.lit(chk.check_id).alias("check_id"),
                                               F.col(chk.column).cast("string").alias("v")))
                               for chk in accepted])
-            bad = (df.select(F.explode(F.filter(pairs, lambda x: x.isNotNull())).alias("p"))
-                   .select("p.check_id", "p.v").distinct()
-                   .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
-            zero = _stack_counts(df.limit(0), [(chk.check_id, count_when(F.lit(False))) for chk in accepted])
-            parts.append(zero.unionByName(bad).groupBy("check_id").agg(F.sum("failures").alias("failures")))
+            parts.append(df.select(F.explode(F.filter(pairs, lambda x: x.isNotNull())).alias("p"))
+                         .groupBy("p.check_id").agg(F.count_distinct("p.v").alias("failures")))
         for chk in rel_checks:
             if chk.kind == "unique":
                 parts.append(_stack_counts(check_unique(df, chk.column), [(chk.check_id, F.count(F.lit(1)))]))
@@ -331,7 +331,12 @@ def quality_report(relations: dict[str, DataFrame], checks: list[Check] | None =
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return _report_rows(checks, out)
+    # checks without a failing row produce no count row above (accepted values): fill them with 0
+    spark = out.sparkSession
+    catalog = spark.createDataFrame([(chk.check_id,) for chk in checks], "check_id string")
+    counts = catalog.join(out, "check_id", "left").select(
+        "check_id", F.coalesce(F.col("failures"), F.lit(0)).alias("failures"))
+    return _report_rows(checks, counts)
 
 
 def failed_checks(report: DataFrame) -> DataFrame:
