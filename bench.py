@@ -12,7 +12,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,7 +23,7 @@ from reelmart.operators.joins import DEFAULT_HOT_ROWS  # noqa: E402
 from reelmart.plans import analytics as A  # noqa: E402
 from reelmart.plans import charts as C  # noqa: E402
 from reelmart.plans.pipeline import MART_SORT_KEYS, build_from_driver_tables, write_mart  # noqa: E402
-from reelmart.session import get_session  # noqa: E402
+from reelmart.session import get_session, scratch_path  # noqa: E402
 
 AS_OF_YEAR = 2024
 
@@ -39,13 +38,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
-    scratch = tempfile.mkdtemp(prefix="reelmart-bench-")
     spark = get_session(f"local[{cpus}]", app_name="reelmart-bench", shuffle_partitions=cpus * 2,
                         conf={"spark.driver.memory": "16g",
                               "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
+    scratch = scratch_path(spark, "bench")  # under spark.checkpoint.dir when the cluster names one
 
     times: dict[str, float] = {}
     wh = build_from_driver_tables(spark, sf_dir, as_of_year=AS_OF_YEAR)
