@@ -2,7 +2,8 @@
 
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEATS (default 3; each query runs once to warm up, then the median of the repeats).
+BENCH_REPEATS (default 3; every step, builds included, runs once to warm up, then the median of
+the repeats; each run plans a fresh DataFrame, so no shuffle output is reused).
 """
 
 from __future__ import annotations
@@ -34,6 +35,12 @@ def _timed(fn):
     return time.perf_counter() - t0
 
 
+def _measure(fn, repeats: int) -> float:
+    """One warm-up run, then the median of ``repeats`` runs."""
+    fn()
+    return statistics.median(_timed(fn) for _ in range(repeats))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -53,14 +60,14 @@ def main() -> None:
         write_mart(df, f"{marts_dir}/{name}", MART_SORT_KEYS[name])
         return spark.read.parquet(f"{marts_dir}/{name}")
 
-    times["build_dim_titles"] = _timed(lambda: write("dim_titles", wh["dim_titles"]))
-    times["build_dim_people"] = _timed(lambda: write("dim_people", wh["dim_people"]))
+    times["build_dim_titles"] = _measure(lambda: write("dim_titles", wh["dim_titles"]), repeats)
+    times["build_dim_people"] = _measure(lambda: write("dim_people", wh["dim_people"]), repeats)
     titles = spark.read.parquet(f"{marts_dir}/dim_titles")
     people = spark.read.parquet(f"{marts_dir}/dim_people")
-    times["build_fact_ratings"] = _timed(lambda: write(
-        "fact_ratings", M.fact_ratings(wh.staging["stg_title_ratings"], titles, AS_OF_YEAR)))
-    times["build_bridge_cast_crew"] = _timed(lambda: write(
-        "bridge_cast_crew", M.bridge_cast_crew_from_raw(wh.raw["title_principals"], titles, people)))
+    times["build_fact_ratings"] = _measure(lambda: write(
+        "fact_ratings", M.fact_ratings(wh.staging["stg_title_ratings"], titles, AS_OF_YEAR)), repeats)
+    times["build_bridge_cast_crew"] = _measure(lambda: write(
+        "bridge_cast_crew", M.bridge_cast_crew_from_raw(wh.raw["title_principals"], titles, people)), repeats)
     fact = spark.read.parquet(f"{marts_dir}/fact_ratings")
     bridge = spark.read.parquet(f"{marts_dir}/bridge_cast_crew")
 
@@ -70,10 +77,10 @@ def main() -> None:
     def store_staging(name, df):
         df.write.mode("overwrite").parquet(f"{scratch}/staging/{name}")
 
-    times["build_stg_title_principals"] = _timed(lambda: store_staging("stg_title_principals", S.stg_title_principals(
-        raw["title_principals"], raw["title_basics"], raw["name_basics"], hot_rows=DEFAULT_HOT_ROWS)))
-    times["build_stg_title_akas"] = _timed(lambda: store_staging("stg_title_akas", S.stg_title_akas(
-        raw["title_akas"], raw["title_basics"], hot_rows=DEFAULT_HOT_ROWS)))
+    times["build_stg_title_principals"] = _measure(lambda: store_staging("stg_title_principals", S.stg_title_principals(
+        raw["title_principals"], raw["title_basics"], raw["name_basics"], hot_rows=DEFAULT_HOT_ROWS)), repeats)
+    times["build_stg_title_akas"] = _measure(lambda: store_staging("stg_title_akas", S.stg_title_akas(
+        raw["title_akas"], raw["title_basics"], hot_rows=DEFAULT_HOT_ROWS)), repeats)
     principals = spark.read.parquet(f"{scratch}/staging/stg_title_principals")
     akas = spark.read.parquet(f"{scratch}/staging/stg_title_akas")
 
@@ -107,9 +114,7 @@ def main() -> None:
         "quality_report": lambda: Q.quality_report(relations, as_of_year=AS_OF_YEAR),
     }
     for name, make in headline.items():
-        make().collect()  # warm-up
-        runs = [_timed(lambda: make().collect()) for _ in range(repeats)]
-        times[name] = statistics.median(runs)
+        times[name] = _measure(lambda: make().collect(), repeats)
 
     sf_match = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

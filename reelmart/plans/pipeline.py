@@ -33,6 +33,27 @@ MART_SORT_KEYS = {
 }
 
 
+class LazyTables(dict):
+    """Name -> DataFrame, where a value may be a zero-argument builder run on first access.
+
+    Building the bridge runs a small hot-key detection job, so it is deferred
+    until someone asks for the bridge; all other tables are plain lazy DataFrames.
+    """
+
+    def __getitem__(self, name: str) -> DataFrame:
+        value = super().__getitem__(name)
+        if callable(value) and not isinstance(value, DataFrame):
+            value = value()
+            super().__setitem__(name, value)
+        return value
+
+    def items(self):
+        return [(k, self[k]) for k in self.keys()]
+
+    def values(self):
+        return [self[k] for k in self.keys()]
+
+
 @dataclass
 class Warehouse:
     raw: dict[str, DataFrame]
@@ -43,9 +64,9 @@ class Warehouse:
 
     def relations(self) -> dict[str, DataFrame]:
         """Every relation by name: ``raw_<table>``, staging views and marts."""
-        out = {f"raw_{name}": df for name, df in self.raw.items()}
+        out = LazyTables({f"raw_{name}": df for name, df in self.raw.items()})
         out.update(self.staging)
-        out.update(self.marts)
+        out.update(dict.items(self.marts))  # keep deferred builders deferred
         return out
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -66,24 +87,46 @@ def build_staging(raw: dict[str, DataFrame], hot_rows: int | None = None) -> dic
     }
 
 
+# The large, row-heavy sources: every credit and every alternative title.
+LARGE_SOURCES = ("title_principals", "title_akas")
+
+
+def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over all cores when its scan yields fewer tasks than cores.
+
+    A large source stored as one file with one row group is read by a single
+    task, and all the narrow work before its first shuffle (typing, filters,
+    broadcast joins, the write) would run on one core. A cluster-sized input
+    already splits into many tasks and is returned unchanged. The repartition
+    sorts before distributing, so a retried task rebuilds the same partitions.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def build(raw: dict[str, DataFrame], as_of_year: int | None = None,
           hot_rows: int | None = DEFAULT_HOT_ROWS, fuse_bridge: bool = True) -> Warehouse:
     """Lazy warehouse over the given raw tables.
 
     With ``fuse_bridge`` the bridge joins the raw credits straight to the
     dimensions (two shuffles instead of four; see ``bridge_cast_crew_from_raw``).
+    The large sources are spread over all cores if their files split into too
+    few scan tasks (``spread_if_underpartitioned``).
     """
+    raw = {name: spread_if_underpartitioned(df) if name in LARGE_SOURCES else df for name, df in raw.items()}
     stg = build_staging(raw)
     titles = M.dim_titles(stg["stg_title_basics"], as_of_year)
     people = M.dim_people(stg["stg_name_basics"], as_of_year)
     fact = M.fact_ratings(stg["stg_title_ratings"], titles, as_of_year)
     if fuse_bridge:
-        bridge = M.bridge_cast_crew_from_raw(raw["title_principals"], titles, people, hot_rows=hot_rows)
+        def bridge() -> DataFrame:
+            return M.bridge_cast_crew_from_raw(raw["title_principals"], titles, people, hot_rows=hot_rows)
     else:
-        bridge = M.bridge_cast_crew(stg["stg_title_principals"], titles, people, hot_rows=hot_rows)
+        def bridge() -> DataFrame:
+            return M.bridge_cast_crew(stg["stg_title_principals"], titles, people, hot_rows=hot_rows)
     return Warehouse(raw=raw, staging=stg,
-                     marts={"dim_titles": titles, "dim_people": people, "fact_ratings": fact,
-                            "bridge_cast_crew": bridge},
+                     marts=LazyTables({"dim_titles": titles, "dim_people": people, "fact_ratings": fact,
+                                       "bridge_cast_crew": bridge}),
                      as_of_year=as_of_year, hot_rows=hot_rows)
 
 
