@@ -85,3 +85,25 @@ def test_mart_joins_do_not_fan_out(spark):
     assert wh["bridge_cast_crew"].count() == wh.staging["stg_title_principals"].count()
     assert wh["dim_titles"].select("title_id").distinct().count() == wh["dim_titles"].count()
     assert wh["dim_people"].select("person_id").distinct().count() == wh["dim_people"].count()
+
+
+def _hash_exchanges(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_fused_bridge_shuffles_credits_twice(spark):
+    """Static plan (no broadcast, no AQE): the fused bridge has 4 hash exchanges, the staged one 8."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        wh = build_from_driver_tables(spark, SF, as_of_year=2024, hot_rows=None)
+        fused = wh["bridge_cast_crew"]
+        staged = M.bridge_cast_crew(wh.staging["stg_title_principals"], wh["dim_titles"], wh["dim_people"],
+                                    hot_rows=None)
+        assert _hash_exchanges(fused) == 4
+        assert _hash_exchanges(staged) == 8
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
