@@ -100,8 +100,12 @@ def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
     already splits into many tasks and is returned unchanged. The repartition
     sorts before distributing, so a retried task rebuilds the same partitions.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        scan_tasks = df.rdd.getNumPartitions()  # planning only: no job runs
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session exposes neither
+        return df
+    return df.repartition(cores) if scan_tasks < cores else df
 
 
 def build(raw: dict[str, DataFrame], as_of_year: int | None = None,

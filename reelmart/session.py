@@ -43,7 +43,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
     (local runs and tests) a scratch folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the SQL conf is visible
+        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="reelmart-ckpt-")
+        return root.rstrip("/")
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="reelmart-ckpt-")
