@@ -8,6 +8,8 @@
   that declare one; ``load_raw`` refuses to publish a table that has any.
 * ``load_audit``: (table_name, row_count, has_data) per raw table.
 * ``load_if_empty``: load only when the raw title table is absent or empty.
+* ``load_append``: the incremental test load: all files must exist; rows are
+  appended and counted (see also the exactly-once ``streaming.landing``).
 
 Row counts are distributed aggregates; only the small audit result reaches
 the driver.
@@ -117,6 +119,25 @@ def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "
     return out
 
 
+def load_append(spark: SparkSession, landing_dir: str, raw_root: str) -> int:
+    """Append every landing file to the raw tables and return the number of rows appended.
+
+    All five files must exist before anything is loaded (``LoadFailedError``
+    otherwise); a file that fails to load counts as 0 rows and the others still load.
+    """
+    missing = [f for f in SOURCE_FILES if not path_exists(spark, f"{landing_dir.rstrip('/')}/{f}")]
+    if missing:
+        raise LoadFailedError(f"Missing landing files: {', '.join(missing)}")
+    before = {t: _rows_or_zero(spark, f"{raw_root.rstrip('/')}/{t}") for t in SOURCE_FILES.values()}
+    results = load_raw(spark, landing_dir, raw_root, mode="append")
+    return sum(_rows_or_zero(spark, f"{raw_root.rstrip('/')}/{r.table}") - before[r.table]
+               for r in results if r.loaded)
+
+
+def _rows_or_zero(spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(path).count() if path_exists(spark, path) else 0
+
+
 def require_all_loaded(results: list[LoadResult]) -> None:
     failed = [r.file_name for r in results if not r.loaded]
     if failed:

@@ -114,3 +114,25 @@ def test_round_trip_property(spark, tmp_dir):
         assert sorted(back.collect(), key=repr) == sorted(df.collect(), key=repr)
 
     check()
+
+
+def test_load_append_requires_all_files_and_counts_rows(spark, tmp_dir):
+    from reelmart.constants import SOURCE_FILES, RAW_COLUMNS
+    from reelmart.sources.ingest import LoadFailedError, load_append
+
+    landing = f"{tmp_dir}/landing"
+    os.makedirs(landing)
+    for i, (file_name, table) in enumerate(SOURCE_FILES.items()):
+        if i == 4:
+            break
+        with open(f"{landing}/{file_name}", "w") as fh:
+            fh.write("\t".join(RAW_COLUMNS[table]) + "\n")
+            fh.write("\t".join([f"k{i}"] + ["x"] * (len(RAW_COLUMNS[table]) - 1)) + "\n")
+    with pytest.raises(LoadFailedError, match="Missing landing files"):
+        load_append(spark, landing, f"{tmp_dir}/raw")
+    file_name, table = list(SOURCE_FILES.items())[4]
+    with open(f"{landing}/{file_name}", "w") as fh:
+        fh.write("\t".join(RAW_COLUMNS[table]) + "\n")
+        fh.write("\t".join(["nm1"] + ["x"] * (len(RAW_COLUMNS[table]) - 1)) + "\n")
+        fh.write("short\trow\n")  # this file fails: counts 0 rows
+    assert load_append(spark, landing, f"{tmp_dir}/raw") == 4
