@@ -114,6 +114,19 @@ def _tsv_round_trip(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _stream_append(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Land a raw table as COPY-text files, append them with the exactly-once stream, read the result."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from reelmart.streaming.landing import append_new_landing_files
+
+        root = scratch_path(spark, f"stream-{table}")
+        write_copy_text(raw_sources(spark, sf_dir)[table], f"{root}/landing", table)
+        append_new_landing_files(spark, f"{root}/landing", table, f"{root}/raw", f"{root}/checkpoint",
+                                 file_glob="part-*")
+        return spark.read.parquet(f"{root}/raw")
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: movie production trend by decade (Q2) on sf0.001."""
     return queries()["production_trends"](spark, FLAGSHIP_SF_DIR)
@@ -173,6 +186,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_key_violations": _raw_key_violations,
         "tsv_round_trip": _tsv_round_trip("name_basics"),
         "tsv_round_trip_credits": _tsv_round_trip("title_principals"),
+        "stream_append_ratings": _stream_append("title_ratings"),
     }
 
 

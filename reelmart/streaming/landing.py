@@ -25,9 +25,13 @@ def landing_glob(table: str) -> str:
 
 def append_new_landing_files(spark: SparkSession, landing_dir: str, table: str, raw_path: str,
                              checkpoint_path: str, wait: bool = True,
-                             max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Parse every landing file of ``table`` not seen before and append it to ``raw_path`` (Parquet)."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", landing_glob(table))
+                             max_files_per_trigger: int | None = None,
+                             file_glob: str | None = None) -> StreamingQuery:
+    """Parse every landing file of ``table`` not seen before and append it to ``raw_path`` (Parquet).
+
+    ``file_glob`` overrides the file-name filter (default: the table's landing-file names).
+    """
+    reader = spark.readStream.format("text").option("pathGlobFilter", file_glob or landing_glob(table))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     rows = parse_copy_lines(reader.load(landing_dir), table)
