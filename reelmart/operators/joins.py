@@ -17,9 +17,11 @@ plain shuffle join would send all of them to one task.
    cost at all.
 3. Otherwise rows of a hot key get a salt in ``[0, n)`` from a hash of the row,
    with ``n = ceil(rows / hot_rows)`` (capped at ``max_salts``); every other row
-   gets salt 0. The unique side is replicated ``n`` times for hot keys only (at
-   most ``max_hot_keys * max_salts`` extra rows) and the join runs on
-   ``(key, salt)``. Each row still meets its single partner, so the result is
+   gets salt 0. The unique side is replicated ``n`` times for hot keys only and
+   the join runs on ``(key, salt)``. The replicas total at most
+   ``rows / hot_rows + max_hot_keys``, so they stay small however large the
+   data: a key holding a third of 57 billion credits gets 4096 buckets of about
+   4.6 million rows, and its one partner row is copied 4096 times. Each row still meets its single partner, so the result is
    exactly the plain join; keys beyond the list go through the ordinary path.
 
 Adaptive execution's skew-join splitting stays on as a second line of defence,
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 1_000_000   # rows of one key that one task should not exceed
 MAX_HOT_KEYS = 10_000          # bound on the broadcast hot-key list
-MAX_SALTS = 256                # bound on replicas of one hot key's partner row
+MAX_SALTS = 4096               # bound on buckets (and partner-row replicas) of one hot key
 
 _SALTS = "_salts"
 _SALT = "_salt"
