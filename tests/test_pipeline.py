@@ -107,3 +107,34 @@ def test_fused_bridge_shuffles_credits_twice(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+WRITES_ON_PURPOSE = {"tsv_round_trip", "tsv_round_trip_credits", "stream_append_ratings"}
+
+
+def test_registered_queries_are_lazy(spark):
+    """Building a registered query's DataFrame runs no data job.
+
+    The only jobs allowed are Spark's own Parquet schema inference when a table is
+    opened (one tiny footer-reading job per read) and, for the bridge, its bounded
+    hot-key detection, which must finish before the joins are planned. The landing
+    round trips, which write on purpose, are skipped.
+    """
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    eager = {}
+    for name, fn in E.queries().items():
+        if name in WRITES_ON_PURPOSE:
+            continue
+        group = f"lazy-{name}"
+        sc.setJobGroup(group, group)
+        fn(spark, SF)
+        for job_id in tracker.getJobIdsForGroup(group):
+            info = tracker.getJobInfo(job_id)
+            names = [tracker.getStageInfo(sid).name for sid in (info.stageIds if info else [])
+                     if tracker.getStageInfo(sid)]
+            allowed = ("parquet at",) + (("collect at",) if name == "bridge_cast_crew" else ())
+            if any(not n.startswith(allowed) for n in names):
+                eager.setdefault(name, []).extend(names)
+    sc.setJobGroup("after-lazy-check", "after-lazy-check")
+    assert eager == {}
