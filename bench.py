@@ -23,7 +23,7 @@ from reelmart.operators import staging as S  # noqa: E402
 from reelmart.operators.joins import DEFAULT_HOT_ROWS  # noqa: E402
 from reelmart.plans import analytics as A  # noqa: E402
 from reelmart.plans import charts as C  # noqa: E402
-from reelmart.plans.pipeline import MART_SORT_KEYS, build_from_driver_tables, write_mart  # noqa: E402
+from reelmart.plans.pipeline import build_from_driver_tables, store_mart  # noqa: E402
 from reelmart.session import get_session, scratch_path  # noqa: E402
 
 AS_OF_YEAR = 2024
@@ -57,12 +57,11 @@ def main() -> None:
 
     # 1. materialise the marts (each mart built once, from the stored dimensions)
     def write(name, df):
-        write_mart(df, f"{marts_dir}/{name}", MART_SORT_KEYS[name])
-        return spark.read.parquet(f"{marts_dir}/{name}")
+        return store_mart(spark, name, df, f"{marts_dir}/{name}")
 
     times["build_dim_titles"] = _measure(lambda: write("dim_titles", wh["dim_titles"]), repeats)
     times["build_dim_people"] = _measure(lambda: write("dim_people", wh["dim_people"]), repeats)
-    titles = spark.read.parquet(f"{marts_dir}/dim_titles")
+    titles = spark.read.parquet(f"{marts_dir}/dim_titles").select(*wh["dim_titles"].columns)
     people = spark.read.parquet(f"{marts_dir}/dim_people")
     times["build_fact_ratings"] = _measure(lambda: write(
         "fact_ratings", M.fact_ratings(wh.staging["stg_title_ratings"], titles, AS_OF_YEAR)), repeats)

@@ -139,14 +139,32 @@ def build_from_driver_tables(spark: SparkSession, sf_dir: str, as_of_year: int |
     return build(raw_sources(spark, sf_dir), as_of_year=as_of_year, hot_rows=hot_rows)
 
 
-def write_mart(df: DataFrame, path: str, sort_keys: list[str] | None = None) -> None:
+# Directory partitioning per mart: most title-level questions filter on
+# content_category (mostly 'Movie'), so dim_titles is split by it and those
+# scans read one directory (PartitionFilters in the plan) instead of all titles.
+MART_PARTITIONS = {
+    "dim_titles": ["content_category"],
+}
+
+
+def write_mart(df: DataFrame, path: str, sort_keys: list[str] | None = None,
+               partition_by: list[str] | None = None) -> None:
     """Overwrite ``path`` with ``df`` as Parquet, rows clustered by ``sort_keys`` within files."""
     out = df.sortWithinPartitions(*sort_keys) if sort_keys else df
-    out.write.mode("overwrite").parquet(path)
+    writer = out.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+
+
+def store_mart(spark: SparkSession, name: str, df: DataFrame, path: str) -> DataFrame:
+    """Write one mart with its layout (sort keys, directory partitioning) and read it back in column order."""
+    write_mart(df, path, MART_SORT_KEYS.get(name), MART_PARTITIONS.get(name))
+    return spark.read.parquet(path).select(*df.columns)
 
 
 def write_bucketed_mart(spark: SparkSession, df: DataFrame, path: str, table: str, buckets: int,
-                        sort_keys: list[str]) -> DataFrame:
+                        sort_keys: list[str], partition_by: list[str] | None = None) -> DataFrame:
     """Store ``df`` at ``path`` as an external catalog table bucketed and sorted by its join key.
 
     Marts bucketed on the same key with the same bucket count join without a
@@ -154,10 +172,12 @@ def write_bucketed_mart(spark: SparkSession, df: DataFrame, path: str, table: st
     sort-merge join with no Exchange), which removes the per-query shuffle of
     ``fact_ratings`` and ``dim_titles`` from every title-level question.
     """
-    (df.write.mode("overwrite").format("parquet")
-       .bucketBy(buckets, sort_keys[0]).sortBy(*sort_keys)
+    writer = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    (writer.bucketBy(buckets, sort_keys[0]).sortBy(*sort_keys)
        .option("path", path).saveAsTable(table))
-    return spark.table(table)
+    return spark.table(table).select(*df.columns)
 
 
 def materialize(spark: SparkSession, wh: Warehouse, root: str | None = None,
@@ -179,9 +199,9 @@ def materialize(spark: SparkSession, wh: Warehouse, root: str | None = None,
     def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{root}/{name}"
         if buckets:
-            return write_bucketed_mart(spark, df, path, f"{database}.{name}", buckets, MART_SORT_KEYS[name])
-        write_mart(df, path, MART_SORT_KEYS[name])
-        return spark.read.parquet(path)
+            return write_bucketed_mart(spark, df, path, f"{database}.{name}", buckets, MART_SORT_KEYS[name],
+                                       MART_PARTITIONS.get(name))
+        return store_mart(spark, name, df, path)
 
     out: dict[str, DataFrame] = {}
     for name in ("dim_titles", "dim_people"):
