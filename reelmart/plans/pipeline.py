@@ -10,6 +10,7 @@ without recomputing the joins).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -182,14 +183,15 @@ def write_bucketed_mart(spark: SparkSession, df: DataFrame, path: str, table: st
 
 def materialize(spark: SparkSession, wh: Warehouse, root: str | None = None,
                 names: list[str] | None = None, buckets: int | None = None,
-                database: str = "reelmart") -> dict[str, DataFrame]:
+                database: str = "reelmart", parallel: int = 2) -> dict[str, DataFrame]:
     """Write marts under ``root`` (default: a fresh folder in the checkpoint dir) and read them back.
 
     Dimensions are written first and read back before the fact and bridge are
     built from them, so each mart is computed once. With ``buckets`` the marts
     become external tables in ``database``: titles, ratings and credits bucketed
     by ``title_id`` and people by ``person_id``, all with the same bucket count,
-    so joins on those keys need no shuffle.
+    so joins on those keys need no shuffle. ``parallel`` independent marts are
+    written at once (the counterpart of running independent models on threads).
     """
     root = (root or scratch_path(spark, "marts")).rstrip("/")
     names = names or MART_NAMES
@@ -204,26 +206,37 @@ def materialize(spark: SparkSession, wh: Warehouse, root: str | None = None,
         return store_mart(spark, name, df, path)
 
     out: dict[str, DataFrame] = {}
-    for name in ("dim_titles", "dim_people"):
-        if name in names or any(n in names for n in ("fact_ratings", "bridge_cast_crew")):
-            out[name] = store(name, wh.marts[name])
-    titles, people = out["dim_titles"], out["dim_people"]
-    if "fact_ratings" in names:
-        out["fact_ratings"] = store("fact_ratings",
-                                    M.fact_ratings(wh.staging["stg_title_ratings"], titles, wh.as_of_year))
-    if "bridge_cast_crew" in names:
-        out["bridge_cast_crew"] = store("bridge_cast_crew", M.bridge_cast_crew_from_raw(
-            wh.raw["title_principals"], titles, people, hot_rows=wh.hot_rows))
+    # Two waves of independent writes, each submitted from driver threads so the
+    # jobs run side by side on the cluster: the dimensions, then fact and bridge
+    # (which read the stored dimensions).
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        dims = {name: pool.submit(store, name, wh.marts[name]) for name in ("dim_titles", "dim_people")}
+        out.update({name: f.result() for name, f in dims.items()})
+        titles, people = out["dim_titles"], out["dim_people"]
+        later = {}
+        if "fact_ratings" in names:
+            later["fact_ratings"] = pool.submit(
+                lambda: store("fact_ratings", M.fact_ratings(wh.staging["stg_title_ratings"], titles,
+                                                             wh.as_of_year)))
+        if "bridge_cast_crew" in names:
+            later["bridge_cast_crew"] = pool.submit(
+                lambda: store("bridge_cast_crew", M.bridge_cast_crew_from_raw(
+                    wh.raw["title_principals"], titles, people, hot_rows=wh.hot_rows)))
+        out.update({name: f.result() for name, f in later.items()})
     return {n: out[n] for n in names}
 
 
-def materialize_staging(spark: SparkSession, wh: Warehouse, root: str, names: list[str]) -> dict[str, DataFrame]:
-    """Write the named staging views as Parquet under ``root`` and read them back."""
-    out = {}
-    for name in names:
-        wh.staging[name].write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
-        out[name] = spark.read.parquet(f"{root.rstrip('/')}/{name}")
-    return out
+def materialize_staging(spark: SparkSession, wh: Warehouse, root: str, names: list[str],
+                        parallel: int = 2) -> dict[str, DataFrame]:
+    """Write the named staging views as Parquet under ``root`` (``parallel`` at a time) and read them back."""
+    def store(name: str) -> DataFrame:
+        path = f"{root.rstrip('/')}/{name}"
+        wh.staging[name].write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {name: pool.submit(store, name) for name in names}
+        return {name: f.result() for name, f in futures.items()}
 
 
 def export_csv(df: DataFrame, path: str) -> None:
