@@ -8,6 +8,7 @@
   that declare one; ``load_raw`` refuses to publish a table that has any.
 * ``load_audit``: (table_name, row_count, has_data) per raw table.
 * ``load_if_empty``: load only when the raw title table is absent or empty.
+* ``reset_raw``: drop and recreate the raw tables empty, with their declared schemas.
 * ``load_append``: the incremental test load: all files must exist; rows are
   appended and counted (see also the exactly-once ``streaming.landing``).
 
@@ -150,6 +151,14 @@ def read_raw(spark: SparkSession, raw_root: str) -> dict[str, DataFrame]:
             if path_exists(spark, f"{raw_root.rstrip('/')}/{table}")}
 
 
+def reset_raw(spark: SparkSession, raw_root: str) -> None:
+    """Replace every raw table with an empty one of its declared all-text schema."""
+    from reelmart.sources.catalog import raw_schema
+
+    for table in SOURCE_FILES.values():
+        spark.createDataFrame([], raw_schema(table)).write.mode("overwrite").parquet(f"{raw_root.rstrip('/')}/{table}")
+
+
 def raw_is_empty(spark: SparkSession, raw_root: str, table: str = "title_basics") -> bool:
     path = f"{raw_root.rstrip('/')}/{table}"
     return not path_exists(spark, path) or spark.read.parquet(path).isEmpty()

@@ -136,3 +136,22 @@ def test_load_append_requires_all_files_and_counts_rows(spark, tmp_dir):
         fh.write("\t".join(["nm1"] + ["x"] * (len(RAW_COLUMNS[table]) - 1)) + "\n")
         fh.write("short\trow\n")  # this file fails: counts 0 rows
     assert load_append(spark, landing, f"{tmp_dir}/raw") == 4
+
+
+def test_reset_raw_then_load_if_empty_reloads(spark, tmp_dir):
+    from reelmart.sources.ingest import load_if_empty, reset_raw
+
+    landing = f"{tmp_dir}/landing"
+    os.makedirs(landing)
+    with open(f"{landing}/title.basics.tsv", "w") as fh:
+        fh.write("tconst\ttitleType\tprimaryTitle\toriginalTitle\tisAdult\tstartYear\tendYear\truntimeMinutes\tgenres\n")
+        fh.write("tt1\tmovie\tA\tA\t0\t2000\t\\N\t90\tDrama\n")
+    raw = f"{tmp_dir}/raw"
+    assert load_if_empty(spark, landing, raw) is not None      # absent: loads
+    assert load_if_empty(spark, landing, raw) is None          # present: skipped
+    reset_raw(spark, raw)
+    assert spark.read.parquet(f"{raw}/title_basics").count() == 0
+    assert spark.read.parquet(f"{raw}/name_basics").columns == ["nconst", "primaryname", "birthyear", "deathyear",
+                                                                  "primaryprofession", "knownfortitles"]
+    assert load_if_empty(spark, landing, raw) is not None      # empty again: reloads
+    assert spark.read.parquet(f"{raw}/title_basics").count() == 1
