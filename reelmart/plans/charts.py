@@ -103,20 +103,31 @@ def mart_row_counts(titles: DataFrame, people: DataFrame, fact: DataFrame) -> Da
     return one(titles, "dim_titles").unionByName(one(people, "dim_people")).unionByName(one(fact, "fact_ratings"))
 
 
-def dashboard_datasets(titles: DataFrame, people: DataFrame, fact: DataFrame,
-                       check_empty: bool = True) -> dict[str, DataFrame]:
-    """All chart datasets; the decade and quality-points charts must not be empty."""
-    out = {
-        "movies_by_decade": chart_movies_by_decade(titles, fact),
-        "genre_popularity": chart_genre_popularity(titles, fact),
-        "quality_points": chart_quality_points(titles, fact),
-        "runtime_groups": chart_runtime_groups(titles),
-        "people_roles": chart_people_roles(people),
+def dashboard_datasets(titles: DataFrame, people: DataFrame, fact: DataFrame
+                       ) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """All chart datasets and the errors of those that failed.
+
+    As in the dashboard being rebuilt, one failing chart does not stop the
+    others: the decade and quality-points charts fail when empty, their error
+    is recorded, and only when no chart succeeds is that an error.
+    """
+    builders = {
+        "movies_by_decade": lambda: require_rows(chart_movies_by_decade(titles, fact), "movies by decade"),
+        "genre_popularity": lambda: chart_genre_popularity(titles, fact),
+        "quality_points": lambda: require_rows(chart_quality_points(titles, fact), "quality vs popularity"),
+        "runtime_groups": lambda: chart_runtime_groups(titles),
+        "people_roles": lambda: chart_people_roles(people),
     }
-    if check_empty:
-        require_rows(out["movies_by_decade"], "movies by decade")
-        require_rows(out["quality_points"], "quality vs popularity points")
-    return out
+    datasets: dict[str, DataFrame] = {}
+    errors: dict[str, str] = {}
+    for name, make in builders.items():
+        try:
+            datasets[name] = make()
+        except Exception as exc:  # noqa: BLE001 - a failed chart is reported, the rest still build
+            errors[name] = f"{type(exc).__name__}: {exc}"
+    if not datasets:
+        raise EmptyResultError(f"No chart datasets were created: {errors}")
+    return datasets, errors
 
 
 __all__ = [
