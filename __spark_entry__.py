@@ -29,6 +29,7 @@ from reelmart.session import scratch_path  # noqa: E402
 from reelmart.sources import ingest as I  # noqa: E402
 from reelmart.sources.synthetic import raw_sources  # noqa: E402
 from reelmart.sources.tsv import read_copy_text, write_copy_text  # noqa: E402
+from reelmart.streaming.landing import append_new_landing_files  # noqa: E402
 
 AS_OF_YEAR = 2024
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
@@ -117,8 +118,6 @@ def _tsv_round_trip(table: str) -> Callable[[SparkSession, str], DataFrame]:
 def _stream_append(table: str) -> Callable[[SparkSession, str], DataFrame]:
     """Land a raw table as COPY-text files, append them with the exactly-once stream, read the result."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from reelmart.streaming.landing import append_new_landing_files
-
         root = scratch_path(spark, f"stream-{table}")
         write_copy_text(raw_sources(spark, sf_dir)[table], f"{root}/landing", table)
         append_new_landing_files(spark, f"{root}/landing", table, f"{root}/raw", f"{root}/checkpoint",
