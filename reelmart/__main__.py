@@ -3,6 +3,7 @@
 ``run`` loads the landing files if the raw layer is empty, builds and stores
 the marts, writes the quality report and prints the row counts; it exits with
 status 1 when an error-severity check fails (``--no-fail`` to report only).
+``--export DIR`` also writes the twelve question results as CSV files.
 ``report`` prints the stored quality report of a previous run.
 """
 
@@ -25,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     p_run.add_argument("--as-of-year", type=int, default=None)
     p_run.add_argument("--buckets", type=int, default=None)
     p_run.add_argument("--no-fail", action="store_true")
+    p_run.add_argument("--export", default=None, help="folder for the 12 query results as CSV")
     p_rep = sub.add_parser("report", help="show the stored quality report")
     p_rep.add_argument("--root", required=True)
     args = parser.parse_args(argv)
@@ -36,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     try:
         result = run(spark, args.landing, args.root, as_of_year=args.as_of_year,
-                     fail_on_error=not args.no_fail, buckets=args.buckets)
+                     fail_on_error=not args.no_fail, buckets=args.buckets, export_dir=args.export)
     except (QualityGateError, LoadFailedError) as exc:
         print(f"FAILED: {exc}", file=sys.stderr)
         return 1

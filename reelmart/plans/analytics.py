@@ -228,3 +228,21 @@ def executive_metrics(titles: DataFrame, people: DataFrame, fact: DataFrame) ->
             .unionByName(stacked(people, [
                 ("People Database", "Total People", F.count(F.lit(1))),
                 ("People Database", "Active Directors", count_when(F.col("is_director")))])))
+
+
+def all_queries(titles: DataFrame, people: DataFrame, fact: DataFrame) -> dict[str, DataFrame]:
+    """The twelve questions with their reference parameters, keyed by name."""
+    return {
+        "top_rated_movies": top_rated_movies(fact, titles),
+        "production_trends": production_trends(titles, fact),
+        "genre_popularity": genre_popularity(titles, fact),
+        "professions_by_generation": professions_by_generation(people),
+        "career_longevity": career_longevity(people),
+        "quality_quadrants": quality_quadrants(fact, titles),
+        "runtime_evolution": runtime_evolution(titles, fact),
+        "adult_vs_general": adult_vs_general(titles, fact),
+        "long_running_series": long_running_series(titles, fact),
+        "recent_vs_classic": recent_vs_classic(titles, fact),
+        "data_completeness": data_completeness(titles, people, fact),
+        "executive_metrics": executive_metrics(titles, people, fact),
+    }

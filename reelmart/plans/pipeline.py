@@ -244,6 +244,15 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def export_results(results: dict[str, DataFrame], out_dir: str, parallel: int = 4) -> list[str]:
+    """Write each (small) query result as CSV with a header under ``out_dir/<name>``; returns the paths."""
+    paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in results}
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(export_csv, df, paths[name]) for name, df in results.items()]:
+            f.result()
+    return list(paths.values())
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) for each table: one count job per table, unioned."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
@@ -264,17 +273,23 @@ class RunResult:
     marts: dict[str, DataFrame]
     report: DataFrame
     counts: DataFrame
+    exported: list[str] | None = None
 
 
 def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None = None,
-        fail_on_error: bool = True, buckets: int | None = None) -> RunResult:
+        fail_on_error: bool = True, buckets: int | None = None, export_dir: str | None = None) -> RunResult:
     """Load (only if the raw layer is empty), build, store and check the warehouse under ``root``.
 
     ``root`` should be on shared storage (a cluster's ``spark.checkpoint.dir``
     or a warehouse bucket); ``root/raw``, ``root/marts`` and
     ``root/quality_report`` are written. Unlike the reference's runner, failing
     error-severity checks stop the run (``fail_on_error``). ``buckets`` stores the
-    marts co-bucketed on their join keys (see ``materialize``).
+    marts co-bucketed on their join keys (see ``materialize``); ``export_dir``
+    also writes the twelve question results as CSV.
+
+    Stored tables are rewritten in place: DataFrames returned by an earlier run
+    over the same ``root`` list files that a later run replaces, so use the
+    latest run's result.
     """
     from reelmart.operators.quality import failed_checks, quality_report
     from reelmart.sources.ingest import load_if_empty, read_raw, require_all_loaded
@@ -303,4 +318,10 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
         names = [r.check_id for r in failed_checks(report).select("check_id").limit(20).collect()]
         raise QualityGateError(f"error-severity checks failed: {', '.join(names)}")
     counts = row_counts({k: marts[k] for k in ("dim_titles", "dim_people", "fact_ratings")})
-    return RunResult(load=load, marts=marts, report=report, counts=counts)
+    exported = None
+    if export_dir:
+        from reelmart.plans.analytics import all_queries
+
+        results = all_queries(marts["dim_titles"], marts["dim_people"], marts["fact_ratings"])
+        exported = export_results(results, export_dir)
+    return RunResult(load=load, marts=marts, report=report, counts=counts, exported=exported)

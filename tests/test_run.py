@@ -40,6 +40,12 @@ def test_run_end_to_end(spark, tmp_dir):
     export_csv(result.counts, f"{tmp_dir}/counts_csv")
     back = spark.read.option("header", True).csv(f"{tmp_dir}/counts_csv")
     assert back.columns == ["table_name", "row_count"] and back.count() == 3
+    # a later run rewrites the marts: DataFrames of the earlier run must not be used after it
+    exported = run(spark, landing, f"{tmp_dir}/wh", as_of_year=2024, fail_on_error=False,
+                   export_dir=f"{tmp_dir}/exports").exported
+    assert len(exported) == 12
+    trends = spark.read.option("header", True).csv(f"{tmp_dir}/exports/production_trends")
+    assert trends.columns[:2] == ["decade", "movie_count"] and trends.count() > 0
 
 
 def test_cli_run_and_report(spark, tmp_dir, capsys):
