@@ -28,11 +28,24 @@ def _movies(titles: DataFrame, *cols: str) -> DataFrame:
     return titles.filter(F.col("content_category") == MOVIE).select("title_id", *cols)
 
 
+def _facts_of(fact: DataFrame, category: str) -> DataFrame:
+    """Ratings of titles in ``category``, selected on the fact side.
+
+    ``fact_ratings.content_category`` is copied from ``dim_titles`` for the same
+    ``title_id``, so "dimension row is a movie" and "fact row is a movie" agree
+    on every joined pair. Repeating the dimension's filter on the fact side is
+    therefore exact for inner joins and for dimension-preserving left joins. It
+    lets both scans prune (both marts are stored partitioned by the category)
+    and shrinks the fact side of the join.
+    """
+    return fact.filter(F.col("content_category") == category)
+
+
 def _genre_rows(titles: DataFrame, fact: DataFrame) -> DataFrame:
     """(genre, average_rating, num_votes) per genre piece of each rated movie."""
     t = titles.filter(F.col("genres_raw").isNotNull() & (F.col("content_category") == MOVIE)) \
         .select("title_id", "genres_raw")
-    f = fact.filter(F.col("num_votes").isNotNull()).select("title_id", "average_rating", "num_votes")
+    f = _facts_of(fact, MOVIE).filter(F.col("num_votes").isNotNull()).select("title_id", "average_rating", "num_votes")
     pieces = F.split(F.when(F.col("genres_raw") != "", F.col("genres_raw")), ",", -1)
     return (t.join(f, "title_id")
             .select(F.explode(pieces).alias("piece"), "average_rating", "num_votes")
@@ -50,7 +63,7 @@ def _genre_stats(titles: DataFrame, fact: DataFrame, min_titles: int) -> DataFra
 
 # Q1
 def top_rated_movies(fact: DataFrame, titles: DataFrame, min_rating: float = 8.0, limit: int = 20) -> DataFrame:
-    f = fact.filter(F.col("is_statistically_significant") & (F.col("average_rating") >= min_rating)) \
+    f = _facts_of(fact, MOVIE).filter(F.col("is_statistically_significant") & (F.col("average_rating") >= min_rating)) \
         .select("title_id", "average_rating", "num_votes", "success_category")
     t = _movies(titles.filter(F.col("decade").isNotNull()), "decade", "primary_title", "runtime_category")
     return (f.join(t, "title_id")
@@ -64,7 +77,7 @@ def top_rated_movies(fact: DataFrame, titles: DataFrame, min_rating: float = 8.0
 # Q2
 def production_trends(titles: DataFrame, fact: DataFrame, min_decade: int = 1920) -> DataFrame:
     t = _movies(titles.filter(F.col("decade") >= min_decade), "decade", "runtime_minutes")
-    f = fact.select("title_id", "average_rating", "is_highly_rated_popular")
+    f = _facts_of(fact, MOVIE).select("title_id", "average_rating", "is_highly_rated_popular")
     return (t.join(f, "title_id", "left")
             .groupBy("decade")
             .agg(F.count(F.lit(1)).alias("movie_count"),
@@ -111,7 +124,7 @@ def career_longevity(people: DataFrame, min_span: int = 60, limit: int = 20) ->
 
 # Q6
 def quality_quadrants(fact: DataFrame, titles: DataFrame) -> DataFrame:
-    f = fact.select("title_id", "quality_popularity_quadrant", "average_rating", "num_votes")
+    f = _facts_of(fact, MOVIE).select("title_id", "quality_popularity_quadrant", "average_rating", "num_votes")
     rank = ladder([(F.col("quality_popularity_quadrant") == q, i + 1) for i, q in enumerate(K.QUADRANTS)])
     return (f.join(_movies(titles, "decade"), "title_id")
             .groupBy("quality_popularity_quadrant")
@@ -127,7 +140,7 @@ def runtime_evolution(titles: DataFrame, fact: DataFrame, min_decade: int = 1950
     t = _movies(titles.filter(F.col("decade").isNotNull() & F.col("runtime_minutes").isNotNull()
                               & (F.col("decade") >= min_decade)),
                 "decade", "runtime_category", "runtime_minutes")
-    f = fact.select("title_id", "average_rating")
+    f = _facts_of(fact, MOVIE).select("title_id", "average_rating")
     return (t.join(f, "title_id", "left")
             .groupBy("decade", "runtime_category")
             .agg(F.count(F.lit(1)).alias("movie_count"),
@@ -138,8 +151,8 @@ def runtime_evolution(titles: DataFrame, fact: DataFrame, min_decade: int = 1950
 
 # Q8
 def adult_vs_general(titles: DataFrame, fact: DataFrame) -> DataFrame:
-    f = fact.select("title_id", "average_rating", "num_votes", "is_statistically_significant",
-                    "success_category")
+    f = _facts_of(fact, MOVIE).select("title_id", "average_rating", "num_votes", "is_statistically_significant",
+                                      "success_category")
     return (_movies(titles, "content_rating_category").join(f, "title_id")
             .groupBy("content_rating_category")
             .agg(F.count(F.lit(1)).alias("title_count"),
@@ -155,7 +168,7 @@ def long_running_series(titles: DataFrame, fact: DataFrame, min_years: int = 10,
     t = titles.filter((F.col("content_category") == TV_SERIES) & dur.isNotNull() & (dur >= min_years)) \
         .select("title_id", "primary_title", "start_year", "end_year", "series_duration_years",
                 "is_ongoing_series")
-    f = fact.select("title_id", "average_rating", "num_votes")
+    f = _facts_of(fact, TV_SERIES).select("title_id", "average_rating", "num_votes")
     return (t.join(f, "title_id", "left")
             .orderBy(dur.desc_nulls_first(), F.col("average_rating").desc_nulls_first(),
                      F.col("title_id").asc_nulls_last())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reelmart import constants as K
 from reelmart.functions import count_when, exact_avg, ladder
-from reelmart.plans.analytics import MOVIE, TV_SERIES, _genre_stats, _movies
+from reelmart.plans.analytics import MOVIE, TV_SERIES, _facts_of, _genre_stats, _movies
 
 
 class EmptyResultError(ValueError):
@@ -28,7 +28,7 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 # D1
 def chart_movies_by_decade(titles: DataFrame, fact: DataFrame, first: int = 1920, last: int = 2020) -> DataFrame:
     t = _movies(titles.filter(F.col("decade").between(first, last)), "decade")
-    f = fact.select("title_id", "average_rating", "is_highly_rated_popular")
+    f = _facts_of(fact, MOVIE).select("title_id", "average_rating", "is_highly_rated_popular")
     return (t.join(f, "title_id", "left")
             .groupBy("decade")
             .agg(F.count(F.lit(1)).alias("movie_count"),
@@ -52,7 +52,7 @@ def chart_quality_points(titles: DataFrame, fact: DataFrame, min_votes: int = 10
                          last: int = 2020, limit: int = 2000) -> DataFrame:
     t = titles.filter((F.col("content_category") == MOVIE) & F.col("decade").between(first, last)) \
         .select("title_id", "primary_title", "decade", "content_category")
-    f = fact.filter(F.col("average_rating").isNotNull() & (F.col("num_votes") >= min_votes)) \
+    f = _facts_of(fact, MOVIE).filter(F.col("average_rating").isNotNull() & (F.col("num_votes") >= min_votes)) \
         .select("title_id", "average_rating", "num_votes", "success_category")
     return (t.join(f, "title_id")
             .orderBy(F.col("num_votes").desc_nulls_first(), F.col("title_id").asc_nulls_last())

@@ -141,10 +141,11 @@ def build_from_driver_tables(spark: SparkSession, sf_dir: str, as_of_year: int |
 
 
 # Directory partitioning per mart: most title-level questions filter on
-# content_category (mostly 'Movie'), so dim_titles is split by it and those
-# scans read one directory (PartitionFilters in the plan) instead of all titles.
+# content_category (mostly 'Movie'), so dim_titles and fact_ratings are split by
+# it and those scans read one directory (PartitionFilters in the plan).
 MART_PARTITIONS = {
     "dim_titles": ["content_category"],
+    "fact_ratings": ["content_category"],
 }
 
 
