@@ -73,8 +73,9 @@ def parse_copy_lines(lines: DataFrame, table: str, header: bool = True) -> DataF
     if header:
         # The header is the first line of each file: it sits in the file's first
         # split and matches the declared column list (compared case-blind).
+        # (a UTF-8 byte-order mark at the start of the file is ignored for this comparison)
         is_header = (F.col("_metadata.file_block_start") == 0) & (
-            F.lower(value) == F.lit(header_line(table).lower()))
+            F.lower(F.regexp_replace(value, "^\uFEFF", "")) == F.lit(header_line(table).lower()))
         lines = lines.filter(~is_header)
     fields = F.split(value, FIELD_SEPARATOR, -1)
     checked = F.when(
