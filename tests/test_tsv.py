@@ -160,7 +160,7 @@ def test_reset_raw_then_load_if_empty_reloads(spark, tmp_dir):
 def test_header_with_byte_order_mark_and_crlf(spark, tmp_dir):
     path = f"{tmp_dir}/title.ratings.tsv"
     with open(path, "w", encoding="utf-8", newline="") as fh:
-        fh.write("﻿tconst\taverageRating\tnumVotes\r\n")
+        fh.write("\ufefftconst\taverageRating\tnumVotes\r\n")
         fh.write("tt1\t7.5\t10\r\n")
     rows = read_copy_text(spark, path, "title_ratings").collect()
     assert [(r.tconst, r.averagerating, r.numvotes) for r in rows] == [("tt1", "7.5", "10")]
