@@ -18,6 +18,7 @@ the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,36 +89,42 @@ def read_landing(spark: SparkSession, landing_dir: str) -> tuple[dict[str, DataF
 
 
 def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "overwrite",
-             enforce_keys: bool = True) -> list[LoadResult]:
+             enforce_keys: bool = True, parallel: int = 2) -> list[LoadResult]:
     """Load every landing file into ``raw_root/<table>`` as Parquet.
 
-    Each table is written by one distributed job; a failure (bad field count,
-    key violation) marks that file failed and the loop goes on with the rest.
+    Each table is written by distributed jobs; ``parallel`` files are loaded at
+    once from driver threads (they are independent). A failure (bad field
+    count, key violation) marks that file failed; the other files still load.
     """
     tables, results = read_landing(spark, landing_dir)
-    out: list[LoadResult] = []
-    for res in results:
+
+    def load_one(res: LoadResult) -> LoadResult:
         if not res.loaded:
-            out.append(res)
-            continue
-        df = tables[res.table]
-        target = f"{raw_root.rstrip('/')}/{res.table}"
-        try:
-            if enforce_keys and res.table in RAW_KEYS:
-                # an appended row may also collide with a row already published
-                scope = df
-                if mode == "append" and path_exists(spark, target):
-                    scope = spark.read.parquet(target).select(*df.columns).unionByName(df)
-                bad = raw_key_violations({res.table: scope})
-                if not bad.isEmpty():
-                    raise KeyViolationError(f"{res.table}: primary key {RAW_KEYS[res.table]} is NULL or repeated")
-            df.write.mode(mode).parquet(target)
-            rows = spark.read.parquet(target).count()
-            out.append(LoadResult(res.file_name, res.table, rows > 0,
-                                  f"{rows} rows" if rows > 0 else f"No data found in {res.table} after load"))
-        except Exception as exc:  # noqa: BLE001 - one failed file must not stop the others
-            out.append(LoadResult(res.file_name, res.table, False, f"{type(exc).__name__}: {exc}"[:500]))
-    return out
+            return res
+        return _load_table(spark, tables[res.table], res, f"{raw_root.rstrip('/')}/{res.table}", mode,
+                           enforce_keys)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(load_one, results))
+
+
+def _load_table(spark: SparkSession, df: DataFrame, res: LoadResult, target: str, mode: str,
+                enforce_keys: bool) -> LoadResult:
+    """Check keys, write, count: one landing file into one raw table."""
+    try:
+        if enforce_keys and res.table in RAW_KEYS:
+            # an appended row may also collide with a row already published
+            scope = df
+            if mode == "append" and path_exists(spark, target):
+                scope = spark.read.parquet(target).select(*df.columns).unionByName(df)
+            if not raw_key_violations({res.table: scope}).isEmpty():
+                raise KeyViolationError(f"{res.table}: primary key {RAW_KEYS[res.table]} is NULL or repeated")
+        df.write.mode(mode).parquet(target)
+        rows = spark.read.parquet(target).count()
+        return LoadResult(res.file_name, res.table, rows > 0,
+                          f"{rows} rows" if rows > 0 else f"No data found in {res.table} after load")
+    except Exception as exc:  # noqa: BLE001 - one failed file must not stop the others
+        return LoadResult(res.file_name, res.table, False, f"{type(exc).__name__}: {exc}"[:500])
 
 
 def load_append(spark: SparkSession, landing_dir: str, raw_root: str) -> int:
