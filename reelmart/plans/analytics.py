@@ -63,6 +63,7 @@ def _genre_stats(titles: DataFrame, fact: DataFrame, min_titles: int) -> DataFra
 
 # Q1
 def top_rated_movies(fact: DataFrame, titles: DataFrame, min_rating: float = 8.0, limit: int = 20) -> DataFrame:
+    """Q1: highest-rated significant movies, newest decade first; a global top ``limit``."""
     f = _facts_of(fact, MOVIE).filter(F.col("is_statistically_significant") & (F.col("average_rating") >= min_rating)) \
         .select("title_id", "average_rating", "num_votes", "success_category")
     t = _movies(titles.filter(F.col("decade").isNotNull()), "decade", "primary_title", "runtime_category")
@@ -76,6 +77,7 @@ def top_rated_movies(fact: DataFrame, titles: DataFrame, min_rating: float = 8.0
 
 # Q2
 def production_trends(titles: DataFrame, fact: DataFrame, min_decade: int = 1920) -> DataFrame:
+    """Q2: movies per decade from ``min_decade`` with their average rating and runtime."""
     t = _movies(titles.filter(F.col("decade") >= min_decade), "decade", "runtime_minutes")
     f = _facts_of(fact, MOVIE).select("title_id", "average_rating", "is_highly_rated_popular")
     return (t.join(f, "title_id", "left")
@@ -89,6 +91,7 @@ def production_trends(titles: DataFrame, fact: DataFrame, min_decade: int = 1920
 
 # Q3
 def genre_popularity(titles: DataFrame, fact: DataFrame, min_titles: int = 100, limit: int = 15) -> DataFrame:
+    """Q3: genres of rated movies by total votes (genres with at least ``min_titles`` movies)."""
     per_movie = F.round(F.col("total_votes").cast("decimal(20,0)") / F.col("title_count").cast("decimal(20,0)"), 0)
     return (_genre_stats(titles, fact, min_titles)
             .orderBy(F.col("total_votes").desc_nulls_first(), F.col("genre").asc_nulls_last())
@@ -101,6 +104,7 @@ def genre_popularity(titles: DataFrame, fact: DataFrame, min_titles: int = 100,
 
 # Q4
 def professions_by_generation(people: DataFrame, min_people: int = 50) -> DataFrame:
+    """Q4: people per generation and primary profession (groups of at least ``min_people``)."""
     return (people.filter(F.col("primary_profession").isNotNull()
                           & (F.col("generation") != K.GENERATION_UNKNOWN))
             .groupBy("generation", "primary_profession")
@@ -114,6 +118,7 @@ def professions_by_generation(people: DataFrame, min_people: int = 50) -> DataFr
 
 # Q5
 def career_longevity(people: DataFrame, min_span: int = 60, limit: int = 20) -> DataFrame:
+    """Q5: people with the longest potential careers (over ``min_span`` years)."""
     span = F.col("potential_career_span_years")
     return (people.filter(span.isNotNull() & (span > min_span) & (F.col("known_for_title_count") > 0))
             .orderBy(span.desc_nulls_first(), F.col("person_id").asc_nulls_last())
@@ -124,6 +129,7 @@ def career_longevity(people: DataFrame, min_span: int = 60, limit: int = 20) ->
 
 # Q6
 def quality_quadrants(fact: DataFrame, titles: DataFrame) -> DataFrame:
+    """Q6: movies per quality/popularity quadrant, in quadrant order."""
     f = _facts_of(fact, MOVIE).select("title_id", "quality_popularity_quadrant", "average_rating", "num_votes")
     rank = ladder([(F.col("quality_popularity_quadrant") == q, i + 1) for i, q in enumerate(K.QUADRANTS)])
     return (f.join(_movies(titles, "decade"), "title_id")
@@ -137,6 +143,7 @@ def quality_quadrants(fact: DataFrame, titles: DataFrame) -> DataFrame:
 
 # Q7
 def runtime_evolution(titles: DataFrame, fact: DataFrame, min_decade: int = 1950) -> DataFrame:
+    """Q7: movies per decade and runtime category from ``min_decade``."""
     t = _movies(titles.filter(F.col("decade").isNotNull() & F.col("runtime_minutes").isNotNull()
                               & (F.col("decade") >= min_decade)),
                 "decade", "runtime_category", "runtime_minutes")
@@ -151,6 +158,7 @@ def runtime_evolution(titles: DataFrame, fact: DataFrame, min_decade: int = 1950
 
 # Q8
 def adult_vs_general(titles: DataFrame, fact: DataFrame) -> DataFrame:
+    """Q8: rated movies by content rating category."""
     f = _facts_of(fact, MOVIE).select("title_id", "average_rating", "num_votes", "is_statistically_significant",
                                       "success_category")
     return (_movies(titles, "content_rating_category").join(f, "title_id")
@@ -164,6 +172,7 @@ def adult_vs_general(titles: DataFrame, fact: DataFrame) -> DataFrame:
 
 # Q9
 def long_running_series(titles: DataFrame, fact: DataFrame, min_years: int = 10, limit: int = 20) -> DataFrame:
+    """Q9: TV series running ``min_years`` or more, longest first (unrated first on ties)."""
     dur = F.col("series_duration_years")
     t = titles.filter((F.col("content_category") == TV_SERIES) & dur.isNotNull() & (dur >= min_years)) \
         .select("title_id", "primary_title", "start_year", "end_year", "series_duration_years",
@@ -179,6 +188,7 @@ def long_running_series(titles: DataFrame, fact: DataFrame, min_years: int = 10,
 
 # Q10
 def recent_vs_classic(titles: DataFrame, fact: DataFrame) -> DataFrame:
+    """Q10: rated titles by recency flag and content category."""
     t = titles.select("title_id", "is_recent_title", "content_category")
     f = fact.filter(F.col("average_rating").isNotNull()) \
         .select("title_id", "average_rating", "is_highly_rated_popular", "success_category")
