@@ -110,15 +110,17 @@ def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
 
 
 def build(raw: dict[str, DataFrame], as_of_year: int | None = None,
-          hot_rows: int | None = DEFAULT_HOT_ROWS, fuse_bridge: bool = True) -> Warehouse:
+          hot_rows: int | None = DEFAULT_HOT_ROWS, fuse_bridge: bool = True, spread: bool = True) -> Warehouse:
     """Lazy warehouse over the given raw tables.
 
     With ``fuse_bridge`` the bridge joins the raw credits straight to the
     dimensions (two shuffles instead of four; see ``bridge_cast_crew_from_raw``).
     The large sources are spread over all cores if their files split into too
-    few scan tasks (``spread_if_underpartitioned``).
+    few scan tasks (``spread_if_underpartitioned``); pass ``spread=False`` for a
+    bucketed raw layer, whose partitioning the joins reuse.
     """
-    raw = {name: spread_if_underpartitioned(df) if name in LARGE_SOURCES else df for name, df in raw.items()}
+    if spread:
+        raw = {name: spread_if_underpartitioned(df) if name in LARGE_SOURCES else df for name, df in raw.items()}
     stg = build_staging(raw)
     titles = M.dim_titles(stg["stg_title_basics"], as_of_year)
     people = M.dim_people(stg["stg_name_basics"], as_of_year)
@@ -285,7 +287,8 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
     or a warehouse bucket); ``root/raw``, ``root/marts`` and
     ``root/quality_report`` are written. Unlike the reference's runner, failing
     error-severity checks stop the run (``fail_on_error``). ``buckets`` stores the
-    marts co-bucketed on their join keys (see ``materialize``); ``export_dir``
+    raw layer and the marts co-bucketed on their join keys (see ``load_raw`` and
+    ``materialize``); ``export_dir``
     also writes the twelve question results as CSV.
 
     Stored tables are rewritten in place: DataFrames returned by an earlier run
@@ -296,10 +299,11 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
     from reelmart.sources.ingest import load_if_empty, read_raw, require_all_loaded
 
     root = root.rstrip("/")
-    load = load_if_empty(spark, landing_dir, f"{root}/raw")
+    load = load_if_empty(spark, landing_dir, f"{root}/raw", buckets=buckets)
     if load is not None:
         require_all_loaded(load)
-    wh = build(read_raw(spark, f"{root}/raw"), as_of_year=as_of_year)
+    wh = build(read_raw(spark, f"{root}/raw", database="reelmart_raw" if buckets else None),
+               as_of_year=as_of_year, spread=not buckets)
     marts = materialize(spark, wh, f"{root}/marts", buckets=buckets)
     relations = wh.relations()
     # Staging is a view, but the checks read the two big staging relations
