@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.constants import RAW_KEYS, SOURCE_FILES
+from reelmart.operators.joins import DEFAULT_HOT_ROWS, find_hot_keys
 from reelmart.sources.tsv import path_exists, read_copy_text
 
 
@@ -101,7 +102,7 @@ def read_landing(spark: SparkSession, landing_dir: str) -> tuple[dict[str, DataF
 
 def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "overwrite",
              enforce_keys: bool = True, parallel: int = 2, buckets: int | None = None,
-             database: str = "reelmart_raw") -> list[LoadResult]:
+             database: str = "reelmart_raw", hot_rows: int = DEFAULT_HOT_ROWS) -> list[LoadResult]:
     """Load every landing file into ``raw_root/<table>`` as Parquet.
 
     Each table is written by distributed jobs; ``parallel`` files are loaded at
@@ -112,7 +113,10 @@ def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "
     external table of ``database`` bucketed by its title or person key
     (``RAW_BUCKET_KEYS``), so the staging semi-joins on title and the bridge's
     title join read matching buckets without a shuffle (one shuffle at load
-    instead of one per use).
+    instead of one per use). A large table whose bucket key has hot keys (at
+    least ``hot_rows`` rows) is stored unbucketed instead: a bucket is scanned
+    by one task, so a hot key's bucket would stall the scan, while unbucketed
+    files split across tasks and the salted joins stay balanced.
     """
     tables, results = read_landing(spark, landing_dir)
     if buckets:
@@ -123,14 +127,19 @@ def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "
             return res
         table = f"{database}.{res.table}" if buckets else None
         return _load_table(spark, tables[res.table], res, f"{raw_root.rstrip('/')}/{res.table}", mode,
-                           enforce_keys, buckets, table)
+                           enforce_keys, buckets, table, hot_rows)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return list(pool.map(load_one, results))
 
 
+# Raw tables whose bucket key is not unique (many credits or aliases per title).
+SKEWABLE_TABLES = ("title_principals", "title_akas")
+
+
 def _load_table(spark: SparkSession, df: DataFrame, res: LoadResult, target: str, mode: str,
-                enforce_keys: bool, buckets: int | None = None, table: str | None = None) -> LoadResult:
+                enforce_keys: bool, buckets: int | None = None, table: str | None = None,
+                hot_rows: int = DEFAULT_HOT_ROWS) -> LoadResult:
     """Check keys, write, count: one landing file into one raw table."""
     try:
         if enforce_keys and res.table in RAW_KEYS:
@@ -140,8 +149,12 @@ def _load_table(spark: SparkSession, df: DataFrame, res: LoadResult, target: str
                 scope = spark.read.parquet(target).select(*df.columns).unionByName(df)
             if not raw_key_violations({res.table: scope}).isEmpty():
                 raise KeyViolationError(f"{res.table}: primary key {RAW_KEYS[res.table]} is NULL or repeated")
+        note = ""
+        key = RAW_BUCKET_KEYS[res.table]
+        if buckets and res.table in SKEWABLE_TABLES and find_hot_keys(df, [key], hot_rows)[key] is not None:
+            buckets, note = None, " (stored unbucketed: hot keys)"
+            spark.sql(f"DROP TABLE IF EXISTS {table}")  # external table: the files stay
         if buckets:
-            key = RAW_BUCKET_KEYS[res.table]
             (df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
                .option("path", target).saveAsTable(table))
             rows = spark.table(table).count()
@@ -149,7 +162,7 @@ def _load_table(spark: SparkSession, df: DataFrame, res: LoadResult, target: str
             df.write.mode(mode).parquet(target)
             rows = spark.read.parquet(target).count()
         return LoadResult(res.file_name, res.table, rows > 0,
-                          f"{rows} rows" if rows > 0 else f"No data found in {res.table} after load")
+                          f"{rows} rows{note}" if rows > 0 else f"No data found in {res.table} after load")
     except Exception as exc:  # noqa: BLE001 - one failed file must not stop the others
         return LoadResult(res.file_name, res.table, False, f"{type(exc).__name__}: {exc}"[:500])
 

@@ -91,3 +91,20 @@ def test_bucketed_raw_layer_removes_the_title_shuffles(spark, tmp_dir):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_bucketed_load_keeps_skewed_tables_unbucketed(spark, tmp_dir):
+    from reelmart.plans.pipeline import build
+    from reelmart.sources.ingest import load_raw, read_raw
+
+    landing, raw = _landing(spark, tmp_dir)
+    results = {r.table: r for r in load_raw(spark, landing, f"{tmp_dir}/hraw", buckets=4,
+                                            database="reelmart_raw_hot", hot_rows=5)}
+    assert "unbucketed" in results["title_principals"].message  # titles with >= 5 credits exist
+    assert not spark.catalog.tableExists("reelmart_raw_hot.title_principals")
+    assert spark.catalog.tableExists("reelmart_raw_hot.title_basics")  # unique keys: bucketed
+    wh = build(read_raw(spark, f"{tmp_dir}/hraw", database="reelmart_raw_hot"), as_of_year=2024, spread=False)
+    plain = build(raw, as_of_year=2024)
+    a = sorted((tuple(r) for r in wh["bridge_cast_crew"].collect()), key=repr)
+    b = sorted((tuple(r) for r in plain["bridge_cast_crew"].collect()), key=repr)
+    assert a == b
