@@ -108,3 +108,17 @@ def test_bucketed_load_keeps_skewed_tables_unbucketed(spark, tmp_dir):
     a = sorted((tuple(r) for r in wh["bridge_cast_crew"].collect()), key=repr)
     b = sorted((tuple(r) for r in plain["bridge_cast_crew"].collect()), key=repr)
     assert a == b
+
+
+def test_run_bucketed_matches_run_plain(spark, tmp_dir):
+    landing, _ = _landing(spark, tmp_dir)
+    plain = run(spark, landing, f"{tmp_dir}/plain", as_of_year=2024, fail_on_error=False)
+    plain_counts = sorted(tuple(r) for r in plain.counts.collect())
+    plain_report = sorted((r.check_id, r.failures) for r in plain.report.collect())
+    bucketed = run(spark, landing, f"{tmp_dir}/bucketed", as_of_year=2024, fail_on_error=False, buckets=4)
+    assert sorted(tuple(r) for r in bucketed.counts.collect()) == plain_counts
+    assert sorted((r.check_id, r.failures) for r in bucketed.report.collect()) == plain_report
+    for name in ("fact_ratings", "bridge_cast_crew"):
+        a = sorted((tuple(r) for r in bucketed.marts[name].collect()), key=repr)
+        b = sorted((tuple(r) for r in plain.marts[name].select(*bucketed.marts[name].columns).collect()), key=repr)
+        assert a == b, name
