@@ -304,18 +304,27 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
         require_all_loaded(load)
     wh = build(read_raw(spark, f"{root}/raw", database="reelmart_raw" if buckets else None),
                as_of_year=as_of_year, spread=not buckets)
-    marts = materialize(spark, wh, f"{root}/marts", buckets=buckets)
-    relations = wh.relations()
     # Staging is a view, but the checks read the two big staging relations
     # several times (null pass, relationship anti-joins): store them once.
-    # They are built here with hot-key salting on their semi-joins (detection is
-    # one small job; joins without hot keys stay plain).
+    # They are built with hot-key salting on their semi-joins (detection is one
+    # small job; joins without hot keys stay plain). Marts and staging storage
+    # are independent, so both are submitted at once from driver threads.
     raw = wh.raw
-    big = Warehouse(raw=raw, marts={}, staging={
-        "stg_title_principals": S.stg_title_principals(raw["title_principals"], raw["title_basics"],
-                                                       raw["name_basics"], hot_rows=DEFAULT_HOT_ROWS),
-        "stg_title_akas": S.stg_title_akas(raw["title_akas"], raw["title_basics"], hot_rows=DEFAULT_HOT_ROWS)})
-    relations.update(materialize_staging(spark, big, f"{root}/staging", list(big.staging)))
+
+    def store_big_staging() -> dict[str, DataFrame]:
+        big = Warehouse(raw=raw, marts={}, staging={
+            "stg_title_principals": S.stg_title_principals(raw["title_principals"], raw["title_basics"],
+                                                           raw["name_basics"], hot_rows=DEFAULT_HOT_ROWS),
+            "stg_title_akas": S.stg_title_akas(raw["title_akas"], raw["title_basics"],
+                                               hot_rows=DEFAULT_HOT_ROWS)})
+        return materialize_staging(spark, big, f"{root}/staging", list(big.staging))
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        marts_job = pool.submit(materialize, spark, wh, f"{root}/marts", None, buckets)
+        staging_job = pool.submit(store_big_staging)
+        marts, staged = marts_job.result(), staging_job.result()
+    relations = wh.relations()
+    relations.update(staged)
     relations.update(marts)
     quality_report(relations, as_of_year=as_of_year).write.mode("overwrite").parquet(f"{root}/quality_report")
     report = spark.read.parquet(f"{root}/quality_report")
