@@ -246,6 +246,26 @@ SINGULAR_CHECKS = [
 DECLARED_CHECKS = _declared()
 
 
+def layer_of(relation: str) -> str:
+    """'sources', 'staging' or 'marts' for a relation name."""
+    if relation.startswith("raw_"):
+        return "sources"
+    return "staging" if relation.startswith("stg_") else "marts"
+
+
+def select_checks(layer: str | None = None, kinds: list[str] | None = None) -> list[Check]:
+    """Declared checks of one layer and/or kinds (as a test runner selects them).
+
+    ``kinds`` uses the check kinds; ``"generic"`` stands for every declared
+    column check (all kinds except ``singular``).
+    """
+    wanted = set(kinds or [])
+    if "generic" in wanted:
+        wanted |= {"unique", "not_null", "accepted_values", "relationships", "expression"}
+    return [chk for chk in DECLARED_CHECKS
+            if (layer is None or layer_of(chk.relation) == layer) and (not wanted or chk.kind in wanted)]
+
+
 def check_by_id(check_id: str) -> Check:
     for chk in DECLARED_CHECKS:
         if chk.check_id == check_id:

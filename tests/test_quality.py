@@ -62,3 +62,14 @@ def test_report_status(spark):
     people = spark.createDataFrame([("p", "A", 1700)], "person_id string, primary_name string, birth_year int")
     row = Q.quality_report({"stg_name_basics": people}, checks=warn, as_of_year=2024).collect()[0]
     assert (row.failures, row.status, row.severity) == (1, "warn", "warn")
+
+
+def test_select_checks_by_layer_and_kind():
+    staging = Q.select_checks(layer="staging")
+    marts = Q.select_checks(layer="marts")
+    sources = Q.select_checks(layer="sources")
+    assert len(sources) == 6 and len(staging) == 20 + 4 and len(marts) == 40 + 3  # declared + singular
+    assert len(staging) + len(marts) + len(sources) == 73
+    assert len(Q.select_checks(kinds=["generic"])) == 66
+    assert len(Q.select_checks(kinds=["singular"])) == 7
+    assert {c.relation for c in Q.select_checks(layer="marts", kinds=["singular"])} == {"dim_people", "fact_ratings"}
