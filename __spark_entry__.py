@@ -150,6 +150,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "genre_popularity": _tf(A.genre_popularity),
         "professions_by_generation": _p(A.professions_by_generation, "avg_age"),
         "professions_by_generation_all": _p(A.professions_by_generation, "avg_age", min_people=1),
+        "professions_by_generation_min20": _p(A.professions_by_generation, "avg_age", min_people=20),
         "career_longevity": _p(A.career_longevity),
         "quality_quadrants": _ft(A.quality_quadrants),
         "runtime_evolution": _tf(A.runtime_evolution),

@@ -71,6 +71,14 @@ SELECT generation, primary_profession, count(*) AS person_count,
 FROM dim_people
 WHERE primary_profession IS NOT NULL AND generation <> 'Unknown Generation'
 GROUP BY generation, primary_profession
+ORDER BY generation, person_count DESC"""),
+    "professions_by_generation_min20": W(f"""
+SELECT generation, primary_profession, count(*) AS person_count,
+       {r6('avg(age_or_current_age)')} AS avg_age,
+       count(CASE WHEN is_multi_role_professional THEN 1 END) AS multi_role_count
+FROM dim_people
+WHERE primary_profession IS NOT NULL AND generation <> 'Unknown Generation'
+GROUP BY generation, primary_profession HAVING count(*) >= 20
 ORDER BY generation, person_count DESC"""),
     "career_longevity": W("""
 SELECT primary_name, primary_profession, birth_year, death_year, potential_career_span_years,
