@@ -21,14 +21,15 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="reelmart")
     sub = parser.add_subparsers(dest="command", required=True)
     p_run = sub.add_parser("run", help="load, build, check")
-    p_run.add_argument("--landing", required=True)
-    p_run.add_argument("--root", required=True)
-    p_run.add_argument("--as-of-year", type=int, default=None)
-    p_run.add_argument("--buckets", type=int, default=None)
-    p_run.add_argument("--no-fail", action="store_true")
+    p_run.add_argument("--landing", required=True, help="folder with the five COPY-text landing files")
+    p_run.add_argument("--root", required=True, help="shared folder for raw/, staging/, marts/, quality_report/")
+    p_run.add_argument("--as-of-year", type=int, default=None, help="clock year for age and recency rules")
+    p_run.add_argument("--buckets", type=int, default=None,
+                       help="co-bucket the raw layer and the marts on their join keys (cluster scale)")
+    p_run.add_argument("--no-fail", action="store_true", help="report failing error-severity checks, do not exit 1")
     p_run.add_argument("--export", default=None, help="folder for the 12 query results as CSV")
     p_rep = sub.add_parser("report", help="show the stored quality report")
-    p_rep.add_argument("--root", required=True)
+    p_rep.add_argument("--root", required=True, help="root folder of a previous run")
     args = parser.parse_args(argv)
 
     spark = get_session()
