@@ -61,8 +61,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-__all__ = ["DEFAULT_CONF", "get_session", "checkpoint_root", "scratch_path", "is_local_path"]
+__all__ = ["DEFAULT_CONF", "get_session", "checkpoint_root", "scratch_path"]

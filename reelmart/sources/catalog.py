@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from reelmart.constants import RAW_COLUMNS, RAW_KEYS, SOURCE_FILES
+from reelmart.constants import RAW_COLUMNS, SOURCE_FILES
 
 RAW_TABLES = list(RAW_COLUMNS)
 
@@ -20,8 +20,3 @@ def file_for(table: str) -> str:
         if tbl == table:
             return name
     raise KeyError(table)
-
-
-def key_of(table: str) -> str | None:
-    """Declared primary key column of a raw table (None when it has none)."""
-    return RAW_KEYS.get(table)
