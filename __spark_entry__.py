@@ -31,6 +31,14 @@ from reelmart.sources.synthetic import raw_sources  # noqa: E402
 from reelmart.sources.tsv import read_copy_text, write_copy_text  # noqa: E402
 from reelmart.streaming.landing import append_new_landing_files  # noqa: E402
 
+try:  # the training-data operators are optional: without their folder everything else still works
+    import corpus_pipeline  # noqa: E402
+    from reelmart.llm import queries as LLM  # noqa: E402
+except ModuleNotFoundError as err:
+    if err.name not in ("reelmart.llm", "corpus_pipeline"):
+        raise
+    LLM = None
+
 AS_OF_YEAR = 2024
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
@@ -132,7 +140,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    extra = {**LLM.queries(), "pipeline": corpus_pipeline.run} if LLM else {}
+    return extra | {
         # staging
         "stg_title_basics": _staging("stg_title_basics"),
         "stg_title_ratings": _staging("stg_title_ratings"),
@@ -197,4 +206,8 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (STAGING_AND_MARTS, SAMPLE, CHARTS, CHECKS, INGEST):
         out.update(part)
+    if LLM:
+        out.update(LLM.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
