@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat
+from . import chat, licenses
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op8_chat_formatting": chat.op8_chat_formatting,
+        "op10_license_scan": licenses.op10_license_scan,
     }
 
 
