@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, licenses
+from . import bpe, chat, licenses
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_bpe": bpe.op7_bpe,
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op10_license_scan": licenses.op10_license_scan,
     }
