@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licenses
+from . import bpe, chat, licenses, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_simhash": simhash.op6_simhash,
         "op7_bpe": bpe.op7_bpe,
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op10_license_scan": licenses.op10_license_scan,
