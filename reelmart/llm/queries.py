@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licenses, simhash
+from . import bpe, chat, licenses, simhash, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_simhash": simhash.op6_simhash,
         "op7_bpe": bpe.op7_bpe,
         "op8_chat_formatting": chat.op8_chat_formatting,
+        "op9_top_k": topk.op9_top_k,
         "op10_license_scan": licenses.op10_license_scan,
     }
 
@@ -21,4 +22,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_chat_formatting": chat.OP8_SQL,
+        "op9_top_k": topk.OP9_SQL,
     }
