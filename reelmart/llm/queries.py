@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licenses, quality, simhash, topk
+from . import bpe, chat, licenses, mixing, quality, simhash, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": mixing.op1_mixing,
         "op5_quality": quality.op5_quality,
         "op6_simhash": simhash.op6_simhash,
         "op7_bpe": bpe.op7_bpe,
