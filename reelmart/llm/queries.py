@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licenses, mixing, quality, simhash, topk
+from . import bpe, chat, licenses, lines, mixing, quality, simhash, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": mixing.op1_mixing,
+        "op4_line_dedup": lines.op4_line_dedup,
         "op5_quality": quality.op5_quality,
         "op6_simhash": simhash.op6_simhash,
         "op7_bpe": bpe.op7_bpe,
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_line_dedup": lines.OP4_SQL,
         "op8_chat_formatting": chat.OP8_SQL,
         "op9_top_k": topk.OP9_SQL,
     }
