@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licenses, lines, minhash, mixing, quality, simhash, topk
+from . import bpe, chat, licenses, lines, minhash, mixing, quality, repeats, simhash, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": mixing.op1_mixing,
         "op2_minhash": minhash.op2_minhash,
+        "op3_repeats": repeats.op3_repeats,
         "op4_line_dedup": lines.op4_line_dedup,
         "op5_quality": quality.op5_quality,
         "op6_simhash": simhash.op6_simhash,
