@@ -1,14 +1,65 @@
-"""Corpus pipeline over ``documents``: STAGES in order, each written as Parquet and reread as the next one's docs."""
+"""Corpus pipeline over ``documents``: quality, line dedup, near-dedup, mixing, tokens.
+
+STAGES are run in order by ``run``; each result is written as Parquet to the shared
+folder and reread as the next stage's ``docs``, so a lost executor repeats one stage at
+most. All stages but the last return the columns of ``documents``. Nulls, empty tables and
+repeated rows: as the operators' own docstrings say; a null text is kept as null until the
+last stage, which gives it no tokens.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField
 
+from reelmart.llm import bpe, lines, minhash, mixing, quality
+from reelmart.llm.arrowmap import add_from_texts
 from reelmart.session import scratch_path
 
-STAGES: list = []
 
-#: Hash bands, byte-pair merges and a trained classifier cannot be expressed in SQL; see tests/llm/test_pipeline.py.
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents whose score is under ``quality.CUT`` go. Trained as the registered query trains."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(docs, labels, keep=~quality.held_out(F.col("doc_id")))
+    scored = add_from_texts(docs, "text", [StructField("__score", DoubleType())], quality.scorer(model))
+    return scored.filter(F.col("__score") >= quality.CUT).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: later repeated runs of lines go; a document of which nothing is left goes with them."""
+    d = lines.dedup_lines(docs)
+    gone = (F.col("lines.removed") > 0) & (F.col("lines.removed") == F.col("lines.total"))
+    d = d.filter(~gone)
+    return d.withColumn("n_chars", F.when(F.col("lines.removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: of each group of near-duplicates the smallest doc_id stays."""
+    others = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def sample_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: documents drawn by their calibrated probabilities (smoothed source, language and topic targets)."""
+    return mixing.sample(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-pair encoding: all columns, the number of tokens and the packed ids."""
+    fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType())]
+    return add_from_texts(docs, "text", fields, bpe.encoder(bpe.default_path()), bpe.SLICE_BYTES)
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("line_dedup", drop_repeated_lines),
+    ("minhash", keep_one_of_each),
+    ("mixing", sample_to_targets),
+    ("bpe", tokenize),
+]
+
+#: A trained classifier, hash draws and byte-pair merges cannot be expressed in SQL; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 

@@ -54,3 +54,25 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, fields: list[StructFi
 
     src = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
     return src.mapInArrow(run, schema)
+
+
+def add_from_texts(docs: DataFrame, text_col: str, fields: list[StructField], fn: Callable[[np.ndarray, np.ndarray], list],
+                   slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """All columns of ``docs`` and, at the end, ``fields`` from ``fn`` as in ``map_texts``; column names may clash."""
+    visible(docs.sparkSession)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = docs.columns.index(text_col)
+    plain = docs.toDF(*names)
+    schema = StructType([*plain.schema.fields, *[StructField(f"f{i}", f.dataType) for i, f in enumerate(fields)]])
+    added = [f.type for f in to_arrow_schema(StructType(fields))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = buffers(batch.column(at))
+            for a, b in slices(offsets, slice_bytes):
+                cut = offsets[a:b + 1]
+                out = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(fn(raw[cut[0]:cut[-1]], cut - cut[0]), added)]
+                kept = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*kept.columns, *out], names=[f.name for f in schema])
+
+    return plain.mapInArrow(run, schema).toDF(*docs.columns, *[f.name for f in fields])

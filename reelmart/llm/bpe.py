@@ -244,15 +244,19 @@ def _texts(raw: np.ndarray, offsets: np.ndarray) -> list[str]:
     return [data[a:b].decode() for a, b in zip(at, at[1:])]
 
 
-def encode_texts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids): ids as packed little-endian unsigned 32-bit integers."""
-    path = path or default_path()
-
+def encoder(path: str):
+    """Number of tokens and packed ids of whole texts, for ``map_texts``."""
     def fn(raw, offsets):
         ids = tokenizer(path).encode(_texts(raw, offsets))
         return [[len(x) // 4 for x in ids], ids]
 
-    return map_texts(docs, id_col, text_col, [StructField("n_tokens", LongType()), StructField("ids", BinaryType())], fn, SLICE_BYTES)
+    return fn
+
+
+def encode_texts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids): ids as packed little-endian unsigned 32-bit integers."""
+    fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType())]
+    return map_texts(docs, id_col, text_col, fields, encoder(path or default_path()), SLICE_BYTES)
 
 
 def decode_ids(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

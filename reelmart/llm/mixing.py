@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from reelmart.session import scratch_path
 
-ALPHA, MAX_ROUNDS, SWEEPS, TOLERANCE, SEED = 0.85, 10, 3, 1e-4, 17
+DIMS = ["source", "lang", "topic"]
+ALPHA, MAX_ROUNDS, SWEEPS, TOLERANCE, SEED = 0.9, 10, 3, 1e-4, 17
 
 #: First pattern that stands in the text names its topic; none: "general".
 TOPICS = (
@@ -89,32 +90,52 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], max_rounds: int = MAX_
     return c.select(*dims, "tokens", "weight")
 
 
+def _described(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, topic: Column | None) -> list[Column]:
+    """id, source, lang, topic and n_tokens of each document."""
+    text = F.col(text_col).cast("string")
+    named = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    return [F.col(id_col).alias("id"), named(F.col(source_col)).alias("source"), named(F.col(lang_col)).alias("lang"),
+            named(topic_of(F.coalesce(text, F.lit(""))) if topic is None else topic).alias("topic"), token_count(text).alias("n_tokens")]
+
+
+def _probabilities(d: DataFrame, targets: dict[str, DataFrame] | None, alpha: float) -> DataFrame:
+    """(source, lang, topic, weight, probability) per cell of described documents."""
+    cells = d.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens"))
+    goals = {dim: (targets or {}).get(dim, smoothed_targets(cells, dim, alpha)) for dim in DIMS}
+    raked = rake(cells, goals)
+    most = float(raked.filter("tokens > 0").agg(F.max("weight")).first()[0] or 1.0)
+    weight = F.when(F.col("tokens") > 0, F.col("weight")).otherwise(F.lit(most))
+    return raked.select(*DIMS, weight.alias("weight"), (weight / F.lit(most)).alias("probability"))
+
+
+def _drawn(id_: Column, probability: Column, seed: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), id_.cast("string")), F.lit(1 << 52)) / F.lit(float(1 << 52)) < probability
+
+
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: float = ALPHA, seed: int = SEED, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Column | None = None) -> DataFrame:
     """(id, source, lang, topic, n_tokens, weight, probability, kept) of every document.
 
     ``targets``: {"source" | "lang" | "topic": (value, share)}; a missing one is smoothed by ``alpha``.
     """
-    text = F.col(text_col).cast("string")
-    named = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    d = docs.select(F.col(id_col).alias("id"), named(F.col(source_col)).alias("source"), named(F.col(lang_col)).alias("lang"),
-                    named(topic_of(F.coalesce(text, F.lit(""))) if topic is None else topic).alias("topic"),
-                    token_count(text).alias("n_tokens"))
     # the texts are read once: what is left is small and is used for the cells and for the draw
     path = scratch_path(docs.sparkSession, "mixing-docs")
-    d.write.parquet(path)
+    docs.select(*_described(docs, id_col, text_col, source_col, lang_col, topic)).write.parquet(path)
     d = docs.sparkSession.read.parquet(path)
-    dims = ["source", "lang", "topic"]
-    cells = d.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens"))
-    goals = {dim: (targets or {}).get(dim, smoothed_targets(cells, dim, alpha)) for dim in dims}
-    raked = rake(cells, goals)
-    most = raked.filter("tokens > 0").agg(F.max("weight")).first()[0] or 1.0
-    weight = F.when(F.col("tokens") > 0, F.col("weight")).otherwise(F.lit(float(most)))
-    raked = raked.select(*dims, weight.alias("weight"))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("id").cast("string")), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    out = d.join(raked, dims).withColumn("probability", F.col("weight") / F.lit(float(most)))
-    return out.withColumn("kept", draw < F.col("probability")).select(
-        F.col("id").alias(id_col), *dims, "n_tokens", "weight", "probability", "kept")
+    out = d.join(_probabilities(d, targets, alpha), DIMS)
+    return out.withColumn("kept", _drawn(F.col("id"), F.col("probability"), seed)).select(
+        F.col("id").alias(id_col), *DIMS, "n_tokens", "weight", "probability", "kept")
+
+
+def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: float = ALPHA, seed: int = SEED, id_col: str = "doc_id",
+           text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Column | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``mix`` keeps, with all their columns."""
+    described = _described(docs, id_col, text_col, source_col, lang_col, topic)
+    p = _probabilities(docs.select(*described), targets, alpha)
+    p = p.select(F.struct(*DIMS).alias("__cell"), F.col("probability").alias("__p"))
+    cell = F.struct(*described[1:4])
+    d = docs.withColumn("__cell", cell).join(p, "__cell").filter(_drawn(F.col(id_col), F.col("__p"), seed))
+    return d.select(*docs.columns)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
