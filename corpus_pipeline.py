@@ -28,10 +28,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: later repeated runs of lines go; a document of which nothing is left goes with them."""
-    d = lines.dedup_lines(docs)
-    gone = (F.col("lines.removed") > 0) & (F.col("lines.removed") == F.col("lines.total"))
-    d = d.filter(~gone)
-    return d.withColumn("n_chars", F.when(F.col("lines.removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    d = lines.dedup_lines(docs, info_col="__lines")
+    removed = F.col("__lines.removed")
+    d = d.filter((removed == 0) | (removed < F.col("__lines.total")))
+    size = F.when(removed > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return d.withColumn("n_chars", size).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,11 +77,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .agg(F.sort_array(F.collect_set("p")).alias("gone")))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, long_words: int = LONG_WORDS) -> DataFrame:
-    """``docs`` with ``text`` as it is left, and a struct column ``lines`` (total, removed, runs).
-
-    A column of the input named ``lines`` is replaced.
-    """
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, long_words: int = LONG_WORDS,
+                info_col: str = "lines") -> DataFrame:
+    """``docs`` with ``text`` as it is left, and a struct column ``info_col`` (total, removed, runs), which replaces one of that name."""
     gone = repeated_lines(docs, id_col, text_col, window, long_words).select(
         F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone"))
     text = F.col(text_col).cast("string")
@@ -99,7 +97,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     info = F.struct(total.alias("total"),
                     F.when(none, 0).otherwise(F.size("__gone")).cast("long").alias("removed"),
                     F.when(none, 0).otherwise(starts).cast("long").alias("runs"))
-    return d.withColumns({"lines": info, text_col: F.when(none, text).otherwise(left)}).drop("__gone", "__all")
+    return d.withColumns({info_col: info, text_col: F.when(none, text).otherwise(left)}).drop("__gone", "__all")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,79 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from reelmart.llm.bpe import WordBPE, decode_ids, default_path, encode_decode, encode_texts, tokenizer
+
+from .cases import edge_rows
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tokenizers.Tokenizer.from_file(default_path())
+
+
+def test_same_ids_and_text_as_the_library(spark, documents, clashing, library):
+    rows = edge_rows()
+    got = encode_decode(clashing(documents(rows))).collect()
+    assert len(got) == len(rows)
+    want = sorted((str(i), ids := library.encode(t or "", add_special_tokens=False).ids, library.decode(ids, skip_special_tokens=False)) for i, t in rows)
+    have = sorted((str(r.doc_id), np.frombuffer(bytes(r.ids), "<u4").tolist(), r.decoded) for r in got)
+    assert have == want
+    assert all(r.n_tokens * 4 == len(r.ids) for r in got)
+
+
+def test_random_unicode(library):
+    r = random.Random(5)
+    marks = ["a", "b", "the", "'s", "'LL", "É", "é", "İ", "Σ", "ß", "²", "½", "1", " ", "\n", "\x1c", "\x85", "​", "　", "漢", "🙂",
+             "<|endoftext|>", "<|startoftext|>", "<|x|>", "_", "\x00", "K", "ǅ", "Ⱥ", "ʰ", "־"]
+    texts = ["".join(r.choices(marks, k=r.randint(0, 40))) for _ in range(800)]
+    texts += ["".join(chr(r.choice([r.randint(1, 0xD7FF), r.randint(0xE000, 0x10FFFF)])) for _ in range(3000)), "ab" * 4000, ""]
+    for t, ids in zip(texts, WordBPE(default_path()).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_dropping_the_cache_changes_nothing(monkeypatch):
+    texts = [" ".join(f"w{i}x{j}" for j in range(50)) for i in range(20)]
+    whole = WordBPE(default_path()).encode(texts)
+    monkeypatch.setattr("reelmart.llm.bpe.CACHE_WORDS", 10)
+    small = WordBPE(default_path())
+    assert [small.encode([t])[0] for t in texts] == whole
+
+
+def test_a_smaller_rank_made_by_a_merge_goes_first(library):
+    """Merging all words together gives each word the merges it would get alone."""
+    t = tokenizer(default_path())
+    words = sorted({w for _, x in edge_rows() if x for w in t.words(x)})
+    assert t.encode_words(words) == [t.encode_words([w])[0] for w in words]
+
+
+def test_encode_then_decode_are_separate_steps(spark, documents):
+    e = encode_texts(documents([(1, "Hello  there"), (2, None)]))
+    got = {r.doc_id: r.decoded for r in decode_ids(e).collect()}
+    assert got == {1: "hello</w> there</w>", 2: ""}
+
+
+def test_unknown_settings_are_refused(tmp_dir):
+    import json
+
+    spec = json.load(open(default_path(), encoding="utf-8"))
+    spec["model"]["dropout"] = 0.1
+    with open(f"{tmp_dir}/t.json", "w") as f:
+        json.dump(spec, f)
+    with pytest.raises(ValueError):
+        WordBPE(f"{tmp_dir}/t.json")
+
+
+def test_query_and_empty_table(spark, documents, tmp_dir):
+    from reelmart.llm.bpe import op7_bpe
+
+    documents([]).write.parquet(f"{tmp_dir}/documents.parquet")
+    assert op7_bpe(spark, tmp_dir).count() == 0
+    documents([(1, None)]).write.mode("overwrite").parquet(f"{tmp_dir}/documents.parquet")
+    r = op7_bpe(spark, tmp_dir).first()
+    none = hashlib.sha256(b"").hexdigest()
+    assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (0, none, none)

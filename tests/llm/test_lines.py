@@ -1,0 +1,59 @@
+import pytest
+
+from reelmart.llm.lines import dedup_lines, op4_line_dedup
+
+from .cases import edge_rows, prose
+
+BLANK = " \t\r\x0b\x0c"
+
+
+def _brute(rows, window=2, long_words=10):
+    """A line goes if it is part of a window that stood earlier, by (id, place)."""
+    first, found = {}, []
+    key = lambda i: (i is not None, i or 0)
+    parsed = []
+    for i, t in rows:
+        k = [(p, x.strip(BLANK)) for p, x in enumerate((t or "").split("\n")) if x.strip(BLANK)]
+        wins = [k[a:a + window] for a in range(len(k) - window + 1)] if len(k) >= window else ([k] if k else [])
+        if window > 1:
+            wins += [[x] for x in k if len([w for w in x[1].replace("\t", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if w]) >= long_words]
+        for w in wins:
+            s = tuple(x for _, x in w)
+            place = (key(i), w[0][0])
+            first[s] = min(place, first.get(s, place))
+        parsed.append((i, t, k, wins))
+    for i, t, k, wins in parsed:
+        gone = {p for w in wins if first[tuple(x for _, x in w)] < (key(i), w[0][0]) for p, _ in w}
+        left = None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone)
+        flags = [p in gone for p, _ in k]
+        runs = sum(f and not g for f, g in zip(flags, [False, *flags]))
+        found.append((str(i), len(k), len(gone), runs, left))
+    return sorted(found, key=str)
+
+
+def _rows():
+    rows = edge_rows()
+    shared = "this passage of many words stands in a great many of these documents here"
+    for i in range(30):
+        lines = [f"{prose(300 + (i % 11), 3)}".replace("\n", " "), shared if i % 3 == 0 else "short", f"unique {i}", " short ", "", "tail a", "tail b"]
+        rows.append((400 + i, "\n".join(lines)))
+    return rows
+
+
+@pytest.mark.parametrize("window,long_words", [(2, 10), (1, 10), (3, 5)])
+def test_against_brute_force(spark, documents, clashing, window, long_words):
+    rows = _rows()
+    got = dedup_lines(clashing(documents(rows)), window=window, long_words=long_words).collect()
+    have = sorted(((str(r.doc_id), r["lines"].total, r["lines"].removed, r["lines"].runs, r.text) for r in got), key=str)
+    assert have == _brute(rows, window, long_words)
+
+
+def test_other_columns_stay(spark, documents, clashing):
+    docs = clashing(documents(_rows()))
+    got = dedup_lines(docs, info_col="info")
+    assert got.columns == [*docs.columns, "info"] and {r.kept for r in got.collect()} == {r.kept for r in docs.collect()}
+
+
+def test_empty_table(spark, documents, tmp_dir):
+    documents([]).write.parquet(f"{tmp_dir}/documents.parquet")
+    assert op4_line_dedup(spark, tmp_dir).count() == 0
