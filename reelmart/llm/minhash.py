@@ -10,9 +10,11 @@ at least ``percent`` / 100; the result is their connected components.
    members - 1 candidate edges, never all pairs.
 3. Candidates whose sizes allow the similarity are confirmed on the full sets, which are
    made for candidate documents only.
-4. Components come from the confirmed links. Members that a star left outside the
-   component of its centre are split by a second band (``SPLITS`` of the other bands) and
-   get stars again, while that finds links, ``rounds`` times at most in all.
+4. Components come from the confirmed links. Where a star left members of two components
+   or more outside that of its centre, these are split by a second band and get stars
+   again, while that finds links, ``rounds`` times at most in all. Each bucket takes
+   ``SPLITS`` other bands; two similar sets share about 12 buckets, so they meet again
+   with near certainty.
 
 With 32 bands of 6 bins, two sets of similarity 0.85 share no bucket with probability
 3e-7. A link is also missed if every bucket that its ends share has a centre linked to
@@ -41,7 +43,7 @@ from .arrowmap import map_texts
 from .graph import components
 from .shingles import WORDS, band_keys, one_permutation, set_hash, shingle_sets
 
-PERCENT, BANDS, ROWS, ROUNDS, SPLITS = 85, 32, 6, 3, 8
+PERCENT, BANDS, ROWS, ROUNDS, SPLITS = 85, 32, 6, 3, 3
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -126,7 +128,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = stars.filter(F.col("id") != F.col("c.id")).select("key", "id", "n", F.col("c.id").alias("cid"))
         left = left.join(of_member, "id", "left").join(of_centre, "cid", "left").select(
             "key", "id", "n", F.coalesce("own", "id").alias("component"), F.coalesce("centre", "cid").alias("centre"))
-        left = left.filter(F.col("component") != F.col("centre")).join(classes.select("id", "bands"), "id")
+        left = left.filter(F.col("component") != F.col("centre")).select("key", "id", "n", "component")
+        open_ = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+        left = left.join(open_, "key", "left_semi").join(classes.select("id", "bands"), "id")
         other = F.transform(F.sequence(F.lit(1), F.lit(min(SPLITS, bands))), lambda k: F.pmod(F.xxhash64("key") + k, F.lit(bands)).cast("int"))
         left = left.withColumn("key", F.explode(F.transform(other, lambda b: F.xxhash64(F.col("key"), F.element_at("bands", b + 1)))))
         _stars(left.select("key", "id", "n", "component").distinct(), F.col("lo") < F.col("hi")).write.parquet(f"{path}/stars-{number + 1}")
