@@ -24,9 +24,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from reelmart.operators import quality as Q  # noqa: E402
 from reelmart.plans import analytics as A  # noqa: E402
 from reelmart.plans import charts as C  # noqa: E402
-from reelmart.plans.pipeline import build_from_driver_tables  # noqa: E402
+from reelmart.plans.pipeline import build, build_from_driver_tables, export_csv, materialize, read_marts  # noqa: E402
 from reelmart.session import scratch_path  # noqa: E402
+from reelmart import constants as K  # noqa: E402
 from reelmart.sources import ingest as I  # noqa: E402
+from reelmart.sources.catalog import file_for  # noqa: E402
 from reelmart.sources.synthetic import raw_sources  # noqa: E402
 from reelmart.sources.tsv import read_copy_text, write_copy_text  # noqa: E402
 from reelmart.streaming.landing import append_new_landing_files  # noqa: E402
@@ -75,6 +77,11 @@ def _ft(fn, *float_cols: str, **kw) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _fact(fn) -> Callable[[SparkSession, str], DataFrame]:
+    """Query over the ratings fact."""
+    return lambda spark, sf_dir: fn(_wh(spark, sf_dir)["fact_ratings"])
+
+
 def _p(fn, *float_cols: str, **kw) -> Callable[[SparkSession, str], DataFrame]:
     """Query over people."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,15 +130,125 @@ def _tsv_round_trip(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _stream_append(table: str) -> Callable[[SparkSession, str], DataFrame]:
-    """Land a raw table as COPY-text files, append them with the exactly-once stream, read the result."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = scratch_path(spark, f"stream-{table}")
-        write_copy_text(raw_sources(spark, sf_dir)[table], f"{root}/landing", table)
-        append_new_landing_files(spark, f"{root}/landing", table, f"{root}/raw", f"{root}/checkpoint",
-                                 file_glob="part-*")
-        return spark.read.parquet(f"{root}/raw")
-    return run
+def _parity(key: str, n: int, of: int):
+    return F.regexp_extract(F.col(key), "[0-9]+", 0).cast("int") % n == of
+
+
+def _stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the ratings as COPY-text files, append them with the exactly-once stream, read the published table."""
+    root = scratch_path(spark, "stream")
+    write_copy_text(raw_sources(spark, sf_dir)["title_ratings"], f"{root}/landing", "title_ratings")
+    append_new_landing_files(spark, f"{root}/landing", "title_ratings", f"{root}/raw", f"{root}/checkpoint", file_glob="part-*")
+    return I.read_raw(spark, f"{root}/raw")["title_ratings"]
+
+
+def _append_over_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the ratings by a full load, a third by the stream, a third by a batch append; all rows must be back."""
+    root, ratings = scratch_path(spark, "append"), raw_sources(spark, sf_dir)["title_ratings"]
+    thirds = [ratings.filter(_parity("tconst", 3, k)) for k in range(3)]
+    for k in (0, 2):
+        write_copy_text(thirds[k], f"{root}/landing{k}/title.ratings.tsv", "title_ratings")
+    write_copy_text(thirds[1], f"{root}/stream", "title_ratings")
+    I.load_raw(spark, f"{root}/landing0", f"{root}/raw")
+    append_new_landing_files(spark, f"{root}/stream", "title_ratings", f"{root}/raw", f"{root}/checkpoint", file_glob="part-*")
+    I.load_raw(spark, f"{root}/landing2", f"{root}/raw", mode="append")
+    return I.read_raw(spark, f"{root}/raw")["title_ratings"]
+
+
+def _foreign_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose first line differs from the declared names, with a data row that equals them."""
+    path, ratings = scratch_path(spark, "header"), raw_sources(spark, sf_dir)["title_ratings"]
+    row = spark.range(1).select(*[F.lit(c).alias(c) for c in ratings.columns])
+    write_copy_text(ratings.unionByName(row).toDF("Id", "Stars", "Ballots"), path)
+    return read_copy_text(spark, path, "title_ratings")
+
+
+def _broken(df: DataFrame, path: str) -> None:
+    """A landing file with all rows of ``df`` and one short row."""
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("\\N")) for c in df.columns])
+    df.select(line.alias("value")).unionByName(df.sparkSession.range(1).select(F.lit("short").alias("value"))).coalesce(1).write.text(path)
+
+
+def _refresh_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh with a bad row must leave the table as it was loaded before."""
+    root, ratings = scratch_path(spark, "refresh"), raw_sources(spark, sf_dir)["title_ratings"]
+    write_copy_text(ratings, f"{root}/good/title.ratings.tsv", "title_ratings")
+    I.load_raw(spark, f"{root}/good", f"{root}/raw")
+    _broken(ratings, f"{root}/bad/title.ratings.tsv")
+    I.load_raw(spark, f"{root}/bad", f"{root}/raw")
+    return I.read_raw(spark, f"{root}/raw")["title_ratings"]
+
+
+def _load_if_empty_recovers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load whose titles failed is made up by the next guarded load."""
+    root, raw = scratch_path(spark, "recover"), raw_sources(spark, sf_dir)
+    write_copy_text(raw["title_ratings"], f"{root}/bad/title.ratings.tsv", "title_ratings")
+    _broken(raw["title_basics"], f"{root}/bad/title.basics.tsv")
+    I.load_if_empty(spark, f"{root}/bad", f"{root}/raw")
+    for table in ("title_ratings", "title_basics"):
+        write_copy_text(raw[table], f"{root}/good/{file_for(table)}", table)
+    I.load_if_empty(spark, f"{root}/good", f"{root}/raw")
+    return I.read_raw(spark, f"{root}/raw")["title_basics"]
+
+
+def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles with padding, quotes and commas, exported as CSV and read back."""
+    path, titles = scratch_path(spark, "csv"), _wh(spark, sf_dir)["dim_titles"]
+    odd = F.concat(F.lit("  "), "primary_title", F.lit(' says "hi", or so  ')).alias("primary_title")
+    export_csv(titles.filter(F.col("primary_title").isNotNull()).select("title_id", odd), path)
+    return spark.read.option("header", True).option("escape", '"').csv(path)
+
+
+def _marts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All marts stored and published; the ratings fact as a reader finds it."""
+    root = scratch_path(spark, "marts")
+    materialize(spark, _wh(spark, sf_dir), root)
+    return _r6(read_marts(spark, root)["fact_ratings"], "popularity_score", "annual_vote_rate")
+
+
+def _bridge_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridge with a third of all credits on one title: the salted path."""
+    raw = dict(raw_sources(spark, sf_dir))
+    hot = F.when(_parity("tconst", 3, 0), F.lit("tt0000003")).otherwise(F.col("tconst"))
+    raw["title_principals"] = raw["title_principals"].withColumn("tconst", hot)
+    return build(raw, as_of_year=AS_OF_YEAR)["bridge_cast_crew"]
+
+
+def _sql_top_rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 typed as SQL over the named views."""
+    _wh(spark, sf_dir).create_views(["dim_titles", "fact_ratings"])
+    return spark.sql("""
+        select t.decade, t.primary_title, r.average_rating, r.num_votes, r.success_category, t.runtime_category
+        from fact_ratings r join dim_titles t using (title_id)
+        where r.is_statistically_significant and t.content_category = 'Movie' and t.decade is not null and r.average_rating >= 8.0
+        order by t.decade desc, r.average_rating desc, title_id limit 20""")
+
+
+def _unique_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = _wh(spark, sf_dir)["stg_title_basics"]
+    return Q.check_unique(titles.unionByName(titles.filter(_parity("title_id", 97, 0))), "title_id")
+
+
+def _accepted_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    check = Q.check_by_id("accepted_values_dim_titles_title_type")
+    titles = _wh(spark, sf_dir)["dim_titles"]
+    bad = F.when(_parity("title_id", 89, 0), F.upper("title_type")).otherwise(F.col("title_type"))
+    return Q.run_check(check, {"dim_titles": titles.withColumn("title_type", bad)})
+
+
+def _consistency_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = _r6(_wh(spark, sf_dir)["fact_ratings"], "popularity_score")
+    planted = (F.col("rating_category") == K.RATING_OUTSTANDING) & _parity("title_id", 2, 0)
+    bad = F.when(planted, F.lit(K.CRITICAL_FAILURE)).otherwise(F.col("success_category"))
+    return Q.run_check(Q.check_by_id("rating_consistency"), {"fact_ratings": fact.withColumn("success_category", bad)})
+
+
+def _keys_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = dict(raw_sources(spark, sf_dir))
+    r = raw["title_ratings"]
+    no_key = r.filter(_parity("tconst", 101, 0)).withColumn("tconst", F.lit(None).cast("string"))
+    raw["title_ratings"] = r.unionByName(r.filter(_parity("tconst", 97, 0))).unionByName(no_key)
+    return I.raw_key_violations(raw)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -161,9 +278,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "professions_by_generation_all": _p(A.professions_by_generation, "avg_age", min_people=1),
         "professions_by_generation_min20": _p(A.professions_by_generation, "avg_age", min_people=20),
         "career_longevity": _p(A.career_longevity),
-        "quality_quadrants": _ft(A.quality_quadrants),
+        "quality_quadrants": _fact(A.quality_quadrants),
         "runtime_evolution": _tf(A.runtime_evolution),
-        "adult_vs_general": _tf(A.adult_vs_general),
+        "adult_vs_general": _fact(A.adult_vs_general),
         "long_running_series": _tf(A.long_running_series),
         "recent_vs_classic": _tf(A.recent_vs_classic),
         "data_completeness": _tpf(A.data_completeness),
@@ -189,13 +306,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_career_span": _check("career_span"),
         "check_rating_credibility": _check("rating_credibility"),
         "check_rating_consistency": _check("rating_consistency"),
+        "check_unique_planted": _unique_planted,
+        "check_accepted_values_planted": _accepted_planted,
+        "check_rating_consistency_planted": _consistency_planted,
         "quality_report": _quality_report,
         # ingestion
         "load_audit": _load_audit,
         "raw_key_violations": _raw_key_violations,
         "tsv_round_trip": _tsv_round_trip("name_basics"),
         "tsv_round_trip_credits": _tsv_round_trip("title_principals"),
-        "stream_append_ratings": _stream_append("title_ratings"),
+        "stream_append_ratings": _stream_append,
+        "tsv_foreign_header": _foreign_header,
+        "load_refresh_after_failure": _refresh_after_failure,
+        "append_over_loaded": _append_over_loaded,
+        "load_if_empty_recovers": _load_if_empty_recovers,
+        "raw_key_violations_planted": _keys_planted,
+        # storage and access
+        "marts_stored_round_trip": _marts_stored,
+        "csv_export_round_trip": _csv_export,
+        "bridge_skewed": _bridge_skewed,
+        "sql_top_rated_movies": _sql_top_rated,
     }
 
 

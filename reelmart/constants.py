@@ -5,6 +5,8 @@ written, because query results and data-quality checks are compared
 against them. They are listed in the order the rules evaluate them.
 """
 
+from decimal import Decimal
+
 # --- FIXED VALUES: source catalogue -------------------------------------------------
 
 # Landing file name -> raw table name, and the raw column order of each file.
@@ -110,11 +112,11 @@ GENERATION_PRE_SILENT = "Pre-Silent Generation"
 
 RATING_NOT_RATED = "Not Rated"
 RATING_LADDER = [  # (rating strictly below, label); otherwise 'Outstanding (9.0+)'
-    (3.0, "Poor (< 3.0)"),
-    (5.0, "Below Average (3.0-4.9)"),
-    (7.0, "Average (5.0-6.9)"),
-    (8.0, "Good (7.0-7.9)"),
-    (9.0, "Excellent (8.0-8.9)"),
+    (Decimal("3.0"), "Poor (< 3.0)"),
+    (Decimal("5.0"), "Below Average (3.0-4.9)"),
+    (Decimal("7.0"), "Average (5.0-6.9)"),
+    (Decimal("8.0"), "Good (7.0-7.9)"),
+    (Decimal("9.0"), "Excellent (8.0-8.9)"),
 ]
 RATING_OUTSTANDING = "Outstanding (9.0+)"
 
@@ -129,8 +131,8 @@ VOTE_LADDER = [  # (votes strictly below, label); otherwise 'Massive (1M+)'
 VOTES_MASSIVE = "Massive (1M+)"
 
 SIGNIFICANT_VOTES = 1000
-HIGHLY_RATED = (8.0, 10000)       # rating >=, votes >=
-MAINSTREAM_SUCCESS = (7.0, 100000)
+HIGHLY_RATED = (Decimal("8.0"), 10000)       # rating >=, votes >=
+MAINSTREAM_SUCCESS = (Decimal("7.0"), 100000)
 
 CONFIDENCE_NONE = "No Confidence"
 CONFIDENCE_LADDER = [  # (votes strictly below, label); otherwise 'Very High Confidence'
@@ -142,11 +144,11 @@ CONFIDENCE_LADDER = [  # (votes strictly below, label); otherwise 'Very High Con
 CONFIDENCE_TOP = "Very High Confidence"
 
 PERCENTILE_TIERS = [  # (rating at least, label); otherwise 'Bottom 50%'
-    (8.5, "Top 1%"),
-    (8.0, "Top 5%"),
-    (7.5, "Top 10%"),
-    (7.0, "Top 25%"),
-    (6.0, "Top 50%"),
+    (Decimal("8.5"), "Top 1%"),
+    (Decimal("8.0"), "Top 5%"),
+    (Decimal("7.5"), "Top 10%"),
+    (Decimal("7.0"), "Top 25%"),
+    (Decimal("6.0"), "Top 50%"),
 ]
 PERCENTILE_BOTTOM = "Bottom 50%"
 
@@ -157,7 +159,7 @@ CRITICAL_FAILURE = "Critical Failure"              # rating < 4.0 and votes >= 5
 HIGH_VISIBILITY = "High Visibility"                # votes >= 100000
 STANDARD_RELEASE = "Standard Release"              # otherwise
 
-QUADRANT_SPLIT = (7.0, 10000)  # rating, votes
+QUADRANT_SPLIT = (Decimal("7.0"), 10000)  # rating, votes
 QUADRANT_HH = "High Quality, High Popularity"
 QUADRANT_HL = "High Quality, Low Popularity"
 QUADRANT_LH = "Low Quality, High Popularity"

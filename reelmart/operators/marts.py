@@ -7,8 +7,6 @@ are the key joins of ``fact_ratings`` and ``bridge_cast_crew``.
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,14 +22,13 @@ from reelmart.functions import (
     in_ladder,
     ladder,
 )
-from reelmart.operators.joins import DEFAULT_HOT_ROWS, find_hot_keys, unique_key_join
-from reelmart.operators.staging import credit_columns
+from reelmart.operators.joins import ROW, row_number_hash, unique_key_join
+from reelmart.operators.staging import HotKeys, credit_columns
 
 
 def as_of(as_of_year: int | None) -> Column:
-    """The clock year used by age/recency rules (current year unless pinned)."""
-    year = datetime.date.today().year if as_of_year is None else int(as_of_year)
-    return F.lit(year)
+    """The clock year used by age/recency rules (the session's current year unless pinned)."""
+    return F.year(F.current_date()) if as_of_year is None else F.lit(int(as_of_year))
 
 
 # ---------------------------------------------------------------- dim_titles
@@ -117,16 +114,14 @@ TITLE_CONTEXT_FOR_RATINGS = ["title_id", "title_type", "content_category", "star
                              "runtime_category", "is_adult"]
 
 
-def fact_ratings(stg: DataFrame, titles: DataFrame, as_of_year: int | None = None,
-                 hot_rows: int | None = None) -> DataFrame:
+def fact_ratings(stg: DataFrame, titles: DataFrame, as_of_year: int | None = None) -> DataFrame:
     """One row per rating with title context (kept NULL for titles not in the dimension).
 
-    The join is on ``title_id``, which is unique on both sides, so key skew
-    cannot occur; ``hot_rows`` stays off by default.
+    The join is on ``title_id``, which is unique on both sides, so key skew cannot occur.
     """
     now = as_of(as_of_year)
     context = titles.select(*TITLE_CONTEXT_FOR_RATINGS)
-    joined = unique_key_join(stg, context, "title_id", "left", hot_rows=hot_rows)
+    joined = unique_key_join(stg, context, "title_id", "left")
     rating, votes = F.col("average_rating"), F.col("num_votes")
     start = F.col("start_year")
     hr_rating, hr_votes = K.HIGHLY_RATED
@@ -197,28 +192,27 @@ def _bridge_columns(joined: DataFrame) -> DataFrame:
 
 
 def bridge_cast_crew(stg_principals: DataFrame, titles: DataFrame, people: DataFrame,
-                     hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                     hot: HotKeys | None = None) -> DataFrame:
     """Credits LEFT JOIN title context LEFT JOIN person context (not deduplicated)."""
-    return _bridge_columns(_credit_context(stg_principals, titles, people, "left", hot_rows))
+    return _bridge_columns(_credit_context(stg_principals, titles, people, "left", hot))
 
 
-def _credit_context(credits: DataFrame, titles: DataFrame, people: DataFrame, how: str,
-                    hot_rows: int | None) -> DataFrame:
+def _credit_context(credits: DataFrame, titles: DataFrame, people: DataFrame, how: str, hot: HotKeys | None) -> DataFrame:
     """Credits joined to title context on title_id, then to person context on person_id.
 
-    Both joins are shuffle joins at scale. Hot titles and hot people are found
-    in one small job over the credits (at most ``MAX_HOT_KEYS`` keys come
-    back); only joins that have hot keys are salted (see ``operators.joins``).
+    Both are shuffle joins at scale; hot titles and people are salted (see ``operators.joins``).
     """
     t = titles.select(*TITLE_CONTEXT_FOR_CREDITS)
     p = people.select(*PERSON_CONTEXT_FOR_CREDITS)
-    hot = find_hot_keys(credits, ["title_id", "person_id"], hot_rows) if hot_rows else {}
-    joined = unique_key_join(credits, t, "title_id", how, hot=hot.get("title_id"))
-    return unique_key_join(joined, p, "person_id", how, hot=hot.get("person_id"))
+    hot = hot or {}
+    if any(h is not None for h in hot.values()):
+        credits = credits.withColumn(ROW, row_number_hash())
+    joined = unique_key_join(credits, t, "title_id", how, hot.get("title_id"))
+    return unique_key_join(joined, p, "person_id", how, hot.get("person_id"))
 
 
 def bridge_cast_crew_from_raw(raw_principals: DataFrame, titles: DataFrame, people: DataFrame,
-                              hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                              hot: HotKeys | None = None) -> DataFrame:
     """Same rows as ``bridge_cast_crew(stg_title_principals(...), titles, people)`` in two joins.
 
     ``dim_titles`` holds exactly the supported-type titles and ``dim_people``
@@ -228,5 +222,4 @@ def bridge_cast_crew_from_raw(raw_principals: DataFrame, titles: DataFrame, peop
     the credits to two. Only valid for dimensions built from the same raw
     tables as the credits' staging filter (``pipeline.build`` guarantees it).
     """
-    credits = credit_columns(raw_principals)
-    return _bridge_columns(_credit_context(credits, titles, people, "inner", hot_rows))
+    return _bridge_columns(_credit_context(credit_columns(raw_principals), titles, people, "inner", hot))

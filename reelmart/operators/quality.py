@@ -14,9 +14,8 @@ test conventions:
 
 ``quality_report`` evaluates every declared check and returns one row per
 check with its failure count and status. It reads each relation once for all
-row-level checks (one conditional-count pass), once for all accepted-value
-checks (only failing values are shuffled), once per unique key and once per
-relationship (an anti-join against the parent's key set).
+row-level and accepted-value checks (only failing rows are emitted), once per unique key
+and once per relationship (keys counted first, then an anti-join against the parent's keys).
 """
 
 from __future__ import annotations
@@ -28,8 +27,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmart import constants as K
-from reelmart.functions import count_when
-from reelmart.operators.joins import unique_key_join
 from reelmart.operators.marts import as_of
 
 Pred = Callable[[Column], Column]  # as_of year column -> predicate
@@ -54,15 +51,20 @@ def check_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame
             .agg(F.count(F.lit(1)).alias("n_records")))
 
 
-def check_relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                        hot_rows: int | None = None) -> DataFrame:
-    keys = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull())
-    if hot_rows:
-        keys = keys.distinct()  # salting replicates partner rows: keep the key side unique
-    # (a left anti-join is unaffected by repeated keys on the parent side, so no distinct otherwise)
-    orphans = unique_key_join(child.filter(F.col(column).isNotNull()).select(column), keys, column, "left_anti",
-                              hot_rows=hot_rows)
-    return orphans.select(F.col(column).alias("from_field"))
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """(key, n_records) of the child's keys (not NULL) that the parent lacks.
+
+    Child rows are counted per key first, map-side, so a key that holds a third of all
+    rows is one row per task in the shuffle.
+    """
+    counts = (child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("key"))
+              .agg(F.count(F.lit(1)).alias("n_records")))
+    return counts.join(parent.select(F.col(parent_column).alias("key")), "key", "left_anti")
+
+
+def check_relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    orphans = orphan_keys(child, column, parent, parent_column).select(F.col("key").alias(column))
+    return child.join(orphans, column, "left_semi").select(F.col(column).alias("from_field"))
 
 
 def check_expression(df: DataFrame, predicate: Column, where: Column | None = None) -> DataFrame:
@@ -203,7 +205,7 @@ def _declared() -> list[Check]:
     return checks
 
 
-# FIXED VALUES: messages returned by the singular checks.
+# FIXED VALUES: the declared checks above, and the messages returned by the singular checks.
 RATING_RANGE_MESSAGE = "Rating out of valid range (1-10)"
 MOVIE_YEAR_MESSAGE = "Start year seems unreasonable for a movie/show"
 RUNTIME_MESSAGE = "Runtime seems unreasonable"
@@ -273,8 +275,7 @@ def check_by_id(check_id: str) -> Check:
     raise KeyError(check_id)
 
 
-def run_check(check: Check, relations: dict[str, DataFrame], as_of_year: int | None = None,
-              hot_rows: int | None = None) -> DataFrame:
+def run_check(check: Check, relations: dict[str, DataFrame], as_of_year: int | None = None) -> DataFrame:
     """Violating rows of one declared check."""
     df = relations[check.relation]
     now = as_of(as_of_year)
@@ -286,7 +287,7 @@ def run_check(check: Check, relations: dict[str, DataFrame], as_of_year: int | N
         return check_accepted_values(df, check.column, list(check.values))
     if check.kind == "relationships":
         parent, parent_col = check.parent
-        return check_relationships(df, check.column, relations[parent], parent_col, hot_rows=hot_rows)
+        return check_relationships(df, check.column, relations[parent], parent_col)
     if check.kind == "expression":
         return check_expression(df, check.passes(now), check.where(now) if check.where else None)
     if check.kind == "singular":
@@ -312,51 +313,59 @@ def _report_rows(checks: list[Check], counts: DataFrame) -> DataFrame:
                          status.alias("status"))
 
 
-def _stack_counts(df: DataFrame, named_counts: list[tuple[str, Column]]) -> DataFrame:
-    aggs = [expr.alias(f"c{i}") for i, (_, expr) in enumerate(named_counts)]
-    args = ", ".join(f"'{cid}', c{i}" for i, (cid, _) in enumerate(named_counts))
-    return df.agg(*aggs).selectExpr(f"stack({len(named_counts)}, {args}) as (check_id, failures)")
+def _failing_rows(df: DataFrame, checks: list[Check], now: Column) -> DataFrame:
+    """(check_id, value, n) for each failing row of each row-level or accepted-values check, in one pass.
+
+    ``value`` is the bad value of an accepted-values check, whose distinct values count.
+    """
+    def one(chk: Check) -> Column:
+        if chk.kind == "accepted_values":
+            fails, value = ~F.col(chk.column).isin(list(chk.values)), F.col(chk.column).cast("string")
+        else:
+            fails, value = chk.violation(now), F.lit(None).cast("string")
+        return F.when(fails, F.struct(F.lit(chk.check_id).alias("check_id"), value.alias("value")))
+
+    failing = F.filter(F.array(*[one(chk) for chk in checks]), lambda x: x.isNotNull())
+    return df.select(F.explode(failing).alias("f")).select("f.check_id", "f.value", F.lit(1).cast("long").alias("n"))
 
 
 def quality_report(relations: dict[str, DataFrame], checks: list[Check] | None = None,
-                   as_of_year: int | None = None, hot_rows: int | None = None) -> DataFrame:
-    """One row per check: (check_id, relation, column_name, kind, severity, failures, status)."""
+                   as_of_year: int | None = None) -> DataFrame:
+    """One row per check: (check_id, relation, column_name, kind, severity, failures, status).
+
+    One pass per relation emits the failing rows of all its row-level and accepted-values
+    checks; unique keys and relationships emit their failing keys. All are added up together.
+    """
     checks = checks if checks is not None else DECLARED_CHECKS
     now = as_of(as_of_year)
     parts: list[DataFrame] = []
     by_relation: dict[str, list[Check]] = {}
     for chk in checks:
         by_relation.setdefault(chk.relation, []).append(chk)
+    none = F.lit(None).cast("string").alias("value")
     for rel, rel_checks in by_relation.items():
         df = relations[rel]
-        row_level = [chk for chk in rel_checks if chk.kind in ("not_null", "expression", "singular")]
-        if row_level:
-            parts.append(_stack_counts(df, [(chk.check_id, count_when(chk.violation(now))) for chk in row_level]))
-        accepted = [chk for chk in rel_checks if chk.kind == "accepted_values"]
-        if accepted:
-            # (check_id, bad value) pairs of failing rows only; failures = distinct bad values per check.
-            pairs = F.array(*[F.when(~F.col(chk.column).isin(list(chk.values)),
-                                     F.struct(F.lit(chk.check_id).alias("check_id"),
-                                              F.col(chk.column).cast("string").alias("v")))
-                              for chk in accepted])
-            parts.append(df.select(F.explode(F.filter(pairs, lambda x: x.isNotNull())).alias("p"))
-                         .groupBy("p.check_id").agg(F.count_distinct("p.v").alias("failures")))
+        in_rows = [chk for chk in rel_checks if chk.kind in ("not_null", "expression", "singular", "accepted_values")]
+        if in_rows:
+            parts.append(_failing_rows(df, in_rows, now))
         for chk in rel_checks:
+            label = F.lit(chk.check_id).alias("check_id")
             if chk.kind == "unique":
-                parts.append(_stack_counts(check_unique(df, chk.column), [(chk.check_id, F.count(F.lit(1)))]))
+                parts.append(check_unique(df, chk.column).select(label, none, F.lit(1).cast("long").alias("n")))
             elif chk.kind == "relationships":
                 parent, parent_col = chk.parent
-                orphans = check_relationships(df, chk.column, relations[parent], parent_col, hot_rows=hot_rows)
-                parts.append(_stack_counts(orphans, [(chk.check_id, F.count(F.lit(1)))]))
-    out = parts[0]
+                parts.append(orphan_keys(df, chk.column, relations[parent], parent_col).select(label, none, F.col("n_records").alias("n")))
+    failing = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    # checks without a failing row produce no count row above (accepted values): fill them with 0
-    spark = out.sparkSession
-    catalog = spark.createDataFrame([(chk.check_id,) for chk in checks], "check_id string")
-    counts = catalog.join(out, "check_id", "left").select(
-        "check_id", F.coalesce(F.col("failures"), F.lit(0)).alias("failures"))
-    return _report_rows(checks, counts)
+        failing = failing.unionByName(p)
+    accepted = F.col("check_id").isin([chk.check_id for chk in checks if chk.kind == "accepted_values"])
+    counts = (failing.groupBy("check_id", "value").agg(F.sum("n").alias("n"))
+              .groupBy("check_id").agg(F.sum("n").alias("rows"), F.count("value").alias("values"))
+              .select("check_id", F.when(accepted, F.col("values")).otherwise(F.col("rows")).alias("failures")))
+    # a check without a failing row gave no row above
+    every = failing.sparkSession.createDataFrame([(chk.check_id,) for chk in checks], "check_id string")
+    return _report_rows(checks, every.join(counts, "check_id", "left").select(
+        "check_id", F.coalesce(F.col("failures"), F.lit(0)).alias("failures")))
 
 
 def failed_checks(report: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reelmart.constants import SUPPORTED_TITLE_TYPES
 from reelmart.functions import ladder
-from reelmart.operators.joins import find_hot_keys, semi_join
+from reelmart.operators.joins import ROW, row_number_hash, semi_join
 
 
 def _bool_flag(col: str):
@@ -86,24 +86,28 @@ def credit_columns(raw: DataFrame) -> DataFrame:
     )
 
 
+#: Hot keys by column, as ``find_hot_keys`` gives them.
+HotKeys = dict[str, DataFrame | None]
+
+
 def stg_title_principals(raw: DataFrame, raw_title_basics: DataFrame, raw_name_basics: DataFrame,
-                         hot_rows: int | None = None) -> DataFrame:
-    """Credits whose title is supported and whose person is named (two semi-joins).
-
-    The semi-joins run on narrow key sets. By default skewed keys are left to
-    adaptive execution, which splits an oversized join partition at run time
-    from the shuffle statistics (no extra pass); ``hot_rows`` switches to
-    explicit salting of keys with at least that many rows (hot titles and hot
-    people are found together in one bounded job).
+                         hot: HotKeys | None = None) -> DataFrame:
+    """Credits whose title is supported and whose person is named (two semi-joins on narrow key sets).
+
+    ``hot``: hot titles and people of the credits, whose rows are then salted.
     """
+    hot = hot or {}
     credits = credit_columns(raw)
-    hot = find_hot_keys(credits, ["title_id", "person_id"], hot_rows) if hot_rows else {}
-    credits = semi_join(credits, supported_title_keys(raw_title_basics), "title_id", hot=hot.get("title_id"))
-    return semi_join(credits, named_people_keys(raw_name_basics), "person_id", hot=hot.get("person_id"))
+    columns = credits.columns
+    if any(h is not None for h in hot.values()):
+        credits = credits.withColumn(ROW, row_number_hash())
+    credits = semi_join(credits, supported_title_keys(raw_title_basics), "title_id", hot.get("title_id"))
+    return semi_join(credits, named_people_keys(raw_name_basics), "person_id", hot.get("person_id")).select(*columns)
 
 
-def stg_title_akas(raw: DataFrame, raw_title_basics: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    akas = raw.select(
+def aka_columns(raw: DataFrame) -> DataFrame:
+    """Typed, renamed columns of raw ``title_akas`` (no filter)."""
+    return raw.select(
         F.col("titleid").alias("title_id"),
         F.col("ordering").cast("int").alias("ordering"),
         F.col("title").alias("alternative_title"),
@@ -113,4 +117,12 @@ def stg_title_akas(raw: DataFrame, raw_title_basics: DataFrame, hot_rows: int |
         F.col("attributes").alias("attributes_raw"),
         _bool_flag("isoriginaltitle").alias("is_original_title"),
     )
-    return semi_join(akas, supported_title_keys(raw_title_basics), "title_id", hot_rows=hot_rows)
+
+
+def stg_title_akas(raw: DataFrame, raw_title_basics: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Alternative titles of supported titles; ``hot``: hot titles, whose rows are then salted."""
+    akas, hot_titles = aka_columns(raw), (hot or {}).get("title_id")
+    columns = akas.columns
+    if hot_titles is not None:
+        akas = akas.withColumn(ROW, row_number_hash())
+    return semi_join(akas, supported_title_keys(raw_title_basics), "title_id", hot_titles).select(*columns)

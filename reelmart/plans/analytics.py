@@ -14,6 +14,8 @@ key of the table is the final tie-break so ``LIMIT`` is deterministic.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,15 +64,20 @@ def _genre_stats(titles: DataFrame, fact: DataFrame, min_titles: int) -> DataFra
 
 
 # Q1
-def top_rated_movies(fact: DataFrame, titles: DataFrame, min_rating: float = 8.0, limit: int = 20) -> DataFrame:
-    """Q1: highest-rated significant movies, newest decade first; a global top ``limit``."""
-    f = _facts_of(fact, MOVIE).filter(F.col("is_statistically_significant") & (F.col("average_rating") >= min_rating)) \
-        .select("title_id", "average_rating", "num_votes", "success_category")
-    t = _movies(titles.filter(F.col("decade").isNotNull()), "decade", "primary_title", "runtime_category")
-    return (f.join(t, "title_id")
-            .orderBy(F.col("decade").desc_nulls_first(), F.col("average_rating").desc_nulls_first(),
-                     F.col("title_id").asc_nulls_last())
-            .limit(limit)
+def top_rated_movies(fact: DataFrame, titles: DataFrame, min_rating: str = "8.0", limit: int = 20) -> DataFrame:
+    """Q1: highest-rated significant movies, newest decade first; a global top ``limit``.
+
+    All filters and sort keys are on the fact (its title context is a copy), so the top
+    rows are taken there and only they meet the titles.
+    """
+    order = [F.col("decade").desc_nulls_first(), F.col("average_rating").desc_nulls_first(), F.col("title_id").asc_nulls_last()]
+    top = (_facts_of(fact, MOVIE)
+           .filter(F.col("is_statistically_significant") & F.col("decade").isNotNull()
+                   & (F.col("average_rating") >= F.lit(Decimal(min_rating)).cast("decimal(3,1)")))
+           .select("title_id", "decade", "average_rating", "num_votes", "success_category", "runtime_category")
+           .orderBy(*order).limit(limit))
+    return (titles.select("title_id", "primary_title").join(F.broadcast(top), "title_id")  # at most ``limit`` rows
+            .orderBy(*order)
             .select("decade", "primary_title", "average_rating", "num_votes", "success_category",
                     "runtime_category"))
 
@@ -128,11 +135,11 @@ def career_longevity(people: DataFrame, min_span: int = 60, limit: int = 20) ->
 
 
 # Q6
-def quality_quadrants(fact: DataFrame, titles: DataFrame) -> DataFrame:
+def quality_quadrants(fact: DataFrame) -> DataFrame:
     """Q6: movies per quality/popularity quadrant, in quadrant order."""
-    f = _facts_of(fact, MOVIE).select("title_id", "quality_popularity_quadrant", "average_rating", "num_votes")
+    # ``decade`` on the fact is a copy of the title's, so no join is needed
     rank = ladder([(F.col("quality_popularity_quadrant") == q, i + 1) for i, q in enumerate(K.QUADRANTS)])
-    return (f.join(_movies(titles, "decade"), "title_id")
+    return (_facts_of(fact, MOVIE)
             .groupBy("quality_popularity_quadrant")
             .agg(F.count(F.lit(1)).alias("movie_count"),
                  rounded_avg(F.col("average_rating"), 2).alias("avg_rating"),
@@ -157,12 +164,11 @@ def runtime_evolution(titles: DataFrame, fact: DataFrame, min_decade: int = 1950
 
 
 # Q8
-def adult_vs_general(titles: DataFrame, fact: DataFrame) -> DataFrame:
-    """Q8: rated movies by content rating category."""
-    f = _facts_of(fact, MOVIE).select("title_id", "average_rating", "num_votes", "is_statistically_significant",
-                                      "success_category")
-    return (_movies(titles, "content_rating_category").join(f, "title_id")
-            .groupBy("content_rating_category")
+def adult_vs_general(fact: DataFrame) -> DataFrame:
+    """Q8: rated movies by content rating category, which follows from the fact's copy of ``is_adult``."""
+    category = F.when(F.col("is_adult"), F.lit(K.ADULT_CONTENT)).otherwise(F.lit(K.GENERAL_AUDIENCE))
+    return (_facts_of(fact, MOVIE)
+            .groupBy(category.alias("content_rating_category"))
             .agg(F.count(F.lit(1)).alias("title_count"),
                  rounded_avg(F.col("average_rating"), 2).alias("avg_rating"),
                  rounded_avg(F.col("num_votes"), 0).alias("avg_votes"),
@@ -261,9 +267,9 @@ def all_queries(titles: DataFrame, people: DataFrame, fact: DataFrame) -> dict[s
         "genre_popularity": genre_popularity(titles, fact),
         "professions_by_generation": professions_by_generation(people),
         "career_longevity": career_longevity(people),
-        "quality_quadrants": quality_quadrants(fact, titles),
+        "quality_quadrants": quality_quadrants(fact),
         "runtime_evolution": runtime_evolution(titles, fact),
-        "adult_vs_general": adult_vs_general(titles, fact),
+        "adult_vs_general": adult_vs_general(fact),
         "long_running_series": long_running_series(titles, fact),
         "recent_vs_classic": recent_vs_classic(titles, fact),
         "data_completeness": data_completeness(titles, people, fact),

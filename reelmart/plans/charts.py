@@ -21,7 +21,7 @@ class EmptyResultError(ValueError):
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Fail when ``df`` is empty (one ``limit(1)`` probe, no data to the driver)."""
     if df.isEmpty():
-        raise EmptyResultError(f"No rows returned for {what}. Verify content_category/decade filters and joins.")
+        raise EmptyResultError(f"the {what} dataset is empty")
     return df
 
 
@@ -50,13 +50,14 @@ def chart_genre_popularity(titles: DataFrame, fact: DataFrame, min_titles: int =
 # D3
 def chart_quality_points(titles: DataFrame, fact: DataFrame, min_votes: int = 100, first: int = 1990,
                          last: int = 2020, limit: int = 2000) -> DataFrame:
-    t = titles.filter((F.col("content_category") == MOVIE) & F.col("decade").between(first, last)) \
-        .select("title_id", "primary_title", "decade", "content_category")
-    f = _facts_of(fact, MOVIE).filter(F.col("average_rating").isNotNull() & (F.col("num_votes") >= min_votes)) \
-        .select("title_id", "average_rating", "num_votes", "success_category")
-    return (t.join(f, "title_id")
-            .orderBy(F.col("num_votes").desc_nulls_first(), F.col("title_id").asc_nulls_last())
-            .limit(limit)
+    """Points of well-voted movies, most votes first; the top ``limit`` are taken on the fact, then joined to their titles."""
+    order = [F.col("num_votes").desc_nulls_first(), F.col("title_id").asc_nulls_last()]
+    top = (_facts_of(fact, MOVIE)
+           .filter(F.col("average_rating").isNotNull() & (F.col("num_votes") >= min_votes) & F.col("decade").between(first, last))
+           .select("title_id", "average_rating", "num_votes", "decade", "content_category", "success_category")
+           .orderBy(*order).limit(limit))
+    return (titles.select("title_id", "primary_title").join(F.broadcast(top), "title_id")  # at most ``limit`` rows
+            .orderBy(*order)
             .select("primary_title", "average_rating", "num_votes", "decade", "content_category",
                     F.coalesce(F.col("success_category"), F.lit(K.AVERAGE_QUALITY)).alias("success_category")))
 

@@ -1,25 +1,27 @@
-"""End-to-end build: raw sources -> staging -> marts, lazily or materialised.
+"""End-to-end build: raw sources -> staging -> marts, lazily or stored.
 
 ``build`` composes the transformations as DataFrames in dependency order
 (sources -> staging -> dims -> fact and bridge); nothing runs until an
-action. ``materialize`` writes the marts as Parquet under the shared
-checkpoint folder and returns DataFrames that read them back, so each
-downstream query starts from a short lineage (and survives lost executors
-without recomputing the joins).
+action. ``stage_marts`` writes the marts as Parquet parts and returns DataFrames that read
+them back, so each downstream query starts from a short lineage (and survives lost
+executors without recomputing the joins); ``publish_marts`` makes them the marts of a root
+(``sources.store``). ``run`` publishes only what passed the quality gate.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.operators import marts as M
 from reelmart.operators import staging as S
-from reelmart.operators.joins import DEFAULT_HOT_ROWS
+from reelmart.operators.joins import HOT_SHARE, find_hot_keys
 from reelmart.session import scratch_path
+from reelmart.sources.store import database_of, new_part, publish, published, read_published
 from reelmart.sources.synthetic import raw_sources
 
 MART_NAMES = ["dim_titles", "dim_people", "fact_ratings", "bridge_cast_crew"]
@@ -37,8 +39,8 @@ MART_SORT_KEYS = {
 class LazyTables(dict):
     """Name -> DataFrame, where a value may be a zero-argument builder run on first access.
 
-    Building the bridge runs a small hot-key detection job, so it is deferred
-    until someone asks for the bridge; all other tables are plain lazy DataFrames.
+    Relations that may be salted look for hot keys first (one sketch pass), so they are
+    built when someone asks for them; all other tables are plain lazy DataFrames.
     """
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -61,13 +63,14 @@ class Warehouse:
     staging: dict[str, DataFrame]
     marts: dict[str, DataFrame]
     as_of_year: int | None = None
-    hot_rows: int | None = DEFAULT_HOT_ROWS
+    #: () -> hot titles and people of the credits; one sketch pass on first call, shared by staging and bridge
+    hot_credits: object = field(default=lambda: None)
 
     def relations(self) -> dict[str, DataFrame]:
         """Every relation by name: ``raw_<table>``, staging views and marts."""
         out = LazyTables({f"raw_{name}": df for name, df in self.raw.items()})
-        out.update(self.staging)
-        out.update(dict.items(self.marts))  # keep deferred builders deferred
+        out.update(dict.items(self.staging))  # keep deferred builders deferred
+        out.update(dict.items(self.marts))
         return out
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -76,70 +79,62 @@ class Warehouse:
                 return layer[name]
         raise KeyError(name)
 
-
-def build_staging(raw: dict[str, DataFrame], hot_rows: int | None = None) -> dict[str, DataFrame]:
-    return {
-        "stg_title_basics": S.stg_title_basics(raw["title_basics"]),
-        "stg_title_ratings": S.stg_title_ratings(raw["title_ratings"]),
-        "stg_name_basics": S.stg_name_basics(raw["name_basics"]),
-        "stg_title_principals": S.stg_title_principals(raw["title_principals"], raw["title_basics"],
-                                                       raw["name_basics"], hot_rows=hot_rows),
-        "stg_title_akas": S.stg_title_akas(raw["title_akas"], raw["title_basics"], hot_rows=hot_rows),
-    }
+    def create_views(self, names: list[str] | None = None) -> None:
+        """Temporary views of staging and marts under their names, for SQL text."""
+        for name in names or [*self.staging, *self.marts]:
+            self[name].createOrReplaceTempView(name)
 
 
 # The large, row-heavy sources: every credit and every alternative title.
 LARGE_SOURCES = ("title_principals", "title_akas")
 
 
-def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over all cores when its scan yields fewer tasks than cores.
-
-    A large source stored as one file with one row group is read by a single
-    task, and all the narrow work before its first shuffle (typing, filters,
-    broadcast joins, the write) would run on one core. A cluster-sized input
-    already splits into many tasks and is returned unchanged. The repartition
-    sorts before distributing, so a retried task rebuilds the same partitions.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        scan_tasks = df.rdd.getNumPartitions()  # planning only: no job runs
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session exposes neither
-        return df
-    return df.repartition(cores) if scan_tasks < cores else df
-
-
-def build(raw: dict[str, DataFrame], as_of_year: int | None = None,
-          hot_rows: int | None = DEFAULT_HOT_ROWS, fuse_bridge: bool = True, spread: bool = True) -> Warehouse:
+def build(raw: dict[str, DataFrame], as_of_year: int | None = None, hot_share: float | None = HOT_SHARE,
+          fuse_bridge: bool = True, spread_partitions: int | None = None) -> Warehouse:
     """Lazy warehouse over the given raw tables.
 
     With ``fuse_bridge`` the bridge joins the raw credits straight to the
     dimensions (two shuffles instead of four; see ``bridge_cast_crew_from_raw``).
-    The large sources are spread over all cores if their files split into too
-    few scan tasks (``spread_if_underpartitioned``); pass ``spread=False`` for a
-    bucketed raw layer, whose partitioning the joins reuse.
+    Keys with more than ``hot_share`` of the credits or alternative titles are salted in
+    staging and bridge (None: never). ``spread_partitions`` deals the two large sources
+    over that many tasks first, for inputs stored in fewer files than there are cores.
     """
-    if spread:
-        raw = {name: spread_if_underpartitioned(df) if name in LARGE_SOURCES else df for name, df in raw.items()}
-    stg = build_staging(raw)
+    if spread_partitions:
+        raw = {name: df.repartition(spread_partitions) if name in LARGE_SOURCES else df for name, df in raw.items()}
+
+    @cache
+    def hot_credits() -> S.HotKeys:
+        return find_hot_keys(S.credit_columns(raw["title_principals"]), ["title_id", "person_id"], hot_share) if hot_share else {}
+
+    @cache
+    def hot_akas() -> S.HotKeys:
+        return find_hot_keys(S.aka_columns(raw["title_akas"]).select("title_id"), ["title_id"], hot_share) if hot_share else {}
+
+    stg = LazyTables({
+        "stg_title_basics": S.stg_title_basics(raw["title_basics"]),
+        "stg_title_ratings": S.stg_title_ratings(raw["title_ratings"]),
+        "stg_name_basics": S.stg_name_basics(raw["name_basics"]),
+        "stg_title_principals": lambda: S.stg_title_principals(raw["title_principals"], raw["title_basics"], raw["name_basics"], hot_credits()),
+        "stg_title_akas": lambda: S.stg_title_akas(raw["title_akas"], raw["title_basics"], hot_akas()),
+    })
     titles = M.dim_titles(stg["stg_title_basics"], as_of_year)
     people = M.dim_people(stg["stg_name_basics"], as_of_year)
     fact = M.fact_ratings(stg["stg_title_ratings"], titles, as_of_year)
     if fuse_bridge:
         def bridge() -> DataFrame:
-            return M.bridge_cast_crew_from_raw(raw["title_principals"], titles, people, hot_rows=hot_rows)
+            return M.bridge_cast_crew_from_raw(raw["title_principals"], titles, people, hot_credits())
     else:
         def bridge() -> DataFrame:
-            return M.bridge_cast_crew(stg["stg_title_principals"], titles, people, hot_rows=hot_rows)
+            return M.bridge_cast_crew(stg["stg_title_principals"], titles, people, hot_credits())
     return Warehouse(raw=raw, staging=stg,
                      marts=LazyTables({"dim_titles": titles, "dim_people": people, "fact_ratings": fact,
                                        "bridge_cast_crew": bridge}),
-                     as_of_year=as_of_year, hot_rows=hot_rows)
+                     as_of_year=as_of_year, hot_credits=hot_credits)
 
 
 def build_from_driver_tables(spark: SparkSession, sf_dir: str, as_of_year: int | None = None,
-                             hot_rows: int | None = DEFAULT_HOT_ROWS) -> Warehouse:
-    return build(raw_sources(spark, sf_dir), as_of_year=as_of_year, hot_rows=hot_rows)
+                             hot_share: float | None = HOT_SHARE, spread_partitions: int | None = None) -> Warehouse:
+    return build(raw_sources(spark, sf_dir), as_of_year=as_of_year, hot_share=hot_share, spread_partitions=spread_partitions)
 
 
 # Directory partitioning per mart: most title-level questions filter on
@@ -151,90 +146,113 @@ MART_PARTITIONS = {
 }
 
 
-def write_mart(df: DataFrame, path: str, sort_keys: list[str] | None = None,
-               partition_by: list[str] | None = None) -> None:
-    """Overwrite ``path`` with ``df`` as Parquet, rows clustered by ``sort_keys`` within files."""
-    out = df.sortWithinPartitions(*sort_keys) if sort_keys else df
-    writer = out.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+def write_mart(df: DataFrame, path: str, sort_keys: list[str], partition_by: list[str] | None = None) -> None:
+    """Write ``df`` as Parquet: dealt by ranges of the first sort key, sorted within each file.
 
-
-def store_mart(spark: SparkSession, name: str, df: DataFrame, path: str) -> DataFrame:
-    """Write one mart with its layout (sort keys, directory partitioning) and read it back in column order."""
-    write_mart(df, path, MART_SORT_KEYS.get(name), MART_PARTITIONS.get(name))
-    return spark.read.parquet(path).select(*df.columns)
+    The range gives each file a narrow span of keys; sorting by the folder column first
+    leaves the writer nothing to sort anew. At most one file per range and folder.
+    """
+    folders = partition_by or []
+    writer = df.repartitionByRange(sort_keys[0]).sortWithinPartitions(*folders, *sort_keys).write.mode("overwrite")
+    (writer.partitionBy(*folders) if folders else writer).parquet(path)
 
 
-def write_bucketed_mart(spark: SparkSession, df: DataFrame, path: str, table: str, buckets: int,
-                        sort_keys: list[str], partition_by: list[str] | None = None) -> DataFrame:
+def write_bucketed_mart(df: DataFrame, path: str, table: str, buckets: int, sort_keys: list[str],
+                        partition_by: list[str] | None = None) -> None:
     """Store ``df`` at ``path`` as an external catalog table bucketed and sorted by its join key.
 
     Marts bucketed on the same key with the same bucket count join without a
     shuffle on either side (the plan shows ``Bucketed: true`` scans feeding a
     sort-merge join with no Exchange), which removes the per-query shuffle of
-    ``fact_ratings`` and ``dim_titles`` from every title-level question.
+    ``fact_ratings`` and ``dim_titles`` from every title-level question. One task writes a
+    bucket, so there are at most buckets x folders files.
     """
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    (writer.bucketBy(buckets, sort_keys[0]).sortBy(*sort_keys)
-       .option("path", path).saveAsTable(table))
-    return spark.table(table).select(*df.columns)
-
-
-def materialize(spark: SparkSession, wh: Warehouse, root: str | None = None,
-                names: list[str] | None = None, buckets: int | None = None,
-                database: str = "reelmart", parallel: int = 2) -> dict[str, DataFrame]:
-    """Write marts under ``root`` (default: a fresh folder in the checkpoint dir) and read them back.
-
-    Dimensions are written first and read back before the fact and bridge are
-    built from them, so each mart is computed once. With ``buckets`` the marts
-    become external tables in ``database``: titles, ratings and credits bucketed
+    folders = partition_by or []
+    writer = df.repartition(buckets, sort_keys[0]).sortWithinPartitions(*folders, *sort_keys).write.mode("overwrite").format("parquet")
+    if folders:
+        writer = writer.partitionBy(*folders)
+    writer.bucketBy(buckets, sort_keys[0]).sortBy(*sort_keys).option("path", path).saveAsTable(table)
+
+
+@dataclass(frozen=True)
+class StagedMart:
+    name: str
+    part: str
+    frame: DataFrame
+    catalog_table: str | None = None
+
+
+def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str] | None = None, buckets: int | None = None,
+                database: str | None = None, parallel: int = 2) -> dict[str, StagedMart]:
+    """Write the named marts (default: all) as new parts under ``root`` and read them back; nothing is published.
+
+    Dimensions are written first, and a fact or bridge written with them is built from the
+    stored ones, so each mart is computed once. With ``buckets`` the marts
+    become external tables in ``database`` (default: one named after the root): titles, ratings and credits bucketed
     by ``title_id`` and people by ``person_id``, all with the same bucket count,
     so joins on those keys need no shuffle. ``parallel`` independent marts are
     written at once (the counterpart of running independent models on threads).
     """
-    root = (root or scratch_path(spark, "marts")).rstrip("/")
     names = names or MART_NAMES
+    database = database or database_of(root)
     if buckets:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        path = f"{root}/{name}"
+    def store(name: str, df: DataFrame) -> StagedMart:
+        part = new_part(root, name)
         if buckets:
-            return write_bucketed_mart(spark, df, path, f"{database}.{name}", buckets, MART_SORT_KEYS[name],
-                                       MART_PARTITIONS.get(name))
-        return store_mart(spark, name, df, path)
+            table = f"{database}.{name}_{part.rsplit('/', 1)[-1]}"
+            write_bucketed_mart(df, part, table, buckets, MART_SORT_KEYS[name], MART_PARTITIONS.get(name))
+            return StagedMart(name, part, spark.table(table).select(*df.columns), table)
+        write_mart(df, part, MART_SORT_KEYS[name], MART_PARTITIONS.get(name))
+        return StagedMart(name, part, spark.read.parquet(part).select(*df.columns))
 
-    out: dict[str, DataFrame] = {}
+    out: dict[str, StagedMart] = {}
     # Two waves of independent writes, each submitted from driver threads so the
     # jobs run side by side on the cluster: the dimensions, then fact and bridge
     # (which read the stored dimensions).
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        dims = {name: pool.submit(store, name, wh.marts[name]) for name in ("dim_titles", "dim_people")}
+        dims = {name: pool.submit(store, name, wh.marts[name]) for name in ("dim_titles", "dim_people") if name in names}
         out.update({name: f.result() for name, f in dims.items()})
-        titles, people = out["dim_titles"], out["dim_people"]
+        titles, people = (out[n].frame if n in out else wh.marts[n] for n in ("dim_titles", "dim_people"))
         later = {}
         if "fact_ratings" in names:
             later["fact_ratings"] = pool.submit(
-                lambda: store("fact_ratings", M.fact_ratings(wh.staging["stg_title_ratings"], titles,
-                                                             wh.as_of_year)))
+                lambda: store("fact_ratings", M.fact_ratings(wh.staging["stg_title_ratings"], titles, wh.as_of_year)))
         if "bridge_cast_crew" in names:
             later["bridge_cast_crew"] = pool.submit(
-                lambda: store("bridge_cast_crew", M.bridge_cast_crew_from_raw(
-                    wh.raw["title_principals"], titles, people, hot_rows=wh.hot_rows)))
+                lambda: store("bridge_cast_crew", M.bridge_cast_crew_from_raw(wh.raw["title_principals"], titles, people, wh.hot_credits())))
         out.update({name: f.result() for name, f in later.items()})
     return {n: out[n] for n in names}
 
 
+def publish_marts(spark: SparkSession, root: str, staged: dict[str, StagedMart]) -> None:
+    """Make the staged parts the marts of ``root``."""
+    for m in staged.values():
+        publish(spark, root, m.name, [m.part], m.frame.count(), m.catalog_table)
+
+
+def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The published marts of ``root``."""
+    found = published(spark, root)
+    return {n: read_published(spark, found[n]) for n in MART_NAMES if n in found}
+
+
+def materialize(spark: SparkSession, wh: Warehouse, root: str | None = None, names: list[str] | None = None,
+                buckets: int | None = None, database: str | None = None, parallel: int = 2) -> dict[str, DataFrame]:
+    """Stage and publish marts under ``root`` (default: a fresh folder in the checkpoint dir) and read them back."""
+    root = (root or scratch_path(spark, "marts")).rstrip("/")
+    staged = stage_marts(spark, wh, root, names, buckets, database, parallel)
+    publish_marts(spark, root, staged)
+    return {n: m.frame for n, m in staged.items()}
+
+
 def materialize_staging(spark: SparkSession, wh: Warehouse, root: str, names: list[str],
                         parallel: int = 2) -> dict[str, DataFrame]:
     """Write the named staging views as Parquet under ``root`` (``parallel`` at a time) and read them back."""
     def store(name: str) -> DataFrame:
-        path = f"{root.rstrip('/')}/{name}"
-        wh.staging[name].write.mode("overwrite").parquet(path)
+        path = new_part(root, name)
+        wh.staging[name].write.parquet(path)
         return spark.read.parquet(path)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
@@ -243,8 +261,9 @@ def materialize_staging(spark: SparkSession, wh: Warehouse, root: str, names: li
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """``\\copy (query) TO file CSV HEADER``: standard CSV with a header line."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """``\\copy (query) TO file CSV HEADER``: standard CSV with a header line; quotes are doubled, spaces kept."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def export_results(results: dict[str, DataFrame], out_dir: str, parallel: int = 4) -> list[str]:
@@ -279,58 +298,47 @@ class RunResult:
     exported: list[str] | None = None
 
 
-def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None = None,
-        fail_on_error: bool = True, buckets: int | None = None, export_dir: str | None = None) -> RunResult:
-    """Load (only if the raw layer is empty), build, store and check the warehouse under ``root``.
+def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None = None, fail_on_error: bool = True,
+        buckets: int | None = None, export_dir: str | None = None, raw_buckets: int | dict[str, int] | None = None,
+        spread_partitions: int | None = None) -> RunResult:
+    """Load (only if a raw table is empty), build, check and then publish the warehouse under ``root``.
 
     ``root`` should be on shared storage (a cluster's ``spark.checkpoint.dir``
-    or a warehouse bucket); ``root/raw``, ``root/marts`` and
+    or a warehouse bucket); ``root/raw``, ``root/staging``, ``root/marts`` and
     ``root/quality_report`` are written. Unlike the reference's runner, failing
-    error-severity checks stop the run (``fail_on_error``). ``buckets`` stores the
-    raw layer and the marts co-bucketed on their join keys (see ``load_raw`` and
-    ``materialize``); ``export_dir``
-    also writes the twelve question results as CSV.
-
-    Stored tables are rewritten in place: DataFrames returned by an earlier run
-    over the same ``root`` list files that a later run replaces, so use the
-    latest run's result.
+    error-severity checks stop the run (``fail_on_error``) before anything is published:
+    readers keep the marts of the last good run. ``buckets`` stores the marts co-bucketed
+    on their join keys, ``raw_buckets`` (default: ``buckets``) the raw layer (see
+    ``load_raw`` and ``stage_marts``); ``export_dir`` also writes the twelve question
+    results as CSV.
     """
     from reelmart.operators.quality import failed_checks, quality_report
     from reelmart.sources.ingest import load_if_empty, read_raw, require_all_loaded
 
     root = root.rstrip("/")
-    load = load_if_empty(spark, landing_dir, f"{root}/raw", buckets=buckets)
+    load = load_if_empty(spark, landing_dir, f"{root}/raw", buckets=buckets if raw_buckets is None else raw_buckets)
     if load is not None:
         require_all_loaded(load)
-    wh = build(read_raw(spark, f"{root}/raw", database="reelmart_raw" if buckets else None),
-               as_of_year=as_of_year, spread=not buckets)
+    wh = build(read_raw(spark, f"{root}/raw"), as_of_year=as_of_year, spread_partitions=spread_partitions)
     # Staging is a view, but the checks read the two big staging relations
     # several times (null pass, relationship anti-joins): store them once.
-    # They are built with hot-key salting on their semi-joins (detection is one
-    # small job; joins without hot keys stay plain). Marts and staging storage
-    # are independent, so both are submitted at once from driver threads.
-    raw = wh.raw
-
-    def store_big_staging() -> dict[str, DataFrame]:
-        big = Warehouse(raw=raw, marts={}, staging={
-            "stg_title_principals": S.stg_title_principals(raw["title_principals"], raw["title_basics"],
-                                                           raw["name_basics"], hot_rows=DEFAULT_HOT_ROWS),
-            "stg_title_akas": S.stg_title_akas(raw["title_akas"], raw["title_basics"],
-                                               hot_rows=DEFAULT_HOT_ROWS)})
-        return materialize_staging(spark, big, f"{root}/staging", list(big.staging))
-
+    # Marts and staging storage are independent, so both are submitted at once from driver threads.
     with ThreadPoolExecutor(max_workers=2) as pool:
-        marts_job = pool.submit(materialize, spark, wh, f"{root}/marts", None, buckets)
-        staging_job = pool.submit(store_big_staging)
-        marts, staged = marts_job.result(), staging_job.result()
+        marts_job = pool.submit(stage_marts, spark, wh, f"{root}/marts", None, buckets)
+        staging_job = pool.submit(materialize_staging, spark, wh, f"{root}/staging", ["stg_title_principals", "stg_title_akas"])
+        staged_marts, staged = marts_job.result(), staging_job.result()
+    marts = {n: m.frame for n, m in staged_marts.items()}
     relations = wh.relations()
     relations.update(staged)
     relations.update(marts)
-    quality_report(relations, as_of_year=as_of_year).write.mode("overwrite").parquet(f"{root}/quality_report")
-    report = spark.read.parquet(f"{root}/quality_report")
+    report_path = new_part(root, "quality_report")
+    quality_report(relations, as_of_year=as_of_year).write.parquet(report_path)
+    report = spark.read.parquet(report_path)
+    publish(spark, root, "quality_report", [report_path], report.count())
     if fail_on_error and not failed_checks(report).isEmpty():
-        names = [r.check_id for r in failed_checks(report).select("check_id").limit(20).collect()]
+        names = [r.check_id for r in failed_checks(report).select("check_id").collect()]  # one row a declared check
         raise QualityGateError(f"error-severity checks failed: {', '.join(names)}")
+    publish_marts(spark, f"{root}/marts", staged_marts)
     counts = row_counts({k: marts[k] for k in ("dim_titles", "dim_people", "fact_ratings")})
     exported = None
     if export_dir:
@@ -339,3 +347,8 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
         results = all_queries(marts["dim_titles"], marts["dim_people"], marts["fact_ratings"])
         exported = export_results(results, export_dir)
     return RunResult(load=load, marts=marts, report=report, counts=counts, exported=exported)
+
+
+def read_report(spark: SparkSession, root: str) -> DataFrame:
+    """The newest quality report under ``root``."""
+    return read_published(spark, published(spark, root)["quality_report"])

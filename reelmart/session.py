@@ -38,18 +38,16 @@ def get_session(master: str | None = None, app_name: str = "reelmart",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for materialised tables and checkpoints.
+    """Shared folder for stored tables and checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local runs and tests) a scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only on a local master, where all
+    tasks share one disk, a scratch folder is created when that is unset.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: only the SQL conf is visible
-        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="reelmart-ckpt-")
-        return root.rstrip("/")
+    sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="reelmart-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

@@ -1,14 +1,16 @@
 """Loading landing files into the raw layer, with audit and key enforcement.
 
-* ``load_raw``: for each landing file that exists, read it in the COPY text
-  dialect and write it as a Parquet raw table (full refresh by default,
-  ``mode="append"`` for incremental test loads). A missing file is reported
-  and the other files still load.
+* ``load_raw``: each landing file that exists is parsed once and written as a staged
+  Parquet part; keys and counts are checked on that part, and only then is it published
+  (``sources.store``). Full refresh by default, ``mode="append"`` adds a part. A missing
+  or bad file is reported, the other files still load, and what was published before a
+  failure stays readable.
 * ``raw_key_violations``: NULL or duplicated primary keys of the raw tables
   that declare one; ``load_raw`` refuses to publish a table that has any.
-* ``load_audit``: (table_name, row_count, has_data) per raw table.
-* ``load_if_empty``: load only when the raw title table is absent or empty.
-* ``reset_raw``: drop and recreate the raw tables empty, with their declared schemas.
+* ``load_audit``: (table_name, row_count, has_data) per raw table; 0 for one that is
+  missing or cannot be read.
+* ``load_if_empty``: load only when a raw table is absent or empty.
+* ``reset_raw``: publish the raw tables empty, with their declared schemas.
 * ``load_append``: the incremental test load: all files must exist; rows are
   appended and counted (see also the exactly-once ``streaming.landing``).
 
@@ -25,9 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.constants import RAW_KEYS, SOURCE_FILES
-from reelmart.operators.joins import DEFAULT_HOT_ROWS, find_hot_keys
-from reelmart.sources.tsv import path_exists, read_copy_text
-
+from reelmart.sources.catalog import raw_schema
+from reelmart.sources.store import database_of, new_part, publish, published, read_published
+from reelmart.sources.tsv import blank_lines, path_exists, read_copy_text
 
 # Column each raw table is bucketed by when the raw layer is co-partitioned: the
 # title key for everything about titles, the person key for people.
@@ -44,6 +46,10 @@ class KeyViolationError(ValueError):
     """A raw table has NULL or duplicated primary-key values."""
 
 
+class BlankLineError(ValueError):
+    """A landing file has lines of white space only."""
+
+
 class LoadFailedError(RuntimeError):
     """At least one landing file did not load."""
 
@@ -54,6 +60,7 @@ class LoadResult:
     table: str
     loaded: bool
     message: str = ""
+    rows: int = 0
 
 
 def raw_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
@@ -86,6 +93,22 @@ def load_audit(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def audit_raw(spark: SparkSession, raw_root: str) -> DataFrame:
+    """``load_audit`` of all declared tables under ``raw_root``; a missing or unreadable one counts 0 rows."""
+    rows = []
+    for table in SOURCE_FILES.values():
+        try:
+            n = _published_table(spark, raw_root, table).count()
+        except Exception:  # noqa: BLE001 - whatever keeps a table from being read makes it empty for the audit
+            n = 0
+        rows.append((table, n, n > 0))
+    return spark.createDataFrame(rows, "table_name string, row_count long, has_data boolean")
+
+
+def _published_table(spark: SparkSession, raw_root: str, table: str) -> DataFrame:
+    return read_published(spark, published(spark, raw_root)[table])
+
+
 def read_landing(spark: SparkSession, landing_dir: str) -> tuple[dict[str, DataFrame], list[LoadResult]]:
     """Lazy raw DataFrames for the landing files that exist, and a status per file."""
     tables: dict[str, DataFrame] = {}
@@ -101,70 +124,75 @@ def read_landing(spark: SparkSession, landing_dir: str) -> tuple[dict[str, DataF
 
 
 def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "overwrite",
-             enforce_keys: bool = True, parallel: int = 2, buckets: int | None = None,
-             database: str = "reelmart_raw", hot_rows: int = DEFAULT_HOT_ROWS) -> list[LoadResult]:
-    """Load every landing file into ``raw_root/<table>`` as Parquet.
+             enforce_keys: bool = True, parallel: int = 2,
+             buckets: int | dict[str, int] | None = None, database: str | None = None) -> list[LoadResult]:
+    """Load every landing file into its raw table under ``raw_root``.
 
     Each table is written by distributed jobs; ``parallel`` files are loaded at
     once from driver threads (they are independent). A failure (bad field
-    count, key violation) marks that file failed; the other files still load.
+    count, blank line, key violation) marks that file failed; the other files still load
+    and the table keeps the data published before.
 
-    With ``buckets`` the raw layer is co-partitioned: every table is stored as an
-    external table of ``database`` bucketed by its title or person key
+    With ``buckets`` (one count for all tables, or a count per table) the raw layer is
+    co-partitioned: those tables are stored as external tables of ``database`` (default:
+    one named after the root) bucketed by their title or person key
     (``RAW_BUCKET_KEYS``), so the staging semi-joins on title and the bridge's
     title join read matching buckets without a shuffle (one shuffle at load
-    instead of one per use). A large table whose bucket key has hot keys (at
-    least ``hot_rows`` rows) is stored unbucketed instead: a bucket is scanned
-    by one task, so a hot key's bucket would stall the scan, while unbucketed
-    files split across tasks and the salted joins stay balanced.
+    instead of one per use). A bucket is scanned by one task: leave tables whose key has
+    hot values (many credits or aliases of one title) out of ``buckets``.
     """
     tables, results = read_landing(spark, landing_dir)
-    if buckets:
+    counts = dict.fromkeys(SOURCE_FILES.values(), buckets) if isinstance(buckets, int) else dict(buckets or {})
+    database = database or database_of(raw_root)
+    if counts:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def load_one(res: LoadResult) -> LoadResult:
         if not res.loaded:
             return res
-        table = f"{database}.{res.table}" if buckets else None
-        return _load_table(spark, tables[res.table], res, f"{raw_root.rstrip('/')}/{res.table}", mode,
-                           enforce_keys, buckets, table, hot_rows)
+        source = f"{landing_dir.rstrip('/')}/{res.file_name}"
+        try:
+            if not blank_lines(spark, source).isEmpty():
+                raise BlankLineError(f"{res.table}: {res.file_name} has lines of white space only")
+            n = load_table(spark, tables[res.table], raw_root, res.table, mode, enforce_keys, counts.get(res.table), database)
+            return LoadResult(res.file_name, res.table, n > 0, f"{n} rows" if n else f"{res.table} is empty after the load", n)
+        except Exception as exc:  # noqa: BLE001 - one failed file must not stop the others
+            return LoadResult(res.file_name, res.table, False, f"{type(exc).__name__}: {exc}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return list(pool.map(load_one, results))
 
 
-# Raw tables whose bucket key is not unique (many credits or aliases per title).
-SKEWABLE_TABLES = ("title_principals", "title_akas")
-
-
-def _load_table(spark: SparkSession, df: DataFrame, res: LoadResult, target: str, mode: str,
-                enforce_keys: bool, buckets: int | None = None, table: str | None = None,
-                hot_rows: int = DEFAULT_HOT_ROWS) -> LoadResult:
-    """Check keys, write, count: one landing file into one raw table."""
-    try:
-        if enforce_keys and res.table in RAW_KEYS:
-            # an appended row may also collide with a row already published
-            scope = df
-            if mode == "append" and path_exists(spark, target):
-                scope = spark.read.parquet(target).select(*df.columns).unionByName(df)
-            if not raw_key_violations({res.table: scope}).isEmpty():
-                raise KeyViolationError(f"{res.table}: primary key {RAW_KEYS[res.table]} is NULL or repeated")
-        note = ""
-        key = RAW_BUCKET_KEYS[res.table]
-        if buckets and res.table in SKEWABLE_TABLES and find_hot_keys(df, [key], hot_rows)[key] is not None:
-            buckets, note = None, " (stored unbucketed: hot keys)"
-            spark.sql(f"DROP TABLE IF EXISTS {table}")  # external table: the files stay
-        if buckets:
-            (df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
-               .option("path", target).saveAsTable(table))
-            rows = spark.table(table).count()
-        else:
-            df.write.mode(mode).parquet(target)
-            rows = spark.read.parquet(target).count()
-        return LoadResult(res.file_name, res.table, rows > 0,
-                          f"{rows} rows{note}" if rows > 0 else f"No data found in {res.table} after load")
-    except Exception as exc:  # noqa: BLE001 - one failed file must not stop the others
-        return LoadResult(res.file_name, res.table, False, f"{type(exc).__name__}: {exc}"[:500])
+def load_table(spark: SparkSession, df: DataFrame, raw_root: str, table: str, mode: str = "overwrite", enforce_keys: bool = True,
+               buckets: int | None = None, database: str | None = None, part_name: str | None = None) -> int:
+    """Stage ``df`` as a part, check it, publish it; the number of rows it added.
+
+    The source is read once; keys and counts are taken from the staged part. A part name
+    that is already published (a batch that is run again) adds nothing.
+    """
+    before = published(spark, raw_root).get(table)
+    part = new_part(raw_root, table, part_name)
+    old = list(before.parts) if before and mode == "append" else []
+    if part in old:
+        return 0
+    catalog_table = None
+    if buckets:
+        key = RAW_BUCKET_KEYS[table]
+        catalog_table = f"{database}.{table}_{part.rsplit('/', 1)[-1]}"
+        # one task per bucket, so one file per bucket
+        (df.repartition(buckets, key).sortWithinPartitions(key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+           .option("path", part).saveAsTable(catalog_table))
+    else:
+        df.write.mode("overwrite").parquet(part)
+    staged = spark.read.parquet(part)
+    if enforce_keys and table in RAW_KEYS:
+        # an appended row may also collide with a row already published
+        scope = spark.read.parquet(*old, part) if old else staged
+        if not raw_key_violations({table: scope.select(RAW_KEYS[table])}).isEmpty():
+            raise KeyViolationError(f"{table}: primary key {RAW_KEYS[table]} is NULL or repeated")
+    rows = staged.count()
+    publish(spark, raw_root, table, [*old, part], rows + (before.rows if old else 0), None if old else catalog_table)
+    return rows
 
 
 def load_append(spark: SparkSession, landing_dir: str, raw_root: str) -> int:
@@ -176,14 +204,7 @@ def load_append(spark: SparkSession, landing_dir: str, raw_root: str) -> int:
     missing = [f for f in SOURCE_FILES if not path_exists(spark, f"{landing_dir.rstrip('/')}/{f}")]
     if missing:
         raise LoadFailedError(f"Missing landing files: {', '.join(missing)}")
-    before = {t: _rows_or_zero(spark, f"{raw_root.rstrip('/')}/{t}") for t in SOURCE_FILES.values()}
-    results = load_raw(spark, landing_dir, raw_root, mode="append")
-    return sum(_rows_or_zero(spark, f"{raw_root.rstrip('/')}/{r.table}") - before[r.table]
-               for r in results if r.loaded)
-
-
-def _rows_or_zero(spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(path).count() if path_exists(spark, path) else 0
+    return sum(r.rows for r in load_raw(spark, landing_dir, raw_root, mode="append") if r.loaded)
 
 
 def require_all_loaded(results: list[LoadResult]) -> None:
@@ -192,37 +213,26 @@ def require_all_loaded(results: list[LoadResult]) -> None:
         raise LoadFailedError(f"{len(failed)}/{len(results)} files failed to load: {', '.join(failed)}")
 
 
-def read_raw(spark: SparkSession, raw_root: str, database: str | None = None) -> dict[str, DataFrame]:
-    """The published raw tables under ``raw_root``.
-
-    With ``database`` the tables are read through the catalog (keeping their
-    bucketing) where it knows them, else straight from the files.
-    """
-    out = {}
-    for table in SOURCE_FILES.values():
-        if database and spark.catalog.tableExists(f"{database}.{table}"):
-            out[table] = spark.table(f"{database}.{table}")
-        elif path_exists(spark, f"{raw_root.rstrip('/')}/{table}"):
-            out[table] = spark.read.parquet(f"{raw_root.rstrip('/')}/{table}")
-    return out
+def read_raw(spark: SparkSession, raw_root: str) -> dict[str, DataFrame]:
+    """The published raw tables of this root; bucketed ones keep their bucketing."""
+    found = published(spark, raw_root)
+    return {t: read_published(spark, found[t]) for t in SOURCE_FILES.values() if t in found}
 
 
 def reset_raw(spark: SparkSession, raw_root: str) -> None:
-    """Replace every raw table with an empty one of its declared all-text schema."""
-    from reelmart.sources.catalog import raw_schema
-
+    """Publish every raw table empty, with its declared all-text schema."""
     for table in SOURCE_FILES.values():
-        spark.createDataFrame([], raw_schema(table)).write.mode("overwrite").parquet(f"{raw_root.rstrip('/')}/{table}")
+        load_table(spark, spark.createDataFrame([], raw_schema(table)), raw_root, table)
 
 
-def raw_is_empty(spark: SparkSession, raw_root: str, table: str = "title_basics") -> bool:
-    path = f"{raw_root.rstrip('/')}/{table}"
-    return not path_exists(spark, path) or spark.read.parquet(path).isEmpty()
+def raw_is_empty(spark: SparkSession, raw_root: str) -> bool:
+    """True when any declared raw table is missing or has no rows."""
+    found = published(spark, raw_root)
+    return any(t not in found or not found[t].rows for t in SOURCE_FILES.values())
 
 
-def load_if_empty(spark: SparkSession, landing_dir: str, raw_root: str, buckets: int | None = None,
-                  database: str = "reelmart_raw") -> list[LoadResult] | None:
-    """Load the landing files only when the raw title table is missing or empty."""
+def load_if_empty(spark: SparkSession, landing_dir: str, raw_root: str, buckets: int | dict[str, int] | None = None) -> list[LoadResult] | None:
+    """Load the landing files only when a raw table is missing or empty (so a load that failed half-way is made up)."""
     if raw_is_empty(spark, raw_root):
-        return load_raw(spark, landing_dir, raw_root, buckets=buckets, database=database)
+        return load_raw(spark, landing_dir, raw_root, buckets=buckets)
     return None

@@ -70,7 +70,7 @@ select 'tt' || lpad(cast(case when l_partkey % 20 = 0 then l_orderkey + 5000000
   case l_suppkey % 3 when 0 then 'en' when 1 then 'ja' end as language,
   case l_linenumber % 2 when 0 then 'imdbDisplay' end as types, case when l_linenumber = 3 then 'literal title' end as attributes,
   case when l_linenumber = 1 then '1' when l_linenumber = 7 then null else '0' end as isoriginaltitle
-from {lineitem} where l_linenumber <= 7
+from {lineitem}
 """
 
 RAW_SQL = {

@@ -1,10 +1,12 @@
 """COPY text dialect: tab-separated, ``\\N`` for NULL, one header line, no quoting,
 backslash escapes.
 
-Reading goes through ``spark.read.text`` so that an empty field stays the empty
-string and a leading double quote is plain data (the CSV reader gets both
-wrong). Files are split by Spark into line-aligned partitions, so a large
-landing file is read in parallel by every executor.
+Line 1 of every file is the header, whatever it says. The files are scanned by the
+one-column CSV source, with quoting off and a separator (NUL) that cannot stand in COPY
+text: it drops exactly the first line of each file and splits large files into
+line-aligned partitions, so a landing file is read in parallel by every executor. That
+source also skips lines of white space only, which are an error in this dialect;
+``blank_lines`` finds them and the loaders refuse such a file.
 """
 
 from __future__ import annotations
@@ -15,75 +17,76 @@ from pyspark.sql import functions as F
 
 from reelmart.constants import FIELD_SEPARATOR, NULL_MARKER, RAW_COLUMNS
 
-_PLACEHOLDER = "\u0000"  # cannot occur in COPY text data
+END_OF_DATA = "\\."  # a line of its own that marks the end; dropped
 
-# FIXED VALUES: COPY text escapes, (escaped form, character).
+# FIXED VALUES: COPY text escapes, (letter after the backslash, character).
 _ESCAPES = [
-    ("\\t", "\t"),
-    ("\\n", "\n"),
-    ("\\r", "\r"),
-    ("\\b", "\b"),
-    ("\\f", "\f"),
-    ("\\v", "\v"),
+    ("t", "\t"),
+    ("n", "\n"),
+    ("r", "\r"),
+    ("b", "\b"),
+    ("f", "\f"),
+    ("v", "\v"),
 ]
+_TOKEN = r"(?s)\\x[0-9A-Fa-f]{1,2}|\\[0-7]{1,3}|\\.|[^\\]+|\\"
 
 
 def _replace(col: Column, search: str, repl: str) -> Column:
     return F.replace(col, F.lit(search), F.lit(repl))
 
 
+def _token_hex(token: Column) -> Column:
+    """UTF-8 bytes, in hex, that one piece of a field stands for."""
+    octal = F.conv(F.substr(token, F.lit(2)), 8, 10).cast("int") % 256
+    out = F.when(token.rlike(r"^\\x[0-9A-Fa-f]"), F.lpad(F.substr(token, F.lit(3)), 2, "0"))
+    out = out.when(token.rlike(r"^\\[0-7]"), F.lpad(F.hex(octal.cast("long")), 2, "0"))
+    for letter, char in _ESCAPES:
+        out = out.when(token == "\\" + letter, F.hex(F.encode(F.lit(char), "UTF-8")))
+    out = out.when(token.startswith("\\") & (F.length(token) > 1), F.hex(F.encode(F.substr(token, F.lit(2)), "UTF-8")))
+    return out.otherwise(F.hex(F.encode(token, "UTF-8")))
+
+
 def unescape(col: Column) -> Column:
-    """Undo COPY text escaping; fields without a backslash pass through untouched."""
-    out = _replace(col, "\\\\", _PLACEHOLDER)
-    for escaped, char in _ESCAPES:
-        out = _replace(out, escaped, char)
-    out = F.regexp_replace(out, r"\\(.)", "$1")  # any other backslash-char is the char
-    out = _replace(out, _PLACEHOLDER, "\\")
-    return F.when(F.instr(col, "\\") > 0, out).otherwise(col)
+    """Undo COPY text escaping, octal and hexadecimal bytes included; fields without a backslash pass through untouched."""
+    pieces = F.transform(F.regexp_extract_all(col, F.lit(_TOKEN), F.lit(0)), _token_hex)
+    return F.when(F.instr(col, "\\") > 0, F.decode(F.unhex(F.array_join(pieces, "")), "UTF-8")).otherwise(col)
 
 
 def escape(col: Column) -> Column:
     """COPY text escaping of one field; NULL becomes the ``\\N`` marker."""
     out = _replace(col, "\\", "\\\\")
-    for escaped, char in _ESCAPES[:3]:
-        out = _replace(out, char, escaped)
+    for letter, char in _ESCAPES[:3]:
+        out = _replace(out, char, "\\" + letter)
     return F.coalesce(out, F.lit(NULL_MARKER))
 
 
-def header_line(table: str) -> str:
-    return FIELD_SEPARATOR.join(RAW_COLUMNS[table])
-
-
-def read_copy_text(spark: SparkSession, path: str, table: str, header: bool = True) -> DataFrame:
+def read_copy_text(spark: SparkSession, path: str | list[str], table: str) -> DataFrame:
     """Read COPY-text landing file(s) at ``path`` as the raw table ``table``.
 
     Every column is text; ``\\N`` is NULL; escapes are undone; a row with the
     wrong number of fields fails the job (the whole load aborts, as COPY does).
     """
-    return parse_copy_lines(spark.read.text(path), table, header=header)
+    lines = (spark.read.schema("value string").option("header", True).option("sep", "\u0000").option("quote", "")
+             .option("lineSep", "\n").option("mode", "FAILFAST").csv(path))
+    return parse_copy_lines(lines, table)
 
 
-def parse_copy_lines(lines: DataFrame, table: str, header: bool = True) -> DataFrame:
-    """Parse a DataFrame of text lines (``value`` column, with file metadata) into the raw table.
+def blank_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines of white space only, which the scan of ``read_copy_text`` skips."""
+    return spark.read.option("lineSep", "\n").text(path).filter(~F.col("value").rlike(r"[^\x00-\x20]"))
 
-    Shared by the batch reader and the streaming appender.
-    """
+
+def parse_copy_lines(lines: DataFrame, table: str) -> DataFrame:
+    """Parse text lines (``value`` column, header already gone) into the raw table."""
     columns = RAW_COLUMNS[table]
-    value = F.regexp_replace(F.col("value"), "\r$", "")
-    if header:
-        # The header is the first line of each file: it sits in the file's first
-        # split and matches the declared column list (compared case-blind).
-        # (a UTF-8 byte-order mark at the start of the file is ignored for this comparison)
-        is_header = (F.col("_metadata.file_block_start") == 0) & (
-            F.lower(F.regexp_replace(value, "^\uFEFF", "")) == F.lit(header_line(table).lower()))
-        lines = lines.filter(~is_header)
+    line = F.col("value")
+    value = F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
     fields = F.split(value, FIELD_SEPARATOR, -1)
     checked = F.when(
         F.size(fields) == len(columns), fields
     ).otherwise(F.raise_error(F.concat(
-        F.lit(f"{table}: expected {len(columns)} fields, got "),
-        F.size(fields).cast("string"), F.lit(": "), F.substring(value, 1, 200))))
-    parsed = lines.select(checked.alias("_f"))
+        F.lit(f"{table}: expected {len(columns)} fields, got "), F.size(fields).cast("string"), F.lit(": "), value)))
+    parsed = lines.filter(value != END_OF_DATA).select(checked.alias("_f"))
     out = []
     for i, name in enumerate(columns):
         raw = F.col("_f").getItem(i)
@@ -113,10 +116,9 @@ def write_copy_text(df: DataFrame, path: str, table: str | None = None, mode: st
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` names readable data (a file or a non-empty folder)."""
+    """True when ``path`` is a file, or a folder with at least one data file."""
     try:
-        spark.read.text(path).schema  # file listing happens here, on the driver
-        return True
+        return bool(spark.read.text(path).inputFiles())  # file listing only, on the driver
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return False

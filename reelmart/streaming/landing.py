@@ -1,20 +1,25 @@
 """Append new landing files to a raw table, exactly once, with a file stream.
 
-The reference's append loader re-reads a folder and appends every file it
-finds, so running it twice loads the files twice. A Structured Streaming file
-source records which files it has consumed in the checkpoint, so each landing
-file is appended once even across restarts or lost executors.
+The reference's append loader re-reads a folder and appends every file it finds, so
+running it twice loads the files twice. A Structured Streaming file source records which
+files it has consumed in the checkpoint. Each micro-batch takes the names of its files
+and goes through the same loader as a batch load (header rule, key check, staged part,
+publish). Its part is named after the stream and the batch number, so a batch that is
+run again after a failure adds nothing, and rows loaded before stay visible.
 ``trigger(availableNow=True)`` processes everything that is new and stops, which
 fits a scheduled batch job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from reelmart.sources.catalog import file_for
-from reelmart.sources.tsv import parse_copy_lines
+from reelmart.sources.ingest import BlankLineError, load_table
+from reelmart.sources.tsv import blank_lines, read_copy_text
 
 
 def landing_glob(table: str) -> str:
@@ -23,24 +28,32 @@ def landing_glob(table: str) -> str:
     return f"{stem}*.tsv"
 
 
-def append_new_landing_files(spark: SparkSession, landing_dir: str, table: str, raw_path: str,
+def append_new_landing_files(spark: SparkSession, landing_dir: str, table: str, raw_root: str,
                              checkpoint_path: str, wait: bool = True,
                              max_files_per_trigger: int | None = None,
-                             file_glob: str | None = None) -> StreamingQuery:
-    """Parse every landing file of ``table`` not seen before and append it to ``raw_path`` (Parquet).
+                             file_glob: str | None = None, enforce_keys: bool = True) -> StreamingQuery:
+    """Append every landing file of ``table`` not seen before to the raw table under ``raw_root``.
 
     ``file_glob`` overrides the file-name filter (default: the table's landing-file names).
     """
     reader = spark.readStream.format("text").option("pathGlobFilter", file_glob or landing_glob(table))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rows = parse_copy_lines(reader.load(landing_dir), table)
-    query = (rows.writeStream
-             .format("parquet")
-             .outputMode("append")
-             .option("checkpointLocation", checkpoint_path)
-             .trigger(availableNow=True)
-             .start(raw_path))
+    names = reader.load(landing_dir).select("_metadata.file_path")
+    stream = hashlib.sha256(checkpoint_path.encode()).hexdigest()[:12]
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        files = [r.file_path for r in batch.distinct().collect()]  # names of the new files only
+        if not files:
+            return
+        if not blank_lines(session, files).isEmpty():
+            raise BlankLineError(f"{table}: a landing file has lines of white space only")
+        load_table(session, read_copy_text(session, files, table), raw_root, table, "append", enforce_keys,
+                   part_name=f"stream-{stream}-{batch_id}")
+
+    query = (names.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint_path)
+             .trigger(availableNow=True).start())
     if wait:
         query.awaitTermination()
     return query

@@ -21,6 +21,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from reelmart.operators import marts as M  # noqa: E402
+from reelmart.operators.joins import find_hot_keys  # noqa: E402
+from reelmart.operators.staging import credit_columns  # noqa: E402
 from reelmart.plans.pipeline import build_from_driver_tables  # noqa: E402
 from reelmart.session import get_session  # noqa: E402
 from reelmart.sources.synthetic import RAW_TITLE_PRINCIPALS_SQL, read_driver_table  # noqa: E402
@@ -46,11 +48,11 @@ def main() -> None:
     credits = spark.sql(RAW_TITLE_PRINCIPALS_SQL, lineitem=skewed_li)
     root = f"{scratch}/out"
     variants = {
-        "plain_no_aqe_skew": dict(hot_rows=None, conf={"spark.sql.adaptive.skewJoin.enabled": "false"}),
-        "plain_aqe_skew": dict(hot_rows=None, conf={"spark.sql.adaptive.skewJoin.enabled": "true",
+        "plain_no_aqe_skew": dict(hot_share=None, conf={"spark.sql.adaptive.skewJoin.enabled": "false"}),
+        "plain_aqe_skew": dict(hot_share=None, conf={"spark.sql.adaptive.skewJoin.enabled": "true",
                                                     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
                                                     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB"}),
-        "salted": dict(hot_rows=20_000, conf={"spark.sql.adaptive.skewJoin.enabled": "false"}),
+        "salted": dict(hot_share=1 / 30, conf={"spark.sql.adaptive.skewJoin.enabled": "false"}),
     }
     walls = {}
     for name, v in variants.items():
@@ -58,7 +60,8 @@ def main() -> None:
             spark.conf.set(k, val)
         spark.sparkContext.setJobDescription(name)
         t0 = time.perf_counter()
-        M.bridge_cast_crew_from_raw(credits, titles, wh["dim_people"], hot_rows=v["hot_rows"]) \
+        hot = find_hot_keys(credit_columns(credits), ["title_id", "person_id"], v["hot_share"]) if v["hot_share"] else None
+        M.bridge_cast_crew_from_raw(credits, titles, wh["dim_people"], hot) \
             .write.mode("overwrite").parquet(f"{root}/{name}")
         walls[name] = time.perf_counter() - t0
         n = spark.read.parquet(f"{root}/{name}").count()

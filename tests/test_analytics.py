@@ -41,7 +41,7 @@ def test_rounded_average_is_exact_half_away(spark):
     # 19 x 7.1 and 1 x 7.4 -> exact mean 7.115 -> 7.12 (a float average would give 7.11)
     ratings = [(f"m{i}", 7.1, 10) for i in range(19)] + [("m19", 7.4, 10)]
     dims, fact = _marts(spark, titles, ratings)
-    row = A.adult_vs_general(dims, fact).collect()[0]
+    row = A.adult_vs_general(fact).collect()[0]
     assert row.avg_rating == 7.12 and row.title_count == 20
 
 
@@ -66,7 +66,7 @@ def test_executive_metrics_and_completeness_shapes(spark):
 def test_quadrant_order_and_empty_chart_error(spark):
     titles = [(f"m{i}", "movie", "T", "T", False, 2015, None, 90, None) for i in range(4)]
     dims, fact = _marts(spark, titles, [("m0", 6.0, 1), ("m1", 9.0, 20000), ("m2", 6.0, 20000), ("m3", 8.0, 1)])
-    order = [r.quality_popularity_quadrant for r in A.quality_quadrants(fact, dims).collect()]
+    order = [r.quality_popularity_quadrant for r in A.quality_quadrants(fact).collect()]
     assert order == ["High Quality, High Popularity", "High Quality, Low Popularity",
                      "Low Quality, High Popularity", "Low Quality, Low Popularity"]
     empty = C.chart_quality_points(dims.limit(0), fact)

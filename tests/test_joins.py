@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from reelmart.operators.joins import hot_keys, semi_join, unique_key_join
+from reelmart.operators.joins import ROW, find_hot_keys, row_number_hash, semi_join, unique_key_join
 
 
 @pytest.fixture()
@@ -21,51 +21,46 @@ def _sorted(df):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_matches_plain(spark, skewed, how):
+@pytest.mark.parametrize("numbered", [True, False])
+def test_salted_join_matches_plain(spark, skewed, how, numbered):
     left, right = skewed
-    salted = unique_key_join(left, right, "key", how, hot_rows=10)
+    hot = find_hot_keys(left, ["key"], 1 / 30)["key"]
+    salted = unique_key_join(left.withColumn(ROW, row_number_hash()) if numbered else left, right, "key", how, hot)
     plain = left.join(right, "key", how)
-    assert _sorted(salted) == _sorted(plain.select(*salted.columns))
+    assert _sorted(salted.select(*plain.columns)) == _sorted(plain)
 
 
-def test_hot_keys_bounded_and_salted(spark, skewed):
+def test_hot_keys_are_bounded_by_their_share(spark, skewed):
     left, _ = skewed
-    hot = {r.key: r._salts for r in hot_keys(left, "key", hot_rows=10, max_hot_keys=1).collect()}
-    assert hot == {"k0": 10}  # only the largest key survives the bound; NULL is never hot
+    hot = find_hot_keys(left.withColumn("n2", F.col("n") % 2), ["key", "n2"], 0.1)
+    assert {r.key: r._salts for r in hot["key"].collect()} == {"k0": 4}  # a third of the rows; NULL is never hot
+    assert {r.n2 for r in hot["n2"].collect()} == {0, 1}
+    assert find_hot_keys(left, ["key"], 0.5)["key"] is None  # nothing hot: plain join
 
 
-def test_hot_key_rows_spread_over_salts(spark, skewed):
+def test_identical_rows_of_a_hot_key_spread_over_the_salts(spark):
+    left = spark.range(1000).select(F.lit("k").alias("key"))
+    numbered = left.withColumn(ROW, row_number_hash())
+    salts = numbered.select(F.pmod(F.col(ROW), F.lit(10)).alias("s")).groupBy("s").count().collect()
+    assert len(salts) == 10 and max(r["count"] for r in salts) < 200
+    again = numbered.select(F.sum(F.col(ROW).cast("decimal(38,0)"))).first()[0]
+    assert again == numbered.select(F.sum(F.col(ROW).cast("decimal(38,0)"))).first()[0]  # stable when run again
+
+
+def test_salted_plan_and_plain_plan(spark, skewed):
     left, right = skewed
-    plan = unique_key_join(left, right, "key", "inner", hot_rows=10)
-    assert plan.count() == left.join(right, "key").count()
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in text
+    hot = find_hot_keys(left, ["key"], 0.1)["key"]
+    assert "_salt" in unique_key_join(left, right, "key", "inner", hot)._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" not in unique_key_join(left, right, "key", "left")._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_semi_join_keeps_left_columns(spark, skewed):
     left, right = skewed
-    out = semi_join(left, right, "key", hot_rows=10)
+    out = semi_join(left, right, "key", find_hot_keys(left, ["key"], 0.1)["key"])
     assert out.columns == left.columns
     assert out.count() == left.join(right, "key", "left_semi").count()
 
 
-def test_plain_path_when_disabled(spark, skewed):
-    left, right = skewed
-    out = unique_key_join(left, right, "key", "left", hot_rows=None)
-    assert "_salt" not in out._jdf.queryExecution().optimizedPlan().toString()
-    assert out.filter(F.col("v").isNull()).count() == left.join(right, "key", "left").filter("v is null").count()
-
-
-def test_find_hot_keys_returns_bounded_local_lists(spark, skewed):
-    from reelmart.operators.joins import find_hot_keys
-
-    left, _ = skewed
-    hot = find_hot_keys(left.withColumn("n2", F.col("n") % 2), ["key", "n2"], hot_rows=50, max_hot_keys=3)
-    assert {r.key for r in hot["key"].collect()} == {"k0"}
-    assert {r.n2 for r in hot["n2"].collect()} <= {0, 1}
-    assert find_hot_keys(left, ["key"], hot_rows=10_000)["key"] is None  # nothing hot: plain join
-
-
 def test_bridge_with_a_title_holding_a_third_of_credits(spark):
     from reelmart.operators import marts as M
 
@@ -83,8 +78,9 @@ def test_bridge_with_a_title_holding_a_third_of_credits(spark):
         [(f"p{i}", f"N {i}", 1970, None, "actor", None) for i in range(7)],
         "person_id string, primary_name string, birth_year int, death_year int, professions_raw string, "
         "known_for_titles_raw string"), 2024)
-    salted = M.bridge_cast_crew(credits, titles, people, hot_rows=20)
+    hot = find_hot_keys(credits, ["title_id", "person_id"], 0.05)
+    salted = M.bridge_cast_crew(credits, titles, people, hot)
     assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
-    plain = M.bridge_cast_crew(credits, titles, people, hot_rows=None)
+    plain = M.bridge_cast_crew(credits, titles, people)
     assert _sorted(salted) == _sorted(plain)
     assert salted.filter("title_id = 'hot'").count() == 100

@@ -212,7 +212,7 @@ def test_bridge_rules(spark):
                                                 "person_id string, primary_name string, birth_year int, "
                                                 "death_year int, professions_raw string, "
                                                 "known_for_titles_raw string"), AS_OF)
-    rows = M.bridge_cast_crew(credits, titles, people, hot_rows=None).orderBy("ordering").collect()
+    rows = M.bridge_cast_crew(credits, titles, people).orderBy("ordering").collect()
     assert len(rows) == 8  # not deduplicated
     assert [r.credit_importance for r in rows] == ["Unspecified", "Lead/Principal", "Supporting", "Supporting",
                                                    "Featured", "Featured", "Background", "Background"]
@@ -233,7 +233,7 @@ def test_industry_era_and_media_type(spark):
                                                 "person_id string, primary_name string, birth_year int, "
                                                 "death_year int, professions_raw string, "
                                                 "known_for_titles_raw string"), AS_OF)
-    got = {r.title_id: r for r in M.bridge_cast_crew(credits, titles, people, hot_rows=None).collect()}
+    got = {r.title_id: r for r in M.bridge_cast_crew(credits, titles, people).collect()}
     assert [got[f"t{i}"].industry_era for i in range(len(years))] == [
         "Unknown Era", "Golden Age (Pre-1950)", "Classic Era (1950-1969)", "Classic Era (1950-1969)",
         "Modern Era (1970-1989)", "Modern Era (1970-1989)", "Digital Era (1990-2009)", "Digital Era (1990-2009)",
@@ -252,7 +252,7 @@ def test_role_department_for_every_listed_category(spark):
                                                 "person_id string, primary_name string, birth_year int, "
                                                 "death_year int, professions_raw string, "
                                                 "known_for_titles_raw string"), AS_OF)
-    got = {r.ordering: r.role_department for r in M.bridge_cast_crew(credits, titles, people, hot_rows=None).collect()}
+    got = {r.ordering: r.role_department for r in M.bridge_cast_crew(credits, titles, people).collect()}
     assert [got[i] for i in range(len(cats))] == [
         "Acting", "Acting", "Directing", "Writing", "Producing", "Producing", "Music", "Music", "Cinematography",
         "Cinematography", "Editing", "Other", "Other"]

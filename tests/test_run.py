@@ -40,7 +40,6 @@ def test_run_end_to_end(spark, tmp_dir):
     export_csv(result.counts, f"{tmp_dir}/counts_csv")
     back = spark.read.option("header", True).csv(f"{tmp_dir}/counts_csv")
     assert back.columns == ["table_name", "row_count"] and back.count() == 3
-    # a later run rewrites the marts: DataFrames of the earlier run must not be used after it
     exported = run(spark, landing, f"{tmp_dir}/wh", as_of_year=2024, fail_on_error=False,
                    export_dir=f"{tmp_dir}/exports").exported
     assert len(exported) == 12
@@ -65,9 +64,8 @@ def test_bucketed_raw_layer_removes_the_title_shuffles(spark, tmp_dir):
     from reelmart.sources.ingest import load_raw, read_raw
 
     landing, raw = _landing(spark, tmp_dir)
-    load_raw(spark, landing, f"{tmp_dir}/braw", buckets=4, database="reelmart_raw_test")
-    bucketed = build(read_raw(spark, f"{tmp_dir}/braw", database="reelmart_raw_test"), as_of_year=2024,
-                     spread=False)
+    load_raw(spark, landing, f"{tmp_dir}/braw", buckets=4)
+    bucketed = build(read_raw(spark, f"{tmp_dir}/braw"), as_of_year=2024, hot_share=None)
     plain = build(raw, as_of_year=2024)
     for name in ("bridge_cast_crew", "fact_ratings", "dim_titles"):
         a = sorted((tuple(r) for r in bucketed[name].collect()), key=repr)
@@ -80,8 +78,7 @@ def test_bucketed_raw_layer_removes_the_title_shuffles(spark, tmp_dir):
     try:
         def exchanges(df):
             return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
-        fresh = build(read_raw(spark, f"{tmp_dir}/braw", database="reelmart_raw_test"), as_of_year=2024,
-                      spread=False)
+        fresh = build(read_raw(spark, f"{tmp_dir}/braw"), as_of_year=2024, hot_share=None)
         # title joins read matching buckets; the people side is bucketed too, so only the
         # credits are shuffled, once, by person (4 exchanges without bucketing)
         assert exchanges(fresh["bridge_cast_crew"]) == 1
@@ -93,21 +90,37 @@ def test_bucketed_raw_layer_removes_the_title_shuffles(spark, tmp_dir):
             spark.conf.set(k, v)
 
 
-def test_bucketed_load_keeps_skewed_tables_unbucketed(spark, tmp_dir):
+def test_the_caller_says_which_tables_are_bucketed(spark, tmp_dir):
     from reelmart.plans.pipeline import build
     from reelmart.sources.ingest import load_raw, read_raw
+    from reelmart.sources.store import published
 
     landing, raw = _landing(spark, tmp_dir)
-    results = {r.table: r for r in load_raw(spark, landing, f"{tmp_dir}/hraw", buckets=4,
-                                            database="reelmart_raw_hot", hot_rows=5)}
-    assert "unbucketed" in results["title_principals"].message  # titles with >= 5 credits exist
-    assert not spark.catalog.tableExists("reelmart_raw_hot.title_principals")
-    assert spark.catalog.tableExists("reelmart_raw_hot.title_basics")  # unique keys: bucketed
-    wh = build(read_raw(spark, f"{tmp_dir}/hraw", database="reelmart_raw_hot"), as_of_year=2024, spread=False)
+    load_raw(spark, landing, f"{tmp_dir}/some", buckets={"title_basics": 4, "name_basics": 4})
+    found = published(spark, f"{tmp_dir}/some")
+    assert {t for t, p in found.items() if p.catalog_table} == {"title_basics", "name_basics"}
+    wh = build(read_raw(spark, f"{tmp_dir}/some"), as_of_year=2024)
     plain = build(raw, as_of_year=2024)
     a = sorted((tuple(r) for r in wh["bridge_cast_crew"].collect()), key=repr)
-    b = sorted((tuple(r) for r in plain["bridge_cast_crew"].collect()), key=repr)
-    assert a == b
+    assert a == sorted((tuple(r) for r in plain["bridge_cast_crew"].collect()), key=repr)
+
+
+def test_a_failed_check_leaves_the_old_marts(spark, tmp_dir):
+    """Only what passes the gate is published; readers keep the last good marts."""
+    from reelmart.plans.pipeline import read_marts
+
+    landing, _ = _landing(spark, tmp_dir)
+    root = f"{tmp_dir}/gate"
+    with pytest.raises(QualityGateError):
+        run(spark, landing, root, as_of_year=2024)
+    assert read_marts(spark, f"{root}/marts") == {}
+    run(spark, landing, root, as_of_year=2024, fail_on_error=False)
+    good = read_marts(spark, f"{root}/marts")
+    n = {k: v.count() for k, v in good.items()}
+    with pytest.raises(QualityGateError):
+        run(spark, landing, root, as_of_year=2030)
+    assert {k: v.count() for k, v in good.items()} == n  # still readable
+    assert {k: v.inputFiles() for k, v in read_marts(spark, f"{root}/marts").items()} == {k: v.inputFiles() for k, v in good.items()}
 
 
 def test_run_bucketed_matches_run_plain(spark, tmp_dir):

@@ -91,7 +91,7 @@ def test_append_rejects_key_already_published(spark, tmp_dir):
     assert first["title_ratings"].loaded
     second = {r.table: r for r in load_raw(spark, landing, f"{tmp_dir}/raw", mode="append")}
     assert not second["title_ratings"].loaded and "KeyViolationError" in second["title_ratings"].message
-    assert spark.read.parquet(f"{tmp_dir}/raw/title_ratings").count() == 1
+    assert read_raw(spark, f"{tmp_dir}/raw")["title_ratings"].count() == 1
 
 
 def test_round_trip_property(spark, tmp_dir):
@@ -139,6 +139,7 @@ def test_load_append_requires_all_files_and_counts_rows(spark, tmp_dir):
 
 
 def test_reset_raw_then_load_if_empty_reloads(spark, tmp_dir):
+    from reelmart.constants import RAW_COLUMNS, SOURCE_FILES
     from reelmart.sources.ingest import load_if_empty, reset_raw
 
     landing = f"{tmp_dir}/landing"
@@ -148,13 +149,19 @@ def test_reset_raw_then_load_if_empty_reloads(spark, tmp_dir):
         fh.write("tt1\tmovie\tA\tA\t0\t2000\t\\N\t90\tDrama\n")
     raw = f"{tmp_dir}/raw"
     assert load_if_empty(spark, landing, raw) is not None      # absent: loads
-    assert load_if_empty(spark, landing, raw) is None          # present: skipped
+    assert load_if_empty(spark, landing, raw) is not None      # four tables are still missing
+    for file_name, table in SOURCE_FILES.items():
+        if table != "title_basics":
+            with open(f"{landing}/{file_name}", "w") as fh:
+                fh.write("header\n" + "\t".join(["k"] + ["x"] * (len(RAW_COLUMNS[table]) - 1)) + "\n")
+    assert load_if_empty(spark, landing, raw) is not None
+    assert load_if_empty(spark, landing, raw) is None          # all present: skipped
     reset_raw(spark, raw)
-    assert spark.read.parquet(f"{raw}/title_basics").count() == 0
-    assert spark.read.parquet(f"{raw}/name_basics").columns == ["nconst", "primaryname", "birthyear", "deathyear",
+    assert read_raw(spark, raw)["title_basics"].count() == 0
+    assert read_raw(spark, raw)["name_basics"].columns == ["nconst", "primaryname", "birthyear", "deathyear",
                                                                   "primaryprofession", "knownfortitles"]
     assert load_if_empty(spark, landing, raw) is not None      # empty again: reloads
-    assert spark.read.parquet(f"{raw}/title_basics").count() == 1
+    assert read_raw(spark, raw)["title_basics"].count() == 1
 
 
 def test_header_with_byte_order_mark_and_crlf(spark, tmp_dir):
@@ -164,3 +171,73 @@ def test_header_with_byte_order_mark_and_crlf(spark, tmp_dir):
         fh.write("tt1\t7.5\t10\r\n")
     rows = read_copy_text(spark, path, "title_ratings").collect()
     assert [(r.tconst, r.averagerating, r.numvotes) for r in rows] == [("tt1", "7.5", "10")]
+
+
+def test_line_one_is_the_header_whatever_it_says(spark, tmp_dir):
+    for name, first in (("a.tsv", "anything at all"), ("b.tsv", "tconst\taverageRating\tnumVotes")):
+        with open(f"{tmp_dir}/{name}", "w") as fh:
+            fh.write(f"{first}\ntt{name}\t1\t2\ntconst\taveragerating\tnumvotes\n")
+    got = sorted(r.tconst for r in read_copy_text(spark, [f"{tmp_dir}/a.tsv", f"{tmp_dir}/b.tsv"], "title_ratings").collect())
+    assert got == ["tconst", "tconst", "tta.tsv", "ttb.tsv"]
+
+
+def test_octal_and_hex_escapes_and_end_marker(spark, tmp_dir):
+    path = f"{tmp_dir}/title.ratings.tsv"
+    with open(path, "w") as fh:
+        fh.write("h\n" + "\\101\\x42\\103x\t\\xC3\\xA9\\q\\\\n\ta\\tb\\N\n" + '"q\t\\7\t \n' + "\\.\n")
+    rows = read_copy_text(spark, path, "title_ratings").collect()
+    assert [tuple(r) for r in rows] == [("ABCx", "éq\\n", "a\tbN"), ('"q', "\x07", " ")]
+
+
+def test_a_lone_carriage_return_is_data(spark, tmp_dir):
+    path = f"{tmp_dir}/title.ratings.tsv"
+    with open(path, "w", newline="") as fh:
+        fh.write("h\r\na\rb\t1\t2\r\n")
+    assert [tuple(r) for r in read_copy_text(spark, path, "title_ratings").collect()] == [("a\rb", "1", "2")]
+
+
+def test_blank_lines_are_refused(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/landing")
+    with open(f"{tmp_dir}/landing/title.ratings.tsv", "w") as fh:
+        fh.write("h\ntt1\t1\t2\n\t\t\n")
+    result = {r.table: r for r in load_raw(spark, f"{tmp_dir}/landing", f"{tmp_dir}/raw")}["title_ratings"]
+    assert not result.loaded and "BlankLineError" in result.message
+
+
+def test_failed_refresh_keeps_the_old_table_and_two_roots_stay_apart(spark, tmp_dir):
+    def land(name, rows):
+        os.makedirs(f"{tmp_dir}/{name}")
+        with open(f"{tmp_dir}/{name}/title.ratings.tsv", "w") as fh:
+            fh.write("h\n" + "".join(rows))
+
+    land("a", [f"tt{i}\t1\t2\n" for i in range(5)])
+    land("b", [f"tt{i}\t1\t2\n" for i in range(9)])
+    land("bad", ["tt1\t1\t2\n", "short\n"])
+    load_raw(spark, f"{tmp_dir}/a", f"{tmp_dir}/ra", buckets=2)
+    load_raw(spark, f"{tmp_dir}/b", f"{tmp_dir}/rb", buckets=2)
+    load_raw(spark, f"{tmp_dir}/bad", f"{tmp_dir}/ra", buckets=2)
+    assert read_raw(spark, f"{tmp_dir}/ra")["title_ratings"].count() == 5
+    assert read_raw(spark, f"{tmp_dir}/rb")["title_ratings"].count() == 9
+
+
+def test_audit_counts_missing_and_unreadable_tables_as_empty(spark, tmp_dir):
+    import shutil
+
+    from reelmart.sources.ingest import audit_raw
+    from reelmart.sources.store import published
+
+    os.makedirs(f"{tmp_dir}/landing")
+    with open(f"{tmp_dir}/landing/title.ratings.tsv", "w") as fh:
+        fh.write("h\ntt1\t1\t2\n")
+    load_raw(spark, f"{tmp_dir}/landing", f"{tmp_dir}/raw")
+    got = {r.table_name: (r.row_count, r.has_data) for r in audit_raw(spark, f"{tmp_dir}/raw").collect()}
+    assert got["title_ratings"] == (1, True) and got["title_basics"] == (0, False) and len(got) == 5
+    shutil.move(published(spark, f"{tmp_dir}/raw")["title_ratings"].parts[0], f"{tmp_dir}/elsewhere")
+    assert {r.has_data for r in audit_raw(spark, f"{tmp_dir}/raw").collect()} == {False}
+
+
+def test_empty_folder_is_no_landing_file(spark, tmp_dir):
+    from reelmart.sources.tsv import path_exists
+
+    os.makedirs(f"{tmp_dir}/empty")
+    assert not path_exists(spark, f"{tmp_dir}/empty") and not path_exists(spark, f"{tmp_dir}/none")
