@@ -52,8 +52,8 @@ def main() -> None:
     raw = raw_sources(spark, sf_dir)
     for file_name, table in SOURCE_FILES.items():
         write_copy_text(raw[table], f"{root}/landing/{file_name}", table)
-    load_raw(spark, f"{root}/landing", f"{root}/raw", buckets=16, database="reelmart_plan_dump")
-    bucketed = build(read_raw(spark, f"{root}/raw", database="reelmart_plan_dump"), as_of_year=2024, spread=False)
+    load_raw(spark, f"{root}/landing", f"{root}/raw", buckets=16)
+    bucketed = build(read_raw(spark, f"{root}/raw"), as_of_year=2024, hot_share=None)
     plans["bridge_cast_crew over a bucketed raw layer (credits shuffled once, by person)"] = bucketed["bridge_cast_crew"]
     plans["stg_title_akas over a bucketed raw layer (no shuffle)"] = bucketed.staging["stg_title_akas"]
 
