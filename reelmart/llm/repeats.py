@@ -48,9 +48,10 @@ from .words import U64, buffers, mix, prefix_hash, slices, span_hash
 
 LENGTH, GRAM = 50, 20
 #: Bytes of text in a bucket of documents, and in a range of trigger hashes.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
+#: Text that is hashed at once, text whose triggers are sorted at once, and strings that are put in order at once.
+_SLICE, _BATCH, _WINDOWS = 1 << 19, 8 << 20, 1 << 19
 _LOW = U64(0xFFFFFFFF)
-_WINDOWS = 1 << 21
 
 
 def _slide_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -84,7 +85,8 @@ def parse(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int
     trigger = (least[start] & _LOW).astype(np.int64)
     new = np.flatnonzero(np.r_[True, (trigger[1:] != trigger[:-1]) | (doc[1:] != doc[:-1])])
     last = np.r_[new[1:], len(start)] - 1
-    return h[trigger[new]], doc[new], start[new], start[last], trigger[new], prefix
+    # triggers are small hashes by choice; mixed again, they fill all ranges evenly
+    return mix(h[trigger[new]]), doc[new], start[new], start[last], trigger[new], prefix
 
 
 def _range_of(h: np.ndarray, n: int) -> np.ndarray:
@@ -171,7 +173,7 @@ def _phrase_rows(docs: list[tuple], shared: np.ndarray, bucket: int, ranges: int
     got: list[list] = [[] for _ in range(7)]
     pieces: list[_Piece] = []
     for ids, has, rows, offsets, raw in docs:
-        for a, b in slices(offsets):
+        for a, b in slices(offsets, _SLICE):
             cut = offsets[a:b + 1] - offsets[a]
             part = raw[offsets[a]:offsets[b]]
             h, doc, first, last, trigger, prefix = parse(part, cut, length, gram)
@@ -373,13 +375,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             raw, offsets = buffers(batch.column(2))
             has, rows = np.asarray(batch.column(0).is_valid()), batch.column(1).to_numpy()
-            hs, rs = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-            for a, b in slices(offsets):
-                h, doc, *_ = parse(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], length, gram)
-                known = has[a:b][doc]
-                hs.append(h[known])
-                rs.append(rows[a:b][doc[known]])
-            yield from _rows(_trigger_rows(np.concatenate(hs), np.concatenate(rs), buckets, ranges), _SHUFFLED).to_batches()
+            for lo, hi in slices(offsets, _BATCH):
+                hs, rs = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+                for a, b in slices(offsets[lo:hi + 1] - offsets[lo], _SLICE):
+                    a, b = a + lo, b + lo
+                    h, doc, *_ = parse(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], length, gram)
+                    known = has[a:b][doc]
+                    hs.append(h[known])
+                    rs.append(rows[a:b][doc[known]])
+                yield from _rows(_trigger_rows(np.concatenate(hs), np.concatenate(rs), buckets, ranges), _SHUFFLED).to_batches()
 
     def shared(table: pa.Table) -> pa.Table:
         return _rows(_shared_triggers(table), _RETURNED)
