@@ -48,7 +48,7 @@ from .words import U64, buffers, mix, prefix_hash, slices, span_hash
 
 LENGTH, GRAM = 50, 20
 #: Bytes of text in a bucket of documents, and in a range of trigger hashes.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 #: Text that is hashed at once, text whose triggers are sorted at once, and strings that are put in order at once.
 _SLICE, _BATCH, _WINDOWS = 1 << 19, 8 << 20, 1 << 19
 _LOW = U64(0xFFFFFFFF)
@@ -172,6 +172,7 @@ def _phrase_rows(docs: list[tuple], shared: np.ndarray, bucket: int, ranges: int
     """Step 2 of a bucket. docs: (ids, has id, rows, offsets, bytes)."""
     got: list[list] = [[] for _ in range(7)]
     pieces: list[_Piece] = []
+    slots = _slots(docs)
     for ids, has, rows, offsets, raw in docs:
         for a, b in slices(offsets, _SLICE):
             cut = offsets[a:b + 1] - offsets[a]
@@ -185,38 +186,47 @@ def _phrase_rows(docs: list[tuple], shared: np.ndarray, bucket: int, ranges: int
             if not len(h):
                 continue
             size = last - first + length
-            content = span_hash(prefix, first, first + size) + mix((trigger - first).astype(U64))
-            for x, v in zip(got, (h, content, ids[a:b][doc], rows[a:b][doc], first - cut[doc], last - first + 1, trigger - first)):
+            content = _content(prefix, first, size, trigger - first)
+            for x, v in zip(got, (h, content, ids[a:b][doc], np.searchsorted(slots, rows[a:b][doc]), first - cut[doc], last - first + 1, trigger - first)):
                 x.append(v)
             pieces.append(_Piece(part, first, size))
     if not pieces:
         return []
-    h, content, ids, rows, first, windows, lead = (np.concatenate(x) for x in got)
+    h, content, ids, slot, first, windows, lead = (np.concatenate(x) for x in got)
     piece = np.repeat(np.arange(len(pieces)), [len(p.start) for p in pieces])
     within = np.concatenate([np.arange(len(p.start)) for p in pieces])
     order = np.lexsort((ids, content, h))
-    h, content, ids, rows, first, windows, lead, piece, within = (x[order] for x in (h, content, ids, rows, first, windows, lead, piece, within))
+    h, content, ids, slot, first, windows, lead, piece, within = (x[order] for x in (h, content, ids, slot, first, windows, lead, piece, within))
     begin = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (content[1:] != content[:-1])])
     group = np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(h)]))
     later = ids > ids[begin][group]
     out = []
     if later.any():  # settled: a smaller id of this bucket has the whole phrase
-        out.append((bucket % ranges, 1, bucket, _spans_blob(rows[later], first[later], first[later] + windows[later] + length - 1)))
+        out.append((bucket % ranges, 1, bucket, _spans_blob(slot[later], first[later], first[later] + windows[later] + length - 1)))
     # first of its kind: text and places to the range of the trigger
     text = [pieces[p].bytes(w) for p, w in zip(piece[begin].tolist(), within[begin].tolist())]
     g_range = _range_of(h[begin], ranges)
     mine = ~later
-    o_group, o_row, o_first = group[mine], rows[mine], first[mine]
+    o_group, o_slot, o_first = group[mine], slot[mine], first[mine]
     for r, a, z in zip(*_cuts(g_range)):
         lo, hi = np.searchsorted(o_group, [a, z])
         gb = begin[a:z]
-        out.append((int(r), 0, None, pack(
-            h[gb], content[gb], ids[gb], windows[gb].astype(np.int32), lead[gb].astype(np.int32),
-            np.frombuffer(b"".join(text[a:z]), np.uint8),
-            (o_group[lo:hi] - a).astype(np.int32), o_row[lo:hi], o_first[lo:hi].astype(np.int64))))
+        out.append((int(r), 0, bucket, pack(
+            h[gb], ids[gb], windows[gb].astype(np.int32), lead[gb].astype(np.int32), np.frombuffer(b"".join(text[a:z]), np.uint8),
+            (o_group[lo:hi] - a).astype(np.int32), o_slot[lo:hi].astype(np.int32), o_first[lo:hi].astype(np.int64))))
     return out
 
 
+def _slots(docs: list[tuple]) -> np.ndarray:
+    """The rows of a bucket in order; a row's place there names it inside the bucket."""
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *(d[2] for d in docs)]))
+
+
+def _content(prefix: np.ndarray, first: np.ndarray, size: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """Hash of a phrase's text and of where its trigger stands in it."""
+    return span_hash(prefix, first, first + size) + mix(lead.astype(U64))
+
+
 class _Piece:
     """Phrase texts of one slice, cut out when wanted."""
 
@@ -227,14 +237,14 @@ class _Piece:
         return self.raw[self.start[i]:self.start[i] + self.size[i]].tobytes()
 
 
-def _spans_blob(rows: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
-    """Spans by row, those of one row united."""
-    order = np.lexsort((start, rows))
-    rows, start, end = rows[order], start[order], end[order]
+def _spans_blob(slots: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
+    """Spans by slot, those of one slot united."""
+    order = np.lexsort((start, slots))
+    slots, start, end = slots[order], start[order], end[order]
     r, s, e = [], [], []
-    for row, a, z in zip(*_cuts(rows)):
+    for slot, a, z in zip(*_cuts(slots)):
         x, y = _unite(start[a:z], end[a:z])
-        r.append(np.full(len(x), row))
+        r.append(np.full(len(x), slot, np.int64))
         s.append(x)
         e.append(y - x)
     cat = lambda v: np.concatenate([np.zeros(0, np.int64), *v])
@@ -267,20 +277,22 @@ def _string_runs(h, lead, windows, ids, raw, begin, length):
     return phrase[on[new]], j[on[new]], j[on[last]]
 
 
-def _dictionary_rows(table: pa.Table, buckets: int, length: int) -> list[tuple]:
+def _dictionary_rows(table: pa.Table, length: int) -> list[tuple]:
     """Step 3 of a range: spans for the buckets."""
     kind, bucket, data = (table[c].to_pylist() for c in ("kind", "bucket", "data"))
     out = [(b, d) for k, b, d in zip(kind, bucket, data) if k == 1]
-    parts = [unpack(d, U64, U64, np.int64, np.int32, np.int32, np.uint8, np.int32, np.int64, np.int64) for k, d in zip(kind, data) if k == 0]
+    parts = [unpack(d, U64, np.int64, np.int32, np.int32, np.uint8, np.int32, np.int32, np.int64) for k, d in zip(kind, data) if k == 0]
     if not parts:
         return out
-    h, content, ids, windows, lead, raw = (np.concatenate([p[i] for p in parts]) for i in range(6))
+    h, ids, windows, lead, raw = (np.concatenate([p[i] for p in parts]) for i in range(5))
     shift = np.cumsum([0, *(len(p[0]) for p in parts)])
-    o_group = np.concatenate([p[6] + s for p, s in zip(parts, shift)])
-    o_row, o_first = (np.concatenate([p[i] for p in parts]) for i in (7, 8))
+    o_group = np.concatenate([p[5] + s for p, s in zip(parts, shift)])
+    o_slot, o_first = (np.concatenate([p[i] for p in parts]) for i in (6, 7))
+    o_home = np.repeat([b for k, b in zip(kind, bucket) if k == 0], [len(p[5]) for p in parts])
     windows, lead = windows.astype(np.int64), lead.astype(np.int64)
     size = windows + length - 1
     begin = np.cumsum(size) - size
+    content = _content(prefix_hash(raw), begin, size, lead)
     order = np.lexsort((ids, content, h))
     sh, sc = h[order], content[order]
     kind_begin = np.flatnonzero(np.r_[True, (sh[1:] != sh[:-1]) | (sc[1:] != sc[:-1])])
@@ -320,15 +332,15 @@ def _dictionary_rows(table: pa.Table, buckets: int, length: int) -> list[tuple]:
     g, a, z = np.concatenate(g), np.concatenate(a), np.concatenate(z)
     # to every place of the phrase
     by = np.argsort(o_group, kind="stable")
-    o_group, o_row, o_first = o_group[by], o_row[by], o_first[by]
+    o_group, o_slot, o_first, o_home = o_group[by], o_slot[by], o_first[by], o_home[by]
     left, right = np.searchsorted(o_group, g), np.searchsorted(o_group, g, side="right")
     n = right - left
     pick = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(left, n)
-    row, start, end = o_row[pick], o_first[pick] + np.repeat(a, n), o_first[pick] + np.repeat(z, n) + length
-    home = np.mod(row, buckets)
+    slot, start, end = o_slot[pick].astype(np.int64), o_first[pick] + np.repeat(a, n), o_first[pick] + np.repeat(z, n) + length
+    home = o_home[pick]
     order = np.argsort(home, kind="stable")
-    row, start, end, home = row[order], start[order], end[order], home[order]
-    out += [(int(b), _spans_blob(row[x:y], start[x:y], end[x:y])) for b, x, y in zip(*_cuts(home))]
+    slot, start, end, home = slot[order], start[order], end[order], home[order]
+    out += [(int(b), _spans_blob(slot[x:y], start[x:y], end[x:y])) for b, x, y in zip(*_cuts(home))]
     return out
 
 
@@ -396,15 +408,18 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return _rows(_phrase_rows(parsed, known, left["bucket"][0].as_py(), ranges, length, gram), _SHUFFLED)
 
     def dictionary(table: pa.Table) -> pa.Table:
-        return _rows(_dictionary_rows(table, buckets, length), _RETURNED)
+        return _rows(_dictionary_rows(table, length), _RETURNED)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        row, start, size = unpack_all(right["data"].to_pylist(), np.int64, np.int64, np.int64)
-        order = np.argsort(row, kind="stable")
-        row, start, size = row[order], start[order], size[order]
+        slot, start, size = unpack_all(right["data"].to_pylist(), np.int64, np.int64, np.int64)
+        order = np.argsort(slot, kind="stable")
+        slot, start, size = slot[order], start[order], size[order]
         out: list[tuple] = []
-        for ids, has, rows, offsets, raw in (unpack(d, *_DOC) for d in left["data"].to_pylist()):
-            lo, hi = np.searchsorted(row, rows), np.searchsorted(row, rows, side="right")
+        docs = [unpack(d, *_DOC) for d in left["data"].to_pylist()]
+        slots = _slots(docs)
+        for ids, has, rows, offsets, raw in docs:
+            mine = np.searchsorted(slots, rows)
+            lo, hi = np.searchsorted(slot, mine), np.searchsorted(slot, mine, side="right")
             for i in range(len(rows)):
                 text_ = raw[offsets[i]:offsets[i + 1]]
                 s, e = _unite(start[lo[i]:hi[i]], start[lo[i]:hi[i]] + size[lo[i]:hi[i]])
