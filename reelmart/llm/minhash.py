@@ -11,10 +11,10 @@ at least ``percent`` / 100; the result is their connected components.
 3. Candidates whose sizes allow the similarity are confirmed on the full sets, which are
    made for candidate documents only.
 4. Components come from the confirmed links. Where a star left members of two components
-   or more outside that of its centre, these are split by a second band and get stars
-   again, while that finds links, ``rounds`` times at most in all. Each bucket takes
-   ``SPLITS`` other bands; two similar sets share about 12 buckets, so they meet again
-   with near certainty.
+   or more outside that of its centre, the bucket is split by another band of theirs (which
+   one depends on the bucket) and its parts get stars again, while that finds links,
+   ``rounds`` times at most in all. Two similar sets share about 12 buckets, each split by
+   a band of its own.
 
 With 32 bands of 6 bins, two sets of similarity 0.85 share no bucket with probability
 3e-7. A link is also missed if every bucket that its ends share has a centre linked to
@@ -43,7 +43,7 @@ from .arrowmap import map_texts
 from .graph import components
 from .shingles import WORDS, band_keys, one_permutation, set_hash, shingle_sets
 
-PERCENT, BANDS, ROWS, ROUNDS, SPLITS = 85, 32, 6, 3, 3
+PERCENT, BANDS, ROWS, ROUNDS = 85, 32, 6, 3
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -101,8 +101,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bucket_rows = classes.select(F.explode("bands").alias("key"), "id", "n", F.col("id").alias("component"))
     _stars(bucket_rows, F.col("lo") < F.col("hi")).write.parquet(f"{path}/stars-1")
     stars = spark.read.parquet(f"{path}/stars-1")
-    wanted = stars.select("id").distinct()
-    full_sets(src.join(wanted, "id", "left_semi"), "id", "text", words).write.parquet(f"{path}/sets")
+    wanted = stars.select("id").distinct()  # shuffled at every size, so that small runs show what large ones cost
+    full_sets(src.join(wanted.hint("shuffle_hash"), "id", "left_semi"), "id", "text", words).write.parquet(f"{path}/sets")
     sets = spark.read.parquet(f"{path}/sets")
 
     links = tested = comp = None
@@ -131,8 +131,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = left.filter(F.col("component") != F.col("centre")).select("key", "id", "n", "component")
         open_ = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
         left = left.join(open_, "key", "left_semi").join(classes.select("id", "bands"), "id")
-        other = F.transform(F.sequence(F.lit(1), F.lit(min(SPLITS, bands))), lambda k: F.pmod(F.xxhash64("key") + k, F.lit(bands)).cast("int"))
-        left = left.withColumn("key", F.explode(F.transform(other, lambda b: F.xxhash64(F.col("key"), F.element_at("bands", b + 1)))))
+        other = F.pmod(F.xxhash64("key"), F.lit(bands)).cast("int") + 1
+        left = left.withColumn("key", F.xxhash64(F.col("key"), F.element_at("bands", other)))
         _stars(left.select("key", "id", "n", "component").distinct(), F.col("lo") < F.col("hi")).write.parquet(f"{path}/stars-{number + 1}")
         stars = spark.read.parquet(f"{path}/stars-{number + 1}")
 
