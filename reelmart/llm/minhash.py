@@ -10,15 +10,18 @@ at least ``percent`` / 100; the result is their connected components.
    members - 1 candidate edges, never all pairs.
 3. Candidates whose sizes allow the similarity are confirmed on the full sets, which are
    made for candidate documents only.
-4. Components come from the confirmed links. Where a star left members of two components
-   or more outside that of its centre, the bucket is split by another band of theirs (which
-   one depends on the bucket) and its parts get stars again, while that finds links,
-   ``rounds`` times at most in all. Two similar sets share about 12 buckets, each split by
-   a band of its own.
-
-With 32 bands of 6 bins, two sets of similarity 0.85 share no bucket with probability
-3e-7. A link is also missed if every bucket that its ends share has a centre linked to
-just one of them, through all rounds; the README has the measured figure.
+4. Components come from the confirmed links. A bucket is open if its star left members of
+   two components or more besides its centre. Every pair of the open buckets' members that
+   can reach the similarity is found by prefix filtering: shingles are ordered by their
+   frequency among these members, and two sets that reach it share one of the first
+   n - ceil(n * percent / 100) + 1 of either. Members that meet on such a shingle and are in
+   different components are compared, in rounds of eight times as many centres per shingle,
+   until every member outside the shingle's largest component has been a centre. There is no
+   other end, so no link between two documents of one bucket is lost.
+
+With 32 bands of 6 bins, two sets of similarity 0.85 share no bucket with probability 3e-7,
+two of 0.80 with 6e-5. The cost of step 4 is quadratic only in documents of about one size
+that share rare shingles, stay under the similarity and are in different components.
 
 Hot buckets and hot centres: counts and centres are aggregated map-side, joins are plain
 equi-joins that the adaptive skew join splits, and nothing needs a bucket in one task.
@@ -33,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
@@ -43,7 +46,7 @@ from .arrowmap import map_texts
 from .graph import components
 from .shingles import WORDS, band_keys, one_permutation, set_hash, shingle_sets
 
-PERCENT, BANDS, ROWS, ROUNDS = 85, 32, 6, 3
+PERCENT, BANDS, ROWS, STEP = 85, 32, 6, 8
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -87,8 +90,73 @@ def _stars(rows: DataFrame, keep) -> DataFrame:
     return rows.join(star, "key").select("key", "id", "n", "c")
 
 
+def _alike(n: Column, m: Column, percent: int) -> Column:
+    """Sizes that allow the similarity."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
+def _in_components(rows: DataFrame, comp: DataFrame | None, name: str = "component") -> DataFrame:
+    """``rows`` with the component of each id (its own id without links)."""
+    if comp is None:
+        return rows.withColumn(name, F.col("id"))
+    own = comp.select(F.col("node").alias("id"), F.col("component").alias("__own"))
+    return rows.join(own, "id", "left").withColumn(name, F.coalesce("__own", "id")).drop("__own")
+
+
+def _open_members(stars: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """(id) of the members, besides the centre, of every bucket in which they have two components or more."""
+    left = _in_components(stars.filter(F.col("id") != F.col("c.id")).select("key", "id"), comp)
+    open_ = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+    return left.join(open_, "key", "left_semi").select("id").distinct()
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, id, n): each set's first shingles in the order of their frequency, without those that occur once.
+
+    Two sets of the similarity share such a key: each has ceil(n * percent / 100) shingles at
+    least in common with the other, so the first common one is in both prefixes.
+    """
+    rows = sets.select("id", F.size("shingles").cast("long").alias("n"), F.xxhash64("shingles").alias("t"), F.explode("shingles").alias("key"))
+    shared = rows.join(rows.groupBy("key").agg(F.count("*").alias("f")).filter("f > 1"), "key")
+    of_set = Window.partitionBy("id", "t")
+    shared = shared.withColumn("rank", F.dense_rank().over(of_set.orderBy("f", "key"))).withColumn("most", F.max("rank").over(of_set))
+    needed = F.floor((F.col("n") * percent + 99) / 100)
+    return shared.filter(F.col("rank") <= F.col("most") - needed + 1).select("key", "id", "n").distinct()
+
+
+def _levels(prefixes: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """(key, id, n, level) of the keys with two components or more; level: the round as a centre, null in the largest component."""
+    rows = _in_components(prefixes, comp)
+    parts = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
+    keys = parts.groupBy("key").agg(F.sum("size").alias("all"), F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("most"))
+    rows = rows.join(keys.filter("parts > 1"), "key")
+    place = F.pmod(F.xxhash64("id", "key"), F.lit(1 << 40)) * F.col("all") / F.lit(float(1 << 40))  # 0 to the number of members
+    level = F.when(place < 1, 0).otherwise(F.floor(F.log(float(STEP), F.greatest(place, F.lit(1.0)))) + 1).cast("int")
+    return rows.select("key", "id", "n", F.when(F.col("component") != F.col("most.component"), level).alias("level"))
+
+
+def _closed(sets: DataFrame, comp: DataFrame | None, percent: int, path: str) -> DataFrame | None:
+    """The components (node, component) with all links between the documents of ``sets``; ``comp``: those known so far."""
+    spark = sets.sparkSession
+    _prefixes(sets, percent).write.parquet(f"{path}/prefixes")
+    _levels(spark.read.parquet(f"{path}/prefixes"), comp).write.parquet(f"{path}/levels")
+    rows = spark.read.parquet(f"{path}/levels")
+    for (level,) in sorted(rows.filter("level is not null").select("level").distinct().collect()):
+        now = _in_components(rows, comp)
+        centres = now.filter(F.col("level") == level).select("key", F.col("id").alias("v"), F.col("n").alias("m"), F.col("component").alias("other"))
+        pairs = now.join(centres, "key").filter((F.col("component") != F.col("other")) & _alike(F.col("n"), F.col("m"), percent))
+        pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct().write.parquet(f"{path}/edges-{level}")
+        confirm(spark.read.parquet(f"{path}/edges-{level}"), sets, percent).write.parquet(f"{path}/links-{level}")
+        found = spark.read.parquet(f"{path}/links-{level}")
+        if not found.isEmpty():
+            if comp is not None:
+                found = found.unionByName(comp.select(F.col("node").alias("u"), F.col("component").alias("v")))
+            comp = components(found, f"{path}/components-{level}")
+    return comp
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = WORDS,
-                    bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every document; ``kept`` marks the smallest id of a component."""
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "minhash")
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -105,36 +173,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     full_sets(src.join(wanted.hint("shuffle_hash"), "id", "left_semi"), "id", "text", words).write.parquet(f"{path}/sets")
     sets = spark.read.parquet(f"{path}/sets")
 
-    links = tested = comp = None
-    for number in range(1, rounds + 1):
-        sizes = F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * percent
-        edges = stars.filter((F.col("id") != F.col("c.id")) & sizes).select(F.col("id").alias("u"), F.col("c.id").alias("v")).distinct()
-        if tested is not None:
-            edges = edges.join(tested, ["u", "v"], "left_anti")
-        edges.write.parquet(f"{path}/edges-{number}")
-        edges = spark.read.parquet(f"{path}/edges-{number}")
-        tested = edges if tested is None else tested.unionByName(edges)
-        confirm(edges, sets, percent).write.parquet(f"{path}/links-{number}")
-        found = spark.read.parquet(f"{path}/links-{number}")
-        if found.isEmpty():
-            break
-        links = found if links is None else comp.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(found)
-        comp = components(links, f"{path}/components-{number}")
-        if number == rounds:
-            break
-        # members outside the component of their centre, split by other bands of theirs
-        of_member = comp.select(F.col("node").alias("id"), F.col("component").alias("own"))
-        of_centre = comp.select(F.col("node").alias("cid"), F.col("component").alias("centre"))
-        left = stars.filter(F.col("id") != F.col("c.id")).select("key", "id", "n", F.col("c.id").alias("cid"))
-        left = left.join(of_member, "id", "left").join(of_centre, "cid", "left").select(
-            "key", "id", "n", F.coalesce("own", "id").alias("component"), F.coalesce("centre", "cid").alias("centre"))
-        left = left.filter(F.col("component") != F.col("centre")).select("key", "id", "n", "component")
-        open_ = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-        left = left.join(open_, "key", "left_semi").join(classes.select("id", "bands"), "id")
-        other = F.pmod(F.xxhash64("key"), F.lit(bands)).cast("int") + 1
-        left = left.withColumn("key", F.xxhash64(F.col("key"), F.element_at("bands", other)))
-        _stars(left.select("key", "id", "n", "component").distinct(), F.col("lo") < F.col("hi")).write.parquet(f"{path}/stars-{number + 1}")
-        stars = spark.read.parquet(f"{path}/stars-{number + 1}")
+    edges = stars.filter((F.col("id") != F.col("c.id")) & _alike(F.col("n"), F.col("c.n"), percent))
+    edges.select(F.col("id").alias("u"), F.col("c.id").alias("v")).distinct().write.parquet(f"{path}/edges")
+    confirm(spark.read.parquet(f"{path}/edges"), sets, percent).write.parquet(f"{path}/links")
+    links = spark.read.parquet(f"{path}/links")
+    comp = None if links.isEmpty() else components(links, f"{path}/components")
+    _open_members(stars, comp).write.parquet(f"{path}/open")
+    members = spark.read.parquet(f"{path}/open")
+    if not members.isEmpty():
+        comp = _closed(sets.join(members, "id", "left_semi"), comp, percent, path)
 
     named = classes.select("n", "s1", "s2", F.col("id").alias("class_id"))
     if comp is not None:

@@ -1,12 +1,13 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from reelmart.llm.graph import components
 from reelmart.llm.minhash import near_duplicates, op2_minhash
-from reelmart.llm.shingles import one_permutation
+from reelmart.llm.shingles import one_permutation, shingle_sets
 from reelmart.session import scratch_path
 
 from .cases import edge_rows, prose
@@ -83,3 +84,20 @@ def test_components_of_a_long_path_and_a_hub(spark):
     df = spark.createDataFrame([*path, *hub, (5, 5)], "u long, v long")
     got = {r.node: r.component for r in components(df, scratch_path(spark, "cc")).collect()}
     assert got == {i: 0 for i in range(41)} | {1000 + i: 900 for i in range(50)} | {900: 900}
+
+
+def test_no_link_within_a_bucket_is_lost(spark, documents):
+    # one band of one bin: most groups meet in the bucket of the shared passage's minimum, where one star links one group only
+    rows, passage = [], prose(77, 80)
+    for g in range(60):
+        words = [f"g{g}w{k}" for k in range(60)]
+        rows += [(2 * g, " ".join([passage, *words])), (2 * g + 1, " ".join([passage, *words, "tail"]))]
+    texts = [t.encode() for _, t in rows]
+    offsets = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
+    least = one_permutation(shingle_sets(np.frombuffer(b"".join(texts), np.uint8), offsets), 1)[:, 0].tolist()
+    assert max(Counter(least).values()) > 20
+    sets = [_set(t) for _, t in rows]
+    want = [(2 * g + 1, 2 * g) for g in range(60) if least[2 * g] == least[2 * g + 1]]
+    assert all(100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) for a, b in want)
+    got = near_duplicates(documents(rows), percent=85, bands=1, rows=1).filter("not kept").collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == want
