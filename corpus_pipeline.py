@@ -36,7 +36,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of each group of near-duplicates the smallest doc_id stays."""
+    """MinHash near-dedup: of each group of near-duplicates (similarity 0.80 or more) the smallest doc_id stays."""
     others = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 

@@ -1,7 +1,7 @@
 """Operator 2, MinHash near-dedup: one-permutation hashing, banded buckets, star-shaped candidates.
 
 Documents are linked when the Jaccard similarity of their sets of five-word shingles is
-at least ``percent`` / 100; the result is their connected components.
+at least ``percent`` / 100 (0.80 by default); the result is their connected components.
 
 1. Each whole text becomes its shingle set (64-bit hashes), one-permutation minima with
    optimal densification, and band keys. Documents with the same set (128-bit hash) are
@@ -46,7 +46,7 @@ from .arrowmap import map_texts
 from .graph import components
 from .shingles import WORDS, band_keys, one_permutation, set_hash, shingle_sets
 
-PERCENT, BANDS, ROWS, STEP = 85, 32, 6, 8
+PERCENT, BANDS, ROWS, STEP = 80, 32, 6, 8
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:

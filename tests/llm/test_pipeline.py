@@ -8,6 +8,7 @@ from reelmart.llm import bpe, mixing
 from .cases import prose
 from .test_lines import _brute as lines_brute
 from .test_minhash import _brute as groups_brute
+from .test_minhash import _set
 
 
 def _tables(spark, documents, path):
@@ -77,3 +78,14 @@ def test_line_dedup_keeps_documents_without_repeats(spark, documents):
     got = {r.doc_id for r in P.drop_repeated_lines(spark, documents(rows), "").collect()}
     assert got == {1, 2, 4, 5}
 
+
+
+def test_near_dedup_links_from_similarity_080(spark, documents):
+    rows = []
+    for g, t in enumerate((17, 18, 19, 20, 21, 30)):  # 200 words, the last t others: (196 - t) / (196 + t)
+        words = [f"g{g}w{k}" for k in range(200)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[:-t] + [f"g{g}x{k}" for k in range(t)]))]
+    alike = [len(_set(a[1]) & _set(b[1])) / len(_set(a[1]) | _set(b[1])) for a, b in zip(rows[::2], rows[1::2])]
+    assert [0.80 <= x < 0.85 for x in alike] == [True] * 5 + [False]
+    got = {r.doc_id for r in P.keep_one_of_each(spark, documents(rows), "").collect()}
+    assert got == {i for i, _, _, kept in groups_brute(rows, 80) if kept} == {0, 2, 4, 6, 8, 10, 11}
