@@ -9,9 +9,11 @@ last stage, which gives it no tokens.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField
 
 from reelmart.llm import bpe, lines, minhash, mixing, quality
 from reelmart.llm.arrowmap import add_from_texts
@@ -47,9 +49,15 @@ def sample_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-pair encoding: all columns, the number of tokens and the packed ids."""
-    fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType())]
-    return add_from_texts(docs, "text", fields, bpe.encoder(bpe.default_path()), bpe.SLICE_BYTES)
+    """Byte-pair encoding and decoding: all columns, the number of tokens, the packed ids and the digest of the text decoded from them."""
+    both = bpe.round_trip(bpe.default_path())
+
+    def fn(raw, offsets):
+        n_tokens, ids, decoded = both(raw, offsets)
+        return [n_tokens, ids, [hashlib.sha256(t.encode()).hexdigest() for t in decoded]]
+
+    fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType()), StructField("decoded_sha256", StringType())]
+    return add_from_texts(docs, "text", fields, fn, bpe.SLICE_BYTES)
 
 
 STAGES = [

@@ -273,17 +273,20 @@ def decode_ids(encoded: DataFrame, path: str | None = None, id_col: str = "doc_i
     return encoded.select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {kind}, decoded string")
 
 
-def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids, decoded) in one pass over the texts."""
-    path = path or default_path()
-
+def round_trip(path: str):
+    """Number of tokens, packed ids and the text decoded from them, for ``map_texts``."""
     def fn(raw, offsets):
         t = tokenizer(path)
         ids = t.encode(_texts(raw, offsets))
         return [[len(x) // 4 for x in ids], ids, [t.decode(x) for x in ids]]
 
+    return fn
+
+
+def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids, decoded) in one pass over the texts."""
     fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType()), StructField("decoded", StringType())]
-    return map_texts(docs, id_col, text_col, fields, fn, SLICE_BYTES)
+    return map_texts(docs, id_col, text_col, fields, round_trip(path or default_path()), SLICE_BYTES)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

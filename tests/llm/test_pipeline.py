@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import numpy as np
 import corpus_pipeline as P
 from reelmart.llm import bpe, mixing
 
-from .cases import prose
+from .cases import edge_rows, prose
 from .test_lines import _brute as lines_brute
 from .test_minhash import _brute as groups_brute
 from .test_minhash import _set
@@ -89,3 +90,11 @@ def test_near_dedup_links_from_similarity_080(spark, documents):
     assert [0.80 <= x < 0.85 for x in alike] == [True] * 5 + [False]
     got = {r.doc_id for r in P.keep_one_of_each(spark, documents(rows), "").collect()}
     assert got == {i for i, _, _, kept in groups_brute(rows, 80) if kept} == {0, 2, 4, 6, 8, 10, 11}
+
+
+def test_ids_are_decoded(spark, documents):
+    rows = [*edge_rows(), (900, "漢字 <|endoftext|> é\r\n\ttabs  and   spaces")]
+    t, got = bpe.tokenizer(bpe.default_path()), P.tokenize(spark, documents(rows), "").collect()
+    assert len(got) == len(rows)
+    assert all(r.decoded_sha256 == hashlib.sha256(t.decode(bytes(r.ids)).encode()).hexdigest() for r in got)
+    assert len({r.decoded_sha256 for r in got}) > 30  # texts, not one constant
