@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licenses, lines, minhash, mixing, quality, repeats, simhash, topk
+from . import bpe, chat, licenses, lines, minhash, mixing, quality, repair, repeats, simhash, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_formatting": chat.op8_chat_formatting,
         "op9_top_k": topk.op9_top_k,
         "op10_license_scan": licenses.op10_license_scan,
+        "op11_repair": repair.op11_repair,
     }
 
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": lines.OP4_SQL,
         "op8_chat_formatting": chat.OP8_SQL,
         "op9_top_k": topk.OP9_SQL,
+        "op11_repair": repair.OP11_SQL,
     }
