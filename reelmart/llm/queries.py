@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, licenses, lines, minhash, mixing, quality, repair, repeats, simhash, topk
+from . import align, bpe, chat, licenses, lines, minhash, mixing, quality, repair, repeats, simhash, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_top_k": topk.op9_top_k,
         "op10_license_scan": licenses.op10_license_scan,
         "op11_repair": repair.op11_repair,
+        "op12_align": align.op12_align,
     }
 
 
