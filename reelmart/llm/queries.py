@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import align, bpe, chat, licenses, lines, minhash, mixing, quality, repair, repeats, simhash, topk
+from . import align, bpe, chat, licenses, lines, minhash, mixing, quality, repair, repeats, simhash, topk, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_license_scan": licenses.op10_license_scan,
         "op11_repair": repair.op11_repair,
         "op12_align": align.op12_align,
+        "op13_toxicity": toxicity.op13_toxicity,
     }
 
 

@@ -127,7 +127,7 @@ def test_query_equals_brute_force(spark, documents, tmp_path, tools):
 
 def test_many_small_slices_and_clashing_columns(spark, documents, clashing, tools):
     df = clashing(documents(ROWS)).withColumns({c: F.lit("mine") for c in ("slice", "pair", "n_a", "links", "table", "best")})
-    aligned = A.align_documents(df, slice_bytes=2_000)
+    aligned = A.align_documents(df, slice_bytes=500)
     assert aligned.select("slice").distinct().count() > 20
     assert _got(A.with_counts(aligned, A.pair_counts(aligned))) == _brute(ROWS, tools)
 

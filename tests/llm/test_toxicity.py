@@ -1,0 +1,162 @@
+import random
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from reelmart.llm import toxicity as X
+
+from .cases import WORDS, edge_rows, prose
+
+BAD = ("vile", "rotten", "wretch", "filthy")
+
+
+def _buffers(texts):
+    data = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.r_[0, np.cumsum([len(d) for d in data])].astype(np.int64)
+
+
+def _net(texts, seed=1):
+    kinds, grams, starts, index, doc = X.words_of(*_buffers(texts))
+    return X.Network.new(np.sort(kinds)[::2].copy(), seed)
+
+
+def _plain_words(text):
+    out = bytearray()
+    for b in text.encode():
+        b = b + 32 if 65 <= b <= 90 else b
+        out.append(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32)
+    return bytes(out).split()
+
+
+def _plain_score(net, text):
+    """One window at a time, one word at a time, one number at a time where it is short enough."""
+    words, w = _plain_words(text), {k: v.astype(float) for k, v in net.w.items()}
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        kinds, grams, starts, _, _ = X.words_of(np.frombuffer(word, np.uint8), np.array([0, len(word)]))
+        assert len(kinds) == 1 and len(grams) == len(word)
+        at = np.flatnonzero(net.words == kinds[0])
+        return np.r_[w["word"][at[0] + 1] if len(at) else w["word"][0], np.mean([w["gram"][g] for g in grams], axis=0)]
+
+    n = len(words)
+    begins = sorted({min(s, max(n - X.WINDOW, 0)) for s in range(0, max(n - X.WINDOW, 0) + X.STRIDE, X.STRIDE)})
+    best = -np.inf
+    for begin in begins:
+        v = [vector(x) for x in words[begin:begin + X.WINDOW]]
+        states = []
+        for side, seq in (("f", v), ("b", v[::-1])):
+            h, out = np.zeros(X.HIDDEN), []
+            for x in seq:
+                g, o = x @ w[f"in_{side}"] + w[f"bias_{side}"], h @ w[f"rec_{side}"]
+                z, r = sig(g[:X.HIDDEN] + o[:X.HIDDEN]), sig((g + o)[X.HIDDEN:2 * X.HIDDEN])
+                h = z * h + (1 - z) * np.tanh(g[2 * X.HIDDEN:] + r * o[2 * X.HIDDEN:])
+                out.append(h)
+            states.append(out if side == "f" else out[::-1])
+        both = [np.r_[a, b] for a, b in zip(*states)]
+        logit = w["out_bias"][0]
+        if both:
+            e = np.array([np.tanh(s @ w["look"]) @ w["ask"] for s in both])
+            share = np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+            logit += sum(p * s for p, s in zip(share, both)) @ w["out"]
+        best = max(best, logit)
+    slope, shift = net.scale
+    return float(sig(slope * best + shift))
+
+
+def test_scores_equal_a_plain_network():
+    texts = ["", " .,!", "one", "Don't  STOP", prose(1, 15), prose(2, 16), prose(3, 17), prose(4, 24), prose(5, 25), prose(6, 200), "é漢字 x9", "a" * 300]
+    net = _net(texts)
+    net.scale = (1.3, -0.2)
+    got = net.score(*_buffers(texts))
+    assert np.allclose(got, [_plain_score(net, t) for t in texts], atol=1e-5)
+    assert len(set(np.round(got, 6))) >= len(texts) - 2
+
+
+def test_windows_cover_every_word_and_overlap():
+    for n in (0, 1, 15, 16, 17, 24, 25, 1000):
+        first, size, of = X.windows_of(np.zeros(n, np.int64), 1)
+        covered = np.concatenate([np.arange(f, f + s) for f, s in zip(first, size)]) if n else np.zeros(0)
+        assert set(covered.tolist()) == set(range(n)) and len(first) >= 1
+        assert all(b - a <= X.STRIDE for a, b in zip(first, first[1:]))
+
+
+def test_gradients_equal_finite_differences():
+    texts = [prose(i, 5 + 6 * i) for i in range(4)]
+    net = _net(texts)
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    kinds, grams, starts, index, doc = X.words_of(*_buffers(texts))
+    first, size, of = X.windows_of(doc, len(texts))
+    at = X.window_index(index, first, size)
+    vectors = net.vectors(kinds, grams, starts).astype(np.float64)
+    aim = np.linspace(-1, 1, len(at))
+    loss = lambda: float((net.forward(vectors, at) * aim).sum())
+    trace = {}
+    net.forward(vectors, at, trace)
+    g, d = net.backward(vectors, at, trace, aim)
+    r = random.Random(1)
+    for name, table in [*((k, net.w[k]) for k in g), ("vectors", vectors)]:
+        for _ in range(6):
+            place = tuple(r.randrange(s) for s in table.shape)
+            if name == "vectors" and place[0] == len(vectors) - 1:
+                continue
+            held, step = table[place], 1e-3
+            table[place] = held + step
+            up = loss()
+            table[place] = held - step
+            down = loss()
+            table[place] = held
+            have = d[place] if name == "vectors" else np.asarray(g[name])[place]
+            assert abs((up - down) / (2 * step) - have) < 2e-3 * max(1, abs(have)), (name, place)
+
+
+def _planted(n, seed=0):
+    r = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        words = [r.choice(WORDS) for _ in range(r.randrange(5, 120))]
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(r.randrange(1, 4)):
+                words[r.randrange(len(words))] = r.choice(BAD)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    return rows, labels
+
+
+def test_held_out_rows_are_told_apart_by_the_query(spark, documents, tmp_path):
+    rows, labels = _planted(600)
+    extra = [(9000, None), (9001, ""), (9002, "calm old river " * 4000), (9003, "calm old river " * 2000 + "you rotten wretch " + "calm old river " * 2000), (9004, rows[0][1])]
+    documents(rows + extra).write.parquet(f"{tmp_path}/documents.parquet")
+    noise = [(1, 1, 1), (None, 1, 1), (3, 1, None), (9002, None, None)]  # a label that disagrees, nulls
+    spark.createDataFrame(labels + noise, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in X.op13_toxicity(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows) + len(extra)
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for i, r in got.items())
+    held = [i for i, _ in rows if got[i].held_out]
+    right = sum(got[i].predicted == labels[i][2] for i in held)
+    assert len(held) > 90 and right / len(held) >= 0.97
+    assert got[9002].predicted == 0 and got[9003].predicted == 1 and got[9004].score == got[0].score
+
+
+def test_edge_texts_clashing_columns_and_no_labels(spark, documents, clashing):
+    rows = edge_rows()
+    df = clashing(documents(rows)).withColumn("label", F.lit("mine"))
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert X.train(df, none) is None
+    one = spark.createDataFrame([(1, 0), (100, 0)], "doc_id long, toxic int")
+    assert X.train(df, one) is None
+    assert {r.score for r in X.score(df, None).collect()} == {0.5}
+    net = X.train(df, spark.createDataFrame([(i, int(i % 2)) for i in range(100, 125)], "doc_id long, toxic int"))
+    got = X.score(df, net).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    by = {r.doc_id: r.score for r in got}
+    assert by[10] == by[11] == by[40] and by[1] == by[2] == by[3]
+    assert X.score(documents([]), net).collect() == []
+
+
+def test_training_sample_is_bounded(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(500)], "doc_id long, toxic int")
+    got = X.labelled_sample(labels, limit=40).collect()
+    assert sorted({r.label for r in got}) == [0.0, 1.0] and len(got) == 80
