@@ -254,7 +254,7 @@ class Step:
 
     def _spell(self, docs, token_a, token_b, first_a, first_b, count_a, count_b, spelled, all_a, all_b) -> None:
         """Digests of ``a1,a2|b1;a3|b2,b3``: every group's A ids, then its B ids, each id with the mark behind it."""
-        end_a, end_b = np.r_[first_a[1:], len(token_a)], np.r_[first_b[1:], len(token_b)]
+        end_a, end_b = np.append(first_a, len(token_a))[1:], np.append(first_b, len(token_b))[1:]
         n_a, n_b = end_a - first_a, end_b - first_b
         flat = np.empty(len(token_a) + len(token_b), np.int64)
         mark = token_a.copy()
