@@ -24,7 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from reelmart.operators import quality as Q  # noqa: E402
 from reelmart.plans import analytics as A  # noqa: E402
 from reelmart.plans import charts as C  # noqa: E402
-from reelmart.plans.pipeline import build, build_from_driver_tables, export_csv, materialize, read_marts  # noqa: E402
+from reelmart.plans.pipeline import build, build_from_driver_tables, export_csv, materialize, materialize_staging, read_marts  # noqa: E402
 from reelmart.session import scratch_path  # noqa: E402
 from reelmart import constants as K  # noqa: E402
 from reelmart.sources import ingest as I  # noqa: E402
@@ -191,6 +191,72 @@ def _load_if_empty_recovers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.read_raw(spark, f"{root}/raw")["title_basics"]
 
 
+def _append_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends over a loaded half: one with a key of the older part, which must be refused whole, and a clean one."""
+    root, ratings = scratch_path(spark, "collision"), raw_sources(spark, sf_dir)["title_ratings"]
+    old, new = ratings.filter(_parity("tconst", 2, 0)), ratings.filter(_parity("tconst", 2, 1))
+    twice = new.unionByName(old.orderBy("tconst").limit(1).withColumn("numvotes", F.lit("1")))
+    for name, rows in (("old", old), ("twice", twice), ("new", new)):
+        write_copy_text(rows, f"{root}/{name}/title.ratings.tsv", "title_ratings")
+    I.load_raw(spark, f"{root}/old", f"{root}/raw")
+    I.load_raw(spark, f"{root}/twice", f"{root}/raw", mode="append")
+    I.load_raw(spark, f"{root}/new", f"{root}/raw", mode="append")
+    return I.read_raw(spark, f"{root}/raw")["title_ratings"]
+
+
+def _blank_line_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh from a file with a line of white space only must leave the table as it was loaded before."""
+    root, ratings = scratch_path(spark, "blank"), raw_sources(spark, sf_dir)["title_ratings"]
+    write_copy_text(ratings, f"{root}/good/title.ratings.tsv", "title_ratings")
+    I.load_raw(spark, f"{root}/good", f"{root}/raw")
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("\\N")) for c in ratings.columns])
+    blank = spark.range(1).select(F.lit(" \t ").alias("value"))
+    ratings.filter(_parity("tconst", 2, 0)).select(line.alias("value")).unionByName(blank).coalesce(1).write.text(f"{root}/bad/title.ratings.tsv")
+    I.load_raw(spark, f"{root}/bad", f"{root}/raw")
+    return I.read_raw(spark, f"{root}/raw")["title_ratings"]
+
+
+def _header_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landing file's data holds a line equal to its header, and the loader keeps it."""
+    root, ratings = scratch_path(spark, "twins"), raw_sources(spark, sf_dir)["title_ratings"]
+    row = spark.range(1).select(*[F.lit(c).alias(c) for c in ratings.columns])
+    write_copy_text(ratings.unionByName(row), f"{root}/landing/title.ratings.tsv", "title_ratings")
+    I.load_raw(spark, f"{root}/landing", f"{root}/raw")
+    return I.read_raw(spark, f"{root}/raw")["title_ratings"]
+
+
+def _load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load says of each file: two good ones, a bad one and two that are missing."""
+    root, raw = scratch_path(spark, "summary"), raw_sources(spark, sf_dir)
+    for table in ("title_ratings", "name_basics"):
+        write_copy_text(raw[table], f"{root}/landing/{file_for(table)}", table)
+    _broken(raw["title_basics"], f"{root}/landing/title.basics.tsv")
+    done = I.load_raw(spark, f"{root}/landing", f"{root}/raw")
+    return spark.createDataFrame([(r.file_name, r.table, r.loaded, r.rows) for r in done], "file_name string, table_name string, loaded boolean, row_count long")
+
+
+def _raw_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of all raw tables under a root after a load and a reset, and of another root that was only loaded."""
+    root, raw = scratch_path(spark, "reset"), raw_sources(spark, sf_dir)
+    write_copy_text(raw["title_ratings"], f"{root}/landing/title.ratings.tsv", "title_ratings")
+    for side in ("reset", "kept"):
+        I.load_raw(spark, f"{root}/landing", f"{root}/{side}")
+    I.reset_raw(spark, f"{root}/reset")
+    audits = [I.audit_raw(spark, f"{root}/{side}").withColumn("root", F.lit(side)) for side in ("reset", "kept")]
+    return audits[0].unionByName(audits[1])
+
+
+def _report_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report over stored marts and big staging views, from what their writes measured."""
+    wh, root = _wh(spark, sf_dir), scratch_path(spark, "measured")
+    marts = materialize(spark, wh, f"{root}/marts")
+    staged = materialize_staging(spark, wh, f"{root}/staging", ["stg_title_principals", "stg_title_akas"])
+    relations = wh.relations()
+    relations.update(staged)
+    relations.update(marts)
+    return Q.quality_report(relations, as_of_year=AS_OF_YEAR, measured={**marts.measured, **staged.measured})
+
+
 def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles with padding, quotes and commas, exported as CSV and read back."""
     path, titles = scratch_path(spark, "csv"), _wh(spark, sf_dir)["dim_titles"]
@@ -310,6 +376,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_accepted_values_planted": _accepted_planted,
         "check_rating_consistency_planted": _consistency_planted,
         "quality_report": _quality_report,
+        "quality_report_measured": _report_measured,
         # ingestion
         "load_audit": _load_audit,
         "raw_key_violations": _raw_key_violations,
@@ -320,6 +387,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_refresh_after_failure": _refresh_after_failure,
         "append_over_loaded": _append_over_loaded,
         "load_if_empty_recovers": _load_if_empty_recovers,
+        "append_key_collision": _append_collision,
+        "landing_blank_line_refused": _blank_line_refused,
+        "landing_header_twins": _header_twins,
+        "load_summary": _load_summary,
+        "raw_reset": _raw_reset,
         "raw_key_violations_planted": _keys_planted,
         # storage and access
         "marts_stored_round_trip": _marts_stored,

@@ -18,9 +18,10 @@ plain shuffle join would send all of them to one task.
    2 / ``hot_share`` rows in all) and the join runs on (key, salt). Each row still meets
    its one partner, so the result is exactly the plain join; the list only decides the
    salts, so the sketch's error cannot change it.
-3. The salt comes from ``row_number_hash``: a hash of the row's position in the scan, taken
-   before the first shuffle. It spreads identical rows too, and a task that is run again
-   gives the same salts. Rows without it are salted by a hash of their columns.
+3. The salt comes from ``with_row``: a hash of the row's file and its number in the file. It
+   spreads identical rows too, and is the same however rows were dealt over tasks before
+   and however often a task is run again. Rows that come from no Parquet file are salted by
+   a hash of their columns, which is stable as well.
 
 Without hot keys the join is planned plain, so bucketed inputs keep their partitioning.
 Adaptive skew-join splitting stays on as a second line of defence.
@@ -30,7 +31,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1 / 1000  # share of all rows above which a key is split
@@ -42,9 +44,12 @@ _SALT = "_salt"
 ROW = "_row"
 
 
-def row_number_hash() -> Column:
-    """Salt source of rows that come straight from a scan."""
-    return F.xxhash64(F.monotonically_increasing_id())
+def with_row(df: DataFrame) -> DataFrame:
+    """``df`` with the salt source of its rows, ``ROW``: where each row is stored, or its values if that is not known."""
+    try:
+        return df.withColumn(ROW, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    except AnalysisException:  # no file source with numbered rows below
+        return df.withColumn(ROW, F.xxhash64(*[F.col(c) for c in df.columns]))
 
 
 def find_hot_keys(df: DataFrame, columns: list[str], hot_share: float = HOT_SHARE) -> dict[str, DataFrame | None]:

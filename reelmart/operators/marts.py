@@ -22,7 +22,7 @@ from reelmart.functions import (
     in_ladder,
     ladder,
 )
-from reelmart.operators.joins import ROW, row_number_hash, unique_key_join
+from reelmart.operators.joins import unique_key_join, with_row
 from reelmart.operators.staging import HotKeys, credit_columns
 
 
@@ -206,7 +206,7 @@ def _credit_context(credits: DataFrame, titles: DataFrame, people: DataFrame, ho
     p = people.select(*PERSON_CONTEXT_FOR_CREDITS)
     hot = hot or {}
     if any(h is not None for h in hot.values()):
-        credits = credits.withColumn(ROW, row_number_hash())
+        credits = with_row(credits)
     joined = unique_key_join(credits, t, "title_id", how, hot.get("title_id"))
     return unique_key_join(joined, p, "person_id", how, hot.get("person_id"))
 

@@ -13,13 +13,20 @@ test conventions:
   (a NULL predicate passes).
 
 ``quality_report`` evaluates every declared check and returns one row per
-check with its failure count and status. It reads each relation once for all
-row-level and accepted-value checks (only failing rows are emitted), once per unique key
-and once per relationship (keys counted first, then an anti-join against the parent's keys).
+check with its failure count and status.
+
+* Row-level checks of a relation that was measured while it was written
+  (``operators.measure``) are not computed again; of any other relation they are one
+  aggregate of conditional counts in one pass.
+* ``key_census`` counts the keys of all relations in one aggregation: one row per key
+  with its count in every key column. All unique and relationship checks are sums over it.
+* Accepted-values checks need distinct bad values: rows with one are filtered out first, so
+  clean relations shuffle nothing; columns measured as clean are not read.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -31,6 +38,14 @@ from reelmart.operators.marts import as_of
 
 Pred = Callable[[Column], Column]  # as_of year column -> predicate
 
+#: Kinds of check that a single row can fail.
+IN_ROWS = ("not_null", "expression", "singular", "accepted_values")
+
+
+def effective_year(as_of_year: int | None) -> int:
+    """The clock year that the checks use: the given one, or this year."""
+    return datetime.date.today().year if as_of_year is None else as_of_year
+
 
 # ---------------------------------------------------------------- generic checks
 
@@ -97,6 +112,8 @@ class Check:
             return scope & ~self.passes(now)
         if self.kind == "singular":
             return self.fails(now)
+        if self.kind == "accepted_values":
+            return ~F.col(self.column).isin(list(self.values))
         raise ValueError(self.kind)
 
 
@@ -313,59 +330,113 @@ def _report_rows(checks: list[Check], counts: DataFrame) -> DataFrame:
                          status.alias("status"))
 
 
-def _failing_rows(df: DataFrame, checks: list[Check], now: Column) -> DataFrame:
-    """(check_id, value, n) for each failing row of each row-level or accepted-values check, in one pass.
+def _as_rows(counts: DataFrame, names: list[str]) -> DataFrame:
+    """One row of counts as (check_id, failures) rows."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("check_id"), F.col(n).cast("long").alias("failures")) for n in names])
+    return counts.select(F.inline(pairs))
+
+
+def _row_level(df: DataFrame, checks: list[Check], now: Column) -> DataFrame:
+    """(check_id, failures) of row-level checks: conditional counts in one pass."""
+    return _as_rows(df.agg(*[F.count_if(chk.violation(now)).alias(chk.check_id) for chk in checks]), [chk.check_id for chk in checks])
 
-    ``value`` is the bad value of an accepted-values check, whose distinct values count.
+
+def _bad_values(df: DataFrame, checks: list[Check], now: Column) -> DataFrame:
+    """(check_id, value) of the failing rows of accepted-values checks; rows without one go before anything is built."""
+    bad = [F.when(chk.violation(now), F.struct(F.lit(chk.check_id).alias("check_id"), F.col(chk.column).cast("string").alias("value"))) for chk in checks]
+    any_bad = checks[0].violation(now)
+    for chk in checks[1:]:
+        any_bad = F.coalesce(any_bad, F.lit(False)) | F.coalesce(chk.violation(now), F.lit(False))
+    return df.filter(any_bad).select(F.inline(F.filter(F.array(*bad), lambda x: x.isNotNull())))
+
+
+def _key_columns(checks: list[Check]) -> list[tuple[str, str]]:
+    """(relation, column) of every key that a unique or relationship check counts."""
+    keys: dict[tuple[str, str], None] = {}
+    for chk in checks:
+        if chk.kind in ("unique", "relationships"):
+            keys[chk.relation, chk.column] = None
+        if chk.kind == "relationships":
+            keys[chk.parent] = None
+    return list(keys)
+
+
+def key_census(relations: dict[str, DataFrame], keys: list[tuple[str, str]]) -> DataFrame:
+    """(key, n0, n1, ...): how often each key stands in each of the (relation, column) pairs ``keys``; NULL keys are left out.
+
+    One aggregation over the narrow key columns of all relations. Counts are added up within
+    each task first, so a key that holds a third of all rows is one row per task in the shuffle.
+    A relation with several key columns is read once.
     """
-    def one(chk: Check) -> Column:
-        if chk.kind == "accepted_values":
-            fails, value = ~F.col(chk.column).isin(list(chk.values)), F.col(chk.column).cast("string")
-        else:
-            fails, value = chk.violation(now), F.lit(None).cast("string")
-        return F.when(fails, F.struct(F.lit(chk.check_id).alias("check_id"), value.alias("value")))
+    of_relation: dict[str, list[int]] = {}
+    for i, (rel, _) in enumerate(keys):
+        of_relation.setdefault(rel, []).append(i)
+    parts = []
+    for rel, places in of_relation.items():
+        stacked = F.array(*[F.struct(F.lit(i).alias("at"), F.col(keys[i][1]).cast("string").alias("key")) for i in places])
+        parts.append(relations[rel].select(F.inline(stacked)).filter(F.col("key").isNotNull()))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("key").agg(*[F.count_if(F.col("at") == i).alias(f"n{i}") for i in range(len(keys))])
 
-    failing = F.filter(F.array(*[one(chk) for chk in checks]), lambda x: x.isNotNull())
-    return df.select(F.explode(failing).alias("f")).select("f.check_id", "f.value", F.lit(1).cast("long").alias("n"))
+
+def _key_failures(census: DataFrame, keys: list[tuple[str, str]], checks: list[Check]) -> DataFrame:
+    """(check_id, failures) of unique and relationship checks from the census."""
+    def failures(chk: Check) -> Column:
+        n = F.col(f"n{keys.index((chk.relation, chk.column))}")
+        if chk.kind == "unique":
+            return F.count_if(n > 1)
+        return F.sum(F.when(F.col(f"n{keys.index(chk.parent)}") == 0, n).otherwise(0))
+
+    sums = census.agg(*[F.coalesce(failures(chk), F.lit(0)).alias(chk.check_id) for chk in checks])
+    return _as_rows(sums, [chk.check_id for chk in checks])
 
 
 def quality_report(relations: dict[str, DataFrame], checks: list[Check] | None = None,
-                   as_of_year: int | None = None) -> DataFrame:
+                   as_of_year: int | None = None, measured: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """One row per check: (check_id, relation, column_name, kind, severity, failures, status).
 
-    One pass per relation emits the failing rows of all its row-level and accepted-values
-    checks; unique keys and relationships emit their failing keys. All are added up together.
+    ``measured``: what was measured while relations were written (relation -> numbers by
+    name, ``operators.measure``); numbers of another clock year are not used.
     """
     checks = checks if checks is not None else DECLARED_CHECKS
-    now = as_of(as_of_year)
+    now, year = as_of(as_of_year), effective_year(as_of_year)
+    known = {rel: m for rel, m in (measured or {}).items() if m.get("as_of_year") == year}
     parts: list[DataFrame] = []
+    settled: list[tuple[str, int]] = []
+    values: list[DataFrame] = []
     by_relation: dict[str, list[Check]] = {}
     for chk in checks:
         by_relation.setdefault(chk.relation, []).append(chk)
-    none = F.lit(None).cast("string").alias("value")
     for rel, rel_checks in by_relation.items():
-        df = relations[rel]
-        in_rows = [chk for chk in rel_checks if chk.kind in ("not_null", "expression", "singular", "accepted_values")]
-        if in_rows:
-            parts.append(_failing_rows(df, in_rows, now))
-        for chk in rel_checks:
-            label = F.lit(chk.check_id).alias("check_id")
-            if chk.kind == "unique":
-                parts.append(check_unique(df, chk.column).select(label, none, F.lit(1).cast("long").alias("n")))
-            elif chk.kind == "relationships":
-                parent, parent_col = chk.parent
-                parts.append(orphan_keys(df, chk.column, relations[parent], parent_col).select(label, none, F.col("n_records").alias("n")))
-    failing = parts[0]
-    for p in parts[1:]:
-        failing = failing.unionByName(p)
-    accepted = F.col("check_id").isin([chk.check_id for chk in checks if chk.kind == "accepted_values"])
-    counts = (failing.groupBy("check_id", "value").agg(F.sum("n").alias("n"))
-              .groupBy("check_id").agg(F.sum("n").alias("rows"), F.count("value").alias("values"))
-              .select("check_id", F.when(accepted, F.col("values")).otherwise(F.col("rows")).alias("failures")))
-    # a check without a failing row gave no row above
-    every = failing.sparkSession.createDataFrame([(chk.check_id,) for chk in checks], "check_id string")
-    return _report_rows(checks, every.join(counts, "check_id", "left").select(
-        "check_id", F.coalesce(F.col("failures"), F.lit(0)).alias("failures")))
+        have = known.get(rel, {})
+        in_rows = [chk for chk in rel_checks if chk.kind in IN_ROWS]
+        # a measured zero settles any check, a measured count all but those that count distinct values
+        done = [chk for chk in in_rows if chk.check_id in have and (chk.kind != "accepted_values" or have[chk.check_id] == 0)]
+        settled += [(chk.check_id, have[chk.check_id]) for chk in done]
+        todo = [chk for chk in in_rows if chk not in done]
+        rows, accepted = ([chk for chk in todo if (chk.kind == "accepted_values") == kind] for kind in (False, True))
+        if rows:
+            parts.append(_row_level(relations[rel], rows, now))
+        if accepted:
+            values.append(_bad_values(relations[rel], accepted, now))
+            settled += [(chk.check_id, 0) for chk in accepted]  # plus the bad values below
+    if values:
+        bad = values[0]
+        for v in values[1:]:
+            bad = bad.unionByName(v)
+        parts.append(bad.distinct().groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
+    by_key = [chk for chk in checks if chk.kind in ("unique", "relationships")]
+    if by_key:
+        keys = _key_columns(by_key)
+        parts.append(_key_failures(key_census(relations, keys), keys, by_key))
+    spark = next(iter(relations.values())).sparkSession if not parts else parts[0].sparkSession
+    counts = spark.createDataFrame(settled, "check_id string, failures long")
+    for p in parts:
+        counts = counts.unionByName(p)
+    # at most two rows a check: its zero and its bad values
+    return _report_rows(checks, counts.groupBy("check_id").agg(F.sum("failures").alias("failures")))
 
 
 def failed_checks(report: DataFrame) -> DataFrame:

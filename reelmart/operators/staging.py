@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reelmart.constants import SUPPORTED_TITLE_TYPES
 from reelmart.functions import ladder
-from reelmart.operators.joins import ROW, row_number_hash, semi_join
+from reelmart.operators.joins import semi_join, with_row
 
 
 def _bool_flag(col: str):
@@ -100,7 +100,7 @@ def stg_title_principals(raw: DataFrame, raw_title_basics: DataFrame, raw_name_b
     credits = credit_columns(raw)
     columns = credits.columns
     if any(h is not None for h in hot.values()):
-        credits = credits.withColumn(ROW, row_number_hash())
+        credits = with_row(credits)
     credits = semi_join(credits, supported_title_keys(raw_title_basics), "title_id", hot.get("title_id"))
     return semi_join(credits, named_people_keys(raw_name_basics), "person_id", hot.get("person_id")).select(*columns)
 
@@ -124,5 +124,5 @@ def stg_title_akas(raw: DataFrame, raw_title_basics: DataFrame, hot: HotKeys | N
     akas, hot_titles = aka_columns(raw), (hot or {}).get("title_id")
     columns = akas.columns
     if hot_titles is not None:
-        akas = akas.withColumn(ROW, row_number_hash())
+        akas = with_row(akas)
     return semi_join(akas, supported_title_keys(raw_title_basics), "title_id", hot_titles).select(*columns)

@@ -10,6 +10,7 @@ executors without recomputing the joins); ``publish_marts`` makes them the marts
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cache
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 from reelmart.operators import marts as M
 from reelmart.operators import staging as S
 from reelmart.operators.joins import HOT_SHARE, find_hot_keys
+from reelmart.operators.measure import ROWS, Measure, StoredTables
+from reelmart.operators.ranges import RangeBounds, find_bounds
 from reelmart.session import scratch_path
-from reelmart.sources.store import database_of, new_part, publish, published, read_published
+from reelmart.sources.store import Staged, database_of, new_part, publish, publish_set, published, read_published
 from reelmart.sources.synthetic import raw_sources
 
 MART_NAMES = ["dim_titles", "dim_people", "fact_ratings", "bridge_cast_crew"]
@@ -146,19 +149,24 @@ MART_PARTITIONS = {
 }
 
 
-def write_mart(df: DataFrame, path: str, sort_keys: list[str], partition_by: list[str] | None = None) -> None:
+def write_mart(df: DataFrame, path: str, sort_keys: list[str], partition_by: list[str] | None = None,
+               bounds: RangeBounds | None = None, measure: Measure | None = None) -> None:
     """Write ``df`` as Parquet: dealt by ranges of the first sort key, sorted within each file.
 
     The range gives each file a narrow span of keys; sorting by the folder column first
-    leaves the writer nothing to sort anew. At most one file per range and folder.
+    leaves the writer nothing to sort anew. At most one file per range and folder. The
+    ranges come from ``bounds`` (default: found in ``df``'s own key column), so the plan of
+    ``df`` runs once, in the write, where ``measure`` also takes its numbers.
     """
     folders = partition_by or []
-    writer = df.repartitionByRange(sort_keys[0]).sortWithinPartitions(*folders, *sort_keys).write.mode("overwrite")
+    bounds = bounds or find_bounds(df.select(*sort_keys))
+    laid = bounds.deal(df, sort_keys[0]).sortWithinPartitions(*folders, *sort_keys)
+    writer = (measure.on(laid) if measure else laid).write.mode("overwrite")
     (writer.partitionBy(*folders) if folders else writer).parquet(path)
 
 
 def write_bucketed_mart(df: DataFrame, path: str, table: str, buckets: int, sort_keys: list[str],
-                        partition_by: list[str] | None = None) -> None:
+                        partition_by: list[str] | None = None, measure: Measure | None = None) -> None:
     """Store ``df`` at ``path`` as an external catalog table bucketed and sorted by its join key.
 
     Marts bucketed on the same key with the same bucket count join without a
@@ -168,7 +176,8 @@ def write_bucketed_mart(df: DataFrame, path: str, table: str, buckets: int, sort
     bucket, so there are at most buckets x folders files.
     """
     folders = partition_by or []
-    writer = df.repartition(buckets, sort_keys[0]).sortWithinPartitions(*folders, *sort_keys).write.mode("overwrite").format("parquet")
+    laid = df.repartition(buckets, sort_keys[0]).sortWithinPartitions(*folders, *sort_keys)
+    writer = (measure.on(laid) if measure else laid).write.mode("overwrite").format("parquet")
     if folders:
         writer = writer.partitionBy(*folders)
     writer.bucketBy(buckets, sort_keys[0]).sortBy(*sort_keys).option("path", path).saveAsTable(table)
@@ -180,6 +189,21 @@ class StagedMart:
     part: str
     frame: DataFrame
     catalog_table: str | None = None
+    measured: dict[str, int] = field(default_factory=dict)
+
+    def staged(self) -> Staged:
+        return Staged(self.name, (self.part,), self.measured[ROWS], self.catalog_table, json.dumps(self.measured))
+
+
+def key_columns(wh: Warehouse, name: str) -> DataFrame:
+    """The sort-key columns of a mart from the narrowest source that has them; enough to find its ranges."""
+    if name == "dim_titles":
+        return wh.staging["stg_title_basics"].select("title_id")
+    if name == "dim_people":
+        return wh.staging["stg_name_basics"].select("person_id")
+    if name == "fact_ratings":
+        return wh.staging["stg_title_ratings"].select("title_id")
+    return S.credit_columns(wh.raw["title_principals"]).select("title_id", "person_id", "ordering")
 
 
 def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str] | None = None, buckets: int | None = None,
@@ -191,7 +215,8 @@ def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str]
     become external tables in ``database`` (default: one named after the root): titles, ratings and credits bucketed
     by ``title_id`` and people by ``person_id``, all with the same bucket count,
     so joins on those keys need no shuffle. ``parallel`` independent marts are
-    written at once (the counterpart of running independent models on threads).
+    written at once (the counterpart of running independent models on threads). Row
+    counts and row-level checks are measured in the writes.
     """
     names = names or MART_NAMES
     database = database or database_of(root)
@@ -199,13 +224,13 @@ def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def store(name: str, df: DataFrame) -> StagedMart:
-        part = new_part(root, name)
+        part, measure = new_part(root, name), Measure(name, wh.as_of_year)
         if buckets:
             table = f"{database}.{name}_{part.rsplit('/', 1)[-1]}"
-            write_bucketed_mart(df, part, table, buckets, MART_SORT_KEYS[name], MART_PARTITIONS.get(name))
-            return StagedMart(name, part, spark.table(table).select(*df.columns), table)
-        write_mart(df, part, MART_SORT_KEYS[name], MART_PARTITIONS.get(name))
-        return StagedMart(name, part, spark.read.parquet(part).select(*df.columns))
+            write_bucketed_mart(df, part, table, buckets, MART_SORT_KEYS[name], MART_PARTITIONS.get(name), measure)
+            return StagedMart(name, part, spark.table(table).select(*df.columns), table, measure.result)
+        write_mart(df, part, MART_SORT_KEYS[name], MART_PARTITIONS.get(name), find_bounds(key_columns(wh, name)), measure)
+        return StagedMart(name, part, spark.read.parquet(part).select(*df.columns), None, measure.result)
 
     out: dict[str, StagedMart] = {}
     # Two waves of independent writes, each submitted from driver threads so the
@@ -227,37 +252,37 @@ def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str]
 
 
 def publish_marts(spark: SparkSession, root: str, staged: dict[str, StagedMart]) -> None:
-    """Make the staged parts the marts of ``root``."""
-    for m in staged.values():
-        publish(spark, root, m.name, [m.part], m.frame.count(), m.catalog_table)
+    """Make the staged parts the marts of ``root``, all at once."""
+    publish_set(spark, root, "marts", [m.staged() for m in staged.values()])
 
 
-def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def read_marts(spark: SparkSession, root: str) -> StoredTables:
     """The published marts of ``root``."""
     found = published(spark, root)
-    return {n: read_published(spark, found[n]) for n in MART_NAMES if n in found}
+    return StoredTables({n: read_published(spark, found[n]) for n in MART_NAMES if n in found}, {n: found[n].measured for n in MART_NAMES if n in found})
 
 
 def materialize(spark: SparkSession, wh: Warehouse, root: str | None = None, names: list[str] | None = None,
-                buckets: int | None = None, database: str | None = None, parallel: int = 2) -> dict[str, DataFrame]:
+                buckets: int | None = None, database: str | None = None, parallel: int = 2) -> StoredTables:
     """Stage and publish marts under ``root`` (default: a fresh folder in the checkpoint dir) and read them back."""
     root = (root or scratch_path(spark, "marts")).rstrip("/")
     staged = stage_marts(spark, wh, root, names, buckets, database, parallel)
     publish_marts(spark, root, staged)
-    return {n: m.frame for n, m in staged.items()}
+    return StoredTables({n: m.frame for n, m in staged.items()}, {n: m.measured for n, m in staged.items()})
 
 
 def materialize_staging(spark: SparkSession, wh: Warehouse, root: str, names: list[str],
-                        parallel: int = 2) -> dict[str, DataFrame]:
+                        parallel: int = 2) -> StoredTables:
     """Write the named staging views as Parquet under ``root`` (``parallel`` at a time) and read them back."""
-    def store(name: str) -> DataFrame:
-        path = new_part(root, name)
-        wh.staging[name].write.parquet(path)
-        return spark.read.parquet(path)
+    def store(name: str) -> tuple[DataFrame, dict[str, int]]:
+        path, measure = new_part(root, name), Measure(name, wh.as_of_year)
+        measure.on(wh.staging[name]).write.parquet(path)
+        return spark.read.parquet(path), measure.result
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         futures = {name: pool.submit(store, name) for name in names}
-        return {name: f.result() for name, f in futures.items()}
+        stored = {name: f.result() for name, f in futures.items()}
+    return StoredTables({n: df for n, (df, _) in stored.items()}, {n: m for n, (_, m) in stored.items()})
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -312,8 +337,8 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
     ``load_raw`` and ``stage_marts``); ``export_dir`` also writes the twelve question
     results as CSV.
     """
-    from reelmart.operators.quality import failed_checks, quality_report
-    from reelmart.sources.ingest import load_if_empty, read_raw, require_all_loaded
+    from reelmart.operators.quality import DECLARED_CHECKS, failed_checks, quality_report
+    from reelmart.sources.ingest import load_if_empty, raw_measured, read_raw, require_all_loaded
 
     root = root.rstrip("/")
     load = load_if_empty(spark, landing_dir, f"{root}/raw", buckets=buckets if raw_buckets is None else raw_buckets)
@@ -331,15 +356,17 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
     relations = wh.relations()
     relations.update(staged)
     relations.update(marts)
+    measured = {**staged.measured, **{n: m.measured for n, m in staged_marts.items()}, **raw_measured(spark, f"{root}/raw")}
     report_path = new_part(root, "quality_report")
-    quality_report(relations, as_of_year=as_of_year).write.parquet(report_path)
+    quality_report(relations, as_of_year=as_of_year, measured=measured).write.parquet(report_path)
     report = spark.read.parquet(report_path)
-    publish(spark, root, "quality_report", [report_path], report.count())
+    publish(spark, root, "quality_report", [report_path], len(DECLARED_CHECKS))
     if fail_on_error and not failed_checks(report).isEmpty():
         names = [r.check_id for r in failed_checks(report).select("check_id").collect()]  # one row a declared check
         raise QualityGateError(f"error-severity checks failed: {', '.join(names)}")
     publish_marts(spark, f"{root}/marts", staged_marts)
-    counts = row_counts({k: marts[k] for k in ("dim_titles", "dim_people", "fact_ratings")})
+    # counted while they were written
+    counts = spark.createDataFrame([(k, staged_marts[k].measured[ROWS]) for k in ("dim_titles", "dim_people", "fact_ratings")], "table_name string, row_count long")
     exported = None
     if export_dir:
         from reelmart.plans.analytics import all_queries

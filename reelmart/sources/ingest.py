@@ -1,10 +1,13 @@
 """Loading landing files into the raw layer, with audit and key enforcement.
 
-* ``load_raw``: each landing file that exists is parsed once and written as a staged
-  Parquet part; keys and counts are checked on that part, and only then is it published
-  (``sources.store``). Full refresh by default, ``mode="append"`` adds a part. A missing
-  or bad file is reported, the other files still load, and what was published before a
-  failure stays readable.
+* ``load_raw``: each landing file that exists is read once and written as a staged
+  Parquet part, rows being counted in the write; keys are checked on that part, and only
+  then is it published (``sources.store``). Full refresh by default, ``mode="append"`` adds
+  a part. A missing or bad file is reported, the other files still load, and what was
+  published before a failure stays readable.
+* Key index: the key check writes the part's distinct keys as ``KEY_BUCKETS`` folders by a
+  hash of the key. An append looks its keys up in the buckets they fall into, in the
+  indexes of the older parts; the parts themselves are not read.
 * ``raw_key_violations``: NULL or duplicated primary keys of the raw tables
   that declare one; ``load_raw`` refuses to publish a table that has any.
 * ``load_audit``: (table_name, row_count, has_data) per raw table; 0 for one that is
@@ -14,22 +17,24 @@
 * ``load_append``: the incremental test load: all files must exist; rows are
   appended and counted (see also the exactly-once ``streaming.landing``).
 
-Row counts are distributed aggregates; only the small audit result reaches
-the driver.
+Row counts are taken in the writes or are distributed aggregates; only small audit
+results reach the driver.
 """
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.constants import RAW_KEYS, SOURCE_FILES
+from reelmart.operators.measure import ROWS, Measure
 from reelmart.sources.catalog import raw_schema
-from reelmart.sources.store import database_of, new_part, publish, published, read_published
-from reelmart.sources.tsv import blank_lines, path_exists, read_copy_text
+from reelmart.sources.store import Published, database_of, new_part, publish, published, read_published
+from reelmart.sources.tsv import BLANK_LINE, HEADER, header_rows, path_exists, read_copy_text, scan_landing
 
 # Column each raw table is bucketed by when the raw layer is co-partitioned: the
 # title key for everything about titles, the person key for people.
@@ -42,6 +47,11 @@ RAW_BUCKET_KEYS = {
 }
 
 
+#: Folders of a key index; an append of few keys reads few of them.
+KEY_BUCKETS = 64
+KEY_INDEX = "key_index"
+
+
 class KeyViolationError(ValueError):
     """A raw table has NULL or duplicated primary-key values."""
 
@@ -141,7 +151,7 @@ def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "
     instead of one per use). A bucket is scanned by one task: leave tables whose key has
     hot values (many credits or aliases of one title) out of ``buckets``.
     """
-    tables, results = read_landing(spark, landing_dir)
+    _, results = read_landing(spark, landing_dir)
     counts = dict.fromkeys(SOURCE_FILES.values(), buckets) if isinstance(buckets, int) else dict(buckets or {})
     database = database or database_of(raw_root)
     if counts:
@@ -152,9 +162,7 @@ def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "
             return res
         source = f"{landing_dir.rstrip('/')}/{res.file_name}"
         try:
-            if not blank_lines(spark, source).isEmpty():
-                raise BlankLineError(f"{res.table}: {res.file_name} has lines of white space only")
-            n = load_table(spark, tables[res.table], raw_root, res.table, mode, enforce_keys, counts.get(res.table), database)
+            n = load_files(spark, source, raw_root, res.table, mode, enforce_keys, counts.get(res.table), database)
             return LoadResult(res.file_name, res.table, n > 0, f"{n} rows" if n else f"{res.table} is empty after the load", n)
         except Exception as exc:  # noqa: BLE001 - one failed file must not stop the others
             return LoadResult(res.file_name, res.table, False, f"{type(exc).__name__}: {exc}")
@@ -163,36 +171,116 @@ def load_raw(spark: SparkSession, landing_dir: str, raw_root: str, mode: str = "
         return list(pool.map(load_one, results))
 
 
-def load_table(spark: SparkSession, df: DataFrame, raw_root: str, table: str, mode: str = "overwrite", enforce_keys: bool = True,
+def load_files(spark: SparkSession, path: str | list[str], raw_root: str, table: str, mode: str = "overwrite", enforce_keys: bool = True,
                buckets: int | None = None, database: str | None = None, part_name: str | None = None) -> int:
+    """``load_table`` of landing files, which are read once; a file with a blank line is refused (``BlankLineError``)."""
+    rows, headers = scan_landing(spark, path, table)
+    try:
+        return load_table(spark, rows, raw_root, table, mode, enforce_keys, buckets, database, part_name, headers)
+    except Exception as exc:
+        if BLANK_LINE in str(exc):
+            raise BlankLineError(f"{table}: a landing file has lines of white space only") from exc
+        raise
+
+
+def load_table(spark: SparkSession, df: DataFrame, raw_root: str, table: str, mode: str = "overwrite", enforce_keys: bool = True,
+               buckets: int | None = None, database: str | None = None, part_name: str | None = None,
+               headers: dict[str, int] | None = None) -> int:
     """Stage ``df`` as a part, check it, publish it; the number of rows it added.
 
-    The source is read once; keys and counts are taken from the staged part. A part name
-    that is already published (a batch that is run again) adds nothing.
+    The source is read once: rows are counted (and raw checks measured) in the write. Keys
+    are checked on the staged part and against the key indexes of older parts. A part name
+    that is already published (a batch that is run again) adds nothing. ``headers``: ``df``
+    is from ``scan_landing``; as many of its marked rows as there are headers are no rows.
     """
     before = published(spark, raw_root).get(table)
     part = new_part(raw_root, table, part_name)
-    old = list(before.parts) if before and mode == "append" else []
-    if part in old:
+    old = before if before and mode == "append" else None
+    if old and part in old.parts:
         return 0
-    catalog_table = None
+    catalog_table = f"{database}.{table}_{part.rsplit('/', 1)[-1]}" if buckets else None
+    measured, repeats = _write_part(df, part, table, buckets, catalog_table, headers)
+    for text, copies in repeats.items():  # data lines that equal a header
+        more, _ = _write_part(header_rows(spark, text, copies, table), part, table, buckets, catalog_table, None, "append")
+        measured = {k: v if k == "as_of_year" else v + more[k] for k, v in measured.items()}
+    rows = measured[ROWS]
+    note: dict = {ROWS: rows} if old else dict(measured)
+    if table in RAW_KEYS:
+        index = f"{raw_root.rstrip('/')}/{table}_keys/{part.rsplit('/', 1)[-1]}"
+        bad = write_key_index(spark.read.parquet(part), RAW_KEYS[table], index)
+        older = _key_indexes(spark, old, raw_root, table) if old else []
+        if enforce_keys and (bad or older and not colliding_keys(spark, older, index).isEmpty()):
+            raise KeyViolationError(f"{table}: primary key {RAW_KEYS[table]} is NULL or repeated")
+        note[KEY_INDEX] = [*older, index]
+    publish(spark, raw_root, table, [*(old.parts if old else ()), part], rows + (old.rows if old else 0),
+            None if old else catalog_table, json.dumps(note), before)
+    return rows
+
+
+def _write_part(df: DataFrame, part: str, table: str, buckets: int | None, catalog_table: str | None, headers: dict[str, int] | None,
+                mode: str = "overwrite") -> tuple[dict[str, int], dict[str, int]]:
+    """Write one part; what was measured in the write, and header text -> data lines that equal it."""
+    laid, seen = df, Observation()
     if buckets:
         key = RAW_BUCKET_KEYS[table]
-        catalog_table = f"{database}.{table}_{part.rsplit('/', 1)[-1]}"
-        # one task per bucket, so one file per bucket
-        (df.repartition(buckets, key).sortWithinPartitions(key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
-           .option("path", part).saveAsTable(catalog_table))
+        laid = df.repartition(buckets, key).sortWithinPartitions(key)  # one task per bucket, so one file per bucket
+    if headers:
+        laid = laid.observe(seen, *[F.count_if(F.col(HEADER) == i).alias(f"h{i}") for i in range(len(headers))])
+    if HEADER in laid.columns:
+        laid = laid.filter(F.col(HEADER).isNull()).drop(HEADER)
+    measure = Measure(f"raw_{table}")
+    writer = measure.on(laid).write.mode(mode)
+    if buckets:
+        writer.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", part).saveAsTable(catalog_table)
     else:
-        df.write.mode("overwrite").parquet(part)
-    staged = spark.read.parquet(part)
-    if enforce_keys and table in RAW_KEYS:
-        # an appended row may also collide with a row already published
-        scope = spark.read.parquet(*old, part) if old else staged
-        if not raw_key_violations({table: scope.select(RAW_KEYS[table])}).isEmpty():
-            raise KeyViolationError(f"{table}: primary key {RAW_KEYS[table]} is NULL or repeated")
-    rows = staged.count()
-    publish(spark, raw_root, table, [*old, part], rows + (before.rows if old else 0), None if old else catalog_table)
-    return rows
+        writer.parquet(part)
+    counts = seen.get if headers else {}
+    repeats = {text: counts[f"h{i}"] - files for i, (text, files) in enumerate((headers or {}).items())}
+    return measure.result, {text: n for text, n in repeats.items() if n > 0}
+
+
+def write_key_index(rows: DataFrame, key: str, path: str) -> int:
+    """Store the distinct keys of ``rows`` in ``KEY_BUCKETS`` folders by a hash of the key; the number of NULL or repeated keys."""
+    seen = Observation()
+    bucket = F.pmod(F.xxhash64("key"), F.lit(KEY_BUCKETS)).cast("int")
+    keys = rows.select(F.col(key).alias("key")).withColumn("bucket", bucket)
+    # all rows of a bucket are in one task, which then counts its keys without another shuffle
+    counted = keys.repartition("bucket").groupBy("bucket", "key").agg(F.count(F.lit(1)).alias("n_records"))
+    (counted.sortWithinPartitions("bucket", "key")
+            .observe(seen, F.count_if(F.col("key").isNull() | (F.col("n_records") > 1)).alias("bad"))
+            .select("key", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))
+    return seen.get.get("bad", 0)
+
+
+def _read_index(spark: SparkSession, paths: list[str]) -> DataFrame:
+    # each index is a root of its own, so its folders are its buckets; an index without keys has no folder
+    parts = [spark.read.schema("key string, bucket int").option("basePath", p).parquet(p) for p in paths]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def colliding_keys(spark: SparkSession, older: list[str], index: str) -> DataFrame:
+    """Keys of ``index`` that an older index holds; only buckets that ``index`` has keys in are read."""
+    new = _read_index(spark, [index])
+    buckets = [r.bucket for r in new.select("bucket").distinct().collect()]  # KEY_BUCKETS at most
+    old = _read_index(spark, older).filter(F.col("bucket").isin(buckets))
+    return old.join(new, ["bucket", "key"], "left_semi").select("key")
+
+
+def _key_indexes(spark: SparkSession, before: Published, raw_root: str, table: str) -> list[str]:
+    """Key indexes of the published parts; a table published without them gets one now."""
+    held = before.measured.get(KEY_INDEX)
+    if held is None:
+        held = [f"{raw_root.rstrip('/')}/{table}_keys/before-{before.seq}"]
+        write_key_index(read_published(spark, before), RAW_KEYS[table], held[0])
+    return held
+
+
+def raw_measured(spark: SparkSession, raw_root: str) -> dict[str, dict[str, int]]:
+    """What was measured while the published raw tables were written, by relation name; appended tables are left out."""
+    return {f"raw_{t}": p.measured for t, p in published(spark, raw_root).items() if len(p.parts) == 1}
 
 
 def load_append(spark: SparkSession, landing_dir: str, raw_root: str) -> int:

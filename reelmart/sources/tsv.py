@@ -1,16 +1,24 @@
 """COPY text dialect: tab-separated, ``\\N`` for NULL, one header line, no quoting,
 backslash escapes.
 
-Line 1 of every file is the header, whatever it says. The files are scanned by the
-one-column CSV source, with quoting off and a separator (NUL) that cannot stand in COPY
-text: it drops exactly the first line of each file and splits large files into
-line-aligned partitions, so a landing file is read in parallel by every executor. That
-source also skips lines of white space only, which are an error in this dialect;
-``blank_lines`` finds them and the loaders refuse such a file.
+Line 1 of every file is the header, whatever it says. Two scans, both splitting large
+files into line-aligned partitions that all executors read:
+
+* ``scan_landing`` is the loaders' scan. It reads every line once with the text source,
+  parses it, and refuses a line of white space only, which is an error in this dialect. Which
+  line came first is not known inside a scan, but equal lines are interchangeable: lines
+  that equal some file's header are marked, the loader counts them in the same job, and
+  as many as there are headers are no rows (``header_rows`` gives back the others).
+* ``read_copy_text`` is a lazy table for ad-hoc reading, by the one-column CSV source with
+  quoting off and a separator (NUL) that cannot stand in COPY text: it drops the first
+  line of each file, but also skips lines of white space only.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,13 +79,52 @@ def read_copy_text(spark: SparkSession, path: str | list[str], table: str) -> Da
     return parse_copy_lines(lines, table)
 
 
-def blank_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of white space only, which the scan of ``read_copy_text`` skips."""
-    return spark.read.option("lineSep", "\n").text(path).filter(~F.col("value").rlike(r"[^\x00-\x20]"))
+#: Column that marks lines equal to a file's header: the header's number.
+HEADER = "_header"
+BLANK_LINE = "line of white space only"
+
+
+def _text(spark: SparkSession, files: str | list[str]) -> DataFrame:
+    return spark.read.option("lineSep", "\n").text(files)
+
+
+def header_lines(spark: SparkSession, files: list[str], parallel: int = 8) -> dict[str, int]:
+    """First line -> number of files that begin with it; only the head of each file is read."""
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        heads = list(pool.map(lambda f: _text(spark, f).head(1), files))
+    out: dict[str, int] = {}
+    for head in heads:
+        if head:
+            out[head[0].value] = out.get(head[0].value, 0) + 1
+    return out
+
+
+def scan_landing(spark: SparkSession, path: str | list[str], table: str) -> tuple[DataFrame, dict[str, int]]:
+    """The landing file(s) as the raw table ``table`` plus the column ``HEADER``, and the headers with their numbers of files.
 
+    Rows with a non-null ``HEADER`` are header lines and lines that equal one: the i-th of the
+    headers. A bad field count or a line of white space only fails the job that reads them.
+    """
+    headers = header_lines(spark, [unquote(f) for f in _text(spark, path).inputFiles()])  # given as URLs
+    line = F.col("value")
+    mark = F.lit(None).cast("int")
+    for i, text in enumerate(headers):
+        mark = F.when(line == text, i).otherwise(mark)
+    blank = F.raise_error(F.concat(F.lit(f"{table}: {BLANK_LINE} in "), F.col("_metadata.file_name")))
+    checked = F.when(mark.isNull() & ~line.rlike(r"[^\x00-\x20]"), blank).otherwise(line)
+    return parse_copy_lines(_text(spark, path).select(checked.alias("value"), mark.alias(HEADER)), table, HEADER), headers
+
+
+def header_rows(spark: SparkSession, text: str, copies: int, table: str) -> DataFrame:
+    """Rows of ``copies`` data lines that equal the header ``text``."""
+    return parse_copy_lines(spark.range(copies).select(F.lit(text).alias("value")), table)
 
-def parse_copy_lines(lines: DataFrame, table: str) -> DataFrame:
-    """Parse text lines (``value`` column, header already gone) into the raw table."""
+
+def parse_copy_lines(lines: DataFrame, table: str, mark: str | None = None) -> DataFrame:
+    """Parse text lines (``value`` column, header already gone) into the raw table.
+
+    ``mark``: a column to keep; lines where it is not null are not parsed.
+    """
     columns = RAW_COLUMNS[table]
     line = F.col("value")
     value = F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
@@ -86,13 +133,15 @@ def parse_copy_lines(lines: DataFrame, table: str) -> DataFrame:
         F.size(fields) == len(columns), fields
     ).otherwise(F.raise_error(F.concat(
         F.lit(f"{table}: expected {len(columns)} fields, got "), F.size(fields).cast("string"), F.lit(": "), value)))
-    parsed = lines.filter(value != END_OF_DATA).select(checked.alias("_f"))
-    out = []
+    if mark:
+        checked = F.when(F.col(mark).isNull(), checked)
+    parsed = lines.filter(value != END_OF_DATA).select(checked.alias("_f"), *([mark] if mark else []))
+    out = [F.col(mark)] if mark else []
     for i, name in enumerate(columns):
         raw = F.col("_f").getItem(i)
         out.append(F.when(raw == F.lit(NULL_MARKER), F.lit(None).cast("string"))
                    .otherwise(unescape(raw)).alias(name))
-    return parsed.select(*out)
+    return parsed.select(*out[1:], out[0]) if mark else parsed.select(*out)
 
 
 def write_copy_text(df: DataFrame, path: str, table: str | None = None, mode: str = "overwrite") -> None:

@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from reelmart.sources.catalog import file_for
-from reelmart.sources.ingest import BlankLineError, load_table
-from reelmart.sources.tsv import blank_lines, read_copy_text
+from reelmart.sources.ingest import load_files
 
 
 def landing_glob(table: str) -> str:
@@ -47,10 +46,7 @@ def append_new_landing_files(spark: SparkSession, landing_dir: str, table: str,
         files = [r.file_path for r in batch.distinct().collect()]  # names of the new files only
         if not files:
             return
-        if not blank_lines(session, files).isEmpty():
-            raise BlankLineError(f"{table}: a landing file has lines of white space only")
-        load_table(session, read_copy_text(session, files, table), raw_root, table, "append", enforce_keys,
-                   part_name=f"stream-{stream}-{batch_id}")
+        load_files(session, files, raw_root, table, "append", enforce_keys, part_name=f"stream-{stream}-{batch_id}")
 
     query = (names.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True).start())

@@ -241,3 +241,86 @@ def test_empty_folder_is_no_landing_file(spark, tmp_dir):
 
     os.makedirs(f"{tmp_dir}/empty")
     assert not path_exists(spark, f"{tmp_dir}/empty") and not path_exists(spark, f"{tmp_dir}/none")
+
+
+def _landing_file(folder, lines, name="title.ratings.tsv"):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w", newline="") as fh:
+        fh.write("".join(lines))
+
+
+def _ratings(spark, root):
+    from reelmart.sources.ingest import read_raw
+
+    return sorted(tuple(r) for r in read_raw(spark, root)["title_ratings"].collect())
+
+
+def test_data_lines_that_equal_the_header_are_kept(spark, tmp_dir):
+    _landing_file(f"{tmp_dir}/landing", ["tt5\t5\t5\n", "tt1\t1\t1\n", "tt5\t5\t5\n", "tt2\t2\t2"])
+    for buckets in (None, 2):
+        result = {r.table: r for r in load_raw(spark, f"{tmp_dir}/landing", f"{tmp_dir}/raw{buckets}", buckets=buckets)}["title_ratings"]
+        assert result.rows == 3 and _ratings(spark, f"{tmp_dir}/raw{buckets}") == [("tt1", "1", "1"), ("tt2", "2", "2"), ("tt5", "5", "5")]
+
+
+def test_folder_of_files_with_different_headers(spark, tmp_dir):
+    folder = f"{tmp_dir}/landing/title.ratings.tsv"
+    _landing_file(folder, ["a\tb\tc\n", "tt1\t1\t1\n", "x\ty\tz\n"], "one")  # holds the other file's header as a row
+    _landing_file(folder, ["x\ty\tz\n", "tt2\t2\t2\n"], "two")
+    _landing_file(folder, [], "three")
+    result = {r.table: r for r in load_raw(spark, f"{tmp_dir}/landing", f"{tmp_dir}/raw")}["title_ratings"]
+    assert result.loaded and _ratings(spark, f"{tmp_dir}/raw") == [("tt1", "1", "1"), ("tt2", "2", "2"), ("x", "y", "z")]
+
+
+def test_a_load_reads_the_text_once(spark, tmp_dir):
+    from reelmart.sources.ingest import load_files
+    from reelmart.sources.tsv import scan_landing
+
+    _landing_file(f"{tmp_dir}/landing", ["h\n"] + [f"tt{i}\t{i}\t{i}\n" for i in range(50)])
+    rows, headers = scan_landing(spark, f"{tmp_dir}/landing/title.ratings.tsv", "title_ratings")
+    assert headers == {"h": 1}
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    reads = []
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = spark._jsparkSession.sharedState().statusStore().executionsCount()
+    load_files(spark, f"{tmp_dir}/landing/title.ratings.tsv", f"{tmp_dir}/raw", "title_ratings")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    status = spark._jsparkSession.sharedState().statusStore()
+    runs = status.executionsList(int(before), 1000)
+    for i in range(runs.size()):
+        reads.append(runs.apply(i).physicalPlanDescription().count("Scan text"))
+    # the head of the file (a limit), and the load itself; a plan description names a scan twice
+    assert sum(1 for n in reads if n) == 2
+
+
+def test_append_reads_the_key_index_of_the_buckets_it_needs(spark, tmp_dir):
+    from reelmart.sources import ingest as I
+    from reelmart.sources.store import published
+
+    _landing_file(f"{tmp_dir}/l0", ["h\n"] + [f"tt{i}\t{i}\t{i}\n" for i in range(400)])
+    I.load_raw(spark, f"{tmp_dir}/l0", f"{tmp_dir}/raw")
+    _landing_file(f"{tmp_dir}/l1", ["h\n", "tt900\t1\t1\n", "tt901\t1\t1\n"])
+    I.load_raw(spark, f"{tmp_dir}/l1", f"{tmp_dir}/raw", mode="append")
+    entry = published(spark, f"{tmp_dir}/raw")["title_ratings"]
+    first, second = entry.measured[I.KEY_INDEX]
+    look = I.colliding_keys(spark, [first], second)
+    read = [f for f in look.inputFiles() if f"{first}/" in f]
+    plan = look._jdf.queryExecution().executedPlan().toString()
+    assert read and not any(f.startswith(tuple(entry.parts)) for f in look.inputFiles()) and "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket", "[bucket")
+    assert look.isEmpty() and entry.rows == 402
+    for i, bad in enumerate((["tt7\t1\t1\n"], ["tt901\t1\t1\n"], ["tt950\t1\t1\n", "tt950\t2\t2\n"], ["\\N\t1\t1\n"])):
+        _landing_file(f"{tmp_dir}/bad {i}", ["h\n", "tt990\t1\t1\n", *bad])
+        result = {r.table: r for r in I.load_raw(spark, f"{tmp_dir}/bad {i}", f"{tmp_dir}/raw", mode="append")}["title_ratings"]
+        assert not result.loaded and "KeyViolationError" in result.message
+    assert len(_ratings(spark, f"{tmp_dir}/raw")) == 402
+
+
+def test_append_to_a_table_published_without_an_index(spark, tmp_dir):
+    from reelmart.sources import ingest as I
+    from reelmart.sources.store import publish
+
+    spark.createDataFrame([("tt1", "1", "1")], "tconst string, averagerating string, numvotes string").write.parquet(f"{tmp_dir}/raw/title_ratings/old")
+    publish(spark, f"{tmp_dir}/raw", "title_ratings", [f"{tmp_dir}/raw/title_ratings/old"], 1)
+    _landing_file(f"{tmp_dir}/same", ["h\n", "tt1\t1\t1\n"])
+    _landing_file(f"{tmp_dir}/new", ["h\n", "tt2\t1\t1\n"])
+    ok = {n: {r.table: r for r in I.load_raw(spark, f"{tmp_dir}/{n}", f"{tmp_dir}/raw", mode="append")}["title_ratings"].loaded for n in ("same", "new")}
+    assert ok == {"same": False, "new": True} and len(_ratings(spark, f"{tmp_dir}/raw")) == 2
