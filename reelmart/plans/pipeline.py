@@ -223,13 +223,19 @@ def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str]
     if buckets:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
+    # what the layout needs to know comes from narrow key columns and waits for nothing
+    ahead = ThreadPoolExecutor(max_workers=4)
+    bounds = {} if buckets else {n: ahead.submit(find_bounds, key_columns(wh, n)) for n in names}
+    if "bridge_cast_crew" in names:
+        ahead.submit(wh.hot_credits)
+
     def store(name: str, df: DataFrame) -> StagedMart:
         part, measure = new_part(root, name), Measure(name, wh.as_of_year)
         if buckets:
             table = f"{database}.{name}_{part.rsplit('/', 1)[-1]}"
             write_bucketed_mart(df, part, table, buckets, MART_SORT_KEYS[name], MART_PARTITIONS.get(name), measure)
             return StagedMart(name, part, spark.table(table).select(*df.columns), table, measure.result)
-        write_mart(df, part, MART_SORT_KEYS[name], MART_PARTITIONS.get(name), find_bounds(key_columns(wh, name)), measure)
+        write_mart(df, part, MART_SORT_KEYS[name], MART_PARTITIONS.get(name), bounds[name].result(), measure)
         return StagedMart(name, part, spark.read.parquet(part).select(*df.columns), None, measure.result)
 
     out: dict[str, StagedMart] = {}
@@ -248,6 +254,7 @@ def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str]
             later["bridge_cast_crew"] = pool.submit(
                 lambda: store("bridge_cast_crew", M.bridge_cast_crew_from_raw(wh.raw["title_principals"], titles, people, wh.hot_credits())))
         out.update({name: f.result() for name, f in later.items()})
+    ahead.shutdown()
     return {n: out[n] for n in names}
 
 

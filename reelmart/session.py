@@ -15,6 +15,14 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Filters of supported titles and named people below the shuffle of the big sources. The defaults
+    # give up on key sets beyond 10 MB; here the key side may be any catalogue, the filter has 8 MB (64 at most).
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1tb",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "10000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "50000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
 }
 
 

@@ -104,3 +104,33 @@ def test_salts_of_derived_credits_are_stable(spark):
 
     credits = credit_columns(raw_sources(spark, "/root/testdata/sf0.001")["title_principals"])
     assert _sorted(with_row(credits)) == _sorted(with_row(credits.repartition(5)))
+
+
+def test_filters_of_kept_keys_stand_below_the_shuffle(spark, tmp_dir):
+    """The runtime Bloom filters of supported titles and named people fire on stored sources of any size of key set."""
+    from reelmart.plans.pipeline import build
+    from reelmart.sources.synthetic import raw_sources
+
+    raw = {}
+    for name, df in raw_sources(spark, "/root/testdata/sf0.001").items():
+        df.write.parquet(f"{tmp_dir}/{name}")
+        raw[name] = spark.read.parquet(f"{tmp_dir}/{name}")
+    plain = {n: _sorted(build(raw, as_of_year=2024, hot_share=None)[n]) for n in ("stg_title_principals", "stg_title_akas", "bridge_cast_crew")}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for share, filters in ((None, 2), (0.005, 1)):
+            wh = build(raw, as_of_year=2024, hot_share=share)
+            for name, want in (("stg_title_principals", filters), ("stg_title_akas", 1), ("bridge_cast_crew", filters)):
+                plan = wh[name]._jdf.queryExecution().optimizedPlan().toString()
+                assert plan.count("might_contain") >= want, (name, share)
+                assert _sorted(wh[name]) == plain[name]
+        kept = build(raw, as_of_year=2024, hot_share=None)["stg_title_akas"]
+        written = kept._jdf.queryExecution().executedPlan()
+        kept.collect()
+        assert "might_contain" in written.toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
