@@ -11,17 +11,21 @@ at least ``percent`` / 100 (0.80 by default); the result is their connected comp
 3. Candidates whose sizes allow the similarity are confirmed on the full sets, which are
    made for candidate documents only.
 4. Components come from the confirmed links. A bucket is open if its star left members of
-   two components or more besides its centre. Every pair of the open buckets' members that
-   can reach the similarity is found by prefix filtering: shingles are ordered by their
-   frequency among these members, and two sets that reach it share one of the first
-   n - ceil(n * percent / 100) + 1 of either. Members that meet on such a shingle and are in
-   different components are compared, in rounds of eight times as many centres per shingle,
-   until every member outside the shingle's largest component has been a centre. There is no
-   other end, so no link between two documents of one bucket is lost.
+   two components or more besides its centre. Its members are then told apart by what
+   differs from the centre c: with D(x) = the shingles in one of x and c only, x and y differ
+   in |D(x)| + |D(y)| - 2 |D(x) & D(y)| shingles, so the similarity asks for a number of
+   common differences, which is known from sizes alone (``_differences``). In a group of
+   near copies all share the text and few share their edits, so this finds the few
+   where whole sets would find all pairs. Prefix filtering on the differences, rarest
+   first, yields every pair that can reach the similarity. Members that meet on such a
+   shingle and are in different components are compared, in rounds of eight times as many
+   centres per shingle, until every member outside the shingle's largest component has
+   been a centre. There is no other end, so no link between two documents of one bucket
+   is lost.
 
 With 32 bands of 6 bins, two sets of similarity 0.85 share no bucket with probability 3e-7,
-two of 0.80 with 6e-5. The cost of step 4 is quadratic only in documents of about one size
-that share rare shingles, stay under the similarity and are in different components.
+two of 0.80 with 6e-5. The cost of step 4 is quadratic only in documents that share rare
+differences from one centre, stay under the similarity and are in different components.
 
 Hot buckets and hot centres: counts and centres are aggregated map-side, joins are plain
 equi-joins that the adaptive skew join splits, and nothing needs a bucket in one task.
@@ -104,47 +108,82 @@ def _in_components(rows: DataFrame, comp: DataFrame | None, name: str = "compone
 
 
 def _open_members(stars: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """(id) of the members, besides the centre, of every bucket in which they have two components or more."""
-    left = _in_components(stars.filter(F.col("id") != F.col("c.id")).select("key", "id"), comp)
+    """(c, id) of the members, besides the centre, of every bucket in which they have two components or more."""
+    left = _in_components(stars.filter(F.col("id") != F.col("c.id")).select("key", "id", F.col("c.id").alias("c")), comp)
     open_ = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    return left.join(open_, "key", "left_semi").select("id").distinct()
+    return left.join(open_, "key", "left_semi").select("c", "id").distinct()
 
 
-def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, id, n): each set's first shingles in the order of their frequency, without those that occur once.
+def _differences(members: DataFrame, sets: DataFrame, comp: DataFrame | None, percent: int) -> DataFrame:
+    """(key, id, n, side) of the shingles by which members of one centre can find each other.
 
-    Two sets of the similarity share such a key: each has ceil(n * percent / 100) shingles at
-    least in common with the other, so the first common one is in both prefixes.
+    Two sets x, y differ in |D(x)| + |D(y)| - 2 o shingles, where o are the common differences
+    from the centre c, and reach the similarity p / 100 if that is at most h (|x| + |y|) with
+    h = (100 - p) / (100 + p). Two members of c's component need no comparison, and one
+    outside it, y, is not linked with c: |D(y)| > h (|y| + |c|). So
+
+    * o > (|D(x)| + h (|c| - |x|)) / 2 for any x with a partner outside c's component;
+    * o >= |D(y)| - h (|x| + |y|) for y with a partner inside (as o <= |D(x)|), with |x| <= 100 |y| / p.
+
+    Differences that no other member of the centre has cannot be common; the others are
+    ordered by how many have them, and a partner shares one of the first s - o + 1 of s. Side:
+    0 for pairs outside, in keys of their own; otherwise 1 inside, 2 outside the component.
+    """
+    centre = sets.select(F.col("id").alias("c"), F.col("shingles").alias("of_c"))
+    both = members.join(sets, "id").join(centre, "c")
+    mine, ours = F.array_except("shingles", "of_c"), F.array_except("of_c", "shingles")
+    d = both.select("c", "id", F.size("shingles").cast("long").alias("n"), F.size("of_c").cast("long").alias("m"), F.concat(mine, ours).alias("d"))
+    d = _in_components(d, comp).withColumn("size", F.size("d").cast("long"))
+    d = _in_components(d.withColumnRenamed("id", "x").withColumn("id", F.col("c")), comp, "home").drop("id").withColumnRenamed("x", "id")
+    h, w = 100 - percent, 100 + percent
+    other = F.floor(((w * F.col("size")) + h * (F.col("m") - F.col("n"))) / (2 * w)) + 1
+    largest = F.floor(F.col("n") * 100 / percent)
+    inside = F.greatest(F.ceil((w * F.col("size") - h * (F.col("n") + largest)) / w), F.lit(1))
+    out = F.col("component") != F.col("home")
+    needs = F.when(out, F.array(F.struct(F.lit(0).alias("side"), other.alias("o")), F.struct(F.lit(2).alias("side"), inside.alias("o")))) \
+        .otherwise(F.array(F.struct(F.lit(1).alias("side"), other.alias("o"))))
+    rows = d.select("c", "id", "n", "size", needs.cast("array<struct<side:int,o:bigint>>").alias("needs"), F.explode("d").alias("shingle"))
+    shared = rows.join(rows.groupBy("c", "shingle").agg(F.count("*").alias("f")).filter("f > 1"), ["c", "shingle"])
+    of_set = Window.partitionBy("c", "id")
+    shared = shared.withColumn("rank", F.row_number().over(of_set.orderBy("f", "shingle"))).withColumn("most", F.max("rank").over(of_set))
+    kept = shared.select("c", "id", "n", "size", "shingle", "rank", "most", F.explode("needs").alias("need")).select(
+        "c", "id", "n", "size", "shingle", "rank", "most", "need.*").filter(F.col("rank") <= F.col("most") - F.col("o") + 1)
+    return kept.select(F.xxhash64("c", "shingle", F.col("side") == 0).alias("key"), "id", "n", "side", "size", "rank", "most")
+
+
+def _within_reach(percent: int) -> Column:
+    """Whether two members that meet on a shingle can have enough common differences: those up to it and those behind it.
+
+    Columns n, size, rank, most of one and m, size2, rank2, most2 of the other.
     """
-    rows = sets.select("id", F.size("shingles").cast("long").alias("n"), F.xxhash64("shingles").alias("t"), F.explode("shingles").alias("key"))
-    shared = rows.join(rows.groupBy("key").agg(F.count("*").alias("f")).filter("f > 1"), "key")
-    of_set = Window.partitionBy("id", "t")
-    shared = shared.withColumn("rank", F.dense_rank().over(of_set.orderBy("f", "key"))).withColumn("most", F.max("rank").over(of_set))
-    needed = F.floor((F.col("n") * percent + 99) / 100)
-    return shared.filter(F.col("rank") <= F.col("most") - needed + 1).select("key", "id", "n").distinct()
+    c, h, w = F.col, 100 - percent, 100 + percent
+    common = F.least("rank", "rank2") + F.least(c("most") - c("rank"), c("most2") - c("rank2"))
+    return 2 * w * common >= w * (c("size") + c("size2")) - h * (c("n") + c("m"))
 
 
 def _levels(prefixes: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """(key, id, n, level) of the keys with two components or more; level: the round as a centre, null in the largest component."""
+    """The rows, with their ``level``, of the keys with two components or more; level: the round as a centre, null in the largest component."""
     rows = _in_components(prefixes, comp)
     parts = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
-    keys = parts.groupBy("key").agg(F.sum("size").alias("all"), F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("most"))
+    keys = parts.groupBy("key").agg(F.sum("size").alias("all"), F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
     rows = rows.join(keys.filter("parts > 1"), "key")
     place = F.pmod(F.xxhash64("id", "key"), F.lit(1 << 40)) * F.col("all") / F.lit(float(1 << 40))  # 0 to the number of members
     level = F.when(place < 1, 0).otherwise(F.floor(F.log(float(STEP), F.greatest(place, F.lit(1.0)))) + 1).cast("int")
-    return rows.select("key", "id", "n", F.when(F.col("component") != F.col("most.component"), level).alias("level"))
+    return rows.select(*prefixes.columns, F.when(F.col("component") != F.col("top.component"), level).alias("level"))
 
 
-def _closed(sets: DataFrame, comp: DataFrame | None, percent: int, path: str) -> DataFrame | None:
-    """The components (node, component) with all links between the documents of ``sets``; ``comp``: those known so far."""
+def _closed(members: DataFrame, sets: DataFrame, comp: DataFrame | None, percent: int, path: str) -> DataFrame | None:
+    """The components (node, component) with all links between members (c, id) of one centre; ``comp``: those known so far."""
     spark = sets.sparkSession
-    _prefixes(sets, percent).write.parquet(f"{path}/prefixes")
+    _differences(members, sets, comp, percent).write.parquet(f"{path}/prefixes")
     _levels(spark.read.parquet(f"{path}/prefixes"), comp).write.parquet(f"{path}/levels")
     rows = spark.read.parquet(f"{path}/levels")
     for (level,) in sorted(rows.filter("level is not null").select("level").distinct().collect()):
         now = _in_components(rows, comp)
-        centres = now.filter(F.col("level") == level).select("key", F.col("id").alias("v"), F.col("n").alias("m"), F.col("component").alias("other"))
-        pairs = now.join(centres, "key").filter((F.col("component") != F.col("other")) & _alike(F.col("n"), F.col("m"), percent))
+        centres = now.filter(F.col("level") == level).select("key", F.col("id").alias("v"), F.col("n").alias("m"), F.col("component").alias("other"),
+                                                              F.col("side").alias("facing"), *[F.col(x).alias(f"{x}2") for x in ("size", "rank", "most")])
+        met = (F.col("component") != F.col("other")) & ((F.col("side") == 0) | (F.col("side") != F.col("facing")))
+        pairs = now.join(centres, "key").filter(met & _alike(F.col("n"), F.col("m"), percent) & _within_reach(percent))
         pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct().write.parquet(f"{path}/edges-{level}")
         confirm(spark.read.parquet(f"{path}/edges-{level}"), sets, percent).write.parquet(f"{path}/links-{level}")
         found = spark.read.parquet(f"{path}/links-{level}")
@@ -181,7 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     _open_members(stars, comp).write.parquet(f"{path}/open")
     members = spark.read.parquet(f"{path}/open")
     if not members.isEmpty():
-        comp = _closed(sets.join(members, "id", "left_semi"), comp, percent, path)
+        comp = _closed(members, sets, comp, percent, path)
 
     named = classes.select("n", "s1", "s2", F.col("id").alias("class_id"))
     if comp is not None:

@@ -101,3 +101,42 @@ def test_no_link_within_a_bucket_is_lost(spark, documents):
     assert all(100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) for a, b in want)
     got = near_duplicates(documents(rows), percent=85, bands=1, rows=1).filter("not kept").collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == want
+
+
+def test_differences_from_a_centre_find_every_link(spark):
+    """Sets made by random edits of a centre, of other centres, of each other: all links that can join components are found."""
+    import random
+    import tempfile
+
+    from reelmart.llm import minhash as M
+
+    r = random.Random(11)
+    for percent in (80, 85):
+        base = list(range(100))
+        sets = {0: set(base)}
+        for i in range(1, 160):
+            start = set(sets[r.choice(list(sets))] if r.random() < 0.5 else base)
+            for _ in range(r.randrange(0, 14)):
+                if r.random() < 0.5 and len(start) > 5:
+                    start.discard(r.choice(sorted(start)))
+                else:
+                    start.add(r.choice([r.randrange(100, 130), 1000 + r.randrange(10**6)]))
+            sets[i] = start
+        alike = lambda a, b: 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+        known = {i: (0 if alike(0, i) else i) for i in sets}  # the star's links
+        want = dict(known)
+        changed = True
+        while changed:
+            changed = False
+            for a in sets:
+                for b in sets:
+                    if want[a] != want[b] and alike(a, b):
+                        lo = min(want[a], want[b])
+                        gone = max(want[a], want[b])
+                        want = {i: lo if c == gone else c for i, c in want.items()}
+                        changed = True
+        frame = spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "id long, shingles array<long>")
+        members = spark.createDataFrame([(0, i) for i in sets if i], "c long, id long")
+        comp = spark.createDataFrame([(i, 0) for i, c in known.items() if c == 0], "node long, component long")
+        got = {i: i for i in sets} | {x.node: x.component for x in M._closed(members, frame, comp, percent, tempfile.mkdtemp()).collect()}
+        assert got == want and len(set(want.values())) < len(set(known.values()))
