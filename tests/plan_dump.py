@@ -25,7 +25,9 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=16,
                         conf={"spark.sql.autoBroadcastJoinThreshold": "-1",
-                              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+                              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                              # the runtime filters wait for 10 GB of credits; shown here as they are beyond that
+                              "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"})
     spark.sparkContext.setLogLevel("ERROR")
     wh = build_from_driver_tables(spark, sf_dir, as_of_year=2024)
     marts = materialize(spark, wh)
