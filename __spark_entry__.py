@@ -24,6 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from reelmart.operators import quality as Q  # noqa: E402
 from reelmart.plans import analytics as A  # noqa: E402
 from reelmart.plans import charts as C  # noqa: E402
+from reelmart.plans import states as ST  # noqa: E402
 from reelmart.plans.pipeline import build, build_from_driver_tables, export_csv, materialize, materialize_staging, read_marts  # noqa: E402
 from reelmart.session import scratch_path  # noqa: E402
 from reelmart import constants as K  # noqa: E402
@@ -272,6 +273,17 @@ def _marts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r6(read_marts(spark, root)["fact_ratings"], "popularity_score", "annual_vote_rate")
 
 
+def _from_states(question: str, *float_cols: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A question answered from stored partial aggregates: those of the even titles, with those of the odd ones appended."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wh, root = _wh(spark, sf_dir), scratch_path(spark, "states")
+        for k in range(2):
+            part = [wh[name].filter(_parity("title_id", 2, k)) for name in ("dim_titles", "fact_ratings")]
+            ST.append_states(spark, root, ST.stage_states(*part, root))
+        return _r6(ST.answer(ST.read_states(spark, root), question), *float_cols)
+    return run
+
+
 def _bridge_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bridge with a third of all credits on one title: the salted path."""
     raw = dict(raw_sources(spark, sf_dir))
@@ -396,6 +408,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # storage and access
         "marts_stored_round_trip": _marts_stored,
         "csv_export_round_trip": _csv_export,
+        "states_production_trends": _from_states("production_trends", "avg_rating", "avg_runtime"),
+        "states_genre_popularity": _from_states("genre_popularity"),
+        "states_runtime_evolution": _from_states("runtime_evolution"),
+        "states_recent_vs_classic": _from_states("recent_vs_classic"),
+        "states_chart_movies_by_decade": _from_states("chart_movies_by_decade", "avg_rating"),
+        "states_chart_genre_popularity": _from_states("chart_genre_popularity"),
+        "states_chart_runtime_groups": _from_states("chart_runtime_groups"),
         "bridge_skewed": _bridge_skewed,
         "sql_top_rated_movies": _sql_top_rated,
     }
@@ -408,6 +427,7 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (STAGING_AND_MARTS, SAMPLE, CHARTS, CHECKS, INGEST):
         out.update(part)
+    out.update({f"states_{question}": out[question] for question in ST.ANSWERS})  # the same answers
     if LLM:
         out.update(LLM.oracle_sql())
         if corpus_pipeline.ORACLE_SQL:

@@ -6,7 +6,7 @@ stop at the (small) result DataFrame. Rendering is left to the caller.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmart import constants as K
@@ -62,13 +62,17 @@ def chart_quality_points(titles: DataFrame, fact: DataFrame, min_votes: int = 10
                     F.coalesce(F.col("success_category"), F.lit(K.AVERAGE_QUALITY)).alias("success_category")))
 
 
+def runtime_group(runtime: Column) -> Column:
+    """Runtime group of the chart; without a runtime the last one."""
+    return ladder([(runtime <= bound, label) for bound, label in K.CHART_RUNTIME_GROUPS], K.CHART_RUNTIME_LONG)
+
+
 # D4
 def chart_runtime_groups(titles: DataFrame, first: int = 1960, last: int = 2020) -> DataFrame:
     runtime = F.col("runtime_minutes")
-    group = ladder([(runtime <= bound, label) for bound, label in K.CHART_RUNTIME_GROUPS], K.CHART_RUNTIME_LONG)
     t = titles.filter((F.col("content_category") == MOVIE) & F.col("decade").between(first, last)
                       & runtime.isNotNull())
-    return (t.groupBy(F.col("decade"), group.alias("runtime_group"))
+    return (t.groupBy(F.col("decade"), runtime_group(runtime).alias("runtime_group"))
             .agg(F.count(F.lit(1)).alias("movie_count"))
             .orderBy(F.col("decade").asc_nulls_last()))
 

@@ -258,9 +258,9 @@ def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str]
     return {n: out[n] for n in names}
 
 
-def publish_marts(spark: SparkSession, root: str, staged: dict[str, StagedMart]) -> None:
-    """Make the staged parts the marts of ``root``, all at once."""
-    publish_set(spark, root, "marts", [m.staged() for m in staged.values()])
+def publish_marts(spark: SparkSession, root: str, staged: dict[str, StagedMart], states: list[Staged] | None = None) -> None:
+    """Make the staged parts (and the partial aggregates taken from them) the marts of ``root``, all at once."""
+    publish_set(spark, root, "marts", [*[m.staged() for m in staged.values()], *(states or [])])
 
 
 def read_marts(spark: SparkSession, root: str) -> StoredTables:
@@ -345,6 +345,7 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
     results as CSV.
     """
     from reelmart.operators.quality import DECLARED_CHECKS, failed_checks, quality_report
+    from reelmart.plans.states import ANSWERS, answer, read_states, stage_states
     from reelmart.sources.ingest import load_if_empty, raw_measured, read_raw, require_all_loaded
 
     root = root.rstrip("/")
@@ -371,14 +372,15 @@ def run(spark: SparkSession, landing_dir: str, root: str, as_of_year: int | None
     if fail_on_error and not failed_checks(report).isEmpty():
         names = [r.check_id for r in failed_checks(report).select("check_id").collect()]  # one row a declared check
         raise QualityGateError(f"error-severity checks failed: {', '.join(names)}")
-    publish_marts(spark, f"{root}/marts", staged_marts)
+    publish_marts(spark, f"{root}/marts", staged_marts, stage_states(marts["dim_titles"], marts["fact_ratings"], f"{root}/marts"))
     # counted while they were written
     counts = spark.createDataFrame([(k, staged_marts[k].measured[ROWS]) for k in ("dim_titles", "dim_people", "fact_ratings")], "table_name string, row_count long")
     exported = None
     if export_dir:
         from reelmart.plans.analytics import all_queries
 
-        results = all_queries(marts["dim_titles"], marts["dim_people"], marts["fact_ratings"])
+        results, states = all_queries(marts["dim_titles"], marts["dim_people"], marts["fact_ratings"]), read_states(spark, f"{root}/marts")
+        results |= {q: answer(states, q) for q in results if q in ANSWERS}
         exported = export_results(results, export_dir)
     return RunResult(load=load, marts=marts, report=report, counts=counts, exported=exported)
 
