@@ -1,4 +1,8 @@
+import random
 import re
+from itertools import combinations
+
+import pytest
 
 from reelmart.llm.licenses import PHRASES, TEMPLATES, Automaton, op10_license_scan, scan_licenses, words_of
 
@@ -52,3 +56,79 @@ def test_query(spark, documents, tmp_dir):
     assert got[4].base_labels == "apache,mit" and got[4].score >= 0.5 and got[2].score == 0.0
     documents([]).write.mode("overwrite").parquet(f"{tmp_dir}/documents.parquet")
     assert op10_license_scan(spark, tmp_dir).count() == 0
+
+
+def _runs(doc, template, others, min_match):
+    """Right-maximal runs of ``doc`` in any template, (start, end, ends in ``template``), by trying all."""
+    grams = {tuple(t[i:j]) for t in others for i in range(len(t)) for j in range(i + 1, len(t) + 1)}
+    longest = [max((n for n in range(1, i + 2) if tuple(doc[i + 1 - n:i + 1]) in grams), default=0) for i in range(len(doc))]
+    out = []
+    for i, n in enumerate(longest):
+        if n >= min_match and (i + 1 == len(doc) or longest[i + 1] != n + 1):
+            ends = [k + n for k in range(len(template) - n + 1) if template[k:k + n] == doc[i + 1 - n:i + 1]]
+            if ends:
+                out.append((i + 1 - n, i + 1, ends))
+    return out
+
+
+def _brute_spans(doc, template, others, min_match, max_gap, min_cover):
+    """All chains of runs, then all disjoint sets of the best chain of each run."""
+    runs = _runs(doc, template, others, min_match)
+    best = {}
+
+    def grow(i, te, covered, first):
+        key = (covered, first)
+        best[i] = max(best.get(i, key), key)
+        s, e, _ = runs[i]
+        for j in range(i + 1, len(runs)):
+            s2, e2, ends = runs[j]
+            for te2 in ends:
+                ts, ts2 = te - (e - s), te2 - (e2 - s2)
+                if s2 > s and s2 <= e + max_gap and te2 > te and ts2 >= ts:
+                    grow(j, te2, covered + te2 - max(ts2, te), first)
+
+    for i, (s, e, ends) in enumerate(runs):
+        for te in ends:
+            grow(i, te, e - s, s)
+    cands = [(first, runs[i][1], covered) for i, (covered, first) in best.items() if covered >= min_cover * len(template)]
+    sets = [c for n in range(len(cands) + 1) for c in combinations(cands, n)
+            if all(a[1] <= b[0] or b[1] <= a[0] for a, b in combinations(c, 2))]
+    return max(sum(x[2] for x in c) for c in sets), cands
+
+
+def test_spans_against_brute_force(spark, documents):
+    rng = random.Random(5)
+    words = "alpha beta gamma delta eps".split()
+    for trial in range(6):
+        template = [rng.choice(words) for _ in range(10)]
+        other = [rng.choice(words) for _ in range(6)]
+        docs = []
+        for i in range(25):
+            d = []
+            for _ in range(2):
+                t = list(template)
+                for _ in range(rng.randrange(3)):
+                    t[rng.randrange(len(t))] = rng.choice(["foreign", *words])
+                d += t + ["x"] * rng.randrange(3)
+            docs.append(d)
+        got = {r.doc_id: r.spans for r in scan_licenses(
+            documents([(i, " ".join(d)) for i, d in enumerate(docs)], 1), (), (("a", " ".join(template)), ("a", " ".join(other))),
+            min_match=2, max_gap=2, min_cover=0.5).collect()}
+        for i, d in enumerate(docs):
+            want = [_brute_spans(d, t, [template, other], 2, 2, 0.5) for t in (template, other)]
+            assert sum(round(s.cover * len(t)) for t, s in [(template if (s.start, s.end, round(s.cover * 10)) in want[0][1] else other, s) for s in got[i]]) == want[0][0] + want[1][0]
+
+
+def test_a_run_at_a_later_place_of_its_template(spark, documents):
+    template = "alpha beta gamma one two three alpha beta gamma four five six"
+    docs = documents([(1, "alpha beta gamma one two three foreign words alpha beta gamma four five six"), (2, template + " . " + template), (3, template + " " + template)])
+    got = {r.doc_id: [(s.start, s.end, s.cover) for s in r.spans] for r in scan_licenses(docs, (), (("t", template),)).collect()}
+    assert got == {1: [(0, 14, 1.0)], 2: [(0, 12, 1.0), (12, 24, 1.0)], 3: [(0, 12, 1.0), (12, 24, 1.0)]}
+
+
+@pytest.mark.parametrize("label", sorted({t for t, _ in TEMPLATES}))
+def test_every_template_gives_its_own_label(spark, documents, label):
+    texts = [t for k, t in TEMPLATES if k == label]
+    docs = documents([(i, "Some prose. " + t.upper() + " More prose.") for i, t in enumerate(texts)], 1)
+    for r in scan_licenses(docs).collect():
+        assert {s.label for s in r.spans} == {label} and max(s.cover for s in r.spans) == 1.0
