@@ -80,24 +80,27 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, long_words: int = LONG_WORDS,
                 info_col: str = "lines") -> DataFrame:
     """``docs`` with ``text`` as it is left, and a struct column ``info_col`` (total, removed, runs), which replaces one of that name."""
-    gone = repeated_lines(docs, id_col, text_col, window, long_words).select(
-        F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone"))
-    text = F.col(text_col).cast("string")
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__th"))
-    d = docs.join(gone.hint("shuffle_hash"), same, "left").drop("__id", "__th")
-    none = F.col("__gone").isNull()
-    d = d.withColumn("__all", F.split(text, "\n"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__all") - 1), F.col("__gone.p"))
-    left = F.array_join(F.transform(stay, lambda p: F.col("__all")[p]), "\n")
+    gone = repeated_lines(docs, id_col, text_col, window, long_words).hint("shuffle_hash")
+    # the other columns travel in one struct, so their names meet no other
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    d = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("key"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    text = F.col("text")
+    d = d.join(gone, F.col("key").eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("th")), "left")
+    none = F.col("gone").isNull()
+    d = d.withColumn("all", F.split(text, "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.col("gone.p"))
+    left = F.array_join(F.transform(stay, lambda p: F.col("all")[p]), "\n")
     # a run starts where the number is not one more than the one before
-    number = F.col("__gone.i")
+    number = F.col("gone.i")
     starts = F.size(F.filter(F.arrays_zip(number.alias("a"), F.concat(F.array(F.lit(-2)), number).alias("b")),
                              lambda z: z["a"].isNotNull() & (z["a"] != z["b"] + 1)))
     total = F.coalesce(F.size(_lines(F.coalesce(text, F.lit("")))), F.lit(0)).cast("long")
     info = F.struct(total.alias("total"),
-                    F.when(none, 0).otherwise(F.size("__gone")).cast("long").alias("removed"),
-                    F.when(none, 0).otherwise(starts).cast("long").alias("runs"))
-    return d.withColumns({info_col: info, text_col: F.when(none, text).otherwise(left)}).drop("__gone", "__all")
+                    F.when(none, 0).otherwise(F.size("gone")).cast("long").alias("removed"),
+                    F.when(none, 0).otherwise(starts).cast("long").alias("runs")).alias(info_col)
+    out = {c: F.col(f"row.`{c}`") for c in docs.columns if c != text_col} | {text_col: F.when(none, text).otherwise(left).alias(text_col)}
+    shown = [info if c.lower() == info_col.lower() else out[c] for c in docs.columns]
+    return d.select(*shown, *([] if info_col.lower() in (c.lower() for c in docs.columns) else [info]))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,3 +57,13 @@ def test_other_columns_stay(spark, documents, clashing):
 def test_empty_table(spark, documents, tmp_dir):
     documents([]).write.parquet(f"{tmp_dir}/documents.parquet")
     assert op4_line_dedup(spark, tmp_dir).count() == 0
+
+
+def test_names_that_clash(documents):
+    rows = [(1, "one two\nthree four\nx"), (2, "one two\nthree four\ny"), (3, None)]
+    plain = {r.doc_id: (r.text, r.lines) for r in dedup_lines(documents(rows)).collect()}
+    odd = documents(rows).selectExpr("*", *[f"7 as `{c}`" for c in ("__gone", "__all", "__id", "__th", "gone", "all", "row", "key", "id", "th", "p", "a.b")], "8 as Lines")
+    got = dedup_lines(odd)
+    assert [c.lower() for c in got.columns] == [c.lower() for c in odd.columns]
+    assert {r.doc_id: (r.text, r.lines) for r in got.collect()} == plain and plain[2][0] == "y"
+    assert all(r["__all"] == r["all"] == r["a.b"] == 7 for r in got.collect())

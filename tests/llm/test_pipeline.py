@@ -98,3 +98,20 @@ def test_ids_are_decoded(spark, documents):
     assert len(got) == len(rows)
     assert all(r.decoded_sha256 == hashlib.sha256(t.decode(bytes(r.ids)).encode()).hexdigest() for r in got)
     assert len({r.decoded_sha256 for r in got}) > 30  # texts, not one constant
+
+
+def test_names_that_clash(spark, documents, tmp_dir):
+    from pyspark.sql import functions as F
+
+    _tables(spark, documents, tmp_dir)
+    docs = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    names = ["__score", "score", "__lines", "Lines", "kept", "__p", "row", "ids", "n_tokens", "decoded_sha256"]
+    odd = docs.withColumns({c: F.lit(7) for c in names})
+    for name, stage in P.STAGES:
+        want = {r.doc_id for r in stage(spark, docs, tmp_dir).select("doc_id").collect()}
+        got = stage(spark, odd, tmp_dir)
+        got.write.parquet(f"{tmp_dir}/odd-{name}")
+        rows = spark.read.parquet(f"{tmp_dir}/odd-{name}").collect()
+        assert {r.doc_id for r in rows} == want
+        assert name == "bpe" or (got.columns == odd.columns and all(r[c] == 7 for r in rows for c in names))
+        assert all(r[c] == 7 for r in rows for c in names[:7])
