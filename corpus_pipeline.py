@@ -4,7 +4,8 @@ STAGES are run in order by ``run``; each result is written as Parquet to the sha
 folder and reread as the next stage's ``docs``, so a lost executor repeats one stage at
 most. All stages but the last return the columns of ``documents``. Nulls, empty tables and
 repeated rows: as the operators' own docstrings say; a null text is kept as null until the
-last stage, which gives it no tokens.
+last stage, which gives it no tokens. Extra columns of any name pass through, but for
+``n_tokens``, ``ids`` and ``decoded_sha256``, which the last stage replaces.
 """
 
 from __future__ import annotations
@@ -20,19 +21,29 @@ from reelmart.llm.arrowmap import add_from_texts
 from reelmart.session import scratch_path
 
 
+def _free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents whose score is under ``quality.CUT`` go. Trained as the registered query trains."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, keep=~quality.held_out(F.col("doc_id")))
-    scored = add_from_texts(docs, "text", [StructField("__score", DoubleType())], quality.scorer(model))
-    return scored.filter(F.col("__score") >= quality.CUT).select(*docs.columns)
+    score = _free_name(docs, "score")
+    scored = add_from_texts(docs, "text", [StructField(score, DoubleType())], quality.scorer(model))
+    return scored.filter(F.col(score) >= quality.CUT).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: later repeated runs of lines go; a document of which nothing is left goes with them."""
-    d = lines.dedup_lines(docs, info_col="__lines")
-    removed = F.col("__lines.removed")
-    d = d.filter((removed == 0) | (removed < F.col("__lines.total")))
+    info = _free_name(docs, "lines")
+    d = lines.dedup_lines(docs, info_col=info)
+    removed = F.col(f"{info}.removed")
+    d = d.filter((removed == 0) | (removed < F.col(f"{info}.total")))
     size = F.when(removed > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return d.withColumn("n_chars", size).select(*docs.columns)
 
@@ -57,6 +68,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return [n_tokens, ids, [hashlib.sha256(t.encode()).hexdigest() for t in decoded]]
 
     fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType()), StructField("decoded_sha256", StringType())]
+    docs = docs.drop(*[f.name for f in fields])
     return add_from_texts(docs, "text", fields, fn, bpe.SLICE_BYTES)
 
 
