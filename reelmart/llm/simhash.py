@@ -18,11 +18,13 @@ is all pairs of a group, so it is meant for small radii.
 a bucket and differ in at most ``reach`` bits; as buckets hold every pair within
 ``radius``, none of these is missed, and most pairs between radius and reach are found
 too. The result names each class by the smallest id reachable over links. Each bucket is
-first a star around its smallest class, and the confirmed edges give components. Members
-of a bucket that are still in different components are then compared, each of those
-outside the bucket's largest component with the members of other components, in rounds of
-eight times as many of them; links found join up before the next round. So a group of near
-copies costs one edge a member and table, and no link is lost.
+first a few stars around members chosen by hashes of their ids, and the confirmed edges
+give components. Members of a bucket that are still in different components are then
+compared, each of those outside the bucket's largest component with the members of other
+components, in rounds of eight times as many of them; links found join up before the next
+round. So a group of near copies costs a few edges a member and table, and no link is
+lost. Members of one bucket that are further apart than ``reach`` from all others stay
+outside, and each of these is compared with the whole bucket.
 
 Likeness of two fingerprints: cos(pi * differing bits / BITS), below 0 counts as 0: the
 estimated cosine of the term vectors.
@@ -57,6 +59,8 @@ BITS = 256
 #: Tables of ``near_groups``: one per block, which holds every pair within RADIUS bits. Texts of 150 to 2,000 words with one
 #: word changed differ in 8 bits (median; 15 at the 95th percentile, 26 at most), unrelated ones in 101 or more.
 RADIUS, BLOCKS, REACH = 9, 10, 24
+#: Members of a bucket that all others are compared with first.
+CENTRES = 4
 PAIR_WEIGHT, WORD_WEIGHT = 1.0, 0.25
 _VOTE_ROWS = 1 << 14
 
@@ -148,12 +152,11 @@ def near_fingerprints(prints: DataFrame, radius: int = 3, blocks: int = 5, id_co
     return pairs, members
 
 
-def _linked(edges: DataFrame, classes: DataFrame, reach: int, bits: int, path: str) -> DataFrame:
-    """The edges (u, v) of at most ``reach`` differing bits, written to ``path``."""
+def _linked(edges: DataFrame, classes: DataFrame, reach: int, bits: int) -> DataFrame:
+    """The edges (u, v) of at most ``reach`` differing bits."""
     e = edges.join(classes.select(F.col("class_id").alias("u"), F.col("fingerprint").alias("a")), "u")
     e = e.join(classes.select(F.col("class_id").alias("v"), F.col("fingerprint").alias("b")), "v")
-    e.filter(differing_bits(F.col("a"), F.col("b"), bits) <= reach).select("u", "v").write.parquet(path)
-    return edges.sparkSession.read.parquet(path)
+    return e.filter(differing_bits(F.col("a"), F.col("b"), bits) <= reach).select("u", "v")
 
 
 def near_groups(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, reach: int = REACH, id_col: str = "doc_id",
@@ -171,27 +174,34 @@ def near_groups(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, r
     p.groupBy("fingerprint").agg(F.min("class_id").alias("class_id")).write.parquet(f"{path}/classes")
     classes = spark.read.parquet(f"{path}/classes")
     rows = classes.select(F.explode(_table_keys(radius, blocks, bits)).alias("key"), F.col("class_id").alias("id"))
-    shared = rows.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last").select("key", "centre")
+    shared = rows.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last")).filter("least < last").select("key")
     rows.join(shared, "key").write.parquet(f"{path}/buckets")
     buckets = spark.read.parquet(f"{path}/buckets")
 
-    def joined(edges: DataFrame, comp: DataFrame | None, step: str) -> DataFrame | None:
-        links = _linked(edges.distinct(), classes, reach, bits, f"{path}/links-{step}")
+    def joined(links: DataFrame, comp: DataFrame | None, step: str) -> DataFrame | None:
+        links.write.parquet(f"{path}/links-{step}")
+        links = spark.read.parquet(f"{path}/links-{step}")
         if links.isEmpty():
             return comp
         if comp is not None:
             links = links.unionByName(comp.select(F.col("node").alias("u"), F.col("component").alias("v")))
         return components(links, f"{path}/components-{step}")
 
-    comp = joined(buckets.filter("id <> centre").select(F.col("id").alias("u"), F.col("centre").alias("v")), None, "stars")
-    # a class that met its centre in every bucket needs no second look: what is left are buckets of several components
-    _levels(buckets.select("key", "id"), comp).write.parquet(f"{path}/open")
+    centres = buckets.groupBy("key").agg(*[F.min(F.struct(F.xxhash64(F.lit(t), "id").alias("h"), "id"))["id"].alias(f"c{t}") for t in range(CENTRES)])
+    stars = buckets.join(centres, "key").select(F.col("id").alias("u"), F.explode(F.array(*[f"c{t}" for t in range(CENTRES)])).alias("v"))
+    stars = stars.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    comp = joined(_linked(stars, classes, reach, bits), None, "stars")
+    # what is left are buckets of several components
+    words = F.array(*[F.conv(F.substring("fingerprint", 8 * k + 1, 8), 16, 10).cast("long") for k in range(bits // 32)])
+    _levels(buckets, comp).join(classes.select(F.col("class_id").alias("id"), words.alias("f")), "id").write.parquet(f"{path}/open")
     left = spark.read.parquet(f"{path}/open")
+    apart = F.aggregate(F.zip_with("f", "g", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     for (level,) in sorted(left.filter("level is not null").select("level").distinct().collect()):
-        now = _in_components(left.select("key", "id", "level"), comp)
-        some = now.filter(F.col("level") == level).select("key", F.col("id").alias("v"), F.col("component").alias("other"))
-        met = now.join(some, "key").filter(F.col("component") != F.col("other"))
-        comp = joined(met.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")), comp, str(level))
+        now = _in_components(left, comp)
+        some = now.filter(F.col("level") == level).select(F.col("key").alias("at"), F.col("id").alias("v"), F.col("component").alias("other"), F.col("f").alias("g"))
+        # compared inside the join, so only links come out of it
+        met = now.join(some, (F.col("key") == F.col("at")) & (F.col("component") != F.col("other")) & (apart <= reach))
+        comp = joined(met.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct(), comp, str(level))
     if comp is None:
         return classes.select("fingerprint", "class_id", F.col("class_id").alias("near_id"))
     named = _in_components(classes.withColumnRenamed("class_id", "id"), comp, "near_id")
