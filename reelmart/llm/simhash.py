@@ -21,10 +21,10 @@ too. The result names each class by the smallest id reachable over links. Each b
 first a few stars around members chosen by hashes of their ids, and the confirmed edges
 give components. Members of a bucket that are still in different components are then
 compared, each of those outside the bucket's largest component with the members of other
-components, in rounds of eight times as many of them; links found join up before the next
-round. So a group of near copies costs a few edges a member and table, and no link is
-lost. Members of one bucket that are further apart than ``reach`` from all others stay
-outside, and each of these is compared with the whole bucket.
+components: a few of them first, whose links join up, and then the rest. So a group of
+near copies costs a few edges a member and table, and no link is lost. Members of one
+bucket that are further than ``reach`` from all others stay outside, and each of these is
+compared with the whole bucket.
 
 Likeness of two fingerprints: cos(pi * differing bits / BITS), below 0 counts as 0: the
 estimated cosine of the term vectors.
@@ -196,12 +196,12 @@ def near_groups(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, r
     _levels(buckets, comp).join(classes.select(F.col("class_id").alias("id"), words.alias("f")), "id").write.parquet(f"{path}/open")
     left = spark.read.parquet(f"{path}/open")
     apart = F.aggregate(F.zip_with("f", "g", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    for (level,) in sorted(left.filter("level is not null").select("level").distinct().collect()):
+    for step, mine in enumerate(("level <= 1", "level > 1")):  # a few of each bucket first, then all others that are still outside
         now = _in_components(left, comp)
-        some = now.filter(F.col("level") == level).select(F.col("key").alias("at"), F.col("id").alias("v"), F.col("component").alias("other"), F.col("f").alias("g"))
+        some = now.filter(mine).select(F.col("key").alias("at"), F.col("id").alias("v"), F.col("component").alias("other"), F.col("f").alias("g"))
         # compared inside the join, so only links come out of it
         met = now.join(some, (F.col("key") == F.col("at")) & (F.col("component") != F.col("other")) & (apart <= reach))
-        comp = joined(met.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct(), comp, str(level))
+        comp = joined(met.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct(), comp, str(step))
     if comp is None:
         return classes.select("fingerprint", "class_id", F.col("class_id").alias("near_id"))
     named = _in_components(classes.withColumnRenamed("class_id", "id"), comp, "near_id")
