@@ -115,7 +115,7 @@ def _open_members(stars: DataFrame, comp: DataFrame | None) -> DataFrame:
 
 
 def _differences(members: DataFrame, sets: DataFrame, comp: DataFrame | None, percent: int) -> DataFrame:
-    """(key, id, n, side) of the shingles by which members of one centre can find each other.
+    """(key, id, n, side, size, rank, most, component) of the shingles by which members of one centre can find each other.
 
     Two sets x, y differ in |D(x)| + |D(y)| - 2 o shingles, where o are the common differences
     from the centre c, and reach the similarity p / 100 if that is at most h (|x| + |y|) with
@@ -142,13 +142,13 @@ def _differences(members: DataFrame, sets: DataFrame, comp: DataFrame | None, pe
     out = F.col("component") != F.col("home")
     needs = F.when(out, F.array(F.struct(F.lit(0).alias("side"), other.alias("o")), F.struct(F.lit(2).alias("side"), inside.alias("o")))) \
         .otherwise(F.array(F.struct(F.lit(1).alias("side"), other.alias("o"))))
-    rows = d.select("c", "id", "n", "size", needs.cast("array<struct<side:int,o:bigint>>").alias("needs"), F.explode("d").alias("shingle"))
+    rows = d.select("c", "id", "n", "size", "component", needs.cast("array<struct<side:int,o:bigint>>").alias("needs"), F.explode("d").alias("shingle"))
     shared = rows.join(rows.groupBy("c", "shingle").agg(F.count("*").alias("f")).filter("f > 1"), ["c", "shingle"])
     of_set = Window.partitionBy("c", "id")
     shared = shared.withColumn("rank", F.row_number().over(of_set.orderBy("f", "shingle"))).withColumn("most", F.max("rank").over(of_set))
-    kept = shared.select("c", "id", "n", "size", "shingle", "rank", "most", F.explode("needs").alias("need")).select(
-        "c", "id", "n", "size", "shingle", "rank", "most", "need.*").filter(F.col("rank") <= F.col("most") - F.col("o") + 1)
-    return kept.select(F.xxhash64("c", "shingle", F.col("side") == 0).alias("key"), "id", "n", "side", "size", "rank", "most")
+    kept = shared.select("c", "id", "n", "size", "component", "shingle", "rank", "most", F.explode("needs").alias("need")).select(
+        "c", "id", "n", "size", "component", "shingle", "rank", "most", "need.*").filter(F.col("rank") <= F.col("most") - F.col("o") + 1)
+    return kept.select(F.xxhash64("c", "shingle", F.col("side") == 0).alias("key"), "id", "n", "side", "size", "rank", "most", "component")
 
 
 def _within_reach(percent: int) -> Column:
@@ -161,25 +161,44 @@ def _within_reach(percent: int) -> Column:
     return 2 * w * common >= w * (c("size") + c("size2")) - h * (c("n") + c("m"))
 
 
-def _levels(prefixes: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """The rows, with their ``level``, of the keys with two components or more; level: the round as a centre, null in the largest component."""
-    rows = _in_components(prefixes, comp)
+def _rounds(rows: DataFrame) -> DataFrame:
+    """The rows (key, id, component, ...) of the keys with two components or more, with ``members``, how many there are
+    of the key, and ``level``, the round as a centre: null in the largest component."""
     parts = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
-    keys = parts.groupBy("key").agg(F.sum("size").alias("all"), F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
+    keys = parts.groupBy("key").agg(F.sum("size").alias("members"), F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
     rows = rows.join(keys.filter("parts > 1"), "key")
-    place = F.pmod(F.xxhash64("id", "key"), F.lit(1 << 40)) * F.col("all") / F.lit(float(1 << 40))  # 0 to the number of members
+    place = F.pmod(F.xxhash64("id", "key"), F.lit(1 << 40)) * F.col("members") / F.lit(float(1 << 40))  # 0 to the number of members
     level = F.when(place < 1, 0).otherwise(F.floor(F.log(float(STEP), F.greatest(place, F.lit(1.0)))) + 1).cast("int")
-    return rows.select(*prefixes.columns, F.when(F.col("component") != F.col("top.component"), level).alias("level"))
+    return rows.withColumn("level", F.when(F.col("component") != F.col("top.component"), level)).drop("parts", "top")
+
+
+def _levels(prefixes: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """The rows, with their ``level``, of the keys with two components or more; level: the round as a centre, null in the largest component."""
+    return _rounds(_in_components(prefixes, comp)).select(*prefixes.columns, "level")
+
+
+def _still_open(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rows`` with the components that ``comp`` has merged, of the keys that still have two components or more."""
+    moved = comp.filter("node <> component").select(F.col("node").alias("component"), F.col("component").alias("__into"))
+    now = rows.join(moved, "component", "left").withColumn("component", F.coalesce("__into", "component")).drop("__into")
+    two = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+    return now.join(two, "key", "left_semi").select(*rows.columns)
 
 
 def _closed(members: DataFrame, sets: DataFrame, comp: DataFrame | None, percent: int, path: str) -> DataFrame | None:
-    """The components (node, component) with all links between members (c, id) of one centre; ``comp``: those known so far."""
+    """The components (node, component) with all links between members (c, id) of one centre; ``comp``: those known so far.
+
+    The rows carry their component, so a round looks at no others than those of keys with as
+    many members as make such a round, and the rows are only gone through again, and the keys
+    that have become one component left out, after a round that has found links.
+    """
     spark = sets.sparkSession
     _differences(members, sets, comp, percent).write.parquet(f"{path}/prefixes")
-    _levels(spark.read.parquet(f"{path}/prefixes"), comp).write.parquet(f"{path}/levels")
+    _rounds(spark.read.parquet(f"{path}/prefixes")).write.parquet(f"{path}/levels")
     rows = spark.read.parquet(f"{path}/levels")
-    for (level,) in sorted(rows.filter("level is not null").select("level").distinct().collect()):
-        now = _in_components(rows, comp)
+    levels = sorted(x.level for x in rows.filter("level is not null").select("level").distinct().collect())
+    for at, level in enumerate(levels):
+        now = rows.filter(F.col("members") >= STEP ** (level - 1)) if level else rows
         centres = now.filter(F.col("level") == level).select("key", F.col("id").alias("v"), F.col("n").alias("m"), F.col("component").alias("other"),
                                                               F.col("side").alias("facing"), *[F.col(x).alias(f"{x}2") for x in ("size", "rank", "most")])
         met = (F.col("component") != F.col("other")) & ((F.col("side") == 0) | (F.col("side") != F.col("facing")))
@@ -191,6 +210,10 @@ def _closed(members: DataFrame, sets: DataFrame, comp: DataFrame | None, percent
             if comp is not None:
                 found = found.unionByName(comp.select(F.col("node").alias("u"), F.col("component").alias("v")))
             comp = components(found, f"{path}/components-{level}")
+            if at + 1 < len(levels):  # a later round reads only keys with members enough for it
+                left = rows.filter(F.col("members") >= STEP ** (levels[at + 1] - 1))
+                _still_open(left, comp).write.parquet(f"{path}/levels-{level}")
+                rows = spark.read.parquet(f"{path}/levels-{level}")
     return comp
 
 

@@ -140,3 +140,23 @@ def test_differences_from_a_centre_find_every_link(spark):
         comp = spark.createDataFrame([(i, 0) for i, c in known.items() if c == 0], "node long, component long")
         got = {i: i for i in sets} | {x.node: x.component for x in M._closed(members, frame, comp, percent, tempfile.mkdtemp()).collect()}
         assert got == want and len(set(want.values())) < len(set(known.values()))
+
+
+def test_rounds_without_links_do_not_go_through_all_rows_again(spark, monkeypatch):
+    """Members that share rare differences but are too far apart: several rounds, no link, and no lookup of components in any of them."""
+    import tempfile
+
+    from reelmart.llm import minhash as M
+
+    base = set(range(100))
+    sets = {0: base} | {i: base | set(range(1000, 1008)) | set(range(10_000 * i, 10_000 * i + 26)) for i in range(1, 71)}
+    sets[71] = sets[70] | {5}
+    frame = spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "id long, shingles array<long>")
+    members = spark.createDataFrame([(0, i) for i in sets if i], "c long, id long")
+    calls, lookup = [], M._in_components
+    monkeypatch.setattr(M, "_in_components", lambda rows, *a: calls.append(rows.columns) or lookup(rows, *a))
+    rounds, check = [], M.confirm
+    monkeypatch.setattr(M, "confirm", lambda *a: rounds.append(1) or check(*a))
+    comp = M._closed(members, frame, None, 80, tempfile.mkdtemp())
+    assert len(rounds) >= 3 and len(calls) == 2
+    assert {x.node: x.component for x in comp.collect()} == {70: 70, 71: 70} if comp is not None else False
