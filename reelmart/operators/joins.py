@@ -67,16 +67,18 @@ def find_hot_keys(df: DataFrame, columns: list[str], hot_share: float = HOT_SHAR
     return out
 
 
-def unique_key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
+def unique_key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot: DataFrame | None = None,
+                    hashed: bool = False) -> DataFrame:
     """``left`` join ``right`` on ``key``; ``right`` must hold each key at most once.
 
     ``how`` is one of inner, left, left_semi, left_anti. ``hot``: the hot keys of ``left``
-    (``find_hot_keys``); None plans the plain join.
+    (``find_hot_keys``); None plans the plain join. ``hashed``: ``right`` is narrow, so each
+    task holds its share of it as a hash table instead of sorting the rows of ``left``.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type for a unique-key join: {how}")
     if hot is None:
-        return left.join(right, key, how)
+        return left.join(right.hint("shuffle_hash") if hashed else right, key, how)
     hot_b = F.broadcast(hot)  # fewer than 1 / hot_share rows
 
     spread = F.col(ROW) if ROW in left.columns else F.xxhash64(*[F.col(c) for c in left.columns])
@@ -88,11 +90,11 @@ def unique_key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inn
     salted_right = (right.join(hot_b, key, "left")
                     .withColumn(_SALT, F.explode(replicas))
                     .drop(_SALTS))
-    joined = salted_left.join(salted_right, [key, _SALT], how).drop(_SALT)
+    joined = salted_left.join(salted_right.hint("shuffle_hash") if hashed else salted_right, [key, _SALT], how).drop(_SALT)
     return joined.select(*left.columns, *[c for c in right.columns if c != key]) \
         if how in ("inner", "left", "left_outer") else joined.select(*left.columns)
 
 
-def semi_join(left: DataFrame, keys: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+def semi_join(left: DataFrame, keys: DataFrame, key: str, hot: DataFrame | None = None, hashed: bool = False) -> DataFrame:
     """Rows of ``left`` whose ``key`` is in the unique key set ``keys`` (``IN (subquery)``)."""
-    return unique_key_join(left, keys.select(key), key, "left_semi", hot=hot)
+    return unique_key_join(left, keys.select(key), key, "left_semi", hot=hot, hashed=hashed)

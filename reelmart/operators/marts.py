@@ -7,6 +7,8 @@ are the key joins of ``fact_ratings`` and ``bridge_cast_crew``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from reelmart.functions import (
     in_ladder,
     ladder,
 )
-from reelmart.operators.joins import unique_key_join, with_row
+from reelmart.operators.joins import ROW, unique_key_join, with_row
 from reelmart.operators.staging import HotKeys, credit_columns
 
 
@@ -31,6 +33,14 @@ def as_of(as_of_year: int | None) -> Column:
     return F.year(F.current_date()) if as_of_year is None else F.lit(int(as_of_year))
 
 
+#: Lays out the rows of a mart before the columns that follow from them are added, so that these are not shuffled.
+Deal = Callable[[DataFrame], DataFrame]
+
+
+def _as_is(rows: DataFrame) -> DataFrame:
+    return rows
+
+
 # ---------------------------------------------------------------- dim_titles
 
 def dim_titles(stg: DataFrame, as_of_year: int | None = None) -> DataFrame:
@@ -114,14 +124,14 @@ TITLE_CONTEXT_FOR_RATINGS = ["title_id", "title_type", "content_category", "star
                              "runtime_category", "is_adult"]
 
 
-def fact_ratings(stg: DataFrame, titles: DataFrame, as_of_year: int | None = None) -> DataFrame:
+def fact_ratings(stg: DataFrame, titles: DataFrame, as_of_year: int | None = None, deal: Deal = _as_is) -> DataFrame:
     """One row per rating with title context (kept NULL for titles not in the dimension).
 
     The join is on ``title_id``, which is unique on both sides, so key skew cannot occur.
     """
     now = as_of(as_of_year)
     context = titles.select(*TITLE_CONTEXT_FOR_RATINGS)
-    joined = unique_key_join(stg, context, "title_id", "left")
+    joined = deal(unique_key_join(stg, context, "title_id", "left", hashed=True))
     rating, votes = F.col("average_rating"), F.col("num_votes")
     start = F.col("start_year")
     hr_rating, hr_votes = K.HIGHLY_RATED
@@ -212,7 +222,7 @@ def _credit_context(credits: DataFrame, titles: DataFrame, people: DataFrame, ho
 
 
 def bridge_cast_crew_from_raw(raw_principals: DataFrame, titles: DataFrame, people: DataFrame,
-                              hot: HotKeys | None = None) -> DataFrame:
+                              hot: HotKeys | None = None, deal: Deal = _as_is) -> DataFrame:
     """Same rows as ``bridge_cast_crew(stg_title_principals(...), titles, people)`` in two joins.
 
     ``dim_titles`` holds exactly the supported-type titles and ``dim_people``
@@ -222,4 +232,4 @@ def bridge_cast_crew_from_raw(raw_principals: DataFrame, titles: DataFrame, peop
     the credits to two. Only valid for dimensions built from the same raw
     tables as the credits' staging filter (``pipeline.build`` guarantees it).
     """
-    return _bridge_columns(_credit_context(credit_columns(raw_principals), titles, people, "inner", hot))
+    return _bridge_columns(deal(_credit_context(credit_columns(raw_principals), titles, people, "inner", hot).drop(ROW)))

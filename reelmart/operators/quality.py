@@ -18,8 +18,9 @@ check with its failure count and status.
 * Row-level checks of a relation that was measured while it was written
   (``operators.measure``) are not computed again; of any other relation they are one
   aggregate of conditional counts in one pass.
-* ``key_census`` counts the keys of all relations in one aggregation: one row per key
-  with its count in every key column. All unique and relationship checks are sums over it.
+* ``key_census`` counts the keys of all relations in one aggregation: few counts a row, one
+  row per key for each set of columns that are compared. All unique and relationship checks
+  are sums over it.
 * Accepted-values checks need distinct bad values: rows with one are filtered out first, so
   clean relations shuffle nothing; columns measured as clean are not read.
 """
@@ -361,33 +362,60 @@ def _key_columns(checks: list[Check]) -> list[tuple[str, str]]:
     return list(keys)
 
 
-def key_census(relations: dict[str, DataFrame], keys: list[tuple[str, str]]) -> DataFrame:
+#: Counts side by side in a row of the census; a task holds as many rows as it meets keys.
+SLOTS = 4
+
+
+def _places(keys: list[tuple[str, str]], checks: list[Check]) -> list[tuple[int, int]]:
+    """(part, slot) of every key column: columns that a relationship compares are in one part, and small sets share one."""
+    sets = [{k} for k in keys]
+    for chk in checks:
+        if chk.kind == "relationships":
+            ends = {(chk.relation, chk.column), chk.parent}
+            met = [s for s in sets if s & ends]
+            sets = [s for s in sets if not s & ends] + [set().union(*met)]
+    parts: list[list] = []
+    for s in sorted(sets, key=lambda s: (-len(s), min(keys.index(k) for k in s))):
+        room = next((p for p in parts if len(p) + len(s) <= SLOTS), None)
+        if room is None:
+            parts.append(room := [])
+        room += sorted(s, key=keys.index)
+    at = {k: (i, j) for i, p in enumerate(parts) for j, k in enumerate(p)}
+    return [at[k] for k in keys]
+
+
+def key_census(relations: dict[str, DataFrame], keys: list[tuple[str, str]], places: list[tuple[int, int]] | None = None) -> DataFrame:
     """(key, n0, n1, ...): how often each key stands in each of the (relation, column) pairs ``keys``; NULL keys are left out.
 
+    With ``places``, the (part, slot) of each pair, it is (part, key, n0, ...) with one row for each part that has the key and one count a slot.
+
     One aggregation over the narrow key columns of all relations. Counts are added up within
     each task first, so a key that holds a third of all rows is one row per task in the shuffle.
     A relation with several key columns is read once.
     """
+    at = places or [(0, i) for i in range(len(keys))]
     of_relation: dict[str, list[int]] = {}
     for i, (rel, _) in enumerate(keys):
         of_relation.setdefault(rel, []).append(i)
     parts = []
-    for rel, places in of_relation.items():
-        stacked = F.array(*[F.struct(F.lit(i).alias("at"), F.col(keys[i][1]).cast("string").alias("key")) for i in places])
+    for rel, columns in of_relation.items():
+        stacked = F.array(*[F.struct(F.lit(at[i][0]).alias("part"), F.lit(at[i][1]).alias("at"), F.col(keys[i][1]).cast("string").alias("key")) for i in columns])
         parts.append(relations[rel].select(F.inline(stacked)).filter(F.col("key").isNotNull()))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("key").agg(*[F.count_if(F.col("at") == i).alias(f"n{i}") for i in range(len(keys))])
+    counts = [F.count_if(F.col("at") == i).alias(f"n{i}") for i in range(1 + max(slot for _, slot in at))]
+    return out.groupBy(*(["part"] if places else []), "key").agg(*counts)
 
 
-def _key_failures(census: DataFrame, keys: list[tuple[str, str]], checks: list[Check]) -> DataFrame:
+def _key_failures(census: DataFrame, keys: list[tuple[str, str]], checks: list[Check], places: list[tuple[int, int]]) -> DataFrame:
     """(check_id, failures) of unique and relationship checks from the census."""
     def failures(chk: Check) -> Column:
-        n = F.col(f"n{keys.index((chk.relation, chk.column))}")
+        part, slot = places[keys.index((chk.relation, chk.column))]
+        here, n = F.col("part") == part, F.col(f"n{slot}")
         if chk.kind == "unique":
-            return F.count_if(n > 1)
-        return F.sum(F.when(F.col(f"n{keys.index(chk.parent)}") == 0, n).otherwise(0))
+            return F.count_if(here & (n > 1))
+        return F.sum(F.when(here & (F.col(f"n{places[keys.index(chk.parent)][1]}") == 0), n).otherwise(0))
 
     sums = census.agg(*[F.coalesce(failures(chk), F.lit(0)).alias(chk.check_id) for chk in checks])
     return _as_rows(sums, [chk.check_id for chk in checks])
@@ -430,7 +458,8 @@ def quality_report(relations: dict[str, DataFrame], checks: list[Check] | None =
     by_key = [chk for chk in checks if chk.kind in ("unique", "relationships")]
     if by_key:
         keys = _key_columns(by_key)
-        parts.append(_key_failures(key_census(relations, keys), keys, by_key))
+        places = _places(keys, by_key)
+        parts.append(_key_failures(key_census(relations, keys, places), keys, by_key, places))
     spark = next(iter(relations.values())).sparkSession if not parts else parts[0].sparkSession
     counts = spark.createDataFrame(settled, "check_id string, failures long")
     for p in parts:

@@ -101,7 +101,7 @@ def stg_title_principals(raw: DataFrame, raw_title_basics: DataFrame, raw_name_b
     columns = credits.columns
     if any(h is not None for h in hot.values()):
         credits = with_row(credits)
-    credits = semi_join(credits, supported_title_keys(raw_title_basics), "title_id", hot.get("title_id"))
+    credits = semi_join(credits, supported_title_keys(raw_title_basics), "title_id", hot.get("title_id"), hashed=True)
     return semi_join(credits, named_people_keys(raw_name_basics), "person_id", hot.get("person_id")).select(*columns)
 
 
@@ -125,4 +125,4 @@ def stg_title_akas(raw: DataFrame, raw_title_basics: DataFrame, hot: HotKeys | N
     columns = akas.columns
     if hot_titles is not None:
         akas = with_row(akas)
-    return semi_join(akas, supported_title_keys(raw_title_basics), "title_id", hot_titles).select(*columns)
+    return semi_join(akas, supported_title_keys(raw_title_basics), "title_id", hot_titles, hashed=True).select(*columns)

@@ -11,6 +11,7 @@ executors without recomputing the joins); ``publish_marts`` makes them the marts
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cache
@@ -150,8 +151,8 @@ MART_PARTITIONS = {
 
 
 def write_mart(df: DataFrame, path: str, sort_keys: list[str], partition_by: list[str] | None = None,
-               bounds: RangeBounds | None = None, measure: Measure | None = None) -> None:
-    """Write ``df`` as Parquet: dealt by ranges of the first sort key, sorted within each file.
+               bounds: RangeBounds | None = None, measure: Measure | None = None, dealt: bool = False) -> None:
+    """Write ``df`` as Parquet: dealt by ranges of the first sort key (``dealt``: it is already), sorted within each file.
 
     The range gives each file a narrow span of keys; sorting by the folder column first
     leaves the writer nothing to sort anew. At most one file per range and folder. The
@@ -159,8 +160,9 @@ def write_mart(df: DataFrame, path: str, sort_keys: list[str], partition_by: lis
     ``df`` runs once, in the write, where ``measure`` also takes its numbers.
     """
     folders = partition_by or []
-    bounds = bounds or find_bounds(df.select(*sort_keys))
-    laid = bounds.deal(df, sort_keys[0]).sortWithinPartitions(*folders, *sort_keys)
+    if not dealt:
+        df = (bounds or find_bounds(df.select(*sort_keys))).deal(df, sort_keys[0])
+    laid = df.sortWithinPartitions(*folders, *sort_keys)
     writer = (measure.on(laid) if measure else laid).write.mode("overwrite")
     (writer.partitionBy(*folders) if folders else writer).parquet(path)
 
@@ -229,13 +231,21 @@ def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str]
     if "bridge_cast_crew" in names:
         ahead.submit(wh.hot_credits)
 
-    def store(name: str, df: DataFrame) -> StagedMart:
+    def store(name: str, make: Callable[[M.Deal], DataFrame]) -> StagedMart:
+        """``make``: the mart, whose rows it passes through the given layout before it adds the columns that follow from them."""
         part, measure = new_part(root, name), Measure(name, wh.as_of_year)
         if buckets:
-            table = f"{database}.{name}_{part.rsplit('/', 1)[-1]}"
+            table, df = f"{database}.{name}_{part.rsplit('/', 1)[-1]}", make(lambda rows: rows)
             write_bucketed_mart(df, part, table, buckets, MART_SORT_KEYS[name], MART_PARTITIONS.get(name), measure)
             return StagedMart(name, part, spark.table(table).select(*df.columns), table, measure.result)
-        write_mart(df, part, MART_SORT_KEYS[name], MART_PARTITIONS.get(name), bounds[name].result(), measure)
+        order = [*MART_PARTITIONS.get(name, []), *MART_SORT_KEYS[name]]
+
+        def deal(rows: DataFrame) -> DataFrame:
+            rows = bounds[name].result().deal(rows, MART_SORT_KEYS[name][0])
+            return rows.sortWithinPartitions(*order) if set(order) <= set(rows.columns) else rows  # else sorted in the write
+
+        df = make(deal)
+        write_mart(df, part, MART_SORT_KEYS[name], MART_PARTITIONS.get(name), measure=measure, dealt=True)
         return StagedMart(name, part, spark.read.parquet(part).select(*df.columns), None, measure.result)
 
     out: dict[str, StagedMart] = {}
@@ -243,16 +253,18 @@ def stage_marts(spark: SparkSession, wh: Warehouse, root: str, names: list[str]
     # jobs run side by side on the cluster: the dimensions, then fact and bridge
     # (which read the stored dimensions).
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        dims = {name: pool.submit(store, name, wh.marts[name]) for name in ("dim_titles", "dim_people") if name in names}
+        make = {"dim_titles": lambda deal: M.dim_titles(deal(wh.staging["stg_title_basics"]), wh.as_of_year),
+                "dim_people": lambda deal: M.dim_people(deal(wh.staging["stg_name_basics"]), wh.as_of_year)}
+        dims = {name: pool.submit(store, name, make[name]) for name in make if name in names}
         out.update({name: f.result() for name, f in dims.items()})
         titles, people = (out[n].frame if n in out else wh.marts[n] for n in ("dim_titles", "dim_people"))
         later = {}
         if "fact_ratings" in names:
             later["fact_ratings"] = pool.submit(
-                lambda: store("fact_ratings", M.fact_ratings(wh.staging["stg_title_ratings"], titles, wh.as_of_year)))
+                store, "fact_ratings", lambda deal: M.fact_ratings(wh.staging["stg_title_ratings"], titles, wh.as_of_year, deal))
         if "bridge_cast_crew" in names:
             later["bridge_cast_crew"] = pool.submit(
-                lambda: store("bridge_cast_crew", M.bridge_cast_crew_from_raw(wh.raw["title_principals"], titles, people, wh.hot_credits())))
+                store, "bridge_cast_crew", lambda deal: M.bridge_cast_crew_from_raw(wh.raw["title_principals"], titles, people, wh.hot_credits(), deal))
         out.update({name: f.result() for name, f in later.items()})
     ahead.shutdown()
     return {n: out[n] for n in names}

@@ -134,3 +134,25 @@ def test_filters_of_kept_keys_stand_below_the_shuffle(spark, tmp_dir):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hashed_semi_join_does_not_sort_the_large_side(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("z", 5)], "key string, v int")
+    keys = spark.createDataFrame([("a",), ("b",), ("c",)], "key string")
+    hot = spark.createDataFrame([("a", 2)], "key string, _salts int")
+    for h in (None, hot):
+        out = semi_join(left, keys, "key", h, hashed=True)
+        assert sorted(r.v for r in out.collect()) == [1, 2, 3]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_staged_credits_and_titles_are_joined_by_hash(spark):
+    from reelmart.operators import staging as S
+
+    basics = spark.createDataFrame([("tt1", "movie"), ("tt2", "videoGame")], "tconst string, titletype string")
+    akas = spark.createDataFrame([("tt1", "1"), ("tt2", "1"), ("tt9", "1")], "titleid string, ordering string")
+    akas = akas.selectExpr("*", *[f"cast(null as string) {c}" for c in ("title", "region", "language", "types", "attributes", "isoriginaltitle")])
+    out = S.stg_title_akas(akas, basics)
+    assert [r.title_id for r in out.collect()] == ["tt1"]
+    assert "ShuffledHashJoin" in out._jdf.queryExecution().executedPlan().toString()

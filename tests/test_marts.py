@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelmart.operators import marts as M
@@ -256,3 +257,18 @@ def test_role_department_for_every_listed_category(spark):
     assert [got[i] for i in range(len(cats))] == [
         "Acting", "Acting", "Directing", "Writing", "Producing", "Producing", "Music", "Music", "Cinematography",
         "Cinematography", "Editing", "Other", "Other"]
+
+
+def test_columns_that_follow_from_a_row_are_added_after_its_layout(spark):
+    seen = []
+
+    def deal(rows):
+        seen.append(rows.columns)
+        return rows.repartition(2)
+
+    titles = M.dim_titles(spark.createDataFrame([], "title_id string, title_type string, primary_title string, original_title string, is_adult boolean, "
+                                                    "start_year int, end_year int, runtime_minutes int, genres_raw string"), AS_OF)
+    stg = spark.createDataFrame([("tt1", 9, 5000)], "title_id string, average_rating int, num_votes int").withColumn("average_rating", F.col("average_rating").cast("decimal(3,1)"))
+    out = M.fact_ratings(stg, titles, AS_OF, deal)
+    assert out.count() == 1 and len(seen) == 1
+    assert not {"rating_category", "success_category", "annual_vote_rate"} & set(seen[0])

@@ -158,3 +158,27 @@ def test_one_row_publishes_a_set_and_tables_can_still_be_published_alone(spark,
     store.publish_set(spark, tmp_dir, "both", [store.Staged("a", ("p4",), 1), store.Staged("b", ("p5",), 1)])
     assert [store.published(spark, tmp_dir)[t].parts for t in "ab"] == [("p4",), ("p5",)]
     assert store.unreferenced_parts(spark, tmp_dir) == ["p1", "p2", "p3"]
+
+
+def test_census_holds_few_counts_a_row(spark):
+    keys = Q._key_columns(Q.DECLARED_CHECKS)
+    places = Q._places(keys, Q.DECLARED_CHECKS)
+    assert len(set(places)) == len(keys) and max(slot for _, slot in places) < Q.SLOTS < len(keys)
+    for chk in Q.DECLARED_CHECKS:
+        if chk.kind == "relationships":
+            assert places[keys.index((chk.relation, chk.column))][0] == places[keys.index(chk.parent)][0]
+    a = spark.createDataFrame([("x", "y"), ("x", None), (None, "z")], "k string, m string")
+    b = spark.createDataFrame([("x",), ("w",), ("w",)], "k string")
+    got = sorted(tuple(r) for r in Q.key_census({"a": a, "b": b}, [("a", "k"), ("a", "m"), ("b", "k")], [(0, 0), (1, 0), (0, 1)]).collect())
+    assert got == [(0, "w", 0, 2), (0, "x", 2, 1), (1, "y", 1, 0), (1, "z", 1, 0)]
+
+
+def test_report_of_keys_that_repeat_are_null_or_lack_a_parent(spark):
+    rels = {"p": spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string"),
+            "c": spark.createDataFrame([("a", "b"), ("z", "b"), ("z", None), (None, "q")], "k string, m string"),
+            "u": spark.createDataFrame([("a",), ("a",), ("z",)], "k string")}
+    checks = [Q.Check("up", "p", "unique", "k"), Q.Check("uu", "u", "unique", "k"), Q.Check("uc", "c", "unique", "k"),
+              Q.Check("rk", "c", "relationships", "k", parent=("p", "k")), Q.Check("rm", "c", "relationships", "m", parent=("p", "k")),
+              Q.Check("ru", "u", "relationships", "k", parent=("c", "k"))]
+    got = {r.check_id: r.failures for r in Q.quality_report(rels, checks).collect()}
+    assert got == {"up": 1, "uu": 1, "uc": 1, "rk": 2, "rm": 1, "ru": 2}
