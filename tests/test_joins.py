@@ -150,7 +150,7 @@ def test_hashed_semi_join_does_not_sort_the_large_side(spark):
 def test_staged_credits_and_titles_are_joined_by_hash(spark):
     from reelmart.operators import staging as S
 
-    basics = spark.createDataFrame([("tt1", "movie"), ("tt2", "videoGame")], "tconst string, titletype string")
+    basics = spark.createDataFrame([("tt1", "movie"), ("tt2", "unknown")], "tconst string, titletype string")
     akas = spark.createDataFrame([("tt1", "1"), ("tt2", "1"), ("tt9", "1")], "titleid string, ordering string")
     akas = akas.selectExpr("*", *[f"cast(null as string) {c}" for c in ("title", "region", "language", "types", "attributes", "isoriginaltitle")])
     out = S.stg_title_akas(akas, basics)
