@@ -177,33 +177,61 @@ def _levels(prefixes: DataFrame, comp: DataFrame | None) -> DataFrame:
     return _rounds(_in_components(prefixes, comp)).select(*prefixes.columns, "level")
 
 
-def _still_open(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    """``rows`` with the components that ``comp`` has merged, of the keys that still have two components or more."""
-    moved = comp.filter("node <> component").select(F.col("node").alias("component"), F.col("component").alias("__into"))
-    now = rows.join(moved, "component", "left").withColumn("component", F.coalesce("__into", "component")).drop("__into")
-    two = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    return now.join(two, "key", "left_semi").select(*rows.columns)
+def _renamed(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """(component, name) of the components of ``rows`` that ``comp`` has merged into others: of each merged set, the one with the
+    most rows keeps its name and is not listed, so as few rows as can be change theirs."""
+    into = comp.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    sizes = rows.groupBy("component").agg(F.count("*").alias("rows")).join(into, "component")
+    largest = sizes.groupBy("into").agg(F.max(F.struct("rows", "component"))["component"].alias("name"))
+    return sizes.join(largest, "into").filter("component <> name").select("component", "name")
+
+
+def _merged_keys(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """(key) of the rows whose component is in ``names`` (component, name)."""
+    return rows.join(names, "component", "left_semi").select("key").distinct()
+
+
+def _still_open(rows: DataFrame, keys: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows of ``keys``, with the components that ``names`` has renamed, as far as a key still has two components or more."""
+    mine = rows.join(keys, "key", "left_semi")
+    parts = mine.select("key", "component").distinct().join(names, "component", "left").select("key", "component", F.coalesce("name", "component").alias("now"))
+    two = parts.groupBy("key").agg(F.min("now").alias("lo"), F.max("now").alias("hi")).filter("lo < hi").select("key")
+    now = mine.join(two, "key", "left_semi").join(names, "component", "left")
+    return now.withColumn("component", F.coalesce("name", "component")).select(*rows.columns)
+
+
+def _met(rows: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of the members and centres (both as in ``_rounds``) of one key whose sizes and ranks allow the similarity."""
+    centres = centres.select("key", F.col("id").alias("v"), F.col("n").alias("m"), F.col("component").alias("other"),
+                             F.col("side").alias("facing"), *[F.col(x).alias(f"{x}2") for x in ("size", "rank", "most")])
+    met = (F.col("component") != F.col("other")) & ((F.col("side") == 0) | (F.col("side") != F.col("facing")))
+    pairs = rows.join(centres, "key").filter(met & _alike(F.col("n"), F.col("m"), percent) & _within_reach(percent))
+    return pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v"))
 
 
 def _closed(members: DataFrame, sets: DataFrame, comp: DataFrame | None, percent: int, path: str) -> DataFrame | None:
     """The components (node, component) with all links between members (c, id) of one centre; ``comp``: those known so far.
 
     The rows carry their component, so a round looks at no others than those of keys with as
-    many members as make such a round, and the rows are only gone through again, and the keys
-    that have become one component left out, after a round that has found links.
+    many members as make such a round. They are written once. After a round that has found
+    links, only the keys in which components have merged are made anew, without those that
+    have become one component; the other keys stay as they are.
     """
     spark = sets.sparkSession
     _differences(members, sets, comp, percent).write.parquet(f"{path}/prefixes")
     _rounds(spark.read.parquet(f"{path}/prefixes")).write.parquet(f"{path}/levels")
     rows = spark.read.parquet(f"{path}/levels")
     levels = sorted(x.level for x in rows.filter("level is not null").select("level").distinct().collect())
+    merged = again = None  # the keys made anew and their rows
     for at, level in enumerate(levels):
-        now = rows.filter(F.col("members") >= STEP ** (level - 1)) if level else rows
-        centres = now.filter(F.col("level") == level).select("key", F.col("id").alias("v"), F.col("n").alias("m"), F.col("component").alias("other"),
-                                                              F.col("side").alias("facing"), *[F.col(x).alias(f"{x}2") for x in ("size", "rank", "most")])
-        met = (F.col("component") != F.col("other")) & ((F.col("side") == 0) | (F.col("side") != F.col("facing")))
-        pairs = now.join(centres, "key").filter(met & _alike(F.col("n"), F.col("m"), percent) & _within_reach(percent))
-        pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct().write.parquet(f"{path}/edges-{level}")
+        enough = F.col("members") >= (STEP ** (level - 1) if level else 0)
+        centres = rows.filter(F.col("level") == level)
+        if merged is None:
+            pairs = _met(rows.filter(enough), centres, percent)
+        else:
+            pairs = _met(rows.filter(enough), centres.join(merged, "key", "left_anti"), percent)
+            pairs = pairs.unionByName(_met(again.filter(enough), again.filter(F.col("level") == level), percent))
+        pairs.distinct().write.parquet(f"{path}/edges-{level}")
         confirm(spark.read.parquet(f"{path}/edges-{level}"), sets, percent).write.parquet(f"{path}/links-{level}")
         found = spark.read.parquet(f"{path}/links-{level}")
         if not found.isEmpty():
@@ -212,8 +240,12 @@ def _closed(members: DataFrame, sets: DataFrame, comp: DataFrame | None, percent
             comp = components(found, f"{path}/components-{level}")
             if at + 1 < len(levels):  # a later round reads only keys with members enough for it
                 left = rows.filter(F.col("members") >= STEP ** (levels[at + 1] - 1))
-                _still_open(left, comp).write.parquet(f"{path}/levels-{level}")
-                rows = spark.read.parquet(f"{path}/levels-{level}")
+                _renamed(left, comp).write.parquet(f"{path}/names-{level}")
+                names = spark.read.parquet(f"{path}/names-{level}")
+                _merged_keys(left, names).write.parquet(f"{path}/merged-{level}")
+                merged = spark.read.parquet(f"{path}/merged-{level}")
+                _still_open(left, merged, names).write.parquet(f"{path}/again-{level}")
+                again = spark.read.parquet(f"{path}/again-{level}")
     return comp
 
 

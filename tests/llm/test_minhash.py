@@ -160,3 +160,31 @@ def test_rounds_without_links_do_not_go_through_all_rows_again(spark, monkeypatc
     comp = M._closed(members, frame, None, 80, tempfile.mkdtemp())
     assert len(rounds) >= 3 and len(calls) == 2
     assert {x.node: x.component for x in comp.collect()} == {70: 70, 71: 70} if comp is not None else False
+
+
+def test_links_of_a_round_leave_the_rows_of_other_keys_as_they_are(spark):
+    """200 members that share differences and stay apart, and a few pairs of other centres: the first round's links touch the pairs' rows only."""
+    import os
+    import tempfile
+
+    from reelmart.llm import minhash as M
+
+    base = set(range(100))
+    sets = {0: base} | {i: base | set(range(1000, 1008)) | set(range(10_000 * i, 10_000 * i + 26)) for i in range(1, 201)}
+    members = [(0, i) for i in range(1, 201)]
+    for k in range(4):  # two alike and one apart, which shares ten differences with them
+        c = 1000 + 10 * k
+        own = range(10_000 * c, 10_000 * c + 100)
+        sets[c] = set(own)
+        sets[c + 1] = {*own, *range(own[0] + 200, own[0] + 234)}
+        sets[c + 2] = {*sets[c + 1], own[0] + 300}
+        sets[c + 3] = {*own, *range(own[0] + 200, own[0] + 210), *range(own[0] + 400, own[0] + 424)}
+        members += [(c, c + x) for x in (1, 2, 3)]
+    frame = spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "id long, shingles array<long>")
+    path = tempfile.mkdtemp()
+    comp = M._closed(spark.createDataFrame(members, "c long, id long"), frame, None, 80, path)
+    assert {x.node: x.component for x in comp.collect()} == {1000 + 10 * k + x: 1001 + 10 * k for k in range(4) for x in (1, 2)}
+    written = {x: spark.read.parquet(f"{path}/{x}").count() for x in os.listdir(path) if not x.startswith("components")}
+    assert written["links-0"] and "edges-2" in written
+    again = {x: n for x, n in written.items() if x not in ("prefixes", "levels") and not x.startswith(("edges", "links"))}
+    assert sum(again.values()) < 0.3 * written["levels"]
