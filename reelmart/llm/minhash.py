@@ -50,7 +50,7 @@ from .arrowmap import map_texts
 from .graph import components
 from .shingles import WORDS, band_keys, one_permutation, set_hash, shingle_sets
 
-PERCENT, BANDS, ROWS, STEP = 80, 32, 6, 8
+PERCENT, BANDS, ROWS, STEP, PAIRS = 80, 32, 6, 8, 16
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -79,12 +79,12 @@ def full_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
 
 def confirm(edges: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The edges (u, v) whose full sets have at least that similarity."""
+    """The edges (u, v, ...) whose full sets have at least that similarity."""
     a = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
     b = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    e = edges.join(a, "u").join(b, "v").select("u", "v", both.alias("i"), (F.size("a") + F.size("b")).alias("t"))
-    return e.filter(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent).select("u", "v")
+    e = edges.join(a, "u").join(b, "v").select(*edges.columns, both.alias("i"), (F.size("a") + F.size("b")).alias("t"))
+    return e.filter(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent).select(*edges.columns)
 
 
 def _stars(rows: DataFrame, keep) -> DataFrame:
@@ -201,52 +201,81 @@ def _still_open(rows: DataFrame, keys: DataFrame, names: DataFrame) -> DataFrame
 
 
 def _met(rows: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    """(u, v) of the members and centres (both as in ``_rounds``) of one key whose sizes and ranks allow the similarity."""
+    """(u, v, lo, hi) of the members and centres (both as in ``_rounds``) of one key whose sizes and ranks allow the similarity;
+    lo and hi are their components."""
     centres = centres.select("key", F.col("id").alias("v"), F.col("n").alias("m"), F.col("component").alias("other"),
                              F.col("side").alias("facing"), *[F.col(x).alias(f"{x}2") for x in ("size", "rank", "most")])
     met = (F.col("component") != F.col("other")) & ((F.col("side") == 0) | (F.col("side") != F.col("facing")))
     pairs = rows.join(centres, "key").filter(met & _alike(F.col("n"), F.col("m"), percent) & _within_reach(percent))
-    return pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v"))
+    return pairs.select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v"),
+                        F.least("component", "other").alias("lo"), F.greatest("component", "other").alias("hi"))
+
+
+def _with_merged(comp: DataFrame | None, merged: DataFrame | None) -> DataFrame | None:
+    """``comp`` (node, component) with its components, and ids without links, merged by ``merged`` (node, component), whose nodes are such."""
+    if comp is None or merged is None:
+        return comp if merged is None else merged
+    into = merged.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    now = comp.join(into, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    return now.unionByName(merged.join(comp, "node", "left_anti").select("node", "component"))
+
+
+def _by_round(rows: DataFrame) -> list[list[int]]:
+    """The levels of ``rows`` in order, those of one round together: as many as make at most ``PAIRS`` pairs a row, or one level that makes more."""
+    sizes = rows.groupBy("level").agg(F.count("*").alias("rows"), F.sum("members").alias("pairs")).collect()
+    most, room, rounds = PAIRS * sum(x.rows for x in sizes), 0, []
+    for level, pairs in sorted((x.level, x.pairs) for x in sizes if x.level is not None):
+        if rounds and pairs <= room:
+            rounds[-1].append(level)
+        else:
+            rounds.append([level])
+            room = most
+        room -= pairs
+    return rounds
 
 
 def _closed(members: DataFrame, sets: DataFrame, comp: DataFrame | None, percent: int, path: str) -> DataFrame | None:
     """The components (node, component) with all links between members (c, id) of one centre; ``comp``: those known so far.
 
     The rows carry their component, so a round looks at no others than those of keys with as
-    many members as make such a round. They are written once. After a round that has found
-    links, only the keys in which components have merged are made anew, without those that
-    have become one component; the other keys stay as they are.
+    many members as make such a round. They are written once. The links of a round are taken
+    as edges between components; only those that they join are put together, and the members
+    get theirs at the end. After a round that has found links, only the keys in which
+    components have merged are made anew, without those that have become one component; the
+    other keys stay as they are.
     """
     spark = sets.sparkSession
     _differences(members, sets, comp, percent).write.parquet(f"{path}/prefixes")
     _rounds(spark.read.parquet(f"{path}/prefixes")).write.parquet(f"{path}/levels")
     rows = spark.read.parquet(f"{path}/levels")
-    levels = sorted(x.level for x in rows.filter("level is not null").select("level").distinct().collect())
-    merged = again = None  # the keys made anew and their rows
-    for at, level in enumerate(levels):
-        enough = F.col("members") >= (STEP ** (level - 1) if level else 0)
-        centres = rows.filter(F.col("level") == level)
-        if merged is None:
-            pairs = _met(rows.filter(enough), centres, percent)
+    rounds = _by_round(rows)
+    enough = [F.col("members") >= (STEP ** (levels[0] - 1) if levels[0] else 0) for levels in rounds]  # a round reads only keys with members enough for it
+    joined = touched = again = None  # the components that links have joined; the keys made anew and their rows
+    for at, levels in enumerate(rounds):
+        name, now = levels[0], F.col("level").isin(levels)
+        centres = rows.filter(now)
+        if touched is None:
+            pairs = _met(rows.filter(enough[at]), centres, percent)
         else:
-            pairs = _met(rows.filter(enough), centres.join(merged, "key", "left_anti"), percent)
-            pairs = pairs.unionByName(_met(again.filter(enough), again.filter(F.col("level") == level), percent))
-        pairs.distinct().write.parquet(f"{path}/edges-{level}")
-        confirm(spark.read.parquet(f"{path}/edges-{level}"), sets, percent).write.parquet(f"{path}/links-{level}")
-        found = spark.read.parquet(f"{path}/links-{level}")
+            pairs = _met(rows.filter(enough[at]), centres.join(touched, "key", "left_anti"), percent)
+            pairs = pairs.unionByName(_met(again.filter(enough[at]), again.filter(now), percent))
+        pairs.dropDuplicates(["u", "v"]).write.parquet(f"{path}/edges-{name}")
+        confirm(spark.read.parquet(f"{path}/edges-{name}"), sets, percent).write.parquet(f"{path}/links-{name}")
+        found = spark.read.parquet(f"{path}/links-{name}")
         if not found.isEmpty():
-            if comp is not None:
-                found = found.unionByName(comp.select(F.col("node").alias("u"), F.col("component").alias("v")))
-            comp = components(found, f"{path}/components-{level}")
-            if at + 1 < len(levels):  # a later round reads only keys with members enough for it
-                left = rows.filter(F.col("members") >= STEP ** (levels[at + 1] - 1))
-                _renamed(left, comp).write.parquet(f"{path}/names-{level}")
-                names = spark.read.parquet(f"{path}/names-{level}")
-                _merged_keys(left, names).write.parquet(f"{path}/merged-{level}")
-                merged = spark.read.parquet(f"{path}/merged-{level}")
-                _still_open(left, merged, names).write.parquet(f"{path}/again-{level}")
-                again = spark.read.parquet(f"{path}/again-{level}")
-    return comp
+            found = found.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+            if joined is not None:
+                found = found.unionByName(joined.select(F.col("node").alias("u"), F.col("component").alias("v")))
+            joined = components(found, f"{path}/components-{name}")
+            if at + 1 < len(rounds):
+                left = rows.filter(enough[at + 1])
+                _renamed(left, joined).write.parquet(f"{path}/names-{name}")
+                names = spark.read.parquet(f"{path}/names-{name}")
+                _merged_keys(left, names).write.parquet(f"{path}/merged-{name}")
+                touched = spark.read.parquet(f"{path}/merged-{name}")
+                _still_open(left, touched, names).write.parquet(f"{path}/again-{name}")
+                again = spark.read.parquet(f"{path}/again-{name}")
+    return _with_merged(comp, joined)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = WORDS,

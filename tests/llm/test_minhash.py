@@ -188,3 +188,47 @@ def test_links_of_a_round_leave_the_rows_of_other_keys_as_they_are(spark):
     assert written["links-0"] and "edges-2" in written
     again = {x: n for x, n in written.items() if x not in ("prefixes", "levels") and not x.startswith(("edges", "links"))}
     assert sum(again.values()) < 0.3 * written["levels"]
+
+
+def test_levels_of_few_pairs_share_a_round(spark, monkeypatch):
+    """Twelve members that share differences, two of them alike only among themselves and a chain over three: one round finds all links."""
+    import os
+    import tempfile
+
+    from reelmart.llm import minhash as M
+
+    base = set(range(100))
+    apart = lambda i: base | set(range(1000, 1008)) | set(range(10_000 * i, 10_000 * i + 26))
+    sets = {0: base} | {i: apart(i) for i in range(1, 11)}
+    sets[11] = sets[10] | {5_000_011}
+    sets[12] = (sets[11] | set(range(7000, 7010))) - set(range(100_000, 100_010))
+    frame = spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "id long, shingles array<long>")
+    members = spark.createDataFrame([(0, i) for i in sets if i], "c long, id long")
+    rounds, check, path = [], M.confirm, tempfile.mkdtemp()
+    monkeypatch.setattr(M, "confirm", lambda *a: rounds.append(1) or check(*a))
+    known = spark.createDataFrame([(8, 8), (9, 8), (900, 900), (901, 900)], "node long, component long")
+    comp = M._closed(members, frame, known, 80, path)
+    assert len(spark.read.parquet(f"{path}/levels").filter("level is not null").select("level").distinct().collect()) > 1
+    assert len(rounds) == 1 and not [x for x in os.listdir(path) if x.startswith(("names", "merged", "again"))]
+    assert {x.node: x.component for x in comp.collect()} == {8: 8, 9: 8, 900: 900, 901: 900, 10: 10, 11: 10, 12: 10}
+
+
+def test_merged_components_reach_all_their_nodes(spark):
+    """Links are taken as edges between components: nodes of the merged ones, linked ids without a component and all others come out right."""
+    from reelmart.llm.minhash import _with_merged
+
+    comp = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (7, 7), (8, 7)], "node long, component long")
+    merged = spark.createDataFrame([(1, 0), (5, 0), (0, 0), (9, 4), (4, 4)], "node long, component long")
+    got = sorted((x.node, x.component) for x in _with_merged(comp, merged).collect())
+    assert got == [(0, 0), (1, 0), (2, 0), (4, 4), (5, 0), (6, 0), (7, 7), (8, 7), (9, 4)]
+    assert _with_merged(None, None) is None and _with_merged(comp, None) is comp and _with_merged(None, merged) is merged
+
+
+def test_components_make_no_step_over_stars(spark):
+    import os
+
+    path = scratch_path(spark, "cc")
+    df = spark.createDataFrame([(1, 5), (6, 1), (1, 6), (3, 9), (8, 8)], "u long, v long")
+    assert {r.node: r.component for r in components(df, path).collect()} == {1: 1, 5: 1, 6: 1, 3: 3, 9: 3}
+    assert len([x for x in os.listdir(path.removeprefix("file:")) if not x.startswith(".")]) == 1
+    assert components(spark.createDataFrame([], "u long, v long"), scratch_path(spark, "cc")).count() == 0
