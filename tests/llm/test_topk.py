@@ -66,3 +66,65 @@ def test_query_few_candidates_and_empty_table(spark, tmp_dir):
     assert got == [(0, 1, 51, 256 * 256 + 128 * 256), (0, 2, 50, 2 * 256 * 128), (50, 1, 51, 256 * 256 + 128 * 256), (50, 2, 0, 2 * 256 * 128)]
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{tmp_dir}/embeddings.parquet")
     assert op9_top_k(spark, tmp_dir).count() == 0
+
+
+def test_vectors_are_not_copied_for_each_query_and_block(spark):
+    """What is shuffled follows the table, not queries x blocks."""
+    r = np.random.default_rng(7)
+    rows = [(i, e) for i, e in enumerate(r.normal(size=(3000, 64)).astype(np.float32).tolist())]
+    v = quantise(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).localCheckpoint()
+    sc = spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        sc.listenerBus().waitUntilEmpty()
+        return sc.statusStore().executorList(True).apply(0).totalShuffleWrite()
+
+    before = shuffled()
+    got = top_k(v, v.filter(F.col("id") % 10 == 0), k=5, block_rows=64, query_rows=16)
+    assert got.count() == 1500
+    assert 0 < shuffled() - before < 3 * 3000 * 64 * 4
+
+
+def test_repeated_query_ids_and_ties(spark):
+    """Rows of one id are one query; equal scores go to the smaller id, whichever block has it."""
+    r = np.random.default_rng(3)
+    base = r.normal(size=(40, 10))
+    for scale in (1, 1000, 3e5):
+        x = (base[r.integers(0, 40, 500)] * scale).tolist()
+        rows = [(int(i) % 180, e) for i, e in zip(r.permutation(500), x)]
+        v = quantise(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3))
+        got = top_k(v, v.filter(F.col("id") % 9 == 0), k=4, block_rows=32, query_rows=2)
+        ints = [(i, [math.floor(256 * y) for y in e]) for i, e in rows]
+        want = []
+        for q in range(0, 180, 9):
+            s = sorted((-sum(y * z for y, z in zip(a, b)), i) for j, a in ints if j == q for i, b in ints if i != q)[:4]
+            want += [(q, i, -y) for y, i in s]
+        assert sorted(tuple(y) for y in got.collect()) == sorted(want)
+
+
+def test_bounds_of_single_precision_lose_nothing():
+    """Distinct directions, thresholds met exactly by other rows, over several blocks."""
+    r = np.random.default_rng(5)
+    x = r.normal(size=(4000, 64))
+    x = np.floor(256 * x / np.linalg.norm(x, axis=1)[:, None]).astype(np.int16)
+    x[2000:2600] = x[:600]
+    ids = r.permutation(4000).astype(np.int64)
+    turn = np.ascontiguousarray(np.linalg.eigh((x.astype(float).T @ x))[1][:, ::-1])
+    q = topk._Side(ids[:300], x[:300], turn)
+    best = topk._Best(q, 5)
+    for a in range(0, 4000, 1000):
+        topk._scan(q, best, topk._Side(ids[a:a + 1000], x[a:a + 1000], turn))
+    score = x[:300].astype(np.int64) @ x.astype(np.int64).T
+    want = []
+    for n in range(300):
+        order = np.lexsort((ids, -score[n]))
+        want += [(int(ids[n]), int(ids[j]), int(score[n, j])) for j in order[order != n][:5]]
+    assert sorted(zip(*(y.tolist() for y in best.rows()))) == sorted(want)
+
+
+def test_quantise_takes_whole_finite_vectors(spark):
+    rows = [(1, [0.5, -0.5]), (2, []), (3, None), (4, [1.0, None]), (5, [math.inf]), (6, [float("nan"), 1.0]), (None, [1.0]), (7, [1e300, -1e300]), (8, [-0.001])]
+    got = {r.id: (r.v, r.norm) for r in quantise(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert set(got) == {1, 2, 7, 8}
+    assert got[1] == ([128, -128], math.sqrt(2) * 128) and got[2] == ([], 0.0)
+    assert got[7][0] == [2**63 - 1, -2**63] and got[8] == ([-1], 1.0)
