@@ -348,7 +348,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     blocks = sorted(tuple(r) for r in c.select("block", "n").collect())
     q_blocks = sorted(r.block for r in q.select("block").collect())
     members = q.select("block", F.explode(F.arrays_zip("ids", "norms")).alias("m")).select("block", F.col("m.ids").alias("id"), F.col("m.norms").alias("norm"))
-    members = members.groupBy("block", "id").agg(F.max("norm").alias("norm"), F.min("norm").alias("least"))
+    members = members.groupBy("block", "id").agg(F.max("norm").alias("norm"))
 
     def tiles(batches):
         sides: dict[str, OrderedDict] = {"q": OrderedDict(), "c": OrderedDict()}
